@@ -9,10 +9,17 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table
 from ledgerline.llm.linededup import dedup_lines
+from ledgerline.llm.packing import pack, pieces
 from ledgerline.llm.quality import quality_rules
 from ledgerline.llm.sharding import shard_by_bytes
 
 
+def pack_documents(docs: DataFrame, length: int = 2048) -> DataFrame:
+    import public_tokenizers
+
+    return pack(pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), length), length)
+
+
 def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), 40)
 
@@ -21,6 +28,10 @@ def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op9_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pack_documents(table(spark, sf_dir, "documents"))
+
+
 def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "removed_lines", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
 
