@@ -8,10 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table
+from ledgerline.llm.langid import predict_languages
 from ledgerline.llm.linededup import dedup_lines
 from ledgerline.llm.packing import pack, pieces
 from ledgerline.llm.quality import quality_rules
 from ledgerline.llm.sharding import shard_by_bytes
+from ledgerline.llm.urlfilter import judge_urls
 
 
 def pack_documents(docs: DataFrame, length: int = 2048) -> DataFrame:
@@ -24,10 +26,18 @@ def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), 40)
 
 
+def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return predict_languages(table(spark, sf_dir, "documents"))
+
+
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
 
+def op8_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return judge_urls(table(spark, sf_dir, "pages"))
+
+
 def op9_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pack_documents(table(spark, sf_dir, "documents"))
 
