@@ -8,6 +8,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table
+from ledgerline.llm.jaccard import near_duplicates
 from ledgerline.llm.langid import predict_languages
 from ledgerline.llm.linededup import dedup_lines
 from ledgerline.llm.packing import pack, pieces
@@ -30,6 +31,10 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op4_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return near_duplicates(table(spark, sf_dir, "documents"))
+
+
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
