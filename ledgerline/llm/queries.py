@@ -8,9 +8,12 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import table
+from ledgerline.llm.decontam import contamination
+from ledgerline.llm.htmltext import extract_text
 from ledgerline.llm.jaccard import near_duplicates
 from ledgerline.llm.langid import predict_languages
 from ledgerline.llm.linededup import dedup_lines
+from ledgerline.llm.lmscore import cross_entropy_difference
 from ledgerline.llm.packing import pack, pieces
 from ledgerline.llm.quality import quality_rules
 from ledgerline.llm.sharding import shard_by_bytes
@@ -31,10 +34,22 @@ def op2_language_mixture(spark: SparkSession, sf_dir: str) -> DataFrame:
     return predict_languages(table(spark, sf_dir, "documents"))
 
 
+def op3_cross_entropy_difference(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return cross_entropy_difference(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op4_signature_trees(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_duplicates(table(spark, sf_dir, "documents"))
 
 
+def op5_host_suffix_array(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return extract_text(table(spark, sf_dir, "pages"))
+
+
+def op6_qgram_lemma(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return contamination(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
     return quality_rules(table(spark, sf_dir, "documents"))
 
