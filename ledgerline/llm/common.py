@@ -8,7 +8,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: The white space of every word definition here: space and \x09 to \x0D.
@@ -38,6 +38,16 @@ def materialize(df: DataFrame) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
+    """A materialised table of narrow rows, marked for broadcast only if it has at most so many; else Spark joins by shuffle."""
+    return F.broadcast(df) if df.count() <= rows else df
+
+
+def row_keys() -> dict[str, Column]:
+    """What names a row of documents: doc_id (null: a value of its own) and a hash of the text. Rows equal in both are alike."""
+    return {"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), "_t": F.xxhash64("text")}
+
+
 def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.ndarray]:
     """UTF-8 bytes and row offsets of a string column; null counts as the empty text."""
     if isinstance(column, pa.ChunkedArray):

@@ -136,7 +136,7 @@ def _matches(items: _Items, data: np.ndarray, offsets: np.ndarray):
 
 
 def contamination(docs: DataFrame, benchmark: DataFrame, q: int = 10, rate: float = 0.08, least: int = 40) -> DataFrame:
-    """(doc_id, item_id, begin, end, edits): benchmark items that stand in a text within an edit budget.
+    """(doc_id, item_id, begin, end, edits, text_hash): benchmark items that stand in a text within an edit budget.
 
     Both sides are lower-cased (A-Z) with white space runs as one space; begin and end are byte places in the
     document so normalised. The budget is `rate` of the item's bytes. Items under `least` bytes are too common to count and never
@@ -164,8 +164,8 @@ def contamination(docs: DataFrame, benchmark: DataFrame, q: int = 10, rate: floa
                     for r, i, begin, end, edits in _matches(found, own, at):
                         for c, v in zip(cols, (lo + r, found.ids[i], begin - int(at[r]), end - int(at[r]), edits), strict=True):
                             c.append(v)
-                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, pa.int64()) for c in cols[1:]]], ["doc_id", "item_id", "begin", "end", "edits"])
+                yield pa.RecordBatch.from_arrays([batch.column(0).take(pa.array(cols[0], pa.int64())), *[pa.array(c, pa.int64()) for c in cols[1:]], batch.column(2).take(pa.array(cols[0], pa.int64()))], ["doc_id", "item_id", "begin", "end", "edits", "text_hash"])
 
-        got = docs.select(F.col("doc_id").cast("long"), "text").mapInArrow(search, "doc_id long, item_id long, begin long, end long, edits long")
+        got = docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(search, "doc_id long, item_id long, begin long, end long, edits long, text_hash long")
         out = got if out is None else out.union(got)
     return out

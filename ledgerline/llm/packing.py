@@ -158,3 +158,10 @@ def pack(pieces_: DataFrame, capacity: int = 2048) -> DataFrame:
     names = pieces_.columns
     schema = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in pieces_.schema) + ", sequence_id long, offset long"
     return ranked.select(*names, "_rank").mapInArrow(place, schema)
+
+
+def pack_documents(docs: DataFrame, length: int = 2048) -> DataFrame:
+    """Cut and pack documents with the public byte-level vocabulary."""
+    import public_tokenizers
+
+    return pack(pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), length), length)

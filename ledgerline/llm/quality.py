@@ -99,7 +99,8 @@ def js_distance(p: Column, q: Column) -> Column:
 
 
 def quality_rules(docs: DataFrame, char_limit: float = 0.14, word_limit: float = 0.23, certain: float = 0.3, min_words: int = 20) -> DataFrame:
-    """Verdicts on every whole text: base counts, distances to the nearest language reference, kept.
+    """Verdicts on every whole text: base counts, distances to the nearest language
+    reference, kept, and text_hash, which with doc_id names the row.
 
     A reference is the mean share of each bin over all documents of one language with at least `min_words` words (rows
     with a `lang`; one grouped mean over the corpus, one row a language reaches the driver). A document is held against all
@@ -108,8 +109,8 @@ def quality_rules(docs: DataFrame, char_limit: float = 0.14, word_limit: float =
     fails. Repeated rows are judged alike; an empty table, or one without any `lang`, sets no distance limit.
     """
     keep = [c for c in BASE_COLUMNS if c != "doc_id"]
-    d = docs.select(F.struct("doc_id", "lang").alias("doc_id"), "text")
-    d = _histograms(base_counts(d)).select("doc_id.doc_id", "doc_id.lang", *keep, "_chars", "_common")
+    d = docs.select(F.struct("doc_id", "lang", F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")
+    d = _histograms(base_counts(d)).select("doc_id.*", *keep, "_chars", "_common")
     d = materialize(d)
     width_c, width_w = len(CHAR_CLASSES) + 3, len(COMMON_WORDS) + 1
     rb = d.where(F.col("lang").isNotNull() & (F.col("n_words") >= min_words)).select("lang", _share(F.col("_chars")).alias("c"), _share(F.col("_common")).alias("w"))
@@ -125,4 +126,4 @@ def quality_rules(docs: DataFrame, char_limit: float = 0.14, word_limit: float =
     # A short text strays from any reference by chance: the allowance falls with the root of its length.
     limit = F.lit(char_limit) + 0.8 / F.sqrt(F.col("word_chars") + 1)
     far = (F.col("n_words") >= min_words) & (((F.col("char_distance") > limit) & (F.col("word_distance") > word_limit)) | (F.col("char_distance") > certain))
-    return d.select(*BASE_COLUMNS, (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance")
+    return d.select(*BASE_COLUMNS, (~F.col("base_failed") & ~far).alias("kept"), "char_distance", "word_distance", "text_hash")

@@ -14,18 +14,12 @@ from ledgerline.llm.jaccard import near_duplicates
 from ledgerline.llm.langid import predict_languages
 from ledgerline.llm.linededup import dedup_lines
 from ledgerline.llm.lmscore import cross_entropy_difference
-from ledgerline.llm.packing import pack, pieces
+from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import quality_rules
 from ledgerline.llm.sharding import shard_by_bytes
 from ledgerline.llm.urlfilter import judge_urls
 
 
-def pack_documents(docs: DataFrame, length: int = 2048) -> DataFrame:
-    import public_tokenizers
-
-    return pack(pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), length), length)
-
-
 def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
     return shard_by_bytes(table(spark, sf_dir, "documents"), 40)
 
