@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize
+from ledgerline.llm.common import broadcast_if_small, materialize, row_keys
 
 
 def line_chunks(lines: Column) -> Column:
@@ -39,19 +39,21 @@ def dedup_lines(docs: DataFrame) -> DataFrame:
     are left. Only hashes and places are grouped over the corpus (pre-aggregated by hash, so a chunk in a third of all
     documents costs a row for each task); texts move only for chunks that repeat. Extra columns pass through.
     """
-    key = [F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))).alias("_d"), F.xxhash64("text").alias("_t")]
-    base = docs.where(F.col("text").contains("\n")).select(*key, F.split("text", "\n", -1).alias("_lines"))
+    key = row_keys()
+    base = docs.where(F.col("text").contains("\n")).withColumns(key).select("_d", "_t", F.split("text", "\n", -1).alias("_lines"))
     chunks = base.select("_d", "_t", F.explode(line_chunks(F.col("_lines"))).alias("c")).where("trim(c.chunk) <> '' and c.n > 1")
-    chunks = chunks.select("_d", "_t", F.col("c.start").alias("start"), F.col("c.n").alias("n"), F.xxhash64("c.chunk").alias("h"), F.col("c.chunk").alias("chunk"))
+    chunks = materialize(chunks.select("_d", "_t", F.col("c.start").alias("start"), F.col("c.n").alias("n"), F.xxhash64("c.chunk").alias("h")))
     first = chunks.groupBy("h").agg(F.min(F.struct("_d", "_t", "start")).alias("f"), F.max(F.struct("_d", "_t", "start")).alias("l"))
-    first = materialize(first.where("f <> l").select("h", "f"))
-    # The chunks whose hash repeats, with their bytes; the first one's bytes are joined to the others.
-    repeated = materialize(chunks.join(first, "h"))
-    is_first = "_d = f._d and _t = f._t and start = f.start"
-    kept = repeated.where(is_first).select("h", F.col("chunk").alias("kept")).groupBy("h").agg(F.first("kept").alias("kept"))
-    gone = repeated.where(f"not ({is_first})").join(kept, "h").where("chunk = kept").select("_d", "_t", "start", "n").distinct()
-    gone = gone.groupBy("_d", "_t").agg(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("n") - 1))).alias("_gone"))
-    held = docs.withColumns({"_d": key[0], "_t": key[1]}).join(gone, ["_d", "_t"], "left").drop("_d", "_t")
+    repeated = chunks.join(first.where("f <> l").select("h", "f"), "h").select("_d", "_t", F.struct("start", "n", "h", F.expr("_d = f._d and _t = f._t and start = f.start").alias("first")).alias("mark"))
+    marks = materialize(repeated.groupBy("_d", "_t").agg(F.collect_set("mark").alias("marks")))
+    # Texts move only for chunks whose hash repeats: the first one's bytes are joined to the others'.
+    told = docs.where(F.col("text").contains("\n")).withColumns(key).select("_d", "_t", "text").join(broadcast_if_small(marks), ["_d", "_t"])
+    told = told.select("_d", "_t", F.split("text", "\n", -1).alias("_lines"), F.explode("marks").alias("m"))
+    told = materialize(told.select("_d", "_t", "m.*", F.array_join(F.slice("_lines", F.col("m.start"), F.col("m.n")), "\n").alias("chunk")))
+    kept = told.where("first").groupBy("h").agg(F.min("chunk").alias("kept"))
+    gone = told.where("not first").join(kept, "h").where("chunk = kept").select("_d", "_t", "start", "n").distinct()
+    gone = materialize(gone.groupBy("_d", "_t").agg(F.flatten(F.collect_list(F.sequence("start", F.col("start") + F.col("n") - 1))).alias("_gone")))
+    held = docs.withColumns(key).join(broadcast_if_small(gone), ["_d", "_t"], "left").drop("_d", "_t")
     left = lambda gone: F.filter(F.split("text", "\n", -1), lambda x, i: ~F.array_contains(gone, i + 1))
     text = F.when(F.col("_gone").isNull(), F.col("text")).otherwise(F.array_join(left(F.col("_gone")), "\n"))
     return held.withColumn("text", text).withColumn("removed_lines", F.coalesce(F.size("_gone"), F.lit(0)).cast("long")).drop("_gone")
