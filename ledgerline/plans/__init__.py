@@ -1,4 +1,4 @@
-from ledgerline.plans import filter_queries, universe_queries  # noqa: F401
+from ledgerline.plans import filter_queries, pit_queries, universe_queries  # noqa: F401
 from ledgerline.plans.registry import QUERIES, SQL
 
 __all__ = ["QUERIES", "SQL"]
