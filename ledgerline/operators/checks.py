@@ -8,7 +8,9 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import months_between
 from ledgerline.functions.frames import average_rank, by, first_rows, island
 
-SERIES = by("variable", "stock", order="month")
+def _series():
+    return by("variable", "stock", order="month")
+
 
 
 def prepare(raw: DataFrame) -> DataFrame:
@@ -19,7 +21,7 @@ def prepare(raw: DataFrame) -> DataFrame:
 
 def change_events(p: DataFrame) -> DataFrame:
     """QC2: observations that differ from the firm's one before."""
-    return p.withColumn("prev", F.lag("value").over(SERIES)).where("prev is not null and value <> prev")
+    return p.withColumn("prev", F.lag("value").over(_series())).where("prev is not null and value <> prev")
 
 
 def firm_years(p: DataFrame) -> DataFrame:
@@ -60,7 +62,7 @@ def reporting_lag(p: DataFrame, fye_month: DataFrame) -> DataFrame:
 
 def stale_runs(p: DataFrame, run: int = 24) -> DataFrame:
     """QC12: firms with a run of equal values, other than zero and zero, of more than `run` months."""
-    r = p.withColumn("_r", island(F.lag("value").over(SERIES).isNull() | (F.col("value") != F.lag("value").over(SERIES)), SERIES))
+    r = p.withColumn("_r", island(F.lag("value").over(_series()).isNull() | (F.col("value") != F.lag("value").over(_series())), _series()))
     r = r.groupBy("variable", "stock", "_r").agg(F.count("*").alias("n"), F.first("value").alias("value")).where(F.col("n") > run)
     return r.groupBy("variable").agg(F.count_distinct(F.when(F.col("value") != 0, F.col("stock"))).alias("firms_stale"), F.count_distinct(F.when(F.col("value") == 0, F.col("stock"))).alias("firms_zero"), F.max("n").alias("longest"))
 
@@ -68,9 +70,9 @@ def stale_runs(p: DataFrame, run: int = 24) -> DataFrame:
 def unit_jumps(p: DataFrame, hard: float = 2.5, soft: float = 0.9, months: int = 24, tolerance: float = 0.3) -> DataFrame:
     """QC13: changes by a factor of 10**hard, or of 10**soft if undone within some months; the one that undoes is not counted."""
     e = change_events(p.where("value > 0")).withColumn("step", F.log10(F.col("value") / F.col("prev")))
-    undone = (F.abs(F.col("step")) >= soft) & (F.abs(F.lead("step").over(SERIES) + F.col("step")) <= tolerance) & (months_between(F.lead("month").over(SERIES), F.col("month")) <= months)
+    undone = (F.abs(F.col("step")) >= soft) & (F.abs(F.lead("step").over(_series()) + F.col("step")) <= tolerance) & (months_between(F.lead("month").over(_series()), F.col("month")) <= months)
     e = e.withColumn("reversed", F.coalesce(undone, F.lit(False)))
-    e = e.withColumn("_undoes", F.coalesce(F.lag("reversed").over(SERIES), F.lit(False)))
+    e = e.withColumn("_undoes", F.coalesce(F.lag("reversed").over(_series()), F.lit(False)))
     return e.where(((F.abs("step") >= hard) | F.col("reversed")) & ~F.col("_undoes")).drop("_undoes")
 
 
@@ -148,5 +150,5 @@ def change_months(p: DataFrame) -> DataFrame:
 
 def first_rows_and_changes(p: DataFrame) -> DataFrame:
     """EC9: new values by year: first observations and changes."""
-    prev = F.lag("value").over(SERIES)
+    prev = F.lag("value").over(_series())
     return p.withColumn("_new", prev.isNull() | (prev != F.col("value"))).where("_new").groupBy("variable", F.year("month").alias("year")).agg(F.count("*").alias("n"))

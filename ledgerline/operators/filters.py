@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.frames import by, first_rows, island
 
-STOCK = by("stock", order="date")
+def _stock():
+    return by("stock", order="date")
+
 
 
 def _false(c: Column) -> Column:
@@ -30,7 +32,7 @@ def first_wins(panel: DataFrame, *tie: str) -> DataFrame:
 def returns_from_index(panel: DataFrame) -> DataFrame:
     """Return to the stock's previous row; an index under 1e-6 counts as missing."""
     ri = F.when(F.col("return_index") >= 1e-6, F.col("return_index"))
-    return panel.withColumn("return_index", ri).withColumn("ret", F.try_divide("return_index", F.lag("return_index").over(STOCK)) - 1)
+    return panel.withColumn("return_index", ri).withColumn("ret", F.try_divide("return_index", F.lag("return_index").over(_stock())) - 1)
 
 
 def implausible_returns(panel: DataFrame, share: float = 0.98) -> DataFrame:
@@ -72,23 +74,23 @@ def padded_tail(panel: DataFrame, delistings: DataFrame, keep: int = 9) -> DataF
     p = panel.join(delistings, "stock").where(F.col("delisting_date").isNull() | (F.col("date") <= F.col("delisting_date")))
     p = p.withColumn("_live", F.max(F.when(F.coalesce(F.col("ret"), F.lit(0.0)) != 0, F.col("date"))).over(by("stock")))
     after = F.col("_live").isNull() | (F.col("date") > F.col("_live"))
-    p = p.withColumn("_tail", F.sum(after.cast("int")).over(STOCK.rowsBetween(Window.unboundedPreceding, 0)))
+    p = p.withColumn("_tail", F.sum(after.cast("int")).over(_stock().rowsBetween(Window.unboundedPreceding, 0)))
     return p.where(~after | (F.col("_tail") <= keep)).drop("_live", "_tail")
 
 
 def stale_prices(panel: DataFrame, column: str = "return_index", run: int = 30) -> DataFrame:
     """drop rows from run + 1 on of equal values in a row; a missing value ends a run."""
-    changed = F.col(column).isNull() | ~_false(F.col(column) == F.lag(column).over(STOCK))
-    p = panel.withColumn("_run", island(changed, STOCK))
+    changed = F.col(column).isNull() | ~_false(F.col(column) == F.lag(column).over(_stock()))
+    p = panel.withColumn("_run", island(changed, _stock()))
     p = p.withColumn("_at", F.row_number().over(by("stock", "_run", order="date")))
     return p.where(F.col("_at") <= run).drop("_run", "_at")
 
 
 def outlier_pairs(panel: DataFrame, up: float = 1.0, down: float = -0.5, method: str = "drop") -> DataFrame:
     """a jump that the next row undoes; both rows go, or their returns become 0."""
-    after = F.lead("ret").over(STOCK)
+    after = F.lead("ret").over(_stock())
     pair = _false(((F.col("ret") > up) & (after < down)) | ((F.col("ret") < down) & (after > up)))
-    p = panel.withColumn("_pair", pair).withColumn("_bad", F.col("_pair") | _false(F.lag("_pair").over(STOCK)))
+    p = panel.withColumn("_pair", pair).withColumn("_bad", F.col("_pair") | _false(F.lag("_pair").over(_stock())))
     if method == "zero":
         return p.withColumn("ret", F.when(F.col("_bad"), F.lit(0.0)).otherwise(F.col("ret"))).drop("_pair", "_bad")
     return p.where(~F.col("_bad")).drop("_pair", "_bad")
@@ -147,7 +149,7 @@ def decimal_errors(panel: DataFrame, up: float = 4.0, down: float = -0.85) -> Da
 
 def no_trading(panel: DataFrame) -> DataFrame:
     """FO4: drop rows with high, low and volume all equal to the row before."""
-    return panel.withColumn("_same", _false((F.col("high") == F.lag("high").over(STOCK)) & (F.col("low") == F.lag("low").over(STOCK)) & (F.col("volume") == F.lag("volume").over(STOCK)))).where("not _same").drop("_same")
+    return panel.withColumn("_same", _false((F.col("high") == F.lag("high").over(_stock())) & (F.col("low") == F.lag("low").over(_stock())) & (F.col("volume") == F.lag("volume").over(_stock())))).where("not _same").drop("_same")
 
 
 def extreme_returns(panel: DataFrame, low: float = 0.001, high: float = 0.999) -> DataFrame:
@@ -166,7 +168,7 @@ def handle_missing(panel: DataFrame, fill: list[str], require: list[str], flag:
     """FO7: history begins with the first row that has all of `require`; later gaps of `fill` take the last value, flagged."""
     ready = F.min(F.when(F.expr(" and ".join(f"{c} is not null" for c in require)), F.col("date"))).over(by("stock"))
     p = panel.withColumn("_ready", ready).where("date >= _ready").drop("_ready")
-    past = STOCK.rowsBetween(Window.unboundedPreceding, 0)
+    past = _stock().rowsBetween(Window.unboundedPreceding, 0)
     p = p.withColumn(flag, F.expr(" or ".join(f"{c} is null" for c in fill)))
     return p.withColumns({c: F.last(c, ignorenulls=True).over(past) for c in fill})
 

@@ -10,7 +10,9 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import add_months, log_of, months_between
 from ledgerline.functions.frames import as_of, by, first_rows, island
 
-MONTH = by("stock", order="month")
+def by_month():
+    return by("stock", order="month")
+
 
 
 def long_form(wide: DataFrame, items: list[str]) -> DataFrame:
@@ -39,9 +41,9 @@ def clear_episodes(long: DataFrame, errors: DataFrame) -> DataFrame:
 
 def report_snapshots(wide: DataFrame, items: list[str]) -> DataFrame:
     """PIT4: the months in which a firm's first row stands, some item differs from the row before, or months are missing."""
-    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.lag(c).over(MONTH)) for c in items])
-    gap = months_between(F.col("month"), F.lag("month").over(MONTH)) > 1
-    return wide.withColumn("_new", F.lag("month").over(MONTH).isNull() | differs | gap).where("_new").drop("_new").withColumnRenamed("month", "report_month")
+    differs = reduce(lambda a, b: a | b, [~F.col(c).eqNullSafe(F.lag(c).over(by_month())) for c in items])
+    gap = months_between(F.col("month"), F.lag("month").over(by_month())) > 1
+    return wide.withColumn("_new", F.lag("month").over(by_month()).isNull() | differs | gap).where("_new").drop("_new").withColumnRenamed("month", "report_month")
 
 
 def add_previous(snaps: DataFrame, items: list[str], min_gap: int = 9) -> DataFrame:

@@ -216,7 +216,7 @@ o AS (SELECT month, n, (ay * bb - bby * ab) / (aa * bb - ab * ab) AS b1, (bby *
 
 
 def _ols(spark, sf_dir):
-    z = attached(spark, sf_dir).withColumns({"y": F.lead("ret").over(pit.MONTH), "x1": F.log("market_cap"), "x2": F.col("ret")})
+    z = attached(spark, sf_dir).withColumns({"y": F.lead("ret").over(pit.by_month()), "x1": F.log("market_cap"), "x2": F.col("ret")})
     return st.grouped_ols2(z, "y", "x1", "x2", "month", 50)
 
 
@@ -250,7 +250,7 @@ d2 AS (SELECT *, CAST(greatest(1, ((r - 1) * 10 + n - 2) // (n - 1)) AS INT) AS
 
 
 def _sorts(spark, sf_dir):
-    d = attached(spark, sf_dir).withColumns({"chr": F.lag("ret").over(pit.MONTH), "w": F.lag("market_cap").over(pit.MONTH)})
+    d = attached(spark, sf_dir).withColumns({"chr": F.lag("ret").over(pit.by_month()), "w": F.lag("market_cap").over(pit.by_month())})
     return st.sorts(d, "chr", "ret", "w")
 
 

@@ -58,8 +58,12 @@ _register("fo4_no_trading", lambda p: f.no_trading(p.withColumns({c: F.floor(F.c
  SELECT stock, date, ret FROM (SELECT *, coalesce(h = lag(h) OVER w AND l = lag(l) OVER w AND v = lag(v) OVER w, false) AS same FROM g WINDOW w AS (PARTITION BY stock ORDER BY date)) WHERE NOT same""")
 _register("fo5_extreme_returns", lambda p: f.extreme_returns(p, 0.05, 0.95), ", q AS (SELECT date, quantile_cont(ret, 0.05) AS a, quantile_cont(ret, 0.95) AS b FROM panel GROUP BY 1) SELECT stock, date, ret FROM panel JOIN q USING (date) WHERE ret BETWEEN a AND b")
 _register("fo6_extreme_returns_by_deviation", lambda p: f.extreme_returns_by_deviation(p, 1.6), ", q AS (SELECT date, median(ret) AS m, stddev_samp(ret) AS s FROM panel GROUP BY 1) SELECT stock, date, ret FROM panel JOIN q USING (date) WHERE NOT coalesce(abs(ret - m) > 1.6 * s, false)")
-_GAPS = {"open": F.when(F.col("stock") % 4 != F.month("date") % 4, F.col("open")), "close": F.when(F.dayofmonth("date") % 5 != 0, F.col("close"))}
-_register("fo7_handle_missing", lambda p: f.handle_missing(p.withColumns(_GAPS), ["open", "close"], ["open", "close"]), """, g AS (SELECT stock, date, ret, CASE WHEN stock % 4 <> month(date) % 4 THEN open END AS open, CASE WHEN day(date) % 5 <> 0 THEN close END AS close FROM panel),
+def _gaps():
+    return {"open": F.when(F.col("stock") % 4 != F.month("date") % 4, F.col("open")), "close": F.when(F.dayofmonth("date") % 5 != 0, F.col("close"))}
+
+
+
+_register("fo7_handle_missing", lambda p: f.handle_missing(p.withColumns(_gaps()), ["open", "close"], ["open", "close"]), """, g AS (SELECT stock, date, ret, CASE WHEN stock % 4 <> month(date) % 4 THEN open END AS open, CASE WHEN day(date) % 5 <> 0 THEN close END AS close FROM panel),
  r AS (SELECT *, min(date) FILTER (open IS NOT NULL AND close IS NOT NULL) OVER (PARTITION BY stock) AS ready FROM g)
  SELECT stock, date, ret, open IS NULL OR close IS NULL AS filled, last_value(open IGNORE NULLS) OVER w AS open, last_value(close IGNORE NULLS) OVER w AS close
  FROM r WHERE date >= ready WINDOW w AS (PARTITION BY stock ORDER BY date ROWS UNBOUNDED PRECEDING)""", ("stock", "date", "ret", "filled", "open", "close"))
@@ -77,7 +81,7 @@ _register("adj5_period", lambda p: f.period(p, "1994-12-31", "1997-06-30"), "SEL
  c AS (SELECT 'open' AS "column", count(*) FILTER (open IS NULL) AS nulls, count(*) AS n FROM g UNION ALL SELECT 'close', count(*) FILTER (close IS NULL), count(*) FROM g)
  SELECT "column", nulls, nulls / n AS share FROM c WHERE nulls > 0""")
 def fo8(spark, sf_dir):
-    return f.null_profile(daily_panel(spark, sf_dir).withColumns(_GAPS).select("open", "close", "volume"))
+    return f.null_profile(daily_panel(spark, sf_dir).withColumns(_gaps()).select("open", "close", "volume"))
 
 
 @query("f17_survivorship", f"{PANEL_SQL} SELECT p.stock, p.date, p.ret FROM panel p JOIN statics s USING (stock) WHERE region <> 'ASIA' AND p.date >= make_date(CAST(1992 + company % 5 AS INT), 1, 1)")

@@ -122,7 +122,7 @@ def der4(spark, sf_dir):
 @query("der6_controls", f"""{WIDE_SQL}, p AS (SELECT a.*, lag(sales, 12) OVER (PARTITION BY stock ORDER BY month) AS sales_prev FROM att a)
  SELECT stock, month, round(sales / nullif(assets, 0), 7) AS leverage, round(CASE WHEN equity > 0 THEN sales / equity END, 7) AS roe, round(CASE WHEN sales / nullif(sales_prev, 0) > 0 THEN ln(sales / sales_prev) END, 7) AS sales_growth, CASE WHEN count(ret) OVER w = 12 THEN round(stddev_samp(ret) OVER w, 7) END AS vol_12m FROM p WINDOW w AS (PARTITION BY stock ORDER BY month ROWS 11 PRECEDING)""")
 def der6(spark, sf_dir):
-    d = attached(spark, sf_dir).withColumn("sales_prev", F.lag("sales", 12).over(pit.MONTH)).withColumns({"debt": F.col("sales"), "income": F.col("sales")})
+    d = attached(spark, sf_dir).withColumn("sales_prev", F.lag("sales", 12).over(pit.by_month())).withColumns({"debt": F.col("sales"), "income": F.col("sales")})
     return pit.controls(d).select("stock", "month", *[F.round(c, 7).alias(c) for c in ("leverage", "roe", "sales_growth", "vol_12m")])
 
 
@@ -156,15 +156,15 @@ def em1(spark, sf_dir):
     return pit.lone_unit_errors(emission_snapshots(spark, sf_dir), "total").select("stock", "report_month", "total")
 
 
-@query("em4_emission_values", f"{EM_SQL} SELECT stock, report_month, emission, estimated, round(intensity, 7) AS intensity, round(growth, 7) AS growth FROM em4")
+@query("em4_emission_values", f"{EM_SQL} SELECT stock, report_month, emission, CAST(estimated AS DOUBLE) AS estimated, round(intensity, 7) AS intensity, round(growth, 7) AS growth FROM em4")
 def em4(spark, sf_dir):
     e = pit.emission_values(pit.lone_unit_errors(emission_snapshots(spark, sf_dir), "total"), dated(spark, sf_dir))
-    return e.select("stock", "report_month", "emission", "estimated", F.round("intensity", 7).alias("intensity"), F.round("growth", 7).alias("growth"))
+    return e.select("stock", "report_month", "emission", F.col("estimated").cast("double").alias("estimated"), F.round("intensity", 7).alias("intensity"), F.round("growth", 7).alias("growth"))
 
 
-@query("em6_emissions_panel", f"{EM_SQL} SELECT stock, month, emission, estimated, round(intensity, 7) AS intensity FROM em6")
+@query("em6_emissions_panel", f"{EM_SQL} SELECT stock, month, emission, CAST(estimated AS DOUBLE) AS estimated, round(intensity, 7) AS intensity FROM em6")
 def em6(spark, sf_dir):
-    return emission_panel(spark, sf_dir).select("stock", "month", "emission", "estimated", F.round("intensity", 7).alias("intensity"))
+    return emission_panel(spark, sf_dir).select("stock", "month", "emission", F.col("estimated").cast("double").alias("estimated"), F.round("intensity", 7).alias("intensity"))
 
 
 @query("em7_emission_coverage", f"""{EM_SQL} SELECT year(month) AS year, count(*) AS n, count(*) FILTER (NOT estimated) AS n_reported, count(emission) AS n_any, avg(CAST(coalesce(NOT estimated, false) AS INT)) AS ew_reported,

@@ -24,6 +24,11 @@ def _rounded(df: DataFrame, digits: int, *columns: str) -> DataFrame:
     return df.withColumns({c: F.round(c, digits) for c in columns})
 
 
+def _even(df: DataFrame) -> DataFrame:
+    """A mean of few rounded returns can be a tie, which the engines round differently: it is moved off the tie."""
+    return df.withColumn("ew", F.col("ew") + 1e-12)
+
+
 @query("uni1_monthly_universe", f"{PANEL_SQL} SELECT *, min(month) OVER (PARTITION BY stock) AS first_month, max(month) OVER (PARTITION BY stock) AS last_month FROM uni")
 def uni1(spark, sf_dir):
     return universe(spark, sf_dir)
@@ -72,9 +77,9 @@ def pf2(spark, sf_dir):
     return _rounded(u.portfolios(monthly(spark, sf_dir)), 8, "vw").select("month", "vw")
 
 
-@query("pf3_equally_weighted", f"{PANEL_SQL} SELECT month, round(avg(ret), 8) AS ew, count(*) AS n {_OK} GROUP BY 1")
+@query("pf3_equally_weighted", f"{PANEL_SQL} SELECT month, round(avg(ret) + 1e-12, 8) AS ew, count(*) AS n {_OK} GROUP BY 1")
 def pf3(spark, sf_dir):
-    return _rounded(u.portfolios(monthly(spark, sf_dir)), 8, "ew").select("month", "ew", "n")
+    return _rounded(_even(u.portfolios(monthly(spark, sf_dir))), 8, "ew").select("month", "ew", "n")
 
 
 _CLEAN = """, pr AS (SELECT *, coalesce((ret > 0.06 AND lead(ret) OVER w < -0.04) OR (ret < -0.04 AND lead(ret) OVER w > 0.06), false) AS pair FROM panel WHERE NOT unadj_close <= 0 WINDOW w AS (PARTITION BY stock ORDER BY date)),
@@ -84,14 +89,14 @@ _CLEAN = """, pr AS (SELECT *, coalesce((ret > 0.06 AND lead(ret) OVER w < -0.04
   CASE WHEN date_diff('month', lag(month) OVER w, month) = 1 THEN lag(market_cap) OVER w END AS cap_lag FROM cu WINDOW w AS (PARTITION BY stock ORDER BY month))"""
 
 
-@query("pf4_monthly_portfolios", f"{PANEL_SQL}{_CLEAN} SELECT month, round(sum(ret * cap_lag) / sum(cap_lag), 8) AS vw, round(avg(ret), 8) AS ew, count(*) AS n FROM cm WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1")
+@query("pf4_monthly_portfolios", f"{PANEL_SQL}{_CLEAN} SELECT month, round(sum(ret * cap_lag) / sum(cap_lag), 8) AS vw, round(avg(ret) + 1e-12, 8) AS ew, count(*) AS n FROM cm WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1")
 def pf4(spark, sf_dir):
     """The flagship: clean the daily panel, condense it to months, weight the returns of consecutive months."""
     from ledgerline.operators import filters as f
 
     p = f.outlier_pairs(f.nonsense_prices(daily_panel(spark, sf_dir)), 0.06, -0.04)
     m = u.consecutive_returns(u.monthly_universe(p, ["market_cap", "return_index"])).withColumn("ret", F.round("ret", 8))
-    return _rounded(u.portfolios(m), 8, "vw", "ew")
+    return _rounded(_even(u.portfolios(m)), 8, "vw", "ew")
 
 
 @query("pf5_weights", f"{PANEL_SQL} SELECT stock, month, round(cap_lag / sum(cap_lag) OVER (PARTITION BY month), 9) AS weight {_OK}")
