@@ -1 +1 @@
-
+"""Nothing yet: every job of the inventory reads whole tables, so there are no streaming operators."""
