@@ -17,7 +17,7 @@ from ledgerline.llm.lmscore import cross_entropy_difference
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import quality_rules
 from ledgerline.llm.sharding import shard_by_bytes
-from ledgerline.llm.urlfilter import judge_urls
+from ledgerline.llm.urlfilter import VERDICTS_SQL, judge_urls
 
 
 def op1_histogram_sort(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -49,7 +49,7 @@ def op7_distribution_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op8_redirect_equivalence(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return judge_urls(table(spark, sf_dir, "pages"))
+    return judge_urls(table(spark, sf_dir, "pages")).drop("component")
 
 
 def op9_minimum_bin_slack(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -65,4 +65,4 @@ def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {}
+    return {"op8_redirect_equivalence": VERDICTS_SQL}

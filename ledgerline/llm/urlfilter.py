@@ -36,13 +36,23 @@ def canonical_form(host: Column, path: Column) -> Column:
     return F.concat(F.regexp_replace(host, r"^(www|m)\.", ""), F.regexp_replace(path, r"(\.html|/)+$", ""))
 
 
+# The tags that name another URL, what they must hold, and where the URL stands in them.
+_TARGETS = (
+    ("(?is)<link\\b[^>]*>", "(?i)\\brel\\s*=\\s*[\"']?canonical\\b", "(?i)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"),
+    ("(?is)<meta\\b[^>]*>", "(?i)\\bhttp-equiv\\s*=\\s*[\"']?refresh\\b", "(?i)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)"),
+)
+
+
 def declared_targets(url: Column, html: Column) -> Column:
-    """URLs that a page's canonical link and refresh redirect name, relative ones resolved against its host."""
-    link = F.regexp_extract(html, r"""(?is)<link\b(?=[^>]*\brel\s*=\s*["']?canonical\b)[^>]*\bhref\s*=\s*["']?([^"'\s>]+)""", 1)
-    refresh = F.regexp_extract(html, r"""(?is)<meta\b(?=[^>]*\bhttp-equiv\s*=\s*["']?refresh\b)[^>]*\burl\s*=\s*["']?([^"'\s>]+)""", 1)
+    """URLs that a page's first canonical link and refresh redirect name, relative ones resolved against its host."""
     full = lambda t: F.when(t.contains("://"), t).when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t)).when(F.startswith(t, F.lit("/")), F.concat(F.lit("http://"), host_of(url), t))
-    named = lambda t, mark: F.when(html.ilike(f"%{mark}%") & (t != ""), full(t))
-    return F.array_compact(F.array(named(link, "canonical"), named(refresh, "refresh")))
+
+    def named(tag, mark, place):
+        # A cheap test comes first: most pages declare nothing.
+        found = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: t.rlike(mark))
+        return F.when(html.rlike(mark), full(F.regexp_extract(F.get(found, F.lit(0)), place, 1)))
+
+    return F.array_compact(F.array(*[named(*t) for t in _TARGETS]))
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -72,3 +82,27 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     out = p.withColumn("_n", node(F.col("_u"), "u")).join(by_node, "_n", "left")
     verdict = F.coalesce("said", F.when(F.col("_bad") & F.col("_u").isNotNull(), "block").otherwise("allow"))
     return out.select("page_id", "host", "path", "rule", verdict.alias("verdict"), "component")
+
+
+def _sql() -> str:
+    """The verdicts in SQL, for tables of a size that a recursive query can walk."""
+    fit = lambda h, p: f"((host = '{h}' OR ends_with(host, '.{h}')) AND starts_with(path, '{p}'))"
+    longest = sorted(RULES, key=lambda r: (-len(r[1]) - len(r[2]), r[0] != "allow"))
+    case = lambda what: "CASE " + " ".join(f"WHEN {fit(h, p)} THEN '{h + p if what == 'rule' else v}'" for v, h, p in longest) + " END"
+    q = lambda t: t.replace("'", "''")
+    parts = lambda url: f"coalesce(translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host, coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path"
+    form = "regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '(\\.html|/)+$', '')"
+    tags = " UNION ALL ".join(f"SELECT host || path AS u, host, regexp_extract(list_filter(regexp_extract_all(html, '{q(tag)}'), lambda t: regexp_matches(t, '{q(mark)}'))[1], '{q(place)}', 1) AS t FROM p" for tag, mark, place in _TARGETS)
+    return f"""WITH RECURSIVE p AS (SELECT page_id, url, html, {parts('url')} FROM pages),
+ tag AS ({tags}),
+ full_ AS (SELECT u, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t WHEN starts_with(t, '/') THEN 'http://' || host || t END AS t FROM tag),
+ v AS (SELECT u, {parts('t')} FROM full_ WHERE t IS NOT NULL),
+ e0 AS (SELECT 'u' || host || path AS a, 'c' || {form} AS b FROM p WHERE host <> '' UNION SELECT 'u' || u, 'u' || host || path FROM v WHERE u <> '' UNION SELECT 'u' || host || path, 'c' || {form} FROM v),
+ e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0),
+ walk(a, b) AS (SELECT DISTINCT a, a FROM e UNION SELECT walk.a, e.b FROM walk JOIN e ON walk.b = e.a),
+ said AS (SELECT 'u' || host || path AS n, {case('verdict')} AS s FROM (SELECT host, path FROM p UNION SELECT host, path FROM v)),
+ c AS (SELECT a AS n, coalesce(bool_or(s = 'block'), false) AND NOT coalesce(bool_or(s = 'allow'), false) AS bad FROM walk LEFT JOIN said ON said.n = walk.b GROUP BY 1)
+ SELECT page_id, host, path, {case('rule')} AS rule, coalesce({case('verdict')}, CASE WHEN c.bad THEN 'block' ELSE 'allow' END) AS verdict FROM p LEFT JOIN c ON c.n = 'u' || host || path"""
+
+
+VERDICTS_SQL = _sql()

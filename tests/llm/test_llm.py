@@ -338,6 +338,17 @@ def test_url_verdicts(spark):
     assert urlfilter.judge_urls(spark.createDataFrame([], "page_id long, url string, html string")).count() == 0
 
 
+def test_url_sql(spark):
+    import duckdb
+
+    rows = [(k, u, h) for k, (u, h) in enumerate([("http://x.org/a", '<link href=http://y.net/fr/z rel="canonical">'), ("http://www.x.org/a.html?u", None), ("http://q.org/c", "<meta HTTP-EQUIV=refresh content='0;url=/d'>"), ("http://q.org/d", "<LINK rel=canonical href='http://x.net/es/9'>"), (None, None), ("", "x"), ("http://WWW.example.com/en/", "y")])]
+    d = spark.createDataFrame(rows, "page_id long, url string, html string")
+    pages = d.toPandas()  # noqa: F841
+    want = duckdb.sql(urlfilter.VERDICTS_SQL).fetchall()
+    assert {(r.page_id, r.host, r.path, r.rule, r.verdict) for r in urlfilter.judge_urls(d).collect()} == {tuple(None if x is None else x for x in r) for r in want}
+    assert sum(r[4] == "block" for r in want) == 4
+
+
 def test_connected_components(spark):
     r = random.Random(5)
     edges = [(k, k + 1) for k in range(100, 160)] + [(7, k) for k in range(200, 260)] + [(r.randrange(1000, 1200), r.randrange(1000, 1200)) for _ in range(120)] + [(5, 5)]
