@@ -61,7 +61,7 @@ def text_buffers(column: pa.Array | pa.ChunkedArray) -> tuple[np.ndarray, np.nda
     return data[offsets[0] : offsets[-1]], offsets - offsets[0]
 
 
-def slices(offsets: np.ndarray, most: int = 2 << 20) -> Iterator[tuple[int, int]]:
+def slices(offsets: np.ndarray, most: int = 1 << 19) -> Iterator[tuple[int, int]]:
     """Row ranges of at most so many bytes (one row at least), so that the arrays over bytes stay small."""
     row, rows = 0, len(offsets) - 1
     while row < rows:
