@@ -121,7 +121,7 @@ def src20(spark, sf_dir):
 def src26(spark, sf_dir):
     """Country of an index name by its last word, through aliases; names of no country go."""
     n, k = read(spark, sf_dir, "nation"), F.col("n_nationkey")
-    names = n.select(F.col("n_name").alias("market"), F.concat(F.lit("TOTMK "), "n_name").alias("column"))
+    names = n.select(F.col("n_name").alias("market"), F.concat(F.lit("INDEX OF "), "n_name").alias("column"))
     aliases = n.where(k % 6 != 5).select(F.col("n_name").alias("word"), F.when(k % 6 == 0, F.concat(F.lit("ALIAS_"), k.cast("string"))).otherwise(F.col("n_name")).alias("country"))
     return names.withColumn("word", F.element_at(F.split("column", " "), -1)).join(F.broadcast(aliases), "word").select("market", "country")
 
@@ -151,3 +151,48 @@ def dg5(spark, sf_dir):
     gone = F.array(F.lit("1-URGENT"), F.lit("5-LOW"))
     d = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("dataset")).agg(F.collect_set("o_orderpriority").alias("v"))
     return d.where(F.arrays_overlap("v", gone)).select("dataset", F.size(F.array_intersect("v", gone)).cast("long").alias("dropped"))
+
+
+@query("pf1_month_grid", f"""{PANEL_SQL}, g AS (SELECT stock, last_day(CAST(unnest(generate_series(date_trunc('month', min(month)), date_trunc('month', max(month)), INTERVAL 1 MONTH)) AS DATE)) AS month FROM uni GROUP BY 1)
+ SELECT g.stock, g.month, close, market_cap FROM g LEFT JOIN uni ON uni.stock = g.stock AND uni.month = g.month""")
+def pf1(spark, sf_dir):
+    """Monthly stock panel without gaps: missing months have rows without values."""
+    return u.on_month_grid(universe(spark, sf_dir), "stock", "month", ["close", "market_cap"])
+
+
+@query("ec4_firm_counts", f"{EM_SQL} SELECT count(DISTINCT stock) FILTER (emission IS NOT NULL) AS any, count(DISTINCT stock) FILTER (NOT estimated) AS reported, count(DISTINCT stock) FILTER (estimated) AS estimated FROM em6")
+def ec4(spark, sf_dir):
+    """Firms with a value in each availability group."""
+    e = F.col("estimated")
+    firms = lambda c, name: F.count_distinct(F.when(c, F.col("stock"))).alias(name)
+    return emission_panel(spark, sf_dir).agg(firms(F.col("emission").isNotNull(), "any"), firms(~e, "reported"), firms(e, "estimated"))
+
+
+@query("ec8_lag_to_fiscal_year", f"{LONG_SQL}, g AS (SELECT variable, CAST((month(month) - (stock % 4 * 3 + 3) + 12) % 12 AS INT) AS lag, count(*) AS n FROM ch WHERE variable <> 'equity' GROUP BY 1, 2) SELECT *, n / sum(n) OVER (PARTITION BY variable) AS share FROM g")
+def ec8(spark, sf_dir):
+    """Months from the fiscal year end to the changes of each item."""
+    fye = statics(spark, sf_dir).select("stock", (F.col("stock") % 4 * 3 + 3).alias("fye_month"))
+    return q.reporting_lag(panel(spark, sf_dir).where("variable <> 'equity'"), fye)
+
+
+@query("ap6_compare_factors", f"""{PANEL_SQL}, s AS (SELECT month, 'ew' AS factor, avg(ret) AS v FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1 UNION ALL SELECT month, 'vw', sum(ret * cap_lag) / sum(cap_lag) FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1),
+ b AS (SELECT month, factor, v AS b FROM (SELECT month, 'ew' AS factor, avg(ret) AS v FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 AND stock % 2 = 0 GROUP BY 1 UNION ALL SELECT month, 'vw', sum(ret * cap_lag) / sum(cap_lag) FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 AND stock % 2 = 0 GROUP BY 1))
+ SELECT factor, count(*) AS n, round(corr(v, b), 6) AS corr, round(avg(v), 8) AS mean, round(avg(b), 8) AS mean_bench, round(regr_slope(v, b), 6) AS slope, round(regr_r2(v, b), 6) AS r2, round(stddev_samp(v - b), 8) AS te FROM s JOIN b USING (month, factor) GROUP BY 1 HAVING count(*) >= 24""")
+def ap6(spark, sf_dir):
+    """Factors beside their benchmarks, here the same means over every other stock."""
+    m = monthly(spark, sf_dir)
+    long = lambda d, name: u.portfolios(d).unpivot("month", ["ew", "vw"], "factor", name)
+    j = long(m, "v").join(long(m.where("stock % 2 = 0"), "b"), ["month", "factor"])
+    out = j.groupBy("factor").agg(F.count("*").alias("n"), F.corr("v", "b").alias("corr"), F.avg("v").alias("mean"), F.avg("b").alias("mean_bench"), F.regr_slope("v", "b").alias("slope"), F.regr_r2("v", "b").alias("r2"), F.stddev_samp(F.col("v") - F.col("b")).alias("te"))
+    return _r(_r(out.where("n >= 24"), 6, "corr", "slope", "r2"), 8, "mean", "mean_bench", "te")
+
+
+@query("qc21_battery", f"""{JUMP_SQL}, f AS (SELECT variable, stock, count(*) AS n, date_diff('month', min(month), max(month)) + 1 AS span FROM p GROUP BY 1, 2), h AS (SELECT variable, count(*) AS firms, CAST(sum(n) AS BIGINT) AS obs, count(*) FILTER (span > n) AS firms_with_gaps FROM f GROUP BY 1),
+ k AS (SELECT variable, count(*) AS jumps FROM j GROUP BY 1), c AS (SELECT variable, count(*) AS changes FROM ch GROUP BY 1)
+ SELECT variable, firms, obs, firms_with_gaps, coalesce(jumps, 0) AS jumps, coalesce(changes, 0) AS changes FROM h LEFT JOIN k USING (variable) LEFT JOIN c USING (variable)""")
+def qc21(spark, sf_dir):
+    """One summary row for each variable from the battery's tables, all variables in one job."""
+    p = panel(spark, sf_dir)
+    count = lambda d, name: d.groupBy("variable").agg(F.count("*").alias(name))
+    out = q.history(p).drop("months").join(count(q.unit_jumps(p), "jumps"), "variable", "left").join(count(q.change_events(p), "changes"), "variable", "left")
+    return out.na.fill(0, ["jumps", "changes"])
