@@ -4,20 +4,26 @@ Two texts link when 100 * common >= 80 * union over their distinct five-word shi
 64-bit digest of the set), so copies cost nothing after the first pass. Any two linked sets share one of the first
 n - ceil(0.8 n) + 1 shingles of any fixed order (prefix filter), so buckets by these shingles hold every link. Within
 a bucket, a signature tree is walked against itself and prunes node pairs by the largest overlap that their OR-combined
-bitmaps and size ranges allow. What is left is verified on the whole sets.
+bitmaps and size ranges allow. What is left is verified on the whole sets. Links inside a class that the leaders joined are counted on whole sets, block by block,
+without a row for each pair.
 """
 
 from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import connected_components, materialize, mix, shingle_hashes, slices, text_buffers, word_hashes
 
 BUCKET = 256  # members of a bucket that one block holds
 BANDS = 1.118  # size bands: linked sets have sizes within 1.25, two bands apart at most
+MEMBERS, SHINGLES = 2048, 1 << 19  # sets, and shingles in all, that one block of a class holds
+
+
+def size_band(n: str) -> Column:
+    return F.floor(F.log(n) / np.log(BANDS))
 
 
 def _sets(column: pa.Array):
@@ -266,10 +272,10 @@ def _common(a: bytes, b: bytes) -> tuple[int, int, int, int]:
     return len(x), len(y), n, n - 3 - len(x) // 2000
 
 
-def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, whole: bool) -> DataFrame:
-    """(a, b, sure) of the pairs that link as far as the packed sets can tell."""
+def _packed_sets(docs: DataFrame, reps: DataFrame, sids: DataFrame, whole: bool) -> DataFrame:
+    """(sid, set) of the distinct `sids` and perhaps of others, made again from the texts; a few may stand twice."""
     spark = docs.sparkSession
-    wanted = pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct().join(reps.select("sid", "doc_id"), "sid")
+    wanted = sids.join(reps.select("sid", "doc_id"), "sid")
     at = "coalesce(pmod(xxhash64(cast(doc_id as long)), 16777216), 0)"
     bits = wanted.selectExpr(f"cast({at} div 64 as int) as w", f"shiftleft(1L, cast({at} % 64 as int)) as v").groupBy("w").agg(F.bit_or("v").alias("v")).toArrow()
     held = np.zeros(1 << 18, np.int64)
@@ -294,7 +300,12 @@ def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, whole: bool) -
                     sids, arrays = [], []
             yield pa.RecordBatch.from_arrays([pa.array(sids, pa.int64()), pa.array(arrays, pa.binary())], ["sid", "set"])
 
-    made = docs.select("text", F.expr(at).alias("at")).mapInArrow(make, "sid long, set binary")
+    return docs.select("text", F.expr(at).alias("at")).mapInArrow(make, "sid long, set binary")
+
+
+def _verified(docs: DataFrame, reps: DataFrame, pairs: DataFrame, whole: bool) -> DataFrame:
+    """(a, b, sure) of the pairs that link as far as the packed sets can tell."""
+    made = _packed_sets(docs, reps, pairs.select(F.explode(F.array("a", "b")).alias("sid")).distinct(), whole)
     both = pairs.join(made.select(F.col("sid").alias("a"), F.col("set").alias("sa")), "a").join(made.select(F.col("sid").alias("b"), F.col("set").alias("sb")), "b")
 
     def test(batches):
@@ -322,6 +333,97 @@ def verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     return sure if doubt.isEmpty() else sure.unionByName(materialize(_verified(docs, reps, doubt, True)).select("a", "b"))
 
 
+def linked_counts(one: list[np.ndarray], two: list[np.ndarray] | None = None) -> tuple[np.ndarray, np.ndarray]:
+    """How many sets of `two` each set of `one` links with, and the other way round; without `two`, of `one` itself.
+
+    Sets are taken as differences from one set, which are small among near copies: |A ^ B| = |A'| + |B'| - 2 |A' & B'|.
+    """
+    same = two is None
+
+    def side(sets):
+        own = [np.setxor1d(s, one[0], assume_unique=True) for s in sets]
+        d = np.array([len(x) for x in own])
+        values, owner = np.concatenate(own), np.repeat(np.arange(len(own)), d)
+        order = np.argsort(values, kind="stable")
+        return np.array([len(s) for s in sets]), d, values[order], owner[order]
+
+    (nx, dx, vx, ox), (ny, dy, vy, oy) = x, y = (side(one),) * 2 if same else (side(one), side(two))
+    keys = np.intersect1d(vx, vy)
+    at = [(np.searchsorted(v, keys, "left"), np.searchsorted(v, keys, "right")) for v in (vx, vy)]
+    (bx, ex), (by, ey) = at
+    work = (ex - bx) * (ey - by)
+    common = np.zeros((len(nx), len(ny)), np.float32)  # whole numbers below 2**24
+    heavy = np.flatnonzero(100 * work > common.size)
+    for k in range(0, len(heavy), 1024):
+        picked = heavy[k : k + 1024]
+        held = []
+        for (b, e), owner, n in zip(at, (x[3], y[3]), (len(nx), len(ny)), strict=True):
+            m, times = np.zeros((n, len(picked)), np.float32), (e - b)[picked]
+            place = np.repeat(b[picked] - np.r_[0, np.cumsum(times)[:-1]], times) + np.arange(times.sum())
+            m[owner[place], np.repeat(np.arange(len(picked)), times)] = 1
+            held.append(m)
+        common += held[0] @ held[1].T
+    light = np.flatnonzero(100 * work <= common.size)
+    total = np.cumsum(work[light])
+    k = 0
+    while k < len(light):
+        # A slice of keys whose pairs are four million at most (one key at least).
+        end = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + (1 << 22), "right")))
+        picked = light[k:end]
+        pairs, width = work[picked], (ey - by)[picked]
+        within = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
+        i, j = np.divmod(within, np.repeat(width, pairs))
+        flat = ox[np.repeat(bx[picked], pairs) + i] * len(ny) + oy[np.repeat(by[picked], pairs) + j]
+        found, times = np.unique(flat, return_counts=True)
+        common.ravel()[found] += times
+        k = end
+    sizes = nx[:, None] + ny[None]
+    # Twice the common shingles are the sizes less the difference.
+    ok = 90 * (sizes - dx[:, None] - dy[None] + 2 * common.astype(np.int64)) >= 80 * sizes
+    if same:
+        np.fill_diagonal(ok, False)
+    return ok.sum(1), ok.sum(0)
+
+
+def links_in_classes(docs: DataFrame, sets: DataFrame, labels: DataFrame) -> DataFrame:
+    """(sid, links): partial counts of each set's links with sets of its own class (node, component).
+
+    A class of two is one link. A larger one is a block of whole sets, or falls in blocks by size band and hash where its sets are
+    many; each pair of sets meets in one pair of blocks, which hands on a count for each set and no pairs.
+    """
+    members = labels.select(F.col("node").alias("sid"), F.col("component").alias("label")).join(sets.select("sid", "n"), "sid")
+    sizes = members.groupBy("label").agg(F.count("*").alias("m"), F.sum("n").alias("w"))
+    members = materialize(members.join(sizes, "label"))
+    two = members.where("m = 2").select("sid", F.lit(1).cast("long").alias("links"))
+    more = members.where("m > 2")
+    band = F.when((F.col("m") > MEMBERS) | (F.col("w") > SHINGLES), size_band("n")).otherwise(F.lit(-1)).cast("int")
+    more = more.select("sid", "label", "n", band.alias("band"))
+    parts = more.groupBy("label", "band").agg(F.greatest(F.ceil(F.count("*") / MEMBERS), F.ceil(F.sum("n") / SHINGLES)).alias("parts"))
+    more = more.join(parts, ["label", "band"]).select("sid", "label", "band", F.pmod(F.xxhash64("sid"), F.col("parts")).alias("part"))
+    made = _packed_sets(docs, sets, more.select("sid"), True)
+    place = ["label", "band", "part"]
+    block = materialize(more.join(made, "sid").groupBy(*place).agg(F.collect_list(F.struct("sid", "set")).alias("x")))
+
+    def count(batches):
+        for batch in batches:
+            for r in range(batch.num_rows):
+                held = []
+                for c in batch.columns:
+                    by_sid = {v["sid"]: _unpack(v["set"])[0] for v in c[r].as_py()}
+                    held.append((np.array(list(by_sid), np.int64), list(by_sid.values())))
+                for (sid, _), links in zip(held, linked_counts(*[h[1] for h in held]), strict=False):
+                    some = links > 0
+                    yield pa.RecordBatch.from_arrays([pa.array(sid[some]), pa.array(links[some].astype(np.int64))], ["sid", "links"])
+
+    names = block.select(*place).where("band >= 0")
+    pairs = names.select("label", *[F.col(c).alias(f"{c}1") for c in place[1:]]).join(names.select("label", *[F.col(c).alias(f"{c}2") for c in place[1:]]), "label")
+    pairs = pairs.where("(band1, part1) < (band2, part2) and abs(band2 - band1) <= 2")
+    for i, name in ((1, "x"), (2, "y")):
+        pairs = pairs.join(block.select("label", F.col("band").alias(f"band{i}"), F.col("part").alias(f"part{i}"), F.col("x").alias(name)), ["label", f"band{i}", f"part{i}"])
+    schema = "sid long, links long"
+    return two.union(block.select("x").mapInArrow(count, schema)).union(pairs.select("x", "y").mapInArrow(count, schema))
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, links, text_hash) of each row: links are the number of different texts it links with.
 
@@ -362,7 +464,7 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     of_class = named.where(f"c > {BUCKET}").groupBy("key", "label").agg(F.count("*").alias("lc"))
     named = named.join(of_class, ["key", "label"], "left").join(sets.select("sid", "bits"), "sid")
     hot = F.col("c") > BUCKET
-    band = F.when(hot, F.floor(F.log("n") / np.log(BANDS))).otherwise(F.lit(-1)).cast("int")
+    band = F.when(hot, size_band("n")).otherwise(F.lit(-1)).cast("int")
     salted = F.when(F.col("lc") > BUCKET, F.xxhash64("label", F.pmod(F.xxhash64("sid"), F.ceil(F.col("lc") / BUCKET)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("c") / BUCKET)))
     part = F.when(hot, salted).otherwise(F.lit(0)).cast("long")
     block = named.groupBy("key", band.alias("band"), part.alias("part")).agg(F.collect_list(F.struct("sid", "n", "label", "bits")).alias("x"), F.max("c").alias("c"), F.min("label").alias("l0"), F.max("label").alias("l1"))
@@ -374,11 +476,13 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     across = one.join(two, "key").where("(band1, part1) < (band2, part2) and abs(band2 - band1) <= 2 and not (l01 = l11 and l02 = l12 and l01 = l02)")
     for i, name in ((1, "x"), (2, "y")):
         across = across.join(big.select("key", F.col("band").alias(f"band{i}"), F.col("part").alias(f"part{i}"), F.col("x").alias(name)), ["key", f"band{i}", f"part{i}"])
-    second = verify(docs, sets, inside.union(_candidates(across, "x", "y")).distinct())
+    second = materialize(verify(docs, sets, inside.union(_candidates(across, "x", "y")).distinct()).distinct())
 
     links = materialize(first.union(second).distinct())
     found = connected_components(links)
-    degree = links.select(F.explode(F.array("a", "b")).alias("sid")).groupBy("sid").agg(F.count("*").alias("links"))
+    # `second` holds the links between classes of leaders, each once; those inside are counted by class.
+    between = second.select(F.explode(F.array("a", "b")).alias("sid"), F.lit(1).cast("long").alias("links"))
+    degree = between.union(links_in_classes(docs, sets, labels)).groupBy("sid").agg(F.sum("links").alias("links"))
     ids = index.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("own")).join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = ids.groupBy("component").agg(F.min("own").alias("component_id"))
     classes = ids.join(least, "component").join(degree, "sid", "left").select("sid", "component_id", F.coalesce("links", F.lit(0)).alias("links"))

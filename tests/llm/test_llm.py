@@ -185,6 +185,31 @@ def test_near_duplicates_in_large_buckets(spark):
     assert [got[k] for k in range(len(texts))] == root
 
 
+def degrees(texts):
+    sets = [frozenset(shingles(t)) for t in texts]
+    different = list(set(sets))
+    link = lambda a, b: a != b and 100 * len(a & b) >= 80 * len(a | b)
+    count = {a: sum(link(a, b) for b in different) for a in different}
+    return [count[s] if s else 0 for s in sets]
+
+
+def test_near_duplicates_count_all_links(spark, docs, texts, monkeypatch):
+    """Groups of near copies of which all, or only some, link with each other."""
+    base = words(300, 77, 10**6)
+    near = [" ".join([*base[:k], f"n{k}", *base[k + 1 :]]) for k in range(0, 240, 3)]
+    sliding = words(400, 78, 10**6)
+    near += [" ".join(sliding[k : k + 150]) for k in range(0, 250, 4)] + [" ".join(base), near[0], near[1].upper()]
+    few = words(200, 79, 10**6)
+    near += [" ".join([*few[:k], "x", *few[k + 1 :]]) for k in (5, 25, 50)]
+    d = spark.createDataFrame(list(enumerate(near)), "doc_id long, text string").repartition(3)
+    want = degrees(near)
+    links = lambda d: {r.doc_id: r.links for r in jaccard.near_duplicates(d).collect()}
+    assert links(d) == dict(enumerate(want)) and want[-3:] == [2, 2, 2]
+    monkeypatch.setattr(jaccard, "MEMBERS", 9)
+    assert links(d) == dict(enumerate(want))
+    assert links(docs) == dict(enumerate(degrees(texts)))
+
+
 def test_near_duplicates_of_nothing(empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
