@@ -18,7 +18,7 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import connected_components, materialize, mix, shingle_hashes, slices, text_buffers, word_hashes
 
 BUCKET = 256  # members of a bucket that one block holds
-BANDS = 1.118  # size bands: linked sets have sizes within 1.25, two bands apart at most
+BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
 MEMBERS, SHINGLES = 2048, 1 << 19  # sets, and shingles in all, that one block of a class holds
 
 

@@ -210,6 +210,12 @@ def test_near_duplicates_count_all_links(spark, docs, texts, monkeypatch):
     assert links(docs) == dict(enumerate(degrees(texts)))
 
 
+def test_linked_sizes_are_two_bands_apart_at_most(spark):
+    d = spark.range(1, 60_001).select("id", F.floor(F.col("id") * 5 / 4).alias("large"))
+    d = d.select("id", (jaccard.size_band("large") - jaccard.size_band("id")).alias("apart"))
+    assert d.where("id = 1968").first().apart <= 2 and d.where("apart > 2").count() == 0
+
+
 def test_near_duplicates_of_nothing(empty):
     assert jaccard.near_duplicates(empty).count() == 0
 
