@@ -163,6 +163,36 @@ def test_lm_against_brute_force(spark):
     assert got[4].n_tokens == 0 and got[4].difference is None
 
 
+def test_lm_keeps_all_pairs_apart(spark):
+    """More distinct pairs than 2**20 (each in one text) share no count, and frequent ones are counted right."""
+    r = random.Random(6)
+    texts = {k: " ".join(["often", "met"] * 9 + [f"w{r.randrange(10**7)}" for _ in range(30_000)]) for k in range(40)}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(4)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 40, 2)], "doc_id long, quality int, toxic int")
+    side = [collections.Counter(), collections.Counter()]
+    pairs = [collections.Counter(), collections.Counter()]
+    for k, t in texts.items():
+        w = t.split()
+        side[1 - k % 2].update(w)
+        pairs[1 - k % 2].update(zip(w, w[1:], strict=False))
+    size = len(side[0].keys() | side[1].keys())
+    got = {x.doc_id: x for x in lmscore.cross_entropy_difference(d, labels).collect()}
+    for k in (0, 1):
+        w = texts[k].split()
+        own, both = collections.Counter(w), collections.Counter(zip(w, w[1:], strict=False))
+        for m, have in ((1, got[k].target_loss), (0, got[k].background_loss)):
+            less, out = int(m == 1 - k), 0.0
+            total = sum(side[m].values()) - less * len(w)
+            for i, x in enumerate(w):
+                one = (side[m][x] - less * own[x] + 1) / (total + size)
+                if i == 0:
+                    out -= math.log(one)
+                    continue
+                c = pairs[m][w[i - 1], x] - less * both[w[i - 1], x]
+                out -= math.log((c + 4 * one) / (max(side[m][w[i - 1]] - less * own[w[i - 1]], c) + 4))
+            assert have == pytest.approx(out / len(w), rel=1e-9)
+
+
 def test_near_duplicates_equal_brute_force(docs, texts):
     sets, root = classes(texts)
     for r in jaccard.near_duplicates(docs).collect():
