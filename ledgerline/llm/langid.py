@@ -123,8 +123,6 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, bits: int = 1
                         else:
                             better = fit > value
                             chosen[better], value[better] = m[better], fit[better]
-                            if not better.any():
-                                break
                     rows_ok = ok[rows]
                     best[rows[rows_ok]] = chosen.argmax(1)[rows_ok]
                     share[rows[rows_ok]] = chosen.max(1)[rows_ok]

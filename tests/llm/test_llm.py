@@ -128,6 +128,21 @@ def test_language_mixture_and_edges(spark, data):
     assert got[5].lang_pred in langs and got[6].lang_pred == "de"
 
 
+def test_language_does_not_depend_on_neighbours(spark):
+    """A second language like the first is no gain, a third one is, whether or not a neighbour gains from two."""
+    r, rand = np.random.default_rng(3), random.Random(3)
+    first, other = (r.normal(-9, 3, 1 << 17) for _ in range(2))
+    table = np.stack([first, first, other], 1).astype(np.float32)
+    pool = ["".join(rand.choice("abcdefghijklmnop") for _ in range(6)) for _ in range(600)]
+    gram, begins, _ = langid._grams([" ".join(pool)], 17)
+    order = np.argsort(np.add.reduceat((other - first)[gram], begins))
+    a, c = [pool[k] for k in order[:80]], [pool[k] for k in order[-80:]]
+    rows = [(1, " ".join(a + c[-20:])), (2, " ".join(a + c))]
+    got = lambda rows: {x.doc_id: (x.lang_pred, round(x.score, 9), tuple(x.languages)) for x in langid.identify(spark.createDataFrame(rows, "doc_id long, text string").coalesce(1), ["a", "b", "c"], table).collect()}
+    alone, beside = got(rows[:1])[1], got(rows)[1]
+    assert alone == beside and "c" in alone[2]
+
+
 def test_language_of_nothing(empty, docs):
     assert langid.predict_languages(empty).count() == 0
     assert langid.predict_languages(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred <> 'und'").count() == 0
