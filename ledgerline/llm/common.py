@@ -22,9 +22,11 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def scratch_dir(spark: SparkSession) -> str:
-    """The shared folder named by spark.checkpoint.dir; a temporary one where it is unset (local tests)."""
+    """The shared folder named by spark.checkpoint.dir; a temporary one where it is unset in local mode (tests)."""
     found = spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not spark.sparkContext.master.startswith("local"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         found = tempfile.mkdtemp(prefix="spark-", dir="/tmp")
         spark.conf.set("spark.checkpoint.dir", found)
     return found
@@ -35,12 +37,28 @@ def materialize(df: DataFrame) -> DataFrame:
     spark = df.sparkSession
     path = f"{scratch_dir(spark)}/ledgerline-{uuid.uuid4().hex}"
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.written_to = path
+    return out
 
 
-def broadcast_if_small(df: DataFrame, rows: int = 200_000) -> DataFrame:
-    """A materialised table of narrow rows, marked for broadcast only if it has at most so many; else Spark joins by shuffle."""
-    return F.broadcast(df) if df.count() <= rows else df
+def _hadoop(table: DataFrame):
+    context = table.sparkSession.sparkContext
+    path = context._jvm.org.apache.hadoop.fs.Path(table.written_to)
+    return path.getFileSystem(context._jsc.hadoopConfiguration()), path
+
+
+def release(*tables: DataFrame) -> None:
+    """Delete materialised tables that nothing reads any more: all that came of them is written itself."""
+    for t in tables:
+        files, path = _hadoop(t)
+        files.delete(path, True)
+
+
+def broadcast_if_small(table: DataFrame, most: int = 2 << 20) -> DataFrame:
+    """A materialised table, marked for broadcast only if its files have at most so many bytes; else Spark joins by shuffle."""
+    files, path = _hadoop(table)
+    return F.broadcast(table) if files.getContentSummary(path).getLength() <= most else table
 
 
 def row_keys() -> dict[str, Column]:
@@ -145,7 +163,8 @@ def connected_components(edges: DataFrame, rounds: int = 60) -> DataFrame:
         large = both.join(least, "a").where("b > a").select(F.col("b").alias("a"), F.col("m").alias("b")).distinct()
         least = large.groupBy("a").agg(F.min("b").alias("m"))
         small = large.join(least, "a").select(F.explode(F.array(F.struct(F.col("b").alias("a"), F.col("m").alias("b")), F.struct("a", F.col("m").alias("b")))).alias("e"))
-        stars = materialize(small.select("e.a", "e.b").where("a <> b").distinct())
+        old, stars = stars, materialize(small.select("e.a", "e.b").where("a <> b").distinct())
+        release(old)
         now = stars.agg(F.count("*"), F.sum(F.xxhash64("a", "b").cast("decimal(38,0)"))).first()
         if now == before:
             break

@@ -15,11 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import connected_components, materialize, mix, shingle_hashes, slices, text_buffers, word_hashes
+from ledgerline.llm.common import connected_components, materialize, mix, release, shingle_hashes, slices, text_buffers, word_hashes
 
 BUCKET = 256  # members of a bucket that one block holds
+LEADERS = 16  # sets of one bucket that the others first meet
+HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
-MEMBERS, SHINGLES = 2048, 1 << 19  # sets, and shingles in all, that one block of a class holds
+MEMBERS, SHINGLES = 1024, 1 << 18  # sets, and shingles in all, that one block of a class holds
 
 
 def size_band(n: str) -> Column:
@@ -43,8 +45,9 @@ def _digest(s: np.ndarray) -> int:
 
 
 def _bitmap(s: np.ndarray) -> bytes:
-    """One bit for each shingle, in a power of two of bits, twice the shingles at least. Its halves OR to half the bits."""
-    bits = max(64, 1 << int(2 * len(s) - 1).bit_length())
+    """One bit for each shingle, in a power of two of bits: eight times the shingles at least, of larger sets (from 2048 bits
+    on) twice. Its halves OR to half the bits."""
+    bits = max(64, min(2048, 1 << int(8 * len(s) - 1).bit_length()), 1 << int(2 * len(s) - 1).bit_length())
     out = np.zeros(bits, bool)
     out[(mix(s) & np.uint64(bits - 1)).astype(np.int64)] = True
     return np.packbits(out, bitorder="little").tobytes()
@@ -89,39 +92,42 @@ def shingle_index(docs: DataFrame) -> DataFrame:
     return docs.select(F.col("doc_id").cast("long"), "text", F.xxhash64("text")).mapInArrow(index, "doc_id long, n int, sid long, bits binary, t long")
 
 
-def prefix_postings(docs: DataFrame, common: np.ndarray) -> DataFrame:
-    """(key, sid, n): the prefix shingles of each set, shingles of `common` (sorted) last in order, else by hash."""
-    held = docs.sparkSession.sparkContext.broadcast(common)
+def prefix_postings(docs: DataFrame, common: np.ndarray, counts: np.ndarray) -> DataFrame:
+    """(key, mark, sid, n): the prefix shingles of each set, shingles of `common` (sorted, with their counts) last in order,
+    else by hash. A key that stands in many prefixes falls in parts (mark div 2 is 1, 2, ...) of about HOT sets; other keys
+    have part 0. Odd marks: the key is among the first n - ceil(8 n / 9) + 1, one of which every linked set of the same
+    size or more has in its own prefix."""
+    held = docs.sparkSession.sparkContext.broadcast((common, np.where(counts > HOT, -(-counts // HOT), 0)))
 
     def emit(batches):
-        often, seen = held.value, set()
+        (often, split), seen = held.value, set()
         for batch in batches:
-            keys, sids, sizes, held_keys = [], [], [], 0
+            parts, held_keys = [], 0
             for s in _sets(batch.column(0)):
                 sid = _digest(s)
                 if not len(s) or sid in seen:
                     continue
                 seen.add(sid)
-                own = s
+                own, salt = s, np.zeros(len(s), np.int64)
                 if len(often):
                     at = np.minimum(np.searchsorted(often, s), len(often) - 1)
                     hit = often[at] == s
-                    own = np.concatenate([s[~hit], s[hit]])
-                own = own[: len(s) - -(-80 * len(s) // 100) + 1]
-                keys.append(own)
-                sids.append(np.full(len(own), sid, np.int64))
-                sizes.append(np.full(len(own), len(s), np.int32))
-                held_keys += len(own)
+                    salt = np.where(hit & (split[at] > 0), 1 + sid % np.maximum(split[at], 1), 0)
+                    order = np.argsort(hit, kind="stable")
+                    own, salt = s[order], salt[order]
+                keep, short = len(s) - -(-80 * len(s) // 100) + 1, len(s) - -(-8 * len(s) // 9) + 1
+                parts.append((own[:keep].view(np.int64), (2 * salt[:keep] + (np.arange(keep) < short)).astype(np.int32), np.full(keep, sid, np.int64), np.full(keep, len(s), np.int32)))
+                held_keys += keep
                 if held_keys > 200_000:
-                    yield _batch(keys, sids, sizes)
-                    keys, sids, sizes, held_keys = [], [], [], 0
-            if keys:
-                yield _batch(keys, sids, sizes)
+                    yield _batch(parts)
+                    parts, held_keys = [], 0
+            if parts:
+                yield _batch(parts)
 
-    def _batch(keys, sids, sizes):
-        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(keys).view(np.int64)), pa.array(np.concatenate(sids)), pa.array(np.concatenate(sizes))], ["key", "sid", "n"])
+    def _batch(parts):
+        return pa.RecordBatch.from_arrays([pa.array(np.concatenate(c)) for c in zip(*parts, strict=True)], ["key", "mark", "sid", "n"])
 
-    return docs.select("text").mapInArrow(emit, "key long, sid long, n int")
+    return docs.select("text").mapInArrow(emit, "key long, mark int, sid long, n int")
 
 
 class _Node:
@@ -158,7 +164,7 @@ def _may_meet(x: _Node, y: _Node) -> bool:
         return False
     if 100 * min(x.high, y.high) < 80 * max(x.low, y.low):
         return False
-    if x.kids is None and y.kids is None:
+    if x is y and x.kids is None:
         return True
     words = min(x.bits.shape[-1], y.bits.shape[-1])
     a, b = (np.bitwise_or.reduce(np.atleast_2d(_fold(v.bits, words)), 0) for v in (x, y))
@@ -269,7 +275,8 @@ def _common(a: bytes, b: bytes) -> tuple[int, int, int, int]:
     x, y = ((v >> np.uint64(32)).astype(np.uint32) if w else v for v, w in ((x, wx), (y, wy)))
     at = np.minimum(np.searchsorted(y, x), len(y) - 1)
     n = int((y[at] == x).sum())
-    return len(x), len(y), n, n - 3 - len(x) // 2000
+    # Halves that agree by chance are near len(x) * len(y) / 2**32 many; twice that and twelve more have a chance under 1e-9.
+    return len(x), len(y), n, n - 12 - (len(x) * len(y) >> 31)
 
 
 def _packed_sets(docs: DataFrame, reps: DataFrame, sids: DataFrame, whole: bool) -> DataFrame:
@@ -327,7 +334,9 @@ def verify(docs: DataFrame, reps: DataFrame, pairs: DataFrame) -> DataFrame:
     (2**24 bits, two megabytes: more wanted ids let more texts through, none is lost). Large sets travel as half hashes: where
     these leave a doubt, the pair is tested again on whole hashes.
     """
-    first = materialize(_verified(docs, reps, materialize(pairs), False))
+    wanted = materialize(pairs)
+    first = materialize(_verified(docs, reps, wanted, False))
+    release(wanted)
     doubt = first.where("not sure").select("a", "b")
     sure = first.where("sure").select("a", "b")
     return sure if doubt.isEmpty() else sure.unionByName(materialize(_verified(docs, reps, doubt, True)).select("a", "b"))
@@ -367,8 +376,8 @@ def linked_counts(one: list[np.ndarray], two: list[np.ndarray] | None = None) ->
     total = np.cumsum(work[light])
     k = 0
     while k < len(light):
-        # A slice of keys whose pairs are four million at most (one key at least).
-        end = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + (1 << 22), "right")))
+        # A slice of keys whose pairs are a million at most (one key at least).
+        end = max(k + 1, int(np.searchsorted(total, (total[k - 1] if k else 0) + (1 << 20), "right")))
         picked = light[k:end]
         pairs, width = work[picked], (ey - by)[picked]
         within = np.arange(pairs.sum()) - np.repeat(np.cumsum(pairs) - pairs, pairs)
@@ -406,14 +415,17 @@ def links_in_classes(docs: DataFrame, sets: DataFrame, labels: DataFrame) -> Dat
 
     def count(batches):
         for batch in batches:
+            got = [], []
             for r in range(batch.num_rows):
                 held = []
                 for c in batch.columns:
                     by_sid = {v["sid"]: _unpack(v["set"])[0] for v in c[r].as_py()}
                     held.append((np.array(list(by_sid), np.int64), list(by_sid.values())))
                 for (sid, _), links in zip(held, linked_counts(*[h[1] for h in held]), strict=False):
-                    some = links > 0
-                    yield pa.RecordBatch.from_arrays([pa.array(sid[some]), pa.array(links[some].astype(np.int64))], ["sid", "links"])
+                    got[0].append(sid[links > 0])
+                    got[1].append(links[links > 0].astype(np.int64))
+            if got[0]:
+                yield pa.RecordBatch.from_arrays([pa.array(np.concatenate(g)) for g in got], ["sid", "links"])
 
     names = block.select(*place).where("band >= 0")
     pairs = names.select("label", *[F.col(c).alias(f"{c}1") for c in place[1:]]).join(names.select("label", *[F.col(c).alias(f"{c}2") for c in place[1:]]), "label")
@@ -429,63 +441,77 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     component_id is the smallest doc_id reachable by links, the row's own included. Null texts, texts without words: no
     shingles, linked with nothing. Equal shingle sets are linked. Rows with equal doc_id are rows of their own. No rows
-    give none. Frequent shingles (counted in the partitions over all documents) come last in the prefix order; that
-    order changes the work, never the links.
+    give none; very long texts are whole sets like others; extra columns are not read. Frequent shingles (counted in the
+    partitions over all documents) come last in the prefix order; that order changes the work, never the links.
     """
     index = materialize(shingle_index(docs))
     rows = index.where("n >= 0").select("doc_id", "n", "sid", "t")
-    sets = index.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits"))
-    often = index.where("n < 0").groupBy("sid").agg(F.sum(-F.col("n")).alias("c")).where("c >= 24").orderBy(F.desc("c")).limit(1 << 20).select("sid").toArrow()
-    common = np.sort(np.asarray(often["sid"].combine_chunks()).view(np.uint64)) if often.num_rows else np.zeros(0, np.uint64)
-
-    by_key = Window.partitionBy("key")
-    post = prefix_postings(docs, common).withColumns({"lo": F.min("sid").over(by_key), "hi": F.max("sid").over(by_key), "c": F.count("*").over(by_key)})
-    shared = materialize(post.where("lo < hi").select("key", "sid", "n", "c"))
-
-    # Members of a bucket first meet its leader, the one that shares the most. That joins groups of copies in linear work.
+    sets = materialize(index.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
+    often = index.where("n < 0").groupBy("sid").agg(F.sum(-F.col("n")).alias("c")).where("c >= 24").orderBy(F.desc("c")).limit(1 << 20).toArrow()
+    common, counts = np.asarray(often["sid"].combine_chunks()).view(np.uint64) if often.num_rows else np.zeros(0, np.uint64), np.asarray(often["c"].combine_chunks()) if often.num_rows else np.zeros(0, np.int64)
+    order = np.argsort(common)
+
+    # One exchange by key: repeated postings go, and those without a partner: an earlier (smaller) set that has the key in its
+    # short prefix, or a later one for such a set. A hot key's parts do not see each other, so all their members stay.
+    part = F.expr("mark div 2").alias("part")
+    by_size = Window.partitionBy("key", "part").orderBy("n", "sid")
+    post = prefix_postings(docs, common[order], counts[order]).select("key", part, F.expr("mark % 2 = 1").alias("short"), "sid", "n")
+    post = post.withColumn("again", F.lag("sid").over(by_size)).where("not (again <=> sid)")
+    before = F.last(F.when(F.col("short"), F.col("n")), True).over(by_size.rowsBetween(Window.unboundedPreceding, -1))
+    post = post.withColumns({"before": before, "after": F.lead("n").over(by_size)})
+    post = post.where("part > 0 or 80 * n <= 100 * coalesce(before, 0) or (short and 80 * after <= 100 * n)")
+    shared = materialize(post.select("key", "sid", "n", "part", F.count("*").over(Window.partitionBy("key", "part")).alias("c")))
+
+    # Members of a bucket first meet its leader, the one that shares the most (of a large bucket up to LEADERS of them), and
+    # the leaders of a hot key's parts one of them. That joins groups of copies in linear work; which pairs meet here changes
+    # the work, never the links.
     large = shared.where("c > 2")
-    weight = large.groupBy("sid").agg(F.sum("c").alias("w"))
-    large = large.join(weight, "sid")
-    lead = large.groupBy("key").agg(F.max(F.struct("w", "sid", "n")).alias("l"))
-    near = large.join(lead, "key").where("sid <> l.sid and 100 * least(n, l.n) >= 80 * greatest(n, l.n)").groupBy("sid", F.col("l.sid").alias("lead")).count()
-    best = near.withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("count"), "lead"))).where("r <= 3")
-    first = verify(docs, sets, _bound(best.select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct(), sets))
+    large = materialize(large.join(large.groupBy("sid").agg(F.sum("c").alias("w")), "sid"))
+    most = F.slice(F.sort_array(F.collect_list(F.struct("w", "sid")), False), F.lit(1), F.greatest(F.lit(1), F.least(F.lit(LEADERS), F.floor(F.max("c") / 16).cast("int"))))
+    leads = materialize(large.groupBy("key", "part").agg(most.alias("l")))
+    heads = leads.where("part > 0").select("key", F.col("l")[0].alias("l"))
+    heads = heads.join(heads.groupBy("key").agg(F.max("l").alias("head")), "key").select(F.col("l.sid").alias("sid"), F.col("head.sid").alias("lead"), F.lit(0).alias("n"))
+    near = large.join(leads, ["key", "part"]).select("sid", F.explode("l.sid").alias("lead"), "n").union(heads).where("sid <> lead").groupBy("sid", "lead").agg(F.count("*").alias("c"), F.max("n").alias("n"))
+    best = near.where("50 * c >= n").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), "lead"))).where(f"r <= {LEADERS}")
+    best = best.select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
+    best = materialize(best)
+    release(large, leads)
+    first = materialize(verify(docs, sets, _bound(best, sets)))
     labels = materialize(connected_components(first))
 
-    named = shared.join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("label")).distinct()
-    # A member stays in a bucket only with another one of a size that can link; of buckets with equal members, one stays.
-    by_size = Window.partitionBy("key").orderBy("n", "sid")
-    near_size = "80 * n <= 100 * coalesce(before, 0) or 80 * after <= 100 * n"
-    named = named.withColumns({"before": F.lag("n").over(by_size), "after": F.lead("n").over(by_size)}).where(near_size).drop("before", "after")
-    named = materialize(named)
+    # Buckets that hold several classes; of buckets with equal members, one stays.
+    named = materialize(shared.drop("part", "c").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("label")))
+    release(shared)
     keys = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.bit_xor(F.xxhash64("sid")).alias("s0"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("s1"), F.count("*").alias("c")).where("l0 < l1")
-    named = materialize(named.join(keys.groupBy("s0", "s1", "c").agg(F.min("key").alias("key")).select("key", "c"), "key"))
+    keys = keys.groupBy("s0", "s1", "c").agg(F.min("key").alias("key")).select("key", "c")
+    mixed = materialize(named.join(keys, "key"))
+    release(named)
+    members = F.collect_list(F.struct("sid", "n", "label", "bits")).alias("x")
+    bits = sets.select("sid", "bits")
+    inside = _candidates(mixed.where(f"c <= {BUCKET}").join(bits, "sid").groupBy("key").agg(members), "x")
     # A large bucket falls in blocks by size band and class; a class of more members than a block holds is salted.
-    of_class = named.where(f"c > {BUCKET}").groupBy("key", "label").agg(F.count("*").alias("lc"))
-    named = named.join(of_class, ["key", "label"], "left").join(sets.select("sid", "bits"), "sid")
-    hot = F.col("c") > BUCKET
-    band = F.when(hot, size_band("n")).otherwise(F.lit(-1)).cast("int")
+    large = mixed.where(f"c > {BUCKET}")
+    of_class = large.groupBy("key", "label").agg(F.count("*").alias("lc"))
     salted = F.when(F.col("lc") > BUCKET, F.xxhash64("label", F.pmod(F.xxhash64("sid"), F.ceil(F.col("lc") / BUCKET)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("c") / BUCKET)))
-    part = F.when(hot, salted).otherwise(F.lit(0)).cast("long")
-    block = named.groupBy("key", band.alias("band"), part.alias("part")).agg(F.collect_list(F.struct("sid", "n", "label", "bits")).alias("x"), F.max("c").alias("c"), F.min("label").alias("l0"), F.max("label").alias("l1"))
-    block = materialize(block)
-    inside = _candidates(block.where("l0 < l1"), "x")
+    large = large.join(of_class, ["key", "label"]).join(bits, "sid").groupBy("key", size_band("n").cast("int").alias("band"), salted.alias("part"))
+    big = materialize(large.agg(members, F.min("label").alias("l0"), F.max("label").alias("l1")))
+    inside = inside.union(_candidates(big.where("l0 < l1"), "x"))
     # Blocks of one large bucket: each pair of blocks once, if their bands are near and they are not one class.
-    big = block.where(f"c > {BUCKET}")
     one, two = (big.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("band", "part", "l0", "l1")]) for i in (1, 2))
     across = one.join(two, "key").where("(band1, part1) < (band2, part2) and abs(band2 - band1) <= 2 and not (l01 = l11 and l02 = l12 and l01 = l02)")
     for i, name in ((1, "x"), (2, "y")):
         across = across.join(big.select("key", F.col("band").alias(f"band{i}"), F.col("part").alias(f"part{i}"), F.col("x").alias(name)), ["key", f"band{i}", f"part{i}"])
     second = materialize(verify(docs, sets, inside.union(_candidates(across, "x", "y")).distinct()).distinct())
+    release(mixed, big)
 
-    links = materialize(first.union(second).distinct())
-    found = connected_components(links)
+    found = connected_components(first.union(second).distinct())
     # `second` holds the links between classes of leaders, each once; those inside are counted by class.
     between = second.select(F.explode(F.array("a", "b")).alias("sid"), F.lit(1).cast("long").alias("links"))
     degree = between.union(links_in_classes(docs, sets, labels)).groupBy("sid").agg(F.sum("links").alias("links"))
-    ids = index.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("own")).join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    ids = sets.select("sid", F.col("doc_id").alias("own")).join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
     least = ids.groupBy("component").agg(F.min("own").alias("component_id"))
-    classes = ids.join(least, "component").join(degree, "sid", "left").select("sid", "component_id", F.coalesce("links", F.lit(0)).alias("links"))
+    classes = materialize(ids.join(least, "component").join(degree, "sid", "left").select("sid", "component_id", F.coalesce("links", F.lit(0)).alias("links")))
+    release(sets, first, second, labels)
     out = rows.join(classes, "sid", "left")
     alone = F.col("n") == 0
     return out.select("doc_id", F.col("n").cast("long").alias("n_shingles"), F.when(alone, F.col("doc_id")).otherwise(F.col("component_id")).alias("component_id"), F.when(alone, 0).otherwise(F.col("links")).cast("long").alias("links"), F.col("t").alias("text_hash"))

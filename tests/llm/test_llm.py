@@ -255,6 +255,21 @@ def test_near_duplicates_count_all_links(spark, docs, texts, monkeypatch):
     assert links(docs) == dict(enumerate(degrees(texts)))
 
 
+@pytest.mark.parametrize("bucket", [1, 4, 256])
+def test_near_duplicates_whatever_the_blocks(spark, monkeypatch, bucket):
+    """Sizes at the edge of the bands (1968 of 2460 shingles), and hot keys in parts, with small and with large blocks."""
+    monkeypatch.setattr(jaccard, "BUCKET", bucket)
+    monkeypatch.setattr(jaccard, "HOT", 5)
+    long = words(2464, 81, 10**6)
+    texts = [" ".join(long), " ".join(long[:1972])]
+    base = words(60, 82, 10**6)
+    texts += [" ".join([*base[:k], f"n{k}", *base[k + 1 :]]) for k in range(1, 60)] + [" ".join([*base[:k], f"n{k}", f"m{k}", *base[k + 1 :]]) for k in range(20, 50, 3)]
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = jaccard.near_duplicates(d).toPandas().set_index("doc_id")
+    assert list(got.loc[range(len(texts)), "component_id"]) == classes(texts)[1] and got.component_id[1] == 0
+    assert list(got.loc[range(len(texts)), "links"]) == degrees(texts)
+
+
 def test_linked_sizes_are_two_bands_apart_at_most(spark):
     d = spark.range(1, 60_001).select("id", F.floor(F.col("id") * 5 / 4).alias("large"))
     d = d.select("id", (jaccard.size_band("large") - jaccard.size_band("id")).alias("apart"))
