@@ -497,39 +497,71 @@ def test_minimum_bin_slack():
         assert sum(got) == max(s for s in sums if s <= room) and not collections.Counter(got) - counts
 
 
-def brute_dedup(rows, chunks):
+def brute_dedup(spark, rows, long_words=50):
+    """(doc_id, text, removed lines) of rows (doc_id, text hash, text), chunk by chunk in plain Python."""
+    split = [(d, h, t.split("\n")) for d, h, t in rows]
+    pairs = sorted({p for _, _, x in split for p in zip(x, x[1:], strict=False)})
+    table = spark.createDataFrame(pairs or [("", "")], "a string, b string")
+    rolling = {(r.a, r.b): r.h for r in table.select("a", "b", F.xxhash64(F.xxhash64("a"), F.xxhash64("b")).alias("h")).collect()}
+    links = collections.Counter(p for _, _, x in split for p in zip(x, x[1:], strict=False))
+    is_long = lambda x: len(WORD.findall(x)) >= long_words
+    chunks = {}
+    for d, h, x in split:
+        n = [links[p] if links[p] > 1 else 0 for p in zip(x, x[1:], strict=False)]
+        at = lambda k, n=n: n[k] if 0 <= k < len(n) else 0
+        weak = [bool(c) and (c < at(k - 1) or c < at(k + 1)) for k, c in enumerate(n)]
+        key = [rolling[p] for p in zip(x, x[1:], strict=False)]
+        inner = lambda k, n=n, weak=weak: 0 < k < len(n) - 1 and n[k - 1] == n[k] == n[k + 1] > 0 and not any(weak[k - 1 : k + 2])
+        glue = [bool(n[k]) and not weak[k] and not (inner(k) and key[k] < key[k - 1] and key[k] <= key[k + 1]) for k in range(len(n))]
+        own, begin = [], 0
+        for k in range(len(x)):
+            if k == len(x) - 1 or not glue[k]:
+                own.append((begin, k + 1))
+                begin = k + 1
+        chunks[d, h] = [(s, e) for s, e in own if e - s > 1 and sum(bool(WORD.search(y)) for y in x[s:e]) > 1] + [(k, k + 1) for k, y in enumerate(x) if is_long(y)]
     first = {}
-    for key in sorted({(d, h) for d, h, _ in rows}):
-        for s, n, c in chunks[key]:
-            if n > 1 and c.strip(" "):
-                first.setdefault(c, (*key, s))
+    for d, h, x in sorted(split):
+        for s, e in sorted(chunks[d, h]):
+            first.setdefault("\n".join(x[s:e]), (d, h, s))
     out = []
-    for d, h, t in rows:
-        gone = {s + k for s, n, c in chunks[d, h] if n > 1 and c.strip(" ") and first[c] != (d, h, s) for k in range(n)}
-        out.append((d, t if not gone else "\n".join(x for k, x in enumerate(t.split("\n"), 1) if k not in gone), len(gone)))
+    for d, h, x in split:
+        gone = {k for s, e in chunks[d, h] if first["\n".join(x[s:e])] != (d, h, s) for k in range(s, e)}
+        out.append((d, "\n".join(y for k, y in enumerate(x) if k not in gone), len(gone)))
     return out
 
 
 def test_line_dedup(spark, docs, data, empty):
     whole = docs.select("doc_id", "text").union(spark.read.parquet(f"{data}/documents.parquet").select(F.col("doc_id") + 1000, "text"))
-    whole = whole.withColumn("chunk", F.lit("a clashing name"))
-    d = whole.where("text is not null").withColumn("_t", F.xxhash64("text")).withColumn("c", linededup.line_chunks(F.split("text", "\n", -1))).collect()
-    chunks = {(r.doc_id, r._t): [(c.start, c.n, c.chunk) for c in r.c] for r in d}
-    for r in d:
-        parts = chunks[r.doc_id, r._t]
-        assert "\n".join(c for _, _, c in parts) == r.text and (all(n > 1 for _, n, _ in parts) or "\n" not in r.text)
-    true = sorted(brute_dedup([(r.doc_id, r._t, r.text) for r in d], chunks))
+    clash = ("_d", "_t", "_gone", "_row", "chunk", "removed_lines", "i", "key")
+    whole = whole.withColumns({c: F.lit("own") for c in clash})
+    true = sorted(brute_dedup(spark, [(r.doc_id, r.h, r.text) for r in whole.where("text is not null").withColumn("h", F.xxhash64("text")).collect()]))
     got = linededup.dedup_lines(whole)
     assert sorted((r.doc_id, r.text, r.removed_lines) for r in got.where("text is not null").collect()) == true
     assert got.where("text is null").count() == whole.where("text is null").count() and any(x[2] for x in true)
+    assert got.columns == ["doc_id", "text", *("input_removed_lines" if c == "removed_lines" else c for c in clash), "removed_lines"]
+    assert all(got.where(F.col(c if c != "removed_lines" else "input_removed_lines") != "own").isEmpty() for c in clash)
     assert linededup.dedup_lines(empty).count() == 0
 
 
+def test_line_dedup_of_planted_passages(spark):
+    """Passages of one to six lines and over 50 words go everywhere but at first; also where two of them meet in one text."""
+    passages = [[" ".join(words(60 // n + 1, 300 + 10 * n + k, 10**6)) for k in range(n)] for n in range(1, 7)]
+    own = lambda k: [" ".join(words(12, 9000 + 50 * k + j, 10**6)) for j in range(2 + k % 3)]
+    rows, want = [], {}
+    for k in range(24):
+        mine, held = own(k), passages[k % 6] + (passages[(k + 1) % 6] if k >= 12 else [])
+        rows.append((k, "\n".join([*mine[:1], *held, *mine[1:], "a common short line"])))
+        want[k] = "\n".join([*mine[:1], *(held if k < 6 else []), *mine[1:], "a common short line"])
+    rows.append((99, "\n".join(own(99))))
+    got = {r.doc_id: r.text for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string").repartition(3)).collect()}
+    assert got == {**want, 99: rows[-1][1]}
+
+
 def test_line_chunks_resist_shifts(spark):
     lines = [" ".join(words(6, 40 + k)) for k in range(40)]
-    d = spark.createDataFrame([(1, "\n".join(lines)), (2, "\n".join(["new first"] + lines))], "doc_id long, text string")
-    a, b = ({c.chunk for c in r.c} for r in d.withColumn("c", linededup.line_chunks(F.split("text", "\n"))).orderBy("doc_id").collect())
-    assert len(a - b) <= 2
+    rows = [(1, "\n".join(lines)), (2, "\n".join(["new first", *lines])), (3, "\n".join([*lines[10:30], "new last"]))]
+    got = {r.doc_id: (r.text, r.removed_lines) for r in linededup.dedup_lines(spark.createDataFrame(rows, "doc_id long, text string")).collect()}
+    assert got == {1: (rows[0][1], 0), 2: ("new first", 40), 3: ("new last", 20)}
 
 
 def test_pipeline_stages_against_brute_force(spark, data, docs):
