@@ -55,10 +55,15 @@ def release(*tables: DataFrame) -> None:
         files.delete(path, True)
 
 
-def broadcast_if_small(table: DataFrame, most: int = 2 << 20) -> DataFrame:
-    """A materialised table, marked for broadcast only if its files have at most so many bytes; else Spark joins by shuffle."""
+def is_small(table: DataFrame, most: int = 2 << 20) -> bool:
+    """Whether the files of a materialised table have at most so many bytes."""
     files, path = _hadoop(table)
-    return F.broadcast(table) if files.getContentSummary(path).getLength() <= most else table
+    return files.getContentSummary(path).getLength() <= most
+
+
+def broadcast_if_small(table: DataFrame) -> DataFrame:
+    """A materialised table, marked for broadcast only if its files are small; else Spark joins by shuffle."""
+    return F.broadcast(table) if is_small(table) else table
 
 
 def row_keys() -> dict[str, Column]:

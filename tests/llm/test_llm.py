@@ -160,8 +160,8 @@ def test_lm_against_brute_force(spark):
     texts = {1: "a b a b c", 2: "a b c d", 3: "x y z x y", 4: None, 5: "a"}
     d = spark.createDataFrame(list(texts.items()), "doc_id long, text string")
     labels = spark.createDataFrame([(1, 1, 0), (2, 1, 0), (2, 1, 0), (3, 0, 0), (5, 1, 1)], "doc_id long, quality int, toxic int")
-    got = {r.doc_id: r for r in lmscore.cross_entropy_difference(d, labels, 20).collect()}
-    size = 1 << 20
+    got = {r.doc_id: r for r in lmscore.cross_entropy_difference(d, labels).collect()}
+    size = 1 + len({x for t in texts.values() if t for x in t.split()})  # and the class of rare words
 
     def loss(doc, side):
         others = [t.split() for k, t in texts.items() if t and k != doc and (k in (1, 2)) == (side == 1)]
@@ -190,7 +190,7 @@ def test_lm_keeps_all_pairs_apart(spark):
         w = t.split()
         side[1 - k % 2].update(w)
         pairs[1 - k % 2].update(zip(w, w[1:], strict=False))
-    size = len(side[0].keys() | side[1].keys())
+    size = 1 + len(side[0].keys() | side[1].keys())
     got = {x.doc_id: x for x in lmscore.cross_entropy_difference(d, labels).collect()}
     for k in (0, 1):
         w = texts[k].split()
@@ -208,6 +208,33 @@ def test_lm_keeps_all_pairs_apart(spark):
             assert have == pytest.approx(out / len(w), rel=1e-9)
 
 
+def test_lm_keeps_frequent_words_and_pairs(spark):
+    """With a share of 2 %, rare words are one class and rare pairs fall back on their word."""
+    r = random.Random(8)
+    texts = {k: " ".join(r.choice("a" * 20 + "b" * 20 + "c" * 10 + "abcdefghijklmnopqrstuvwxyz0123456789") for _ in range(60)) for k in range(20)}
+    d = spark.createDataFrame([*texts.items(), (20, ""), (21, None)], "doc_id long, text string").withColumn("target", F.lit("own")).repartition(3)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(0, 20, 3)], "doc_id long, quality int, toxic int")
+    words_ = collections.Counter(x for t in texts.values() for x in t.split())
+    keep = {x for x, n in words_.items() if n >= 0.02 * 1200}
+    seqs = {k: [x if x in keep else "" for x in t.split()] for k, t in texts.items()}
+    pairs = collections.Counter(p for s in seqs.values() for p in zip(s, s[1:], strict=False))
+    frequent = {p for p, n in pairs.items() if n >= 0.02 * 1200}
+    assert 2 < len(keep) < 20 and 3 < len(frequent)
+    got = {x.doc_id: x for x in lmscore.cross_entropy_difference(d, labels, 0.02).collect()}
+    for k in range(20):
+        for side, have in ((1, got[k].target_loss), (0, got[k].background_loss)):
+            others = [s for j, s in seqs.items() if j != k and (j % 3 == 0) == (side == 1)]
+            w, p = collections.Counter(x for s in others for x in s), collections.Counter(x for s in others for x in zip(s, s[1:], strict=False) if x in frequent)
+            out = 0.0
+            for i, x in enumerate(seqs[k]):
+                one = (w[x] + 1) / (sum(w.values()) + len(keep) + 1)
+                both = p[seqs[k][i - 1], x] if i else 0
+                out -= math.log(one if i == 0 else (both + 4 * one) / (max(w[seqs[k][i - 1]], both) + 4))
+            assert have == pytest.approx(out / 60, rel=1e-9)
+    assert got[20].difference is None and got[21].n_tokens == 0 and len(got) == 22
+    assert lmscore.cross_entropy_difference(d.limit(0), labels).count() == 0
+
+
 def test_near_duplicates_equal_brute_force(docs, texts):
     sets, root = classes(texts)
     for r in jaccard.near_duplicates(docs).collect():
