@@ -55,7 +55,7 @@ def release(*tables: DataFrame) -> None:
         files.delete(path, True)
 
 
-def is_small(table: DataFrame, most: int = 2 << 20) -> bool:
+def is_small(table: DataFrame, most: int = 16 << 20) -> bool:
     """Whether the files of a materialised table have at most so many bytes."""
     files, path = _hadoop(table)
     return files.getContentSummary(path).getLength() <= most

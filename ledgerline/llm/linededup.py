@@ -25,9 +25,9 @@ def repeated_keys(docs: DataFrame, long_words: int = 50) -> DataFrame:
     lines = docs.where("text is not null").select(*ROW, F.split("text", "\n", -1).alias("_lines"))
     both = F.concat(let(F.transform("_lines", lambda x: F.xxhash64(x)), links), alone)
     keys = materialize(lines.select(*ROW, F.explode(both).alias("k")).select(*ROW, "k.*"))
-    counts = keys.groupBy("key", "link").agg(F.count("*").alias("c")).where("c > 1")
+    counts = materialize(keys.groupBy("key", "link").agg(F.count("*").alias("c")).where("c > 1"))
     found = materialize(keys.join(counts, ["key", "link"]).select(*ROW, "i", "key", "link", "c"))
-    release(keys)
+    release(keys, counts)
     return found
 
 
@@ -68,19 +68,20 @@ def dedup_lines(docs: DataFrame, long_words: int = 50) -> DataFrame:
     texts = packed.select(*ROW, "text")
     found = repeated_keys(texts, long_words)
     chunks = materialize(line_chunks(found))
-    first = chunks.groupBy("h").agg(F.min(F.struct(*ROW, "start")).alias("f"), F.max(F.struct(*ROW, "start")).alias("l")).where("f <> l")
-    # A join and nothing after it: Spark can split the partition of a chunk that many documents hold.
-    repeated = materialize(chunks.join(first.select("h", "f"), "h").select(*ROW, "start", "n", "h", F.expr("_d = f._d and _t = f._t and start = f.start").alias("first")))
+    first = chunks.groupBy("h").agg(F.min(F.struct(*ROW, "start")).alias("f"), F.max(F.struct(*ROW, "start")).alias("l"))
+    first = materialize(first.where("f <> l").select("h", "f"))
+    # A join of two tables and nothing after it: Spark can split the partition of a chunk that many documents hold.
+    repeated = materialize(chunks.join(first, "h").select(*ROW, "start", "n", "h", F.expr("_d = f._d and _t = f._t and start = f.start").alias("first")))
     marks = materialize(repeated.groupBy(*ROW).agg(F.collect_set(F.struct("start", "n", "h", "first")).alias("marks")))
-    release(found, chunks, repeated)
+    release(found, chunks, first, repeated)
     told = texts.where("text is not null").join(broadcast_if_small(marks), list(ROW))
     told = told.select(*ROW, F.split("text", "\n", -1).alias("_lines"), F.explode("marks").alias("m")).select(*ROW, "m.*", F.slice("_lines", F.col("m.start"), F.col("m.n")).alias("part"))
     worded = F.size(F.filter("part", lambda x: x.rlike(r"[^\x20\x09-\x0D]"))) >= 2
     told = materialize(told.where((F.col("n") == 1) | worded).select(*ROW, "start", "n", "h", "first", F.array_join("part", "\n").alias("chunk")))
-    kept = told.where("first").groupBy("h").agg(F.min("chunk").alias("kept"))
+    kept = materialize(told.where("first").groupBy("h").agg(F.min("chunk").alias("kept")))
     equal = materialize(told.where("not first").join(kept, "h").where("chunk = kept").select(*ROW, "start", "n"))
     gone = materialize(equal.groupBy(*ROW).agg(F.array_distinct(F.flatten(F.collect_set(F.sequence("start", F.col("start") + F.col("n") - 1)))).alias("_gone")))
-    release(marks, told, equal)
+    release(marks, told, kept, equal)
     held = packed.select("_row", *ROW).join(broadcast_if_small(gone), list(ROW), "left")
     own = F.col("_row")["text"]
     lines = F.split(own, "\n", -1)
