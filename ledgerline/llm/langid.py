@@ -2,8 +2,6 @@
 
 from __future__ import annotations
 
-import re
-
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
@@ -11,7 +9,10 @@ from pyspark.sql import functions as F
 
 from ledgerline.llm.common import mix, slices, text_buffers
 
-_LETTER = re.compile(r"[^\W\d_]")
+
+def has_letter(text: str) -> bool:
+    """Whether a character is of Unicode's letter categories."""
+    return any(map(str.isalpha, text))
 
 
 def _grams(texts: list[str], bits: int) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -84,7 +85,7 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, bits: int = 1
     A word's likelihood in a language is the product of its trigrams'. Expectation-maximisation over all languages gives
     first proportions; then the sets of the 1, 2, ... strongest languages are fitted, and the one with the best
     log-likelihood less `penalty` * log(words) for each further language is chosen. lang_pred is its largest part,
-    score that part's share, languages all parts. Null texts, texts without a letter and all texts where no language was
+    score that part's share times the share of words of which most trigrams were seen in training, languages all parts. Null texts, texts without a letter and all texts where no language was
     learned are `und` with score 0; letters without a word of known shape count as one language, the first.
     """
     spark = docs.sparkSession
@@ -93,6 +94,8 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, bits: int = 1
     def predict(batches):
         names, logs = held.value
         count = len(names)
+        # Trigrams that no language has: their value is the least one everywhere.
+        seen = (logs > logs.min(0) + 1e-4).any(1) if count else None
         for batch in batches:
             texts_col = batch.column(batch.schema.get_field_index("text"))
             _, offsets = text_buffers(texts_col)
@@ -101,7 +104,7 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, bits: int = 1
                 texts = [t or "" for t in texts_col[lo:hi].to_pylist()]
                 best, share = np.full(len(texts), -1), np.zeros(len(texts))
                 mixed = np.zeros((len(texts), max(count, 1)))
-                ok = np.array([bool(count and _LETTER.search(t)) for t in texts])
+                ok = np.array([bool(count and has_letter(t)) for t in texts])
                 best[ok], share[ok] = 0, 1.0 / max(count, 1)
                 gram, begins, docs_at = _grams(texts, bits)
                 if count and len(begins):
@@ -125,7 +128,9 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, bits: int = 1
                             chosen[better], value[better] = m[better], fit[better]
                     rows_ok = ok[rows]
                     best[rows[rows_ok]] = chosen.argmax(1)[rows_ok]
-                    share[rows[rows_ok]] = chosen.max(1)[rows_ok]
+                    grams = np.diff(np.r_[begins, len(gram)])
+                    familiar = 2 * np.add.reduceat(seen[gram].astype(np.int64), begins) >= grams
+                    share[rows[rows_ok]] = (chosen.max(1) * np.add.reduceat(familiar, first, dtype=np.int64) / n[rows])[rows_ok]
                     mixed[rows] = chosen
                 pred += [names[b] if b >= 0 else "und" for b in best]
                 score += np.clip(np.where(best >= 0, share, 0.0), 0.0, 1.0).tolist()
