@@ -121,11 +121,11 @@ def test_language_mixture_and_edges(spark, data):
     d = spark.read.parquet(f"{data}/documents.parquet")
     langs, table = langid.train(d)
     pick = {lang: d.where(F.col("lang") == lang).where("length(text) between 1500 and 4000").first().text for lang in ("en", "de")}
-    odd = [(1, None), (2, ""), (3, "123 !!"), (4, pick["en"] + "\n" + pick["de"]), (5, "你好"), (6, pick["de"])]
+    odd = [(1, None), (2, ""), (3, "123 !! \u00b2 \u00bd"), (4, pick["en"] + "\n" + pick["de"]), (5, "你好"), (6, pick["de"])]
     got = {r.doc_id: r for r in langid.identify(spark.createDataFrame(odd, "doc_id long, text string"), langs, table).collect()}
     assert [got[k].lang_pred for k in (1, 2, 3)] == ["und"] * 3 and got[1].score == 0
     assert {"en", "de"} <= set(got[4].languages) and 0.2 < got[4].score < 0.8
-    assert got[5].lang_pred in langs and got[6].lang_pred == "de"
+    assert got[5].lang_pred in langs and got[5].score < 0.6 and got[6].score > 0.8 and got[6].lang_pred == "de"
 
 
 def test_language_does_not_depend_on_neighbours(spark):
@@ -330,6 +330,11 @@ def test_html_article():
     has, found = htmltext.blocks(PAGE)
     assert has and [t for k, t in found if k == "article"] == ["Head & tail", "First one bold x", "It's <fine>"]
     assert htmltext.blocks("<nav>open menu<article><p>kept") == (True, [("dropped", "open menu"), ("article", "kept")])
+    assert htmltext.blocks("<article></article><p>the body") == (False, [("other", "the body")])
+    kept = '<article><div class="related-work">a</div><p id="search-method">b</p><section class="comment-on-law">c</section><p>d <math>x</math></p>'
+    assert [t for _, t in htmltext.blocks(kept)[1]] == ["a", "b", "c", "d x"]
+    gone = '<article><p>a</p><div class="comments-section">b</div><div class="x related">c</div><ul id="social-links"><li>d</ul>'
+    assert [t for k, t in htmltext.blocks(gone)[1] if k == "article"] == ["a"]
     assert htmltext.blocks("plain <b>text") == (False, [("other", "plain text")])
     assert htmltext.blocks("<p>a<script>var x='</p>';</script>b<!-- c --><p") == (False, [("other", "ab")])
 
@@ -338,13 +343,14 @@ def test_html_runs_repeat_on_a_host(spark):
     notice = " ".join(f"notice{k}" for k in range(10))
     own = [" ".join(words(15, 70 + k, 10**6)) for k in range(3)]
     rows = [(k, f"http://h.org/{k}", f"<body><div>{notice}</div><p>{own[k]}</p></body>", "x") for k in range(3)]
+    rows += [(6, "http://h.org/copy", rows[2][2], "x")]  # a copy of a page is no reason to take its text away
     rows += [(3, "http://else.org/", f"<p>{notice}</p>", "x"), (4, None, None, "x"), (5, "http://h.org/a", PAGE, "x"), (0, *rows[0][1:])]
     d = spark.createDataFrame(rows, "page_id long, url string, html string, text string")
     got = collections.defaultdict(set)
     for r in htmltext.extract_text(d).collect():
         got[r.page_id].add(r.text)
         assert r.n_chars == len(r.text)
-    assert [got[k] for k in range(3)] == [{x} for x in own] and got[3] == {notice} and got[4] == {""}
+    assert [got[k] for k in range(3)] == [{x} for x in own] and got[6] == {own[2]} and got[3] == {notice} and got[4] == {""}
     assert got[5] == {"Head & tail\n\nFirst one bold x\n\nIt's <fine>"}
     assert htmltext.extract_text(d.limit(0)).count() == 0
 
@@ -387,11 +393,50 @@ def test_decontamination(spark):
     noise = " ".join(words(300, 9, 10**5))
     rows = [(0, noise), (1, f"{noise}\n{items[0].upper()}  {noise}"), (2, edited), (3, f"x {items[2][:60]} y"), (4, None), (5, ""), (6, items[3].replace(" ", "\n\t") + " " + items[0]), (6, noise), (7, "short")]
     got = decontam.contamination(spark.createDataFrame(rows, "doc_id long, text string"), b).collect()
-    assert {(r.doc_id, r.item_id) for r in got} == {(1, 0), (2, 1), (6, 3), (6, 0)}
+    assert {(r.doc_id, r.item_id) for r in got} == {(1, 0), (2, 1), (6, 3), (6, 0), (7, 5)}
     assert {r.edits for r in got if r.doc_id == 2} == {4} and {r.edits for r in got if r.doc_id != 2} == {0}
     assert decontam.contamination(spark.createDataFrame(rows, "doc_id long, text string"), b.limit(0)).count() == 0
 
 
+def test_decontamination_against_edit_distance(spark):
+    """Items of 3 to 400 bytes with up to one edit more than their budget, against all places of all texts; in parts too."""
+
+    def nearest(item, text):
+        a, t = np.frombuffer(item.encode(), np.uint8), np.frombuffer(text.encode(), np.uint8)
+        row, step = np.zeros(len(t) + 1, np.int64), np.arange(len(t) + 1)
+        for i, x in enumerate(a, 1):
+            now = np.r_[i, np.minimum(row[:-1] + (t != x), row[1:] + 1)]
+            row = np.minimum.accumulate(now - step) + step
+        return int(row.min())
+
+    r = random.Random(12)
+    word = lambda: "".join(r.choice("abcdefghijkl") for _ in range(r.randrange(2, 7)))
+    text = lambda n: " ".join(word() for _ in range(n))
+    items, rows = [], []
+    for size in [3, 5, 9, 10, 12, 13, 19, 20, 25, 29, 36, 38, 40, 41, 49, 50, 51, 62, 63, 90, 400]:
+        item = text(size)[:size].strip()
+        items.append(item)
+        for edits in range(int(len(item) * 0.08) + 2):
+            own = list(item)
+            for k in r.sample(range(len(own)), edits):
+                own[k] = r.choice(["", "z", own[k] + "y"])
+            rows.append(f"{text(5)} {''.join(own)} {text(5)}")
+    rows += [" ".join(x.split()) for x in (items[0] + "q", "q" + items[1], items[2], " ".join(items))]
+    rows = [" ".join(x.split()) for x in rows]
+    want = set()
+    for d, t in enumerate(rows):
+        for k, item in enumerate(items):
+            if (f" {item} " in f" {t} ") if len(item) < 10 else nearest(item, t) <= int(len(item) * 0.08):
+                want.add((d, k))
+    b = spark.createDataFrame([*enumerate(items), (0, items[0]), (99, ""), (98, None)], "item_id long, text string").withColumn("end", F.lit("own"))
+    d = spark.createDataFrame(list(enumerate(rows)), "doc_id long, text string").withColumn("item_id", F.lit("own")).repartition(2)
+    for most in (decontam.BENCH_BYTES, 200):
+        got = decontam.contamination(d, b, most=most)
+        assert {(x.doc_id, x.item_id) for x in got.collect()} == want and got.count() == len(want) > 60
+    sums = [x.agg(F.sum(F.octet_length("text"))).first()[0] for x in decontam.benchmark_parts(b, 200)]
+    assert len(sums) > 4 and sum(x > 200 for x in sums) == 1  # the item of 400 bytes is a part alone
+
+
 def test_decontamination_finds_all_leaks(spark, data):
     d, b = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/benchmark.parquet")
     norm = lambda t: " ".join(low(t).split())
