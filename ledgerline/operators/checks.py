@@ -68,12 +68,14 @@ def stale_runs(p: DataFrame, run: int = 24) -> DataFrame:
 
 
 def unit_jumps(p: DataFrame, hard: float = 2.5, soft: float = 0.9, months: int = 24, tolerance: float = 0.3) -> DataFrame:
-    """QC13: changes by a factor of 10**hard, or of 10**soft if undone within some months; the one that undoes is not counted."""
-    e = change_events(p.where("value > 0")).withColumn("step", F.log10(F.col("value") / F.col("prev")))
+    """QC13: changes between positive values by a factor of 10**hard, or of 10**soft if undone within some months; the one that
+    undoes is not counted. `type` is jump or reversal."""
+    e = change_events(p).where("value > 0 and prev > 0").withColumn("step", F.log10(F.col("value") / F.col("prev")))
     undone = (F.abs(F.col("step")) >= soft) & (F.abs(F.lead("step").over(_series()) + F.col("step")) <= tolerance) & (months_between(F.lead("month").over(_series()), F.col("month")) <= months)
     e = e.withColumn("reversed", F.coalesce(undone, F.lit(False)))
     e = e.withColumn("_undoes", F.coalesce(F.lag("reversed").over(_series()), F.lit(False)))
-    return e.where(((F.abs("step") >= hard) | F.col("reversed")) & ~F.col("_undoes")).drop("_undoes")
+    e = e.where(((F.abs("step") >= hard) | F.col("reversed")) & ~F.col("_undoes")).drop("_undoes")
+    return e.withColumn("type", F.when(F.col("reversed"), "reversal").otherwise("jump"))
 
 
 def unit_error_candidates(jumps: DataFrame) -> DataFrame:

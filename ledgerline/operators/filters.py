@@ -70,12 +70,13 @@ def short_history(panel: DataFrame, rows: int = 120) -> DataFrame:
 
 
 def padded_tail(panel: DataFrame, delistings: DataFrame, keep: int = 9) -> DataFrame:
-    """no rows after delisting; of the zero or missing returns at a stock's end the first `keep` stay. Stocks without statics go."""
+    """no rows after delisting; of the zero or missing returns at a delisted stock's end the first `keep` stay. Stocks
+    without a delisting date stay whole, those without statics go."""
     p = panel.join(delistings, "stock").where(F.col("delisting_date").isNull() | (F.col("date") <= F.col("delisting_date")))
     p = p.withColumn("_live", F.max(F.when(F.coalesce(F.col("ret"), F.lit(0.0)) != 0, F.col("date"))).over(by("stock")))
     after = F.col("_live").isNull() | (F.col("date") > F.col("_live"))
     p = p.withColumn("_tail", F.sum(after.cast("int")).over(_stock().rowsBetween(Window.unboundedPreceding, 0)))
-    return p.where(~after | (F.col("_tail") <= keep)).drop("_live", "_tail")
+    return p.where(~after | (F.col("_tail") <= keep) | F.col("delisting_date").isNull()).drop("_live", "_tail")
 
 
 def stale_prices(panel: DataFrame, column: str = "return_index", run: int = 30) -> DataFrame:

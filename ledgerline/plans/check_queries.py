@@ -96,15 +96,15 @@ def qc12(spark, sf_dir):
     return q.stale_runs(panel(spark, sf_dir), 11)
 
 
-JUMP_SQL = LONG_SQL + """, pl AS (SELECT *, lag(value) OVER (PARTITION BY variable, stock ORDER BY month) AS pv FROM p WHERE value > 0), e AS (SELECT *, log10(value / pv) AS step FROM pl WHERE pv IS NOT NULL AND value <> pv),
+JUMP_SQL = LONG_SQL + """, pl AS (SELECT *, lag(value) OVER (PARTITION BY variable, stock ORDER BY month) AS pv FROM p), e AS (SELECT *, log10(value / pv) AS step FROM pl WHERE pv > 0 AND value > 0 AND value <> pv),
 e1 AS (SELECT *, coalesce(abs(step) >= 0.9 AND abs(lead(step) OVER w + step) <= 0.3 AND date_diff('month', month, lead(month) OVER w) <= 24, false) AS reversed FROM e WINDOW w AS (PARTITION BY variable, stock ORDER BY month)),
 j AS (SELECT * FROM (SELECT *, coalesce(lag(reversed) OVER (PARTITION BY variable, stock ORDER BY month), false) AS undoes FROM e1) WHERE (abs(step) >= 2.5 OR reversed) AND NOT undoes)
 """
 
 
-@query("qc13_unit_jumps", f"{JUMP_SQL} SELECT variable, stock, month, round(step, 7) AS step, reversed FROM j")
+@query("qc13_unit_jumps", f"{JUMP_SQL} SELECT variable, stock, month, round(step, 7) AS step, CASE WHEN reversed THEN 'reversal' ELSE 'jump' END AS type FROM j")
 def qc13(spark, sf_dir):
-    return _r(q.unit_jumps(panel(spark, sf_dir)), 7, "step").select("variable", "stock", "month", "step", "reversed")
+    return _r(q.unit_jumps(panel(spark, sf_dir)), 7, "step").select("variable", "stock", "month", "step", "type")
 
 
 @query("qc14_unit_error_candidates", f"""{JUMP_SQL}, jj AS (SELECT variable || k AS variable, stock, month, step FROM j CROSS JOIN (SELECT unnest(['', '_a', '_b']) AS k) WHERE NOT (k = '_b' AND stock % 2 = 0)), g AS (SELECT stock, month, count(DISTINCT variable) AS n, string_agg(DISTINCT variable, ',' ORDER BY variable) AS variables, median(abs(step)) AS size, max(step) - min(step) AS spread FROM jj GROUP BY 1, 2 HAVING count(DISTINCT variable) >= 2)

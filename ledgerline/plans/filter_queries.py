@@ -33,10 +33,10 @@ _register("f10_low_volatility", lambda p: f.low_volatility(p, 0.0355), _stocks("
 _register("f11_without_index", lambda p: f.without_index(p.withColumn("return_index", F.when(F.col("stock") % 7 != 0, F.col("return_index")))), "SELECT stock, date, ret FROM panel WHERE stock % 7 <> 0")
 _register("f12_short_history", lambda p: f.short_history(p, 540), "SELECT stock, date, ret FROM panel WHERE stock IN (SELECT stock FROM panel GROUP BY stock HAVING count(*) >= 540 OR date_diff('day', min(date), (SELECT max(date) FROM panel)) < 540)")
 _register("f13_padded_tail", lambda p: f.padded_tail(p.withColumn("ret", F.when((F.col("stock") % 2 == 0) & (F.col("date") > "1998-01-01"), 0.0).otherwise(F.col("ret"))), delistings(p), 9), """, z AS (SELECT stock, date, CASE WHEN stock % 2 = 0 AND date > DATE '1998-01-01' THEN 0.0 ELSE ret END AS ret FROM panel),
- k AS (SELECT z.* FROM z JOIN delistings d USING (stock) WHERE d.delisting_date IS NULL OR z.date <= d.delisting_date),
+ k AS (SELECT z.*, d.delisting_date FROM z JOIN delistings d USING (stock) WHERE d.delisting_date IS NULL OR z.date <= d.delisting_date),
  l AS (SELECT *, max(date) FILTER (ret <> 0) OVER (PARTITION BY stock) AS live FROM k),
  t AS (SELECT *, sum(CAST(live IS NULL OR date > live AS INT)) OVER (PARTITION BY stock ORDER BY date ROWS UNBOUNDED PRECEDING) AS pos FROM l)
- SELECT stock, date, ret FROM t WHERE date <= live OR pos <= 9""")
+ SELECT stock, date, ret FROM t WHERE date <= live OR pos <= 9 OR delisting_date IS NULL""")
 _register("f14_stale_prices", lambda p: f.stale_prices(p, "return_index", 1), """, c AS (SELECT *, CAST(return_index IS DISTINCT FROM lag(return_index) OVER (PARTITION BY stock ORDER BY date) AS INT) AS ch FROM panel),
  r AS (SELECT *, sum(ch) OVER (PARTITION BY stock ORDER BY date ROWS UNBOUNDED PRECEDING) AS run FROM c)
  SELECT stock, date, ret FROM (SELECT *, row_number() OVER (PARTITION BY stock, run ORDER BY date) AS pos FROM r) WHERE pos <= 1""")

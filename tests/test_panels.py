@@ -60,9 +60,11 @@ def none_delisted(spark):
 
 def test_padded_tail_keeps_nine(spark):
     p = panel(spark, [0.1, 0.0, 0.2] + [0.0, None] * 10)
-    assert filters.padded_tail(p, none_delisted(spark)).count() == 12
-    assert filters.padded_tail(panel(spark, [0.0] * 15), none_delisted(spark)).count() == 9
-    assert filters.padded_tail(panel(spark, [0.1, 0.2], stock=5), none_delisted(spark)).count() == 0
+    gone = spark.createDataFrame([(1, pd.Timestamp("2100-01-01").date())], "stock long, delisting_date date")
+    assert filters.padded_tail(p, gone).count() == 12
+    assert filters.padded_tail(panel(spark, [0.0] * 15), gone).count() == 9
+    assert filters.padded_tail(p, none_delisted(spark)).count() == 23  # an active stock stays whole
+    assert filters.padded_tail(panel(spark, [0.1, 0.2], stock=5), gone).count() == 0
 
 
 def test_stale_run_and_missing_values(spark):
@@ -153,7 +155,9 @@ def test_unit_jump_is_counted_once(spark):
     months = [x.date() for x in pd.date_range("2000-01-31", periods=6, freq="ME")]
     p = spark.createDataFrame([("v", 1, m, v) for m, v in zip(months, [5.0, 5.0, 5000.0, 5000.0, 5.1, 5.1], strict=True)], "variable string, stock long, month date, value double")
     got = checks.unit_jumps(p).collect()
-    assert len(got) == 1 and got[0].month == months[2] and got[0].reversed
+    assert len(got) == 1 and got[0].month == months[2] and (got[0].reversed, got[0].type) == (True, "reversal")
+    through_zero = spark.createDataFrame([("v", 1, m, v) for m, v in zip(months, [5.0, 0.0, 5000.0], strict=False)], "variable string, stock long, month date, value double")
+    assert checks.unit_jumps(through_zero).count() == 0
     flat = checks.prepare(p.withColumnRenamed("month", "date"))
     errors = spark.createDataFrame([("v", 1, months[2])], "variable string, stock long, month date")
     assert [r.value for r in pit.clear_episodes(flat, errors).orderBy("month").collect()] == [5.0, 5.0, None, None, 5.1, 5.1]
