@@ -29,12 +29,19 @@ def firm_years(p: DataFrame) -> DataFrame:
     return p.groupBy("variable", "stock", F.year("month").alias("year")).agg(F.max_by("value", "month").alias("value"))
 
 
+def coverage(p: DataFrame, uni: DataFrame, *keys: str) -> DataFrame:
+    """For each variable and group of universe rows (month and further keys): stocks, those with a value, and their market caps.
+
+    The universe is counted once and the values once; only the counts, a row for each group, are paired with the variables."""
+    at = ["month", *keys]
+    whole = uni.groupBy(*at).agg(F.count("*").alias("n"), F.sum("market_cap").alias("cap"))
+    hits = p.select("variable", "stock", "month").join(uni.select("stock", "market_cap", *at), ["stock", "month"]).groupBy("variable", *at).agg(F.count("*").alias("n_value"), F.sum("market_cap").alias("cap_value"))
+    return whole.join(p.select("variable").distinct()).join(hits, ["variable", *at], "left").fillna(0, ["n_value"])
+
+
 def coverage_by_month(p: DataFrame, uni: DataFrame) -> DataFrame:
     """QC5: for each variable and universe month: stocks, those with a value, and the equally- and cap-weighted shares."""
-    u = uni.select("stock", "month", "market_cap").join(F.broadcast(p.select("variable").distinct()))
-    m = u.join(p.select("variable", "stock", "month", F.lit(1).alias("_hit")), ["variable", "stock", "month"], "left")
-    has = F.col("_hit").isNotNull()
-    return m.groupBy("variable", "month").agg(F.count("*").alias("n"), F.count("_hit").alias("n_value"), F.avg(has.cast("int")).alias("ew"), (F.sum(F.when(has, F.col("market_cap")).otherwise(0.0)) / F.sum("market_cap")).alias("vw"))
+    return coverage(p, uni).select("variable", "month", "n", "n_value", (F.col("n_value") / F.col("n")).alias("ew"), (F.coalesce("cap_value", F.lit(0.0)) / F.col("cap")).alias("vw"))
 
 
 def history(p: DataFrame) -> DataFrame:

@@ -23,9 +23,8 @@ _SIZE = "c AS (SELECT month, quantile_cont(market_cap, 0.5) AS c1 FROM uni GROUP
 def qc6(spark, sf_dir):
     """Mean of monthly coverage by year and size group."""
     p = panel(spark, sf_dir)
-    g = u.size_groups(universe(spark, sf_dir), F.lit(True), 2).select("stock", "month", "size_group")
-    m = g.join(F.broadcast(p.select("variable").distinct())).join(p.select("variable", "stock", "month", F.lit(1).alias("hit")), ["variable", "stock", "month"], "left")
-    m = m.groupBy("variable", "month", "size_group").agg(F.avg(F.col("hit").isNotNull().cast("int")).alias("s"))
+    g = u.size_groups(universe(spark, sf_dir), F.lit(True), 2).select("stock", "month", "size_group", "market_cap")
+    m = q.coverage(p, g, "size_group").withColumn("s", F.col("n_value") / F.col("n"))
     out = m.groupBy("variable", F.year("month").alias("year")).pivot("size_group", [1, 2]).agg(F.avg("s"))
     return _year(out.select("variable", "year", F.round("1", 9).alias("group_1"), F.round("2", 9).alias("group_2")))
 
