@@ -103,7 +103,7 @@ def pit8(spark, sf_dir):
 
 @query("pit10_baseline", f"{WIDE_SQL} SELECT a.stock, month, country, market_cap, sales, assets, equity, fund_age, round(CASE WHEN market_cap <> 0 THEN equity / market_cap END, 6) AS bm FROM att a LEFT JOIN statics USING (stock)")
 def pit10(spark, sf_dir):
-    b = attached(spark, sf_dir).join(F.broadcast(statics(spark, sf_dir).select("stock", "country")), "stock", "left")
+    b = attached(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock", "left")
     return b.select("stock", "month", "country", "market_cap", *ITEMS, F.col("fund_age").cast("double").alias("fund_age"), F.round(F.try_divide("equity", "market_cap"), 6).alias("bm"))
 
 
@@ -188,19 +188,19 @@ def sd1(spark, sf_dir):
 @query("sd2_industry_adjusted", f"""{WIDE_SQL}, x AS (SELECT a.stock, month, region, CASE WHEN sales > 0 THEN ln(sales) END AS x FROM att a JOIN statics USING (stock)), m AS (SELECT month, region, median(x) AS m, count(x) AS n FROM x WHERE x IS NOT NULL GROUP BY 1, 2)
  SELECT stock, month, CASE WHEN n >= 5 THEN round(x - m, 7) END AS adjusted FROM x LEFT JOIN m USING (month, region)""")
 def sd2(spark, sf_dir):
-    d = attached(spark, sf_dir).join(F.broadcast(statics(spark, sf_dir).select("stock", "region")), "stock")
+    d = attached(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "region"), "stock")
     return pit.industry_adjusted(d, "sales", "region", "adjusted").select("stock", "month", F.round("adjusted", 7).alias("adjusted"))
 
 
 @query("sd3_sustainability_dataset", f"""{EM_SQL} SELECT e.stock, e.month, country, region = 'ASIA' AS is_financial, emission, estimated, round(CASE WHEN e.emission > 0 THEN ln(e.emission) END, 7) AS log_emission, assets, sales FROM em6 e LEFT JOIN att a ON a.stock = e.stock AND a.month = e.month LEFT JOIN statics s ON s.stock = e.stock WHERE emission IS NOT NULL""")
 def sd3(spark, sf_dir):
     a = attached(spark, sf_dir).select("stock", "month", "assets", "sales")
-    d = emission_panel(spark, sf_dir).where("emission is not null").join(a, ["stock", "month"], "left").join(F.broadcast(statics(spark, sf_dir)), "stock", "left")
+    d = emission_panel(spark, sf_dir).where("emission is not null").join(a, ["stock", "month"], "left").join(statics(spark, sf_dir), "stock", "left")
     return d.select("stock", "month", "country", (F.col("region") == "ASIA").alias("is_financial"), "emission", "estimated", F.round(F.when(F.col("emission") > 0, F.log("emission")), 7).alias("log_emission"), "assets", "sales")
 
 
 @query("sd4_summary_by_year", f"""{EM_SQL} SELECT year(month) AS year, count(*) AS n, count(*) FILTER (NOT estimated) AS reported, count(*) FILTER (region = 'ASIA') AS financial, round(median(intensity) FILTER (region <> 'ASIA'), 7) AS median_intensity FROM em6 JOIN statics USING (stock) WHERE emission IS NOT NULL AND month(month) = 12 GROUP BY 1""")
 def sd4(spark, sf_dir):
-    d = emission_panel(spark, sf_dir).where("emission is not null and month(month) = 12").join(F.broadcast(statics(spark, sf_dir).select("stock", "region")), "stock")
+    d = emission_panel(spark, sf_dir).where("emission is not null and month(month) = 12").join(statics(spark, sf_dir).select("stock", "region"), "stock")
     asia = F.col("region") == "ASIA"
     return d.groupBy(F.year("month").cast("long").alias("year")).agg(F.count("*").alias("n"), F.count_if(~F.col("estimated")).alias("reported"), F.count_if(asia).alias("financial"), F.round(F.median(F.when(~asia, F.col("intensity"))), 7).alias("median_intensity"))

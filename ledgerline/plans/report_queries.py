@@ -88,7 +88,7 @@ def ec14(spark, sf_dir):
 def pf8(spark, sf_dir):
     """Each region's return on two factors."""
     m = monthly(spark, sf_dir)
-    g = u.portfolios(m.join(F.broadcast(statics(spark, sf_dir).select("stock", "region")), "stock"), "month", "region").select("month", "region", F.col("vw").alias("v"))
+    g = u.portfolios(m.join(statics(spark, sf_dir).select("stock", "region"), "stock"), "month", "region").select("month", "region", F.col("vw").alias("v"))
     f = u.portfolios(m).select("month", F.col("ew").alias("x1"), F.col("vw").alias("x2"))
     return _r(st.grouped_ols2(g.join(f, "month"), "v", "x1", "x2", "region", 12), 6, "b1", "b2").select("region", "n", "b1", "b2")
 
@@ -138,7 +138,7 @@ def dg3(spark, sf_dir):
 def dg4(spark, sf_dir):
     """Three bases of shares against the cap, each scaled by its country's power of ten."""
     cells = [("close", F.col("volume") * F.col("close")), ("unadjusted", F.col("volume") * F.col("unadj_close")), ("double", 2 * F.col("volume") * F.col("close"))]
-    p = daily_panel(spark, sf_dir).join(F.broadcast(statics(spark, sf_dir).select("stock", "country")), "stock")
+    p = daily_panel(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
     x = p.withColumn("c", F.explode(F.array(*[F.struct(F.lit(k).alias("basis"), F.try_divide(v, F.col("market_cap")).alias("r")) for k, v in cells]))).select("country", "c.*")
     m = x.groupBy("country", "basis").agg(F.pow(F.lit(10.0), F.round(F.log10(F.median("r")))).alias("scale"))
     return x.join(F.broadcast(m), ["country", "basis"]).groupBy("basis").agg(F.count("*").alias("n"), F.round(F.avg((F.col("r") / F.col("scale")).between(0.95, 1.05).cast("int")), 9).alias("within"))

@@ -174,7 +174,7 @@ def pf17(spark, sf_dir):
 
 @query("eu2_country_portfolios", f"{PANEL_SQL} SELECT month, country, round(sum(ret * cap_lag) / sum(cap_lag), 8) AS vw, count(*) AS n FROM mon JOIN statics USING (stock) WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1, 2")
 def eu2(spark, sf_dir):
-    m = monthly(spark, sf_dir).join(F.broadcast(statics(spark, sf_dir).select("stock", "country")), "stock")
+    m = monthly(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
     return _rounded(u.portfolios(m, "month", "country"), 8, "vw").drop("ew")
 
 
@@ -211,7 +211,7 @@ _BY_REGION = ", g AS (SELECT month, region, sum(ret * cap_lag) / sum(cap_lag) AS
 
 
 def _regions(spark, sf_dir):
-    m = monthly(spark, sf_dir).join(F.broadcast(statics(spark, sf_dir).select("stock", "region")), "stock")
+    m = monthly(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "region"), "stock")
     return u.portfolios(m, "month", "region").select("month", "region", "vw")
 
 
