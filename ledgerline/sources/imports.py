@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import months_between
 from ledgerline.functions.frames import by, first_rows
 
+# Fixed value: the pattern of a series header and its id.
 HEADER = r"^\s*(?:DPL#\()?([^(\s]+)\("
 
 
