@@ -41,18 +41,43 @@ _TARGETS = (
     ("(?is)<link\\b[^>]*>", "(?i)\\brel\\s*=\\s*[\"']?canonical\\b", "(?i)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)"),
     ("(?is)<meta\\b[^>]*>", "(?i)\\bhttp-equiv\\s*=\\s*[\"']?refresh\\b", "(?i)\\burl\\s*=\\s*[\"']?([^\"'\\s>]+)"),
 )
+_BASE = ("(?is)<base\\b[^>]*>", "(?i)\\bhref\\s*=", "(?i)\\bhref\\s*=\\s*[\"']?([^\"'\\s>]+)")
+# Character references of the signs that divide a URL; the ampersand comes last.
+_SIGNS = (("&sol;", "/"), ("&#47;", "/"), ("&#x2f;", "/"), ("&#x2F;", "/"), ("&colon;", ":"), ("&#58;", ":"), ("&#x3a;", ":"), ("&#x3A;", ":"), ("&quest;", "?"), ("&#63;", "?"), ("&num;", "#"), ("&#35;", "#"), ("&#38;", "&"), ("&amp;", "&"))
 
 
-def declared_targets(url: Column, html: Column) -> Column:
-    """URLs that a page's first canonical link and refresh redirect name, relative ones resolved against its host."""
-    full = lambda t: F.when(t.contains("://"), t).when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t)).when(F.startswith(t, F.lit("/")), F.concat(F.lit("http://"), host_of(url), t))
+def _tags(html: Column, tag: str, mark: str, place: str) -> Column:
+    """The URLs that all tags of a kind name, character references decoded; null without any (a cheap test comes first)."""
+
+    def decoded(t):
+        for sign, plain in _SIGNS:
+            t = F.replace(t, F.lit(sign), F.lit(plain))
+        return t
+
+    found = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: t.rlike(mark))
+    return F.when(html.rlike(mark), F.filter(F.transform(found, lambda t: decoded(F.regexp_extract(t, place, 1))), lambda t: t != ""))
+
 
-    def named(tag, mark, place):
-        # A cheap test comes first: most pages declare nothing.
-        found = F.filter(F.regexp_extract_all(html, F.lit(tag), F.lit(0)), lambda t: t.rlike(mark))
-        return F.when(html.rlike(mark), full(F.regexp_extract(F.get(found, F.lit(0)), place, 1)))
+def resolved(t: Column, host: Column, path: Column) -> Column:
+    """A named URL in full, relative ones resolved against a host and path; null for other schemes (`mailto:` and the like)."""
+    full = F.when(t.contains("://"), t).when(t.rlike("^[A-Za-z][A-Za-z0-9+.-]*:"), F.lit(None)).when(F.startswith(t, F.lit("//")), F.concat(F.lit("http:"), t))
+    full = full.when(F.startswith(t, F.lit("/")), F.concat(F.lit("http://"), host, t)).when(t.rlike("^[?#]"), F.concat(F.lit("http://"), host, path, t))
+    return full.otherwise(F.concat(F.lit("http://"), host, F.coalesce(F.nullif(F.regexp_extract(path, "(?s)^.*/", 0), F.lit("")), F.lit("/")), t))
 
-    return F.array_compact(F.array(*[named(*t) for t in _TARGETS]))
+
+def without_dots(path: Column) -> Column:
+    """A path without its `.` and `..` parts."""
+    parts = F.split(F.regexp_replace(path, r"(/\.\.?)$", "$1/"), "/")
+    step = lambda acc, x: F.when(x == ".", acc).when(x == "..", F.slice(acc, 1, F.greatest(F.size(acc) - 1, F.lit(1)))).otherwise(F.concat(acc, F.array(x)))
+    return F.when(path.contains("/."), F.array_join(F.aggregate(F.slice(parts, 2, F.greatest(F.size(parts) - 1, F.lit(0))), F.array(F.lit("")), step), "/")).otherwise(path)
+
+
+def declared_targets(url: Column, html: Column) -> Column:
+    """URLs that a page's canonical links and refresh redirects name (all of them), relative ones resolved against its
+    first `base`, which is itself resolved against the page's URL. Empty without any."""
+    base = F.coalesce(resolved(F.get(_tags(html, *_BASE), F.lit(0)), host_of(url), path_of(url)), url)
+    named = F.concat(*[F.coalesce(_tags(html, *t), F.array().cast("array<string>")) for t in _TARGETS])
+    return F.array_distinct(F.array_compact(F.transform(named, lambda t: resolved(t, host_of(base), path_of(base)))))
 
 
 def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
@@ -60,7 +85,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
 
     A page's own rule decides. Without one, its component of redirect and canonical-link edges does: blocked if some
     member is blocked by a rule and none is allowed by one (explicit allow takes precedence), else allowed. Edges run
-    from each URL to its canonical form and to the targets that the page declares, and nodes are 64-bit hashes of these
+    from each URL to its canonical form and to the targets that the page declares (all its canonical links and refreshes, against its `base`), and nodes are 64-bit hashes of these
     forms, so copies of a URL are one node. Declared targets count as members even if no page has their URL. Null URLs
     or those without `://` have no edges and are allowed. Repeated rows are judged alike; no rows give none.
     """
@@ -69,7 +94,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     p = p.withColumn("_u", F.when(F.col("host") != "", F.concat("host", "path"))).withColumn("_c", canonical_form(F.col("host"), F.col("path")))
     p = p.withColumn("_to", declared_targets(F.col("url"), F.col("html"))).drop("html", "url").withColumn("_m", matched_rule(F.col("host"), F.col("path"), rules))
     p = materialize(p.select("page_id", "host", "path", F.col("_m.rule").alias("rule"), F.col("_m.verdict").alias("said"), "_u", "_c", "_to"))
-    targets = p.where(F.size("_to") > 0).select("_u", F.explode("_to").alias("t")).select("_u", host_of(F.col("t")).alias("host"), path_of(F.col("t")).alias("path"))
+    targets = p.where(F.size("_to") > 0).select("_u", F.explode("_to").alias("t")).select("_u", host_of(F.col("t")).alias("host"), without_dots(path_of(F.col("t"))).alias("path"))
     targets = targets.withColumn("_v", F.concat("host", "path")).withColumn("_c", canonical_form(F.col("host"), F.col("path")))
     node = lambda c, kind: F.xxhash64(F.lit(kind), c)
     own = p.where("_u is not null").select(node(F.col("_u"), "u").alias("a"), node(F.col("_c"), "c").alias("b"))
@@ -92,11 +117,21 @@ def _sql() -> str:
     q = lambda t: t.replace("'", "''")
     parts = lambda url: f"coalesce(translate(regexp_extract({url}, '(?s)^.*?://([^/?#]*)', 1), '{_UPPER}', '{_LOWER}'), '') AS host, coalesce(regexp_extract({url}, '(?s)^.*?://[^/?#]*([^?#]*)', 1), '') AS path"
     form = "regexp_replace(host, '^(www|m)\\.', '') || regexp_replace(path, '(\\.html|/)+$', '')"
-    tags = " UNION ALL ".join(f"SELECT host || path AS u, host, regexp_extract(list_filter(regexp_extract_all(html, '{q(tag)}'), lambda t: regexp_matches(t, '{q(mark)}'))[1], '{q(place)}', 1) AS t FROM p" for tag, mark, place in _TARGETS)
+    clean = "t"
+    for sign, plain in _SIGNS:
+        clean = f"replace({clean}, '{sign}', '{plain}')"
+    found = lambda tag, mark, place: f"list_transform(list_filter(regexp_extract_all(html, '{q(tag)}'), lambda t: regexp_matches(t, '{q(mark)}')), lambda t: regexp_extract(t, '{q(place)}', 1))"
+    tags = " UNION ALL ".join(f"SELECT host || path AS u, host, path, b, unnest({found(*t)}) AS t FROM (SELECT *, nullif({found(*_BASE)}[1], '') AS b FROM p)" for t in _TARGETS)
+    full = lambda t: f"CASE WHEN contains({t}, '://') THEN {t} WHEN regexp_matches({t}, '^[A-Za-z][A-Za-z0-9+.-]*:') THEN NULL WHEN starts_with({t}, '//') THEN 'http:' || {t} WHEN starts_with({t}, '/') THEN 'http://' || host || {t} WHEN regexp_matches({t}, '^[?#]') THEN 'http://' || host || path || {t} ELSE 'http://' || host || coalesce(nullif(regexp_extract(path, '(?s)^.*/'), ''), '/') || {t} END"
+    dots = "CASE WHEN contains(path, '/.') THEN array_to_string(list_reduce(list_transform(list_concat([''], string_split(regexp_replace(path, '(/\\.\\.?)$', '\\1/'), '/')[2:]), lambda x: [x]), lambda a, x: CASE x[1] WHEN '.' THEN a WHEN '..' THEN a[1:greatest(len(a) - 1, 1)] ELSE list_concat(a, x) END), '/') ELSE path END"
     return f"""WITH RECURSIVE p AS (SELECT page_id, url, html, {parts('url')} FROM pages),
- tag AS ({tags}),
- full_ AS (SELECT u, CASE WHEN contains(t, '://') THEN t WHEN starts_with(t, '//') THEN 'http:' || t WHEN starts_with(t, '/') THEN 'http://' || host || t END AS t FROM tag),
- v AS (SELECT u, {parts('t')} FROM full_ WHERE t IS NOT NULL),
+ tag0 AS ({tags}),
+ tag1 AS (SELECT u, host, path, {clean} AS t, {clean.replace("(t,", "(b,")} AS b FROM tag0 WHERE t <> ''),
+ tag2 AS (SELECT u, t, coalesce({full('b')}, 'http://' || host || path) AS base FROM tag1),
+ tag AS (SELECT u, t, {parts('base')} FROM tag2),
+ full_ AS (SELECT u, {full('t')} AS t FROM tag),
+ v0 AS (SELECT u, {parts('t')} FROM full_ WHERE t IS NOT NULL),
+ v AS (SELECT u, host, {dots} AS path FROM v0),
  e0 AS (SELECT 'u' || host || path AS a, 'c' || {form} AS b FROM p WHERE host <> '' UNION SELECT 'u' || u, 'u' || host || path FROM v WHERE u <> '' UNION SELECT 'u' || host || path, 'c' || {form} FROM v),
  e AS (SELECT a, b FROM e0 UNION SELECT b, a FROM e0),
  walk(a, b) AS (SELECT DISTINCT a, a FROM e UNION SELECT walk.a, e.b FROM walk JOIN e ON walk.b = e.a),
