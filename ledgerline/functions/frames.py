@@ -40,9 +40,19 @@ def as_of(left: DataFrame, right: DataFrame, key: str, left_time: str, right_tim
     return both.withColumn("matched", F.last("_v", ignorenulls=True).over(w)).where("_side = 1").drop("_time", "_side", "_v")
 
 
-def average_rank(value: str, *keys: str) -> Column:
-    """Rank with ties at their mean, as Spearman's correlation takes it."""
-    return F.rank().over(by(*keys, order=value)) + (F.count(F.lit(1)).over(by(*keys, value)) - 1) / 2
+def spread_rank(df: DataFrame, value: str, name: str, *keys: str) -> DataFrame:
+    """Rank in a group of any size, with ties at their mean, as a new column; a value that is not null in every row.
+
+    Rows are first counted by value. Distinct values are put in order within bands of like size (a monotone function of the
+    value alone), and the rows of the bands before are added, so that no task orders a whole group."""
+    counts = df.groupBy(*keys, value).agg(F.count("*").alias("_n"))
+    counts = counts.withColumn("_band", F.floor(16 * F.signum(value) * F.log1p(F.abs(value))))
+    bands = counts.groupBy(*keys, "_band").agg(F.sum("_n").alias("_t"))
+    bands = bands.select(*keys, "_band", (F.sum("_t").over(by(*keys, order="_band")) - F.col("_t")).alias("_before"))
+    inside = F.sum("_n").over(by(*keys, "_band", order=value)) - F.col("_n")
+    ranks = counts.withColumn("_inside", inside).join(bands, [*keys, "_band"])
+    ranks = ranks.select(*keys, value, (F.col("_before") + F.col("_inside") + (F.col("_n") + 1) / 2).alias(name))
+    return df.join(ranks, [*keys, value])
 
 
 def quantile_bin(order: list, bins: int, *keys: str) -> Column:

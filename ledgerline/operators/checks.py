@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import months_between
-from ledgerline.functions.frames import average_rank, by, first_rows, island
+from ledgerline.functions.frames import as_of, by, first_rows, island, spread_rank
 
 def _series():
     return by("variable", "stock", order="month")
@@ -50,6 +50,22 @@ def history(p: DataFrame) -> DataFrame:
     return f.groupBy("variable").agg(F.count("*").alias("firms"), F.sum("n").alias("obs"), F.sum("span").alias("months"), F.count_if(F.col("span") > F.col("n")).alias("firms_with_gaps"))
 
 
+def history_shares(p: DataFrame) -> DataFrame:
+    """QC8: for each variable: firms, their median number of months, share of firms with gaps, share of months in gaps."""
+    f = p.groupBy("variable", "stock").agg(F.count("*").alias("n"), (months_between(F.max("month"), F.min("month")) + 1).alias("span"))
+    return f.groupBy("variable").agg(F.count("*").alias("firms"), F.median("n").alias("median_months"), F.avg((F.col("span") > F.col("n")).cast("int")).alias("share_with_gaps"), (F.sum(F.col("span") - F.col("n")) / F.sum("span")).alias("share_gap_months"))
+
+
+def matching(p: DataFrame, uni: DataFrame) -> DataFrame:
+    """QC9: for each variable: its firms, those of the universe in its own period, those in both, and both shares."""
+    spans = p.groupBy("variable").agg(F.min("month").alias("_a"), F.max("month").alias("_b"))
+    mine = p.select("variable", "stock").distinct().withColumn("_v", F.lit(1))
+    # A row for each variable: broadcast by its nature.
+    inside = uni.select("stock", "month").join(F.broadcast(spans), F.col("month").between(F.col("_a"), F.col("_b"))).select("variable", "stock").distinct().withColumn("_u", F.lit(1))
+    j = mine.join(inside, ["variable", "stock"], "full").groupBy("variable").agg(F.count("_v").alias("firms"), F.count("_u").alias("universe"), F.count(F.col("_v") + F.col("_u")).alias("both"))
+    return j.withColumns({"share_in_universe": F.col("both") / F.greatest("firms", F.lit(1)), "share_covered": F.col("both") / F.greatest("universe", F.lit(1))})
+
+
 def update_frequency(p: DataFrame, least: int = 12) -> DataFrame:
     """QC10: shares of firm-years with 0, 1, 2-3, 4 and more changes, among those with enough months."""
     y = p.groupBy("variable", "stock", F.year("month").alias("year")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
@@ -74,6 +90,36 @@ def stale_runs(p: DataFrame, run: int = 24) -> DataFrame:
     return r.groupBy("variable").agg(F.count_distinct(F.when(F.col("value") != 0, F.col("stock"))).alias("firms_stale"), F.count_distinct(F.when(F.col("value") == 0, F.col("stock"))).alias("firms_zero"), F.max("n").alias("longest"))
 
 
+def padding_and_staleness(p: DataFrame, uni: DataFrame, life: DataFrame, run: int = 24, months: int = 12) -> DataFrame:
+    """QC12: values beside the life of a stock, and stale values, as shares for each variable.
+
+    `life` has (stock, first_price, last_price, delisting_date) of each stock, `uni` its months. Shares after the last and before
+    the first price and after delisting are of the rows of known stocks. A row is stale from the run + 1st equal value on, other
+    than zero; while-trading shares are of the rows in the universe. A dead firm (its last price is before the universe ends)
+    is padded if a value stands more than `months` months after it."""
+    share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("int"))
+    w = _series()
+    r = p.withColumn("_r", island(F.lag("value").over(w).isNull() | (F.col("value") != F.lag("value").over(w)), w))
+    r = r.withColumn("_long", F.row_number().over(by("variable", "stock", "_r", order="month")) > run)
+    r = r.join(uni.select("stock", "month").distinct().withColumn("_alive", F.lit(True)), ["stock", "month"], "left").withColumn("_alive", F.coalesce("_alive", F.lit(False)))
+    end = uni.agg(F.max("month").alias("_end"))
+    r = r.join(life, "stock", "left").join(F.broadcast(end))
+    after = F.when(F.col("last_price").isNotNull(), F.col("month") > F.col("last_price"))
+    zero = F.col("value") == 0
+    firm = r.groupBy("variable", "stock").agg(
+        F.count("*").alias("n"), F.count("last_price").alias("m"), F.count_if(after).alias("after"), F.count_if(F.col("month") < F.col("first_price")).alias("before"),
+        F.count_if(F.col("month") > F.last_day("delisting_date")).alias("delisted"), F.count_if(F.col("_long") & ~zero).alias("stale"), F.count_if("_alive").alias("alive"),
+        F.count_if(F.col("_long") & ~zero & F.col("_alive")).alias("stale_alive"), F.count_if(F.col("_long") & zero & F.col("_alive")).alias("zero_alive"),
+        F.bool_or(F.when(F.col("last_price") < F.col("_end"), months_between(F.col("month"), F.col("last_price")) > months)).alias("padded"),
+    )
+    part = lambda a, b: F.try_divide(F.sum(a), F.sum(b))
+    living = lambda a: F.sum(a) / F.greatest(F.sum("alive"), F.lit(1))
+    return firm.groupBy("variable").agg(
+        F.sum("m").alias("matched"), F.avg(F.col("padded").cast("int")).alias("dead_padded"), part("after", "m").alias("after_last_price"), part("delisted", "m").alias("after_delisting"), part("before", "m").alias("before_first_price"),
+        part("stale", "n").alias("stale"), living("stale_alive").alias("stale_trading"), living("zero_alive").alias("zero_runs_trading"), share(F.col("stale_alive") > 0).alias("firms_stale"),
+    )
+
+
 def unit_jumps(p: DataFrame, hard: float = 2.5, soft: float = 0.9, months: int = 24, tolerance: float = 0.3) -> DataFrame:
     """QC13: changes between positive values by a factor of 10**hard, or of 10**soft if undone within some months; the one that
     undoes is not counted. `type` is jump or reversal."""
@@ -116,13 +162,82 @@ def robust_extremes(p: DataFrame, limit: float = 5.0) -> DataFrame:
     return x.groupBy("variable").agg(F.count("*").alias("n"), F.avg((F.col("value") == 0).cast("int")).alias("zero"), F.avg((F.col("value") < 0).cast("int")).alias("negative"), F.count_if(F.abs("z") > limit).alias("extreme"))
 
 
+def yearly_distances(p: DataFrame, nonneg: list[str]) -> DataFrame:
+    """QC17: firm-years with `z`, their distance from the year's median in scaled median deviations: of log10 for variables that
+    cannot be negative, else of asinh on the year's median size. Null in (near) constant years."""
+    fy = firm_years(p)
+    scale = fy.groupBy("variable", "year").agg(F.median(F.abs("value")).alias("_s"))
+    x = F.when(F.col("variable").isin(nonneg), F.when(F.col("value") > 0, F.log10("value"))).otherwise(F.asinh(F.col("value") / F.nullif(F.col("_s"), F.lit(0.0))))
+    fy = fy.join(scale, ["variable", "year"]).withColumn("_x", x)
+    fy = fy.join(fy.groupBy("variable", "year").agg(F.median("_x").alias("_m")), ["variable", "year"])
+    mad = fy.groupBy("variable", "year").agg((F.median(F.abs(F.col("_x") - F.col("_m"))) * 1.4826).alias("_d"))
+    z = F.when(F.col("_d") > 1e-9 * (1 + F.abs("_m")), (F.col("_x") - F.col("_m")) / F.col("_d"))
+    return fy.join(mad, ["variable", "year"]).withColumn("z", z).select("variable", "stock", "year", "value", "z")
+
+
+def implausible_shares(distances: DataFrame, nonneg: list[str], limit: float = 5.0) -> DataFrame:
+    """QC17: shares of firm-years that are zero, negative, against the variable's sign, or beyond the limit."""
+    share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("int"))
+    below = F.col("value") < 0
+    return distances.groupBy("variable").agg(F.count("*").alias("firm_years"), share(F.col("value") == 0).alias("zero"), share(below).alias("negative"), share(below & F.col("variable").isin(nonneg)).alias("sign_violations"), share(F.abs("z") > limit).alias("extreme"))
+
+
+def largest_distances(distances: DataFrame, n: int = 25) -> DataFrame:
+    """QC17: the n firm-years of each variable that lie farthest out."""
+    w = by("variable", order=[F.desc(F.abs("z")), "stock", "year"])
+    return distances.where("z is not null").withColumn("rank", F.row_number().over(w)).where(F.col("rank") <= n)
+
+
+def _growth(p: DataFrame, name: str, gaps: tuple[int, int]) -> DataFrame:
+    """Updates (first values and changes) of one variable's positive values, with the log growth to the update a year before."""
+    w = by("stock", order="month")
+    fresh = F.lag("value").over(w).isNull() | (F.lag("value").over(w) != F.col("value"))
+    u = p.withColumn("_f", fresh).where("_f and value > 0").select("stock", "month", "value")
+    gap = months_between(F.col("month"), F.lag("month").over(w))
+    return u.withColumn(name, F.when(gap.between(*gaps), F.log(F.col("value") / F.lag("value").over(w))))
+
+
+def fiscal_alignment(e: DataFrame, s: DataFrame, years: list[int], offsets: tuple = (-1, 0, 1), gaps: tuple[int, int] = (10, 14), least: int = 30) -> DataFrame:
+    """EC15: growth of one variable at its annual updates against that of another at the update in effect (offset 0), before or
+    after it: (offset, year, n, spearman, median). Year 0 holds all; a single year under `least` pairs has no correlation.
+    `e` and `s` are (stock, month, value) of known values; growth of 3 or more in size does not count."""
+    x = _growth(e, "de", gaps).where("de is not null").select("stock", "month", "de")
+    y = _growth(s, "ds", gaps).withColumn("k", F.row_number().over(by("stock", order="month")))
+    j = as_of(x, y.select("stock", "month", "k"), "stock", "month", "month", ["k"]).where("matched is not null")
+    j = j.select("stock", "month", "de", F.col("matched")["k"].alias("_k"), F.explode(F.array(*map(F.lit, offsets))).alias("offset")).withColumn("k", F.col("_k") + F.col("offset"))
+    d = j.join(y.select("stock", "k", "ds"), ["stock", "k"]).where("abs(de) < 3 and abs(ds) < 3")
+    d = d.withColumn("year", F.explode(F.array(F.lit(0), F.year("month")))).where(F.col("year").isin(0, *years))
+    d = spread_rank(spread_rank(d, "de", "_a", "offset", "year"), "ds", "_b", "offset", "year")
+    out = d.groupBy("offset", "year").agg(F.count("*").alias("n"), F.corr("_a", "_b").alias("_r"), F.median("de").alias("median"))
+    return out.select("offset", "year", "n", F.when((F.col("year") == 0) | (F.col("n") >= least), F.col("_r")).alias("spearman"), "median")
+
+
+def field_coverage(months: DataFrame, statics: DataFrame, fields: list[str]) -> DataFrame:
+    """DG2: how far classification fields cover groups of stock-months: (group, field, n_stocks, share_stocks, share_months,
+    vw_share), the last by cap in the last December. `months` has (stock, month, market_cap, groups), groups as an array."""
+    last = months.where(F.month("month") == 12).agg(F.max("month").alias("_last"))
+    m = months.join(F.broadcast(last), F.col("month") == F.col("_last"), "left").select("stock", F.explode("groups").alias("group"), F.when(F.col("_last").isNotNull(), F.col("market_cap")).alias("_cap"))
+    one = m.groupBy("group", "stock").agg(F.count("*").alias("_n"), F.sum("_cap").alias("_cap")).join(statics.select("stock", *fields), "stock", "left")
+    cells = F.explode(F.array(*[F.struct(F.lit(c).alias("field"), F.col(c).isNotNull().alias("has")) for c in fields]))
+    x = one.select("group", "_n", "_cap", cells.alias("_f")).select("group", "_n", "_cap", "_f.*")
+    has = F.col("has").cast("int")
+    return x.groupBy("group", "field").agg(F.count("*").alias("n_stocks"), F.avg(has).alias("share_stocks"), (F.sum(has * F.col("_n")) / F.sum("_n")).alias("share_months"), F.try_divide(F.sum(has * F.coalesce("_cap", F.lit(0.0))), F.sum("_cap")).alias("vw_share"))
+
+
+def category_counts(months: DataFrame, statics: DataFrame, field: str) -> DataFrame:
+    """DG2: distinct stocks of each group in each category of a field, those without one under (missing)."""
+    s = months.select("stock", F.explode("groups").alias("group")).distinct().join(statics.select("stock", field), "stock", "left")
+    return s.groupBy("group", F.coalesce(field, F.lit("(missing)")).alias("category")).agg(F.count("*").alias("stocks"))
+
+
 def relations(df: DataFrame, rules: list[tuple[str, str, str, str, float]]) -> DataFrame:
     """QC19: rules (name, kind, left, right, tolerance) over one row's columns, as SQL expressions. Kinds: identity, le,
     compare. For each rule: rows that it covers, violations, median ratio, share within 5 %, rank correlation."""
     cells = [F.struct(F.lit(n).alias("rule"), F.lit(k).alias("kind"), F.expr(a).cast("double").alias("l"), F.expr(b).cast("double").alias("r"), F.lit(t).alias("t")) for n, k, a, b, t in rules]
     x = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("l is not null and r is not null")
     off = F.when(F.col("kind") == "identity", F.abs(F.col("l") - F.col("r")) > F.col("t") * F.abs("r")).when(F.col("kind") == "le", F.col("l") > F.col("r") * (1 + F.col("t")))
-    x = x.withColumns({"off": off, "ratio": F.try_divide("l", "r"), "_a": average_rank("l", "rule"), "_b": average_rank("r", "rule")})
+    x = x.withColumns({"off": off, "ratio": F.try_divide("l", "r")})
+    x = spread_rank(spread_rank(x, "l", "_a", "rule"), "r", "_b", "rule")
     return x.groupBy("rule").agg(F.count("*").alias("n"), F.avg(F.col("off").cast("int")).alias("violations"), F.median("ratio").alias("median_ratio"), F.avg((F.abs(F.col("ratio") - 1) <= 0.05).cast("int")).alias("within"), F.corr("_a", "_b").alias("spearman"))
 
 

@@ -109,6 +109,28 @@ def emission_values(snaps: DataFrame, sales: DataFrame) -> DataFrame:
     return out.withColumn("growth", F.when(ok, log_of(F.col("emission")) - F.log(m["emission"]))).drop("matched", "_until")
 
 
+def report_events(wide: DataFrame, uni: DataFrame, items: list[str], nonneg: list[str] = (), stated: DataFrame | None = None) -> DataFrame:
+    """AP7: all report snapshots of the universe's firms, without an availability lag, with the items of the previous report
+    (9 months or more before) and the fiscal year end."""
+    known = wide.join(uni.select("stock").distinct(), "stock", "left_semi").select("stock", "month", *items)
+    return fiscal_year_end(add_previous(report_snapshots(drop_negatives(known, list(nonneg)), items), items), stated)
+
+
+def availability_groups(wide: DataFrame, reported: list[str], scopes: list[str], estimate: str) -> DataFrame:
+    """EC2: rows with some value, and which kind: any reported item, all scopes, estimated, either, only estimated."""
+    has = lambda c: F.col(c).isNotNull()
+    some, full = reduce(lambda a, b: a | b, map(has, reported)), reduce(lambda a, b: a & b, map(has, scopes))
+    w = wide.where(some | full | has(estimate))
+    return w.withColumns({"any_reported": some, "scope12_reported": full, "estimated": has(estimate), "reported_or_estimated": some | has(estimate), "estimated_only": has(estimate) & ~some})
+
+
+def patched_ids(filtered: DataFrame, full: DataFrame, ids: list[str]) -> DataFrame:
+    """EC16: company ids that the filtered statics lack, from the unfiltered ones; a line's first row there counts."""
+    source = full.groupBy("stock").agg(*[F.min(c).alias(f"_{c}") for c in ids])
+    out = filtered.join(source, "stock", "left")
+    return out.withColumns({c: F.coalesce(c, f"_{c}") if c in filtered.columns else F.col(f"_{c}") for c in ids}).drop(*[f"_{c}" for c in ids])
+
+
 def emission_coverage(df: DataFrame, month: int = 12) -> DataFrame:
     """EM7: each year's chosen month: stocks, reported, any; equally- and cap-weighted shares."""
     d = df.where(F.month("month") == month)

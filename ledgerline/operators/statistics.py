@@ -38,6 +38,89 @@ def hac_mean(df: DataFrame, series: str, order: str, value: str, lags: int) -> D
     return out.withColumn("t", F.try_divide("mean", "se"))
 
 
+def standardize(df: DataFrame, columns: list[str], key: str = "month") -> DataFrame:
+    """AP2: each column less its mean over its standard deviation within the key; null where it does not vary."""
+    s = df.groupBy(key).agg(*[F.struct(F.avg(c).alias("m"), F.stddev_samp(c).alias("s")).alias(f"_{c}") for c in columns])
+    out = df.join(s, key).withColumns({c: F.try_divide(F.col(c) - F.col(f"_{c}")["m"], F.col(f"_{c}")["s"]) for c in columns})
+    return out.drop(*[f"_{c}" for c in columns])
+
+
+def _solve(df: DataFrame, size: int, matrix, right, name) -> DataFrame:
+    """Columns name(0), name(1), ... with the solution of each row's symmetric equations, by elimination on columns.
+
+    `matrix(i, j)` and `right(i)` give the columns of the system. A pivot that falls under 1e-10 of its first value means
+    that the regressors are collinear: all of the row's solution is null."""
+    a = lambda i, j: f"_s{i}_{j}"
+    df = df.withColumns({a(i, j): right(i) if j == size else matrix(i, j) for i in range(size) for j in range(i, size + 1)})
+    df = df.withColumns({f"_d{i}": F.col(a(i, i)) for i in range(size)})
+    for p in range(size):
+        df = df.withColumn(a(p, p), F.when(F.col(a(p, p)) > 1e-10 * F.col(f"_d{p}"), F.col(a(p, p))))
+        later = [(i, j) for i in range(p + 1, size) for j in range(i, size + 1)]
+        df = df.withColumns({a(i, j): F.col(a(i, j)) - F.col(a(p, i)) * F.col(a(p, j)) / F.col(a(p, p)) for i, j in later})
+    for i in reversed(range(size)):
+        known = sum((F.col(a(i, j)) * F.col(name(j)) for j in range(i + 1, size)), F.lit(0.0))
+        df = df.withColumn(name(i), (F.col(a(i, size)) - known) / F.col(a(i, i)))
+    return df.drop(*[a(i, j) for i in range(size) for j in range(i, size + 1)], *[f"_d{i}" for i in range(size)])
+
+
+def grouped_ols(df: DataFrame, y: str, xs: list[str], key: str, least: int = 100) -> DataFrame:
+    """STAT1: least squares of y on a constant and any number of regressors in each group: (key, n, const, one column for
+    each regressor, r2). Rows with a missing value do not count; groups of under `least` rows go; collinear ones are null.
+
+    Only covariances leave the map side, so no group is collected; the equations are solved on columns of one row."""
+    names, k = [*xs, y], len(xs)
+    d = df.where(" and ".join(f"{c} is not null" for c in names))
+    cov = {f"_c{i}_{j}": F.covar_samp(names[i], names[j]) for i in range(k + 1) for j in range(i, k + 1)}
+    g = d.groupBy(key).agg(F.count("*").alias("n"), *[F.avg(c).alias(f"_m{i}") for i, c in enumerate(names)], *[c.alias(n) for n, c in cov.items()]).where(F.col("n") >= least)
+    g = _solve(g, k, lambda i, j: F.col(f"_c{i}_{j}"), lambda i: F.col(f"_c{i}_{k}"), lambda i: f"_b{i}")
+    const = sum((-F.col(f"_b{i}") * F.col(f"_m{i}") for i in range(k)), F.col(f"_m{k}"))
+    r2 = F.try_divide(sum((F.col(f"_b{i}") * F.col(f"_c{i}_{k}") for i in range(1, k)), F.col("_b0") * F.col(f"_c0_{k}")), f"_c{k}_{k}")
+    return g.select(key, "n", const.alias("const"), *[F.col(f"_b{i}").alias(x) for i, x in enumerate(xs)], r2.alias("r2"))
+
+
+def fama_macbeth(df: DataFrame, xs: list[str], y: str = "ret_next", least: int = 100, winsor: float = 0.01, scale: bool = True, lags: int = 6, start: str | None = None, end: str | None = None) -> tuple[DataFrame, DataFrame]:
+    """AP2: regressions of each month on winsorized and standardized regressors, and the mean of every coefficient with its
+    Newey-West t: (summary by series, coefficients by month). Rows with a missing value go first; the dates are inclusive."""
+    d = df.where(" and ".join(f"{c} is not null" for c in [*xs, y])).select("month", y, *xs)
+    if start is not None:
+        d = d.where(F.col("month") >= F.lit(start).cast("date"))
+    if end is not None:
+        d = d.where(F.col("month") <= F.lit(end).cast("date"))
+    d = winsorize(d, xs, winsor) if winsor else d
+    d = standardize(d, xs) if scale else d
+    coefs = grouped_ols(d, y, xs, "month", least)
+    return hac_mean(coefs.unpivot("month", ["const", *xs], "series", "v"), "series", "month", "v", lags), coefs
+
+
+def hac_ols(df: DataFrame, y: str, xs: list[str], series: str, order: str, lags: int) -> DataFrame:
+    """PF8: least squares of each series on several factors with Newey-West errors: (series, variable, n, coef, se, t).
+
+    The error of a coefficient is the long-run sum of residual times the part of its regressor that the others do not
+    explain, over that part's sum of squares; this equals the sandwich formula. Bartlett weights, no small-sample factor."""
+    names, k = ["const", *xs], len(xs) + 1
+    d = df.where(" and ".join(f"{c} is not null" for c in [y, *xs])).select(series, order, y, *xs).withColumn("const", F.lit(1.0))
+    every = [*names, y]
+    g = d.groupBy(series).agg(F.count("*").alias("n"), *[F.sum(F.col(every[i]) * F.col(every[j])).alias(f"_c{i}_{j}") for i in range(k) for j in range(i, k + 1)])
+    c = lambda i, j: F.col(f"_c{min(i, j)}_{max(i, j)}")
+    g = _solve(g, k, c, lambda i: c(i, k), lambda i: f"_b{i}")
+    for v in range(k):
+        rest = [i for i in range(k) if i != v]
+        g = _solve(g, k - 1, lambda i, j, rest=rest: c(rest[i], rest[j]), lambda i, rest=rest, v=v: c(rest[i], v), lambda i, rest=rest, v=v: f"_g{v}_{rest[i]}")
+    d = d.join(g.drop(*[f"_c{i}_{j}" for i in range(k) for j in range(i, k + 1)]), series)
+    residual = sum((-F.col(f"_b{i}") * F.col(names[i]) for i in range(k)), F.col(y))
+    own = [sum((-F.col(f"_g{v}_{i}") * F.col(names[i]) for i in range(k) if i != v), F.col(names[v])) for v in range(k)]
+    d = d.withColumns({"_e": residual, **{f"_x{v}": own[v] for v in range(k)}})
+    cells = F.explode(F.array(*[F.struct(F.lit(names[v]).alias("variable"), F.col(f"_b{v}").alias("coef"), (F.col("_e") * F.col(f"_x{v}")).alias("_u"), (F.col(f"_x{v}") * F.col(f"_x{v}")).alias("_q")) for v in range(k)]))
+    d = d.select(series, order, "n", cells.alias("_z")).select(series, order, "n", "_z.*")
+    w = by(series, "variable", order=order)
+    d = d.withColumns({f"_u{j}": F.col("_u") * F.lag("_u", j).over(w) for j in range(1, lags + 1)})
+    total = F.sum(F.col("_u") * F.col("_u"))
+    for j in range(1, lags + 1):
+        total = total + 2 * (1 - j / (lags + 1)) * F.coalesce(F.sum(f"_u{j}"), F.lit(0.0))
+    out = d.groupBy(series, "variable").agg(F.first("n").alias("n"), F.first("coef").alias("coef"), F.try_divide(F.sqrt(F.greatest(total, F.lit(0.0))), F.sum("_q")).alias("se"))
+    return out.withColumn("t", F.try_divide("coef", "se"))
+
+
 def sorts(df: DataFrame, char: str, ret: str, weight: str, bins: int = 10, least: int = 20, key: str = "month") -> DataFrame:
     """AP3: equally- and cap-weighted mean return of each bin of a characteristic."""
     d = df.where(f"{char} is not null and {ret} is not null and {weight} > 0").withColumn("bin", quantile_bin([char, "stock"], bins, key)).withColumn("_n", F.count("*").over(by(key))).where(F.col("_n") >= least)
@@ -64,6 +147,43 @@ def two_by_three(cells: DataFrame) -> DataFrame:
     return p.select("month", ((F.col("SL") + F.col("SM") + F.col("SH")) / 3 - (F.col("BL") + F.col("BM") + F.col("BH")) / 3).alias("smb"), ((F.col("SH") + F.col("BH")) / 2 - (F.col("SL") + F.col("BL")) / 2).alias("hml"))
 
 
+def june_characteristics(d: DataFrame) -> DataFrame:
+    """AP5: (stock, formation, market_cap, bm, op, inv) of each June: book equity on the cap of the December before,
+    profitability and asset growth, from rows with `characteristics`."""
+    december = d.where("month(month) = 12").select("stock", F.last_day(F.add_months("month", 6)).alias("month"), F.col("market_cap").alias("_dec"))
+    june = d.where("month(month) = 6 and market_cap > 0").join(december, ["stock", "month"], "left")
+    bm = F.when(F.col("equity") > 0, F.col("equity")) / F.when(F.col("_dec") > 0, F.col("_dec"))
+    return june.select("stock", F.year("month").alias("formation"), "market_cap", bm.alias("bm"), "op", F.col("ag").alias("inv"))
+
+
+def june_groups(df: DataFrame, reference: Column, chars: list[str], least: int = 50) -> DataFrame:
+    """AP5: (stock, formation, char, size, group) by breakpoints of the reference stocks: size S or B at their median, each
+    characteristic low, mid or high at their 30 and 70 % quantiles. Formations with fewer reference stocks go; a stock has a
+    row for each characteristic that it has."""
+    d = df.where("market_cap > 0").withColumn("_ref", reference).select("stock", "formation", "market_cap", "_ref", *chars)
+    size = d.where("_ref").groupBy("formation").agg(F.count("*").alias("_n"), F.percentile("market_cap", F.lit(0.5)).alias("_m")).where(F.col("_n") >= least)
+    long = d.unpivot(["stock", "formation", "market_cap", "_ref"], chars, "char", "value").where("value is not null")
+    cut = long.where("_ref").groupBy("formation", "char").agg(F.percentile("value", F.array(F.lit(0.3), F.lit(0.7))).alias("_q"))
+    j = long.join(size, "formation").join(cut, ["formation", "char"], "left")
+    group = F.when(F.col("value") <= F.col("_q")[0], "low").when(F.col("value") > F.col("_q")[1], "high").otherwise("mid")
+    return j.select("stock", "formation", "char", F.when(F.col("market_cap") <= F.col("_m"), "S").otherwise("B").alias("size"), group.alias("group"))
+
+
+def factors(monthly: DataFrame, groups: DataFrame, signs: dict[str, tuple[str, int]]) -> DataFrame:
+    """AP5: factors of each month from the value-weighted cells of all sorts; `signs` maps a characteristic to its factor's
+    name and to 1 (high less low) or -1. Each characteristic has its size factor too, and `smb` is their mean. Returns run
+    from July of the formation's year to next June; a missing cell leaves null."""
+    m = monthly.where("ret is not null and cap_lag > 0").withColumn("formation", F.year("month") - (F.month("month") <= 6).cast("int"))
+    cells = m.join(groups, ["stock", "formation"]).groupBy("month", "char", "size", "group").agg((F.sum(F.col("ret") * F.col("cap_lag")) / F.sum("cap_lag")).alias("v"))
+    at = lambda c, s, g: F.max(F.when((F.col("char") == c) & (F.col("size") == s) & (F.col("group") == g), F.col("v")))
+    out = {}
+    for char, (name, sign) in signs.items():
+        out[name] = sign * ((at(char, "S", "high") + at(char, "B", "high")) / 2 - (at(char, "S", "low") + at(char, "B", "low")) / 2)
+        out[f"smb_{char}"] = (at(char, "S", "low") + at(char, "S", "mid") + at(char, "S", "high")) / 3 - (at(char, "B", "low") + at(char, "B", "mid") + at(char, "B", "high")) / 3
+    f = cells.groupBy("month").agg(*[v.alias(k) for k, v in out.items()])
+    return f.withColumn("smb", sum((F.col(f"smb_{c}") for c in list(signs)[1:]), F.col(f"smb_{next(iter(signs))}")) / len(signs))
+
+
 def event_study(events: DataFrame, monthly: DataFrame, k_min: int, k_max: int, groups: int) -> DataFrame:
     """AP8: mean market-adjusted return of each signal group in the months around an event, and its running sum."""
     e = events.where("signal is not null").withColumn("_n", F.count("*").over(by("year"))).where(F.col("_n") >= 5 * groups)
@@ -75,10 +195,21 @@ def event_study(events: DataFrame, monthly: DataFrame, k_min: int, k_max: int, g
 
 
 def characteristics(d: DataFrame) -> DataFrame:
-    """DER5: next return, lagged and log cap, momentum of months 2 to 12, last return, book-to-market and asset growth."""
+    """DER5: next return, lagged and log cap, momentum of months 2 to 12, last return and book-to-market; where the columns are
+    there, also profitability (operating income less interest, a missing one as 0, on positive equity), asset growth on the
+    previous report and earnings yield."""
     w = by("stock", order="month")
     gap = lambda f: F.round(F.months_between(f("month", 1).over(w), F.col("month")))
     log_ret = F.log1p("ret")
+    book = F.when(F.col("equity") > 0, F.col("equity"))
+    more = {}
+    if "operating_income" in d.columns:
+        cost = F.coalesce("interest", F.lit(0.0)) if "interest" in d.columns else F.lit(0.0)
+        more["op"] = (F.col("operating_income") - cost) / book
+    if {"assets", "assets_prev"} <= set(d.columns):
+        more["ag"] = F.col("assets") / F.when(F.col("assets_prev") > 0, F.col("assets_prev")) - 1
+    if "net_income" in d.columns:
+        more["ep"] = F.try_divide("net_income", "market_cap")
     return d.withColumns(
         {
             "ret_next": F.when(gap(F.lead) == 1, F.lead("ret").over(w)),
@@ -88,6 +219,7 @@ def characteristics(d: DataFrame) -> DataFrame:
             "mom_12_2": F.expm1(full_frame(log_ret, F.sum, w, 11, -1)),
             "log_bm": F.when((F.col("equity") > 0) & (F.col("market_cap") > 0), F.log(F.col("equity") / F.col("market_cap"))),
         }
+        | more
     )
 
 

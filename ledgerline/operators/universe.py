@@ -111,3 +111,9 @@ def dividend_yield(monthly: DataFrame) -> DataFrame:
     part = F.greatest(F.col("ret") - F.col("retx"), F.lit(0.0))
     part = F.when(F.col("ret").isNotNull() & F.col("retx").isNotNull(), F.when(part <= 1e-10, 0.0).otherwise(part))
     return monthly.withColumn("_d", part).withColumn("dy_12m", full_frame(F.col("_d"), F.sum, by("stock", order="month"), 12)).drop("_d")
+
+
+def threshold_flags(df: DataFrame, rules: dict[str, float | tuple[float, float]]) -> DataFrame:
+    """PF16: each column as ok, CHECK or n/a by its rule: the least value, or a range with both ends."""
+    flag = lambda c, r: F.when(F.col(c).isNull() | F.isnan(c), "n/a").when(F.col(c).between(*r) if isinstance(r, tuple) else F.col(c) >= r, "ok").otherwise("CHECK")
+    return df.withColumns({c: flag(c, r) for c, r in rules.items()})

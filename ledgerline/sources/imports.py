@@ -143,3 +143,26 @@ def readable_names(df: DataFrame, names: dict[str, str], suffix: str = "_prev")
 def output_metrics(df: DataFrame, *keys: str) -> DataFrame:
     """SNK1: rows, firms, first and last month of an output, beside it as a one-row frame."""
     return df.agg(F.count("*").alias("rows"), F.count_distinct("stock").alias("stocks"), F.min("month").alias("first"), F.max("month").alias("last"), *[F.count(k).alias(f"n_{k}") for k in keys])
+
+
+def stack_files(spark, paths: list[str], pattern: str) -> DataFrame:
+    """SRC6: rows of all files under one schema (the union of theirs), with the part of the path that the pattern finds as `folder`."""
+    d = spark.read.option("mergeSchema", True).parquet(*paths)
+    return d.withColumn("folder", F.regexp_extract(F.col("_metadata.file_path"), pattern, 1))
+
+
+def registry(lines: DataFrame, schema: str) -> DataFrame:
+    """SRC21: rows of a registry, relations or pattern file given as text lines: comments (#) and empty lines go, cells that do
+    not fit the schema are null."""
+    t = lines.where(~F.ltrim("text").startswith("#") & (F.trim("text") != ""))
+    return t.select(F.from_csv("text", schema, {"mode": "PERMISSIVE", "ignoreLeadingWhiteSpace": "true", "ignoreTrailingWhiteSpace": "true"}).alias("_r")).select("_r.*")
+
+
+def survivor_statics(statics: DataFrame, panel: DataFrame) -> DataFrame:
+    """SRC27: statics of the stocks that have rows left in the panel."""
+    return statics.join(panel.select("stock").distinct(), "stock", "left_semi")
+
+
+def write_by_country(panel: DataFrame, path: str) -> None:
+    """SRC27: the panel as Parquet, one folder for each country; a hot country is spread over tasks by its stocks."""
+    panel.repartition("country", F.pmod(F.xxhash64("stock"), F.lit(64))).write.mode("overwrite").partitionBy("country").parquet(path)
