@@ -104,13 +104,13 @@ def exchange_warnings(report: DataFrame, venues: DataFrame, unknown_share: float
 
 
 def batches(ids: DataFrame, size: int, prefix: str) -> DataFrame:
-    """LST5: distinct ids in lists of `size`, in order of the id. The place of an id is its rank in its range partition and
-    the rows of the partitions before, so no task sees all of them."""
-    ordered = ids.select("stock").distinct().repartitionByRange("stock").sortWithinPartitions("stock").withColumn("_p", F.spark_partition_id())
-    sizes = ordered.groupBy("_p").count().withColumn("_one", F.lit(1))
-    begin = sizes.select("_p", (F.sum("count").over(by("_one", order="_p")) - F.col("count")).alias("_begin"))
-    at = F.row_number().over(by("_p", order="stock")) - 1
-    out = ordered.withColumn("_at", at).join(F.broadcast(begin), "_p").withColumn("_list", F.floor((F.col("_begin") + F.col("_at")) / size) + 1)
+    """LST5: distinct numeric ids in lists of `size`, in order of the id. The place of an id is its rank in its band (a function
+    of the id alone, so both branches agree) and the ids of the bands before; a band holds at most 100 lists."""
+    d = ids.select("stock").distinct().withColumn("_band", F.floor(F.col("stock") / (100 * size)))
+    sizes = d.groupBy("_band").agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
+    begin = sizes.select("_band", (F.sum("_n").over(by("_one", order="_band")) - F.col("_n")).alias("_begin"))
+    out = d.withColumn("_at", F.row_number().over(by("_band", order="stock")) - 1).join(begin, "_band")
+    out = out.withColumn("_list", F.floor((F.col("_begin") + F.col("_at")) / size) + 1)
     return out.select("stock", F.concat(F.lit(f"L#{prefix}"), F.lpad(F.col("_list").cast("string"), 3, "0")).alias("list"))
 
 

@@ -264,7 +264,10 @@ def src15(spark, sf_dir):
     return im.inventory(read(spark, sf_dir, "nation").select(F.col("n_name").alias("variable")), w, p).select("variable", "state")
 
 
-@query("src17_value_types", "SELECT * FROM (VALUES ('brand', 'text'), ('price', 'number'), ('shipped', 'date'), ('size', 'number')) t(variable, type)")
+@query("src17_value_types", """WITH c AS (SELECT unnest(['brand', 'price', 'size']) AS variable, unnest([CAST(p_brand AS VARCHAR), CAST(p_retailprice AS VARCHAR), CASE WHEN p_size % 5 = 0 THEN '#NA' ELSE CAST(p_size AS VARCHAR) END]) AS cell FROM part
+ UNION ALL SELECT 'shipped', CASE WHEN l_linenumber < 3 THEN 'unknown' ELSE CAST(CAST(l_shipdate AS DATE) AS VARCHAR) END FROM lineitem),
+ g AS (SELECT variable, avg(CAST(try_cast(cell AS DOUBLE) IS NOT NULL AS INT)) AS num, avg(CAST(try_cast(cell AS DATE) IS NOT NULL AS INT)) AS dat FROM c WHERE cell <> '#NA' GROUP BY 1)
+ SELECT variable, CASE WHEN num >= 0.5 THEN 'number' WHEN dat >= 0.5 THEN 'date' ELSE 'text' END AS type FROM g""")
 def src17(spark, sf_dir):
     p = read(spark, sf_dir, "part").select(F.explode(F.create_map(F.lit("brand"), "p_brand", F.lit("price"), F.col("p_retailprice").cast("string"), F.lit("size"), F.when(F.col("p_size") % 5 == 0, "#NA").otherwise(F.col("p_size").cast("string")))).alias("variable", "cell"))
     dates = read(spark, sf_dir, "lineitem").select(F.lit("shipped").alias("variable"), F.when(F.col("l_linenumber") < 3, "unknown").otherwise(F.col("l_shipdate").cast("date").cast("string")).alias("cell"))

@@ -116,13 +116,13 @@ def src20(spark, sf_dir):
     return daily_panel(spark, sf_dir).select("stock", "date", "close").join(F.broadcast(keep), "stock")
 
 
-@query("src26_market_country", "SELECT n_name AS market, CASE WHEN n_nationkey % 6 = 0 THEN 'ALIAS_' || n_nationkey WHEN n_nationkey % 6 <> 5 THEN n_name END AS country FROM nation WHERE n_nationkey % 6 <> 5")
+@query("src26_market_country", "WITH i AS (SELECT c_custkey AS id, 'INDEX OF ' || n_name AS market, n_name AS word FROM customer JOIN nation ON c_nationkey = n_nationkey), a AS (SELECT n_name AS word, CASE WHEN n_nationkey % 6 = 0 THEN 'ALIAS_' || n_nationkey WHEN n_nationkey % 6 <> 5 THEN n_name END AS country FROM nation WHERE n_nationkey % 6 <> 5) SELECT id, market, country FROM i JOIN a USING (word)")
 def src26(spark, sf_dir):
-    """Country of an index name by its last word, through aliases; names of no country go."""
+    """Country of each index line by the last word of its name, through aliases; names of no country go."""
     n, k = read(spark, sf_dir, "nation"), F.col("n_nationkey")
-    names = n.select(F.col("n_name").alias("market"), F.concat(F.lit("INDEX OF "), "n_name").alias("column"))
+    lines = read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == k).select(F.col("c_custkey").alias("id"), F.concat(F.lit("INDEX OF "), "n_name").alias("market"))
     aliases = n.where(k % 6 != 5).select(F.col("n_name").alias("word"), F.when(k % 6 == 0, F.concat(F.lit("ALIAS_"), k.cast("string"))).otherwise(F.col("n_name")).alias("country"))
-    return names.withColumn("word", F.element_at(F.split("column", " "), -1)).join(F.broadcast(aliases), "word").select("market", "country")
+    return lines.withColumn("word", F.element_at(F.split("market", " "), -1)).join(aliases, "word").select("id", "market", "country")
 
 
 @query("dg3_january_growth", f"{LONG_SQL} SELECT variable, year(month) AS year, count(*) AS n, round(median(CASE WHEN value > 0 AND prev > 0 THEN ln(value / prev) END), 7) AS median_growth FROM ch WHERE month(month) = 1 GROUP BY 1, 2")
