@@ -61,8 +61,13 @@ def without_index(panel: DataFrame) -> DataFrame:
     return _without_stocks(panel, panel.groupBy("stock").agg(F.count("return_index").alias("n")).where("n = 0"))
 
 
-def short_history(panel: DataFrame, rows: int = 120) -> DataFrame:
-    """keep stocks with so many rows, or whose first row is less than so many days before the panel's last."""
+def short_history(panel: DataFrame, rows: int = 120, key: str | None = None) -> DataFrame:
+    """keep stocks with so many rows, or whose first row is less than so many days before the panel's last (that of their
+    own group, if a key of the stock is given)."""
+    if key is not None:
+        s = panel.groupBy(key, "stock").agg(F.count("*").alias("n"), F.min("date").alias("first"), F.max("date").alias("_end"))
+        keep = s.join(s.groupBy(key).agg(F.max("_end").alias("last")), key).where((F.col("n") >= rows) | (F.date_diff("last", "first") < rows))
+        return panel.join(keep.select("stock"), "stock", "left_semi")
     s = panel.groupBy("stock").agg(F.count("*").alias("n"), F.min("date").alias("first"))
     last = panel.agg(F.max("date").alias("last"))
     keep = s.join(F.broadcast(last)).where((F.col("n") >= rows) | (F.date_diff("last", "first") < rows))
@@ -97,8 +102,12 @@ def outlier_pairs(panel: DataFrame, up: float = 1.0, down: float = -0.5, method:
     return p.where(~F.col("_bad")).drop("_pair", "_bad")
 
 
-def holidays(panel: DataFrame, share: float = 0.005) -> DataFrame:
-    """F16: keep dates on which so large a share of all stocks has a return other than zero."""
+def holidays(panel: DataFrame, share: float = 0.005, key: str | None = None) -> DataFrame:
+    """F16: keep dates on which so large a share of all stocks (of each group, if a key is given) has a return other than zero."""
+    if key is not None:
+        stocks = panel.groupBy(key).agg(F.count_distinct("stock").alias("all"))
+        days = panel.groupBy(key, "date").agg(F.count_if(F.col("ret") != 0).alias("n")).join(stocks, key).where(F.col("n") >= share * F.col("all"))
+        return panel.join(days.select(key, "date"), [key, "date"], "left_semi")
     stocks = panel.agg(F.count_distinct("stock").alias("all"))
     days = panel.groupBy("date").agg(F.count_if(F.col("ret") != 0).alias("n")).join(F.broadcast(stocks)).where(F.col("n") >= share * F.col("all"))
     return panel.join(days.select("date"), "date", "left_semi")
@@ -122,16 +131,47 @@ def nonsense_prices(panel: DataFrame) -> DataFrame:
     return panel.where(~_false(F.col("unadj_close") <= 0))
 
 
-def penny_stocks(panel: DataFrame, quantile: float) -> DataFrame:
+def penny_stocks(panel: DataFrame, quantile: float, column: str = "unadj_close", *keys: str) -> DataFrame:
     """drop a stock's month if its last price of the previous observed month is under the month's quantile,
-    taken over the month's daily rows; months without a previous one stay."""
-    last = panel.groupBy("stock", F.last_day("date").alias("_month")).agg(F.max_by("unadj_close", F.when(F.col("unadj_close").isNotNull(), F.col("date"))).alias("_last"), F.count("*").alias("_n"))
+    taken over the month's daily rows (of each group, if keys of the stock are given); months without a previous one stay."""
+    last = panel.groupBy("stock", *keys, F.last_day("date").alias("_month")).agg(F.max_by(column, F.when(F.col(column).isNotNull(), F.col("date"))).alias("_last"), F.count("*").alias("_n"))
     last = last.withColumn("_prev", F.lag("_last").over(by("stock", order="_month")))
-    cut = panel.select("stock", F.last_day("date").alias("_month")).join(last, ["stock", "_month"]).groupBy("_month").agg(F.percentile("_prev", F.lit(quantile)).alias("_cut"))
-    bad = last.join(cut, "_month").where("_prev < _cut").select("stock", "_month")
+    cut = panel.select("stock", F.last_day("date").alias("_month")).join(last, ["stock", "_month"]).groupBy("_month", *keys).agg(F.percentile("_prev", F.lit(quantile)).alias("_cut"))
+    bad = last.join(cut, ["_month", *keys]).where("_prev < _cut").select("stock", "_month")
     return panel.withColumn("_month", F.last_day("date")).join(bad, ["stock", "_month"], "left_anti").drop("_month")
 
 
+def country_minimum(panel: DataFrame, least: int = 20) -> DataFrame:
+    """F6 on a panel: keep countries with so many distinct stocks."""
+    big = panel.groupBy("country").agg(F.count_distinct("stock").alias("n")).where(F.col("n") >= least)
+    return panel.join(big.select("country"), "country", "left_semi")
+
+
+def european_order(
+    panel: DataFrame, delistings: DataFrame, *, after: str, until: str, least: int = 20, one_sign: float = 0.98, keep: int = 9, history: int = 120, zero: float = 0.95, run: int = 30, high: float = 0.4, low: float = 1e-6,
+    up: float = 1.0, down: float = -0.5, active: float = 0.005, gap: float = 0.05, delisting: float | None = -0.35, penny: float = 0.05,
+) -> DataFrame:
+    """FO10: all screens of a panel of many countries in their order, in one plan. `country` is a key wherever a screen looks
+    beyond one stock (number of stocks, last date, holidays, penny quantile), so no country is a loop. Screens read the local
+    return; the euro index runs beside it, takes the same delisting return, and euro prices decide the penny screen."""
+    w = _stock()
+    local, euro = (F.when(F.col(c) >= 1e-6, F.col(c)) for c in ("return_index", "return_index_eur"))
+    p = panel.withColumns({"return_index": local, "return_index_eur": euro})
+    p = p.withColumns({"ret": F.try_divide("return_index", F.lag("return_index").over(w)) - 1, "ret_eur": F.try_divide("return_index_eur", F.lag("return_index_eur").over(w)) - 1})
+    # Verdicts on stocks are windows here: a join for each would read the plan so far twice, and again at every further step.
+    own = by("stock")
+    rule = lambda d, bad: d.withColumn("_bad", _false(bad)).where("not _bad").drop("_bad")
+    rising = F.avg(F.when(F.col("ret") != 0, (F.col("ret") > 0).cast("double"))).over(own)
+    p = p.transform(rule, F.count("return_index").over(own) == 0).transform(country_minimum, least).transform(rule, (rising > one_sign) | (1 - rising > one_sign))
+    p = p.transform(padded_tail, delistings, keep).drop("delisting_date").transform(short_history, history, "country").transform(rule, F.avg(_false(F.col("ret") == 0).cast("double")).over(own) > zero)
+    p = p.transform(stale_prices, "return_index", run).transform(rule, F.stddev_samp("ret").over(own) > high).transform(rule, F.stddev_samp("ret").over(own) < low).transform(outlier_pairs, up, down)
+    p = p.transform(holidays, active, "country").transform(adjustment_gaps, gap).transform(nonsense_prices).transform(implausible_prices).transform(no_trading)
+    fill = ["open", "high", "low", "close", "return_index", "return_index_eur", "adj_factor", "unadj_close", "unadj_close_eur"]
+    p = p.transform(handle_missing, fill, ["return_index", "return_index_eur", "unadj_close"]).transform(delisting_return, delistings, delisting)
+    p = p if delisting is None else p.transform(scale_flagged, "return_index_eur", delisting)
+    return p.transform(penny_stocks, penny, "unadj_close_eur", "country").transform(period, after, until)
+
+
 def implausible_prices(panel: DataFrame) -> DataFrame:
     """FO1: high is the highest and low the lowest of the day's prices, where known."""
     top, bottom = F.greatest("open", "close", "low"), F.least("open", "close", "high")

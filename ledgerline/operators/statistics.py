@@ -249,8 +249,9 @@ def edge_spread(panel: DataFrame, window: int = 21) -> DataFrame:
         """Window means of x and x**2 from row-level products: x is a sum of four terms (constant, product)."""
         terms = [(c("_a"), c("_r1") * c(first)), (-c("_a") * c("_g1"), c("_t") * c(first)), (c("_b"), c(f"_r{second}") * c("_r4")), (-c("_b") * c(f"_g{second}"), c("_t") * c("_r4"))]
         one = sum((k * mean(v) for k, v in terms[1:]), terms[0][0] * mean(terms[0][1]))
-        pairs = [(i, j) for i in range(4) for j in range(4)]
-        two = sum((terms[i][0] * terms[j][0] * mean(terms[i][1] * terms[j][1]) for i, j in pairs[1:]), terms[0][0] * terms[0][0] * mean(terms[0][1] * terms[0][1]))
+        # Each product of two different terms stands twice in the square.
+        pairs = [(i, j) for i in range(4) for j in range(i, 4)]
+        two = sum(((1 if i == j else 2) * terms[i][0] * terms[j][0] * mean(terms[i][1] * terms[j][1]) for i, j in pairs[1:]), terms[0][0] * terms[0][0] * mean(terms[0][1] * terms[0][1]))
         return one, two
 
     e1, s1 = moments("_r2", 3)

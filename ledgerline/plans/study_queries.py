@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 from ledgerline.functions.dates import add_months, months_between
 from ledgerline.functions.frames import by
 from ledgerline.operators import checks as q
+from ledgerline.operators import filters as fl
 from ledgerline.operators import pit
 from ledgerline.operators import statistics as st
 from ledgerline.operators import universe as u
@@ -376,8 +377,42 @@ def src21(spark, sf_dir):
 @query("src27_survivor_statics", f"{PANEL_SQL} SELECT stock, ename, country FROM statics WHERE stock IN (SELECT stock FROM panel WHERE unadj_close > 0 GROUP BY stock HAVING count(*) >= 20 AND stddev_samp(ret) <= 0.0375)")
 def src27(spark, sf_dir):
     """Statics of the stocks that a screened panel still has."""
-    from ledgerline.operators import filters as f
-
-    p = f.high_volatility(f.nonsense_prices(daily_panel(spark, sf_dir)), 0.0375)
+    p = fl.high_volatility(fl.nonsense_prices(daily_panel(spark, sf_dir)), 0.0375)
     p = p.join(p.groupBy("stock").count().where("count >= 20"), "stock", "left_semi")
     return im.survivor_statics(statics(spark, sf_dir), p).select("stock", "ename", "country")
+
+
+def _drop_stocks(name, source, condition):
+    return f"{name} AS (SELECT * FROM {source} WHERE stock NOT IN (SELECT stock FROM {source} GROUP BY stock HAVING {condition}))"
+
+
+_RUN = "return_index IS NULL OR NOT coalesce(return_index = lag(return_index) OVER (PARTITION BY stock ORDER BY date), false)"
+
+
+@query("fo10_european_order", f"""{PANEL_SQL}, x0 AS (SELECT p.* EXCLUDE (ret, unadj_close), country, round(return_index * (1 + month(date) / 100), 6) AS return_index_eur, CASE WHEN day(date) % 13 > 0 THEN unadj_close END AS unadj_close, unadj_close * 0.9 AS unadj_close_eur FROM panel p JOIN statics USING (stock)),
+ x1 AS (SELECT *, return_index / lag(return_index) OVER w - 1 AS ret, return_index_eur / lag(return_index_eur) OVER w - 1 AS ret_eur FROM x0 WINDOW w AS (PARTITION BY stock ORDER BY date)),
+ x2 AS (SELECT * FROM x1 WHERE country IN (SELECT country FROM x1 GROUP BY country HAVING count(DISTINCT stock) >= 3)),
+ {_drop_stocks("x3", "x2", "avg(CAST(ret > 0 AS INT)) FILTER (ret <> 0) > 0.7 OR 1 - avg(CAST(ret > 0 AS INT)) FILTER (ret <> 0) > 0.7")},
+ p1 AS (SELECT x3.*, delisting_date, max(CASE WHEN coalesce(ret, 0) <> 0 THEN date END) OVER (PARTITION BY stock) AS live FROM x3 JOIN delistings USING (stock) WHERE delisting_date IS NULL OR date <= delisting_date),
+ p2 AS (SELECT *, sum(CAST(live IS NULL OR date > live AS INT)) OVER (PARTITION BY stock ORDER BY date ROWS UNBOUNDED PRECEDING) AS tail FROM p1), x4 AS (SELECT * EXCLUDE (delisting_date, live, tail) FROM p2 WHERE NOT (live IS NULL OR date > live) OR tail <= 9 OR delisting_date IS NULL),
+ cl AS (SELECT country, max(date) AS last FROM x4 GROUP BY 1), x5 AS (SELECT * FROM x4 WHERE stock IN (SELECT stock FROM x4 JOIN cl USING (country) GROUP BY stock HAVING count(*) >= 200 OR date_diff('day', min(date), any_value(last)) < 200)),
+ {_drop_stocks("x6", "x5", "avg(CAST(coalesce(ret = 0, false) AS INT)) > 0.3")},
+ r1 AS (SELECT *, {_RUN} AS fresh FROM x6), r2 AS (SELECT *, sum(CAST(fresh AS INT)) OVER (PARTITION BY stock ORDER BY date ROWS UNBOUNDED PRECEDING) AS run FROM r1), r3 AS (SELECT *, row_number() OVER (PARTITION BY stock, run ORDER BY date) AS place FROM r2), x7 AS (SELECT * EXCLUDE (fresh, run, place) FROM r3 WHERE place <= 3),
+ {_drop_stocks("x8", "x7", "stddev_samp(ret) > 0.0375")}, {_drop_stocks("x9", "x8", "stddev_samp(ret) < 1e-6")},
+ o1 AS (SELECT *, coalesce((ret > 0.06 AND lead(ret) OVER w < -0.04) OR (ret < -0.04 AND lead(ret) OVER w > 0.06), false) AS pair FROM x9 WINDOW w AS (PARTITION BY stock ORDER BY date)), o2 AS (SELECT *, pair OR coalesce(lag(pair) OVER (PARTITION BY stock ORDER BY date), false) AS bad FROM o1), x10 AS (SELECT * EXCLUDE (pair, bad) FROM o2 WHERE NOT bad),
+ hs AS (SELECT country, count(DISTINCT stock) AS n FROM x10 GROUP BY 1), hd AS (SELECT country, date FROM x10 JOIN hs USING (country) GROUP BY country, date, n HAVING count(*) FILTER (ret <> 0) >= 0.3 * n), x11 AS (SELECT x10.* FROM x10 SEMI JOIN hd USING (country, date)),
+ x12 AS (SELECT * FROM x11 WHERE NOT coalesce(abs(close - unadj_close * adj_factor) / nullif(unadj_close * adj_factor, 0) > 0.06, false)), x13 AS (SELECT * FROM x12 WHERE NOT coalesce(unadj_close <= 0, false) AND NOT coalesce(high < greatest(open, close, low), false) AND NOT coalesce(low > least(open, close, high), false)),
+ t1 AS (SELECT *, coalesce(high = lag(high) OVER w AND low = lag(low) OVER w AND volume = lag(volume) OVER w, false) AS same FROM x13 WINDOW w AS (PARTITION BY stock ORDER BY date)), x14 AS (SELECT * EXCLUDE (same) FROM t1 WHERE NOT same),
+ m1 AS (SELECT *, min(CASE WHEN unadj_close IS NOT NULL THEN date END) OVER (PARTITION BY stock) AS ready FROM x14), x15 AS (SELECT * EXCLUDE (ready, unadj_close), last_value(unadj_close IGNORE NULLS) OVER (PARTITION BY stock ORDER BY date ROWS UNBOUNDED PRECEDING) AS unadj_close FROM m1 WHERE date >= ready),
+ l1 AS (SELECT x15.*, row_number() OVER (PARTITION BY stock ORDER BY date DESC) = 1 AND delisting_date IS NOT NULL AS gone FROM x15 LEFT JOIN delistings USING (stock)),
+ x16 AS (SELECT stock, date, country, unadj_close, unadj_close_eur, gone, CASE WHEN gone THEN (1 + coalesce(ret, 0)) * (1 - 0.35) - 1 ELSE ret END AS ret, CASE WHEN gone THEN return_index_eur * (1 - 0.35) ELSE return_index_eur END AS return_index_eur FROM l1),
+ pm AS (SELECT stock, country, last_day(date) AS month, arg_max(unadj_close_eur, date) AS v FROM x16 GROUP BY 1, 2, 3), pv AS (SELECT *, lag(v) OVER (PARTITION BY stock ORDER BY month) AS prev FROM pm), pc AS (SELECT pv.country, pv.month, quantile_cont(prev, 0.1) AS cut FROM x16 JOIN pv ON pv.stock = x16.stock AND pv.month = last_day(x16.date) GROUP BY 1, 2),
+ pb AS (SELECT stock, pv.month FROM pv JOIN pc ON pc.country = pv.country AND pc.month = pv.month WHERE prev < cut)
+ SELECT stock, date, country, gone AS delisted, round(ret, 8) AS ret, round(return_index_eur + 1e-9, 6) AS return_index_eur, round(unadj_close, 6) AS unadj_close FROM x16 WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.stock = x16.stock AND pb.month = last_day(x16.date)) AND date > DATE '1992-06-30' AND date <= DATE '1998-06-30'""")
+def fo10(spark, sf_dir):
+    """All screens of the panel of many countries, local and euro series side by side."""
+    p = daily_panel(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
+    p = p.withColumns({"return_index_eur": F.round(F.col("return_index") * (1 + F.month("date") / 100), 6), "unadj_close_eur": F.col("unadj_close") * 0.9, "unadj_close": F.when(F.dayofmonth("date") % 13 > 0, F.col("unadj_close"))})
+    out = fl.european_order(p, delistings(daily_panel(spark, sf_dir)), after="1992-06-30", until="1998-06-30", least=3, one_sign=0.7, history=200, zero=0.3, run=3, high=0.0375, up=0.06, down=-0.04, active=0.3, gap=0.06, penny=0.1)
+    # The index has six digits by its making: products of it are moved off rounding ties.
+    return _r(_r(out.withColumn("return_index_eur", F.col("return_index_eur") + 1e-9), 8, "ret"), 6, "return_index_eur", "unadj_close").select("stock", "date", "country", "delisted", "ret", "return_index_eur", "unadj_close")

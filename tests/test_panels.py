@@ -236,3 +236,71 @@ def test_results_do_not_depend_on_partitions(spark, data):
     spark.conf.set("spark.sql.shuffle.partitions", before)
     for a, b in zip(*out, strict=True):
         same_rows(a, b)
+
+
+def test_many_regressors_equal_least_squares(spark):
+    rng = np.random.default_rng(3)
+    d = pd.DataFrame(rng.normal(size=(400, 4)), columns=["a", "b", "c", "e"])
+    d["g"] = np.repeat(["x", "y"], 200)
+    d["y"] = 0.5 + d.a - 2 * d.b + 0.1 * d.c + d.e
+    d.loc[3, "b"] = np.nan
+    d["twin"] = 2 * d.a
+    s = spark.createDataFrame(d.astype(object).where(d.notna(), None), "a double, b double, c double, e double, g string, y double, twin double")
+    got = {r.g: r for r in statistics.grouped_ols(s, "y", ["a", "b", "c"], "g", 100).collect()}
+    for g, part in d.dropna().groupby("g"):
+        x = np.column_stack([np.ones(len(part)), part[["a", "b", "c"]]])
+        beta, *_ = np.linalg.lstsq(x, part.y, rcond=None)
+        r = got[g]
+        assert r.n == len(part) and [r.const, r.a, r.b, r.c] == pytest.approx(list(beta))
+        assert r.r2 == pytest.approx(1 - (part.y - x @ beta).var(ddof=0) / part.y.var(ddof=0))
+    assert all(r.a is None and r.r2 is None for r in statistics.grouped_ols(s, "y", ["a", "twin"], "g", 100).collect())
+    assert statistics.grouped_ols(s, "y", ["a"], "g", 201).count() == 0
+
+
+def test_factor_errors_equal_the_sandwich(spark):
+    rng = np.random.default_rng(4)
+    n, lags = 90, 4
+    d = pd.DataFrame({"s": "one", "t": range(n), "m": rng.normal(size=n), "h": rng.normal(size=n)})
+    d["y"] = 0.1 + d.m + 0.3 * d.h + np.convolve(rng.normal(size=n + 2), [1, 0.6, 0.3])[2 : n + 2]
+    x = np.column_stack([np.ones(n), d.m, d.h])
+    inv = np.linalg.inv(x.T @ x)
+    beta = inv @ x.T @ d.y
+    u = x * (d.y - x @ beta).to_numpy()[:, None]
+    s = u.T @ u
+    for k in range(1, lags + 1):
+        c = u[k:].T @ u[:-k]
+        s += (1 - k / (lags + 1)) * (c + c.T)
+    se = np.sqrt(np.diag(inv @ s @ inv))
+    got = {r.variable: r for r in statistics.hac_ols(spark.createDataFrame(d), "y", ["m", "h"], "s", "t", lags).collect()}
+    for at, v in enumerate(["const", "m", "h"]):
+        assert (got[v].coef, got[v].se, got[v].n) == (pytest.approx(beta[at]), pytest.approx(se[at]), n)
+
+
+def test_spread_rank_equals_average_rank(spark):
+    rng = np.random.default_rng(5)
+    d = pd.DataFrame({"g": rng.integers(0, 3, 500), "v": np.concatenate([np.zeros(150), rng.normal(size=250).round(1), rng.lognormal(8, 4, 100)])})
+    got = frames.spread_rank(spark.createDataFrame(d), "v", "r", "g").toPandas().sort_values(["g", "v"])
+    want = d.assign(r=d.groupby("g").v.rank()).sort_values(["g", "v"])
+    assert list(got.r) == list(want.r)
+
+
+def test_padding_beside_the_life(spark):
+    month = lambda k: (pd.Timestamp("2000-01-31") + pd.offsets.MonthEnd(k)).date()
+    p = spark.createDataFrame([("v", 1, month(k), 5.0) for k in range(20)] + [("v", 2, month(k), 0.0) for k in range(4)], "variable string, stock long, month date, value double")
+    uni = spark.createDataFrame([(1, month(k)) for k in range(2, 6)] + [(2, month(k)) for k in range(30)], "stock long, month date")
+    life = spark.createDataFrame([(1, month(2), month(5), month(6)), (2, month(0), month(29), None)], "stock long, first_price date, last_price date, delisting_date date")
+    r = checks.padding_and_staleness(p, uni, life, 3).first()
+    assert (r.matched, r.dead_padded, r.after_last_price, r.before_first_price, r.after_delisting) == (24, 1.0, 14 / 24, 2 / 24, 13 / 24)
+    assert (r.stale, r.stale_trading, r.zero_runs_trading, r.firms_stale) == (17 / 24, 3 / 8, 1 / 8, 0.5)
+
+
+def test_files_and_registry(spark, tmp_path):
+    a, b = f"{tmp_path}/007/part", f"{tmp_path}/012/part"
+    spark.createDataFrame([(1, "x")], "code long, name string").write.parquet(a)
+    spark.createDataFrame([(2, 3.0)], "code long, extra double").write.parquet(b)
+    got = {(r.folder, r.code, r.name, r.extra) for r in imports.stack_files(spark, [a, b], r"/(\d+)/part").collect()}
+    assert got == {("007", 1, "x", None), ("012", 2, None, 3.0)}
+    lines = spark.createDataFrame([("# note",), ("",), ("A, b ,3",), ("C,d,x",)], "text string")
+    assert [tuple(r) for r in imports.registry(lines, "code string, label string, scale int").collect()] == [("A", "b", 3), ("C", "d", None)]
+    imports.write_by_country(spark.createDataFrame([(1, "X"), (2, "Y")], "stock long, country string"), f"{tmp_path}/out")
+    assert {r.stock for r in spark.read.parquet(f"{tmp_path}/out").where("country = 'Y'").collect()} == {2}
