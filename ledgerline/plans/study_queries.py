@@ -408,11 +408,12 @@ _RUN = "return_index IS NULL OR NOT coalesce(return_index = lag(return_index) OV
  x16 AS (SELECT stock, date, country, unadj_close, unadj_close_eur, gone, CASE WHEN gone THEN (1 + coalesce(ret, 0)) * (1 - 0.35) - 1 ELSE ret END AS ret, CASE WHEN gone THEN return_index_eur * (1 - 0.35) ELSE return_index_eur END AS return_index_eur FROM l1),
  pm AS (SELECT stock, country, last_day(date) AS month, arg_max(unadj_close_eur, date) AS v FROM x16 GROUP BY 1, 2, 3), pv AS (SELECT *, lag(v) OVER (PARTITION BY stock ORDER BY month) AS prev FROM pm), pc AS (SELECT pv.country, pv.month, quantile_cont(prev, 0.1) AS cut FROM x16 JOIN pv ON pv.stock = x16.stock AND pv.month = last_day(x16.date) GROUP BY 1, 2),
  pb AS (SELECT stock, pv.month FROM pv JOIN pc ON pc.country = pv.country AND pc.month = pv.month WHERE prev < cut)
- SELECT stock, date, country, gone AS delisted, round(ret, 8) AS ret, round(return_index_eur + 1e-9, 6) AS return_index_eur, round(unadj_close, 6) AS unadj_close FROM x16 WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.stock = x16.stock AND pb.month = last_day(x16.date)) AND date > DATE '1992-06-30' AND date <= DATE '1998-06-30'""")
+ SELECT stock, date, country, gone AS delisted, round(ret, 8) AS ret, round(return_index_eur + 1e-9, 6) AS return_index_eur, round(unadj_close + 1e-9, 6) AS unadj_close FROM x16 WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.stock = x16.stock AND pb.month = last_day(x16.date)) AND date > DATE '1992-06-30' AND date <= DATE '1998-06-30'""")
 def fo10(spark, sf_dir):
     """All screens of the panel of many countries, local and euro series side by side."""
     p = daily_panel(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
     p = p.withColumns({"return_index_eur": F.round(F.col("return_index") * (1 + F.month("date") / 100), 6), "unadj_close_eur": F.col("unadj_close") * 0.9, "unadj_close": F.when(F.dayofmonth("date") % 13 > 0, F.col("unadj_close"))})
     out = fl.european_order(p, delistings(daily_panel(spark, sf_dir)), after="1992-06-30", until="1998-06-30", least=3, one_sign=0.7, history=200, zero=0.3, run=3, high=0.0375, up=0.06, down=-0.04, active=0.3, gap=0.06, penny=0.1)
-    # The index has six digits by its making: products of it are moved off rounding ties.
-    return _r(_r(out.withColumn("return_index_eur", F.col("return_index_eur") + 1e-9), 8, "ret"), 6, "return_index_eur", "unadj_close").select("stock", "date", "country", "delisted", "ret", "return_index_eur", "unadj_close")
+    # Both columns are moved off rounding ties.
+    out = out.withColumns({c: F.col(c) + 1e-9 for c in ("return_index_eur", "unadj_close")})
+    return _r(_r(out, 8, "ret"), 6, "return_index_eur", "unadj_close").select("stock", "date", "country", "delisted", "ret", "return_index_eur", "unadj_close")
