@@ -5,6 +5,7 @@ from __future__ import annotations
 import tempfile
 import uuid
 from collections.abc import Iterator
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -66,6 +67,18 @@ def broadcast_if_small(table: DataFrame) -> DataFrame:
     return F.broadcast(table) if is_small(table) else table
 
 
+@contextmanager
+def arrow_batch_bytes(spark: SparkSession, most: int) -> Iterator[None]:
+    """Arrow batches of at most so many bytes for the jobs started inside, so that a worker holds a few copies of little."""
+    name = "spark.sql.execution.arrow.maxBytesPerBatch"
+    before = spark.conf.get(name)
+    spark.conf.set(name, str(most))
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def row_keys() -> dict[str, Column]:
     """What names a row of documents: doc_id (null: a value of its own) and a hash of the text. Rows equal in both are alike."""
     return {"_d": F.coalesce(F.col("doc_id").cast("long"), F.lit(-(1 << 62))), "_t": F.xxhash64("text")}

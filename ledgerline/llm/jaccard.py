@@ -15,12 +15,13 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import connected_components, materialize, mix, release, shingle_hashes, slices, text_buffers, word_hashes
+from ledgerline.llm.common import arrow_batch_bytes, connected_components, materialize, mix, release, shingle_hashes, slices, text_buffers, word_hashes
 
 BUCKET = 256  # members of a bucket that one block holds
 LEADERS = 16  # sets of one bucket that the others first meet
 HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
+BATCH_BYTES = 8 << 20  # bytes of one Arrow batch: texts, buckets or packed sets
 MEMBERS, SHINGLES = 1024, 1 << 18  # sets, and shingles in all, that one block of a class holds
 
 
@@ -444,6 +445,11 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
     give none; very long texts are whole sets like others; extra columns are not read. Frequent shingles (counted in the
     partitions over all documents) come last in the prefix order; that order changes the work, never the links.
     """
+    with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
+        return _near_duplicates(docs)
+
+
+def _near_duplicates(docs: DataFrame) -> DataFrame:
     index = materialize(shingle_index(docs))
     rows = index.where("n >= 0").select("doc_id", "n", "sid", "t")
     sets = materialize(index.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
