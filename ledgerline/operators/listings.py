@@ -77,10 +77,15 @@ def delisting_in_name(name: Column) -> Column:
     return two_digit_year(F.regexp_extract(name, r"DELIST\.(\d{2}/\d{2}/\d{2})", 1))
 
 
+def first_country(lines: DataFrame) -> DataFrame:
+    """LST4: the lines of all countries as one list; the first country in order wins an id."""
+    return first_rows(lines, ["stock"], ["country_order", "country"])
+
+
 def domestic_listings(lines: DataFrame, venues: DataFrame) -> DataFrame:
-    """LST1, LST4: equities on their country's exchanges, the first country in order wins an id."""
+    """LST1: equities on their country's exchanges, each id once."""
     ok = lines.where("category = 'Equities'").join(F.broadcast(venues), "country").where(F.expr("exchange rlike concat('(?i)', pattern)"))
-    return first_rows(ok.drop("pattern"), ["stock"], ["country_order", "country"])
+    return first_country(ok.drop("pattern"))
 
 
 def exchange_report(lines: DataFrame, top: int = 3) -> DataFrame:

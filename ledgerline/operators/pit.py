@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from dataclasses import dataclass
 from functools import reduce
 
 from pyspark.sql import DataFrame, Window
@@ -79,6 +80,21 @@ def attach(universe: DataFrame, snaps: DataFrame, items: list[str], max_age: int
     return out.withColumns({c: F.when(fresh, F.col("matched")[c]) for c in [*items, "fye", "report_month"]}).withColumn("fund_age", F.when(fresh, F.col("fund_age"))).drop("matched")
 
 
+@dataclass(frozen=True)
+class BaselineConfig:
+    """PIT9: months from the fiscal year's end to first use (or June of the year after), and the age that ends use."""
+
+    lag: int = 4
+    max_age: int = 18
+    june: bool = False
+
+
+def baseline(universe: DataFrame, snaps: DataFrame, items: list[str], config: BaselineConfig | None = None) -> DataFrame:
+    """PIT7 to PIT9: the universe with the snapshots that a configuration makes available."""
+    c = config or BaselineConfig()
+    return attach(universe, availability(snaps, c.lag, c.june), items, c.max_age)
+
+
 def coverage_by_year(df: DataFrame, items: list[str]) -> DataFrame:
     """PIT10: share of rows with a value, by year."""
     return df.groupBy(F.year("month").alias("year")).agg(F.count("*").alias("n"), *[F.avg(F.col(c).isNotNull().cast("int")).alias(c) for c in items])
@@ -95,10 +111,15 @@ def lone_unit_errors(snaps: DataFrame, item: str, factor: float = 500.0) -> Data
     return s.withColumn("_bad", F.coalesce(bad, F.lit(False))).withColumn(item, F.when(~F.col("_bad"), F.col(item))).drop("_x", "_bad")
 
 
+def sales_by_fiscal_year(snaps: DataFrame) -> DataFrame:
+    """EM3: (stock, fye, sales) of the latest snapshot of each fiscal year."""
+    return first_rows(snaps, ["stock", "fye"], [F.desc("report_month")]).select("stock", "fye", "sales")
+
+
 def emission_values(snaps: DataFrame, sales: DataFrame) -> DataFrame:
-    """EM3, EM4: total (reported, else both scopes, else the estimate), its source, intensity on the year's sales, and log
+    """EM4: total (reported, else both scopes, else the estimate), its source, intensity on the year's sales, and log
     growth to the snapshot of the fiscal year 9 to 15 months before from the same kind of source."""
-    latest = first_rows(sales, ["stock", "fye"], [F.desc("report_month")]).select("stock", "fye", F.col("sales").alias("_sales"))
+    latest = sales_by_fiscal_year(sales).withColumnRenamed("sales", "_sales")
     reported = F.coalesce("total", F.col("scope1") + F.col("scope2"))
     s = snaps.withColumn("emission", F.coalesce(reported, "estimate")).withColumn("estimated", F.when(F.col("emission").isNotNull(), reported.isNull()))
     s = s.join(latest, ["stock", "fye"], "left").withColumn("intensity", F.try_divide("emission", F.when(F.col("_sales") > 0, F.col("_sales")))).drop("_sales")

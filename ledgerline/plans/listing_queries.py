@@ -116,6 +116,15 @@ def lst1(spark, sf_dir):
     return li.domestic_listings(lines(spark, sf_dir), venues(spark)).select("stock", "country", "exchange")
 
 
+@query("lst4_first_country", f"{LINES_SQL}, l AS (SELECT stock, country, country_order, exchange FROM lines UNION ALL SELECT stock, 'C' || ((country_order + 2) % 5), (country_order + 2) % 5, exchange FROM lines WHERE stock % 3 = 0) SELECT stock, country, exchange FROM l QUALIFY row_number() OVER (PARTITION BY stock ORDER BY country_order, country) = 1")
+def lst4(spark, sf_dir):
+    """Every third stock stands in the list of a second country too."""
+    one = lines(spark, sf_dir).select("stock", "country", "country_order", "exchange")
+    order = (F.col("country_order") + 2) % 5
+    two = one.where("stock % 3 = 0").select("stock", F.concat(F.lit("C"), order.cast("string")).alias("country"), order.alias("country_order"), "exchange")
+    return li.first_country(one.unionByName(two)).select("stock", "country", "exchange")
+
+
 _REPORT = """g AS (SELECT country, exchange, currency, count(*) AS n, count(*) FILTER (active) AS a FROM lines GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY country, exchange ORDER BY n DESC, currency) AS r FROM g),
  rep AS (SELECT country, exchange, CAST(sum(n) AS BIGINT) AS n, CAST(sum(a) AS BIGINT) AS active, string_agg(currency, ',' ORDER BY r) FILTER (r <= 2) AS top_currencies, sum(n) / sum(sum(n)) OVER (PARTITION BY country) AS share FROM r GROUP BY 1, 2)"""
 
@@ -200,6 +209,43 @@ def src1(spark, sf_dir):
     return im.wide_to_long(wide_file(spark, sf_dir)).where("date is not null and value is not null").select("stock", "date", "value")
 
 
+_HEADED = f"""{_WIDE}, h AS (SELECT CASE WHEN k % 10 <> 9 THEN 'DPL#(' || stock || '(P))' ELSE stock END AS header, CASE WHEN d = DATE '1995-02-01' THEN 'no date' ELSE CAST(d AS VARCHAR) END AS raw_date, cell, TRY_CAST(cell AS DOUBLE) AS value FROM w)"""
+
+
+@query("src2_numbers", f"{_HEADED} SELECT header, raw_date, value FROM h WHERE value IS NOT NULL")
+def src2(spark, sf_dir):
+    return im.melt(im.to_numbers(wide_file(spark, sf_dir))).where("value is not null").select("header", F.col("Date").alias("raw_date"), "value")
+
+
+@query("src4_melt", f"{_HEADED} SELECT header, raw_date, cell FROM h WHERE cell NOT LIKE '$$%'")
+def src4(spark, sf_dir):
+    return im.melt(wide_file(spark, sf_dir).drop("#ERROR_1"), value="cell").where("cell not like '$$%'").select("header", F.col("Date").alias("raw_date"), "cell")
+
+
+# Headers with an id in the vendor's form, with a bare id, with blanks before it, and without any.
+_HEADERS = "SELECT p_partkey AS k, CASE p_partkey % 5 WHEN 0 THEN 'DPL#(' || p_partkey || '(P))' WHEN 1 THEN p_partkey || '(MV)~E' WHEN 2 THEN '  DPL#(' || p_partkey || 'X(UP))' WHEN 3 THEN '(' || p_partkey || ')' ELSE p_name END AS header FROM part"
+
+
+def _headers(spark, sf_dir):
+    k = F.col("p_partkey")
+    text = lambda before, after: F.concat(F.lit(before), k.cast("string"), F.lit(after))
+    header = F.when(k % 5 == 0, text("DPL#(", "(P))")).when(k % 5 == 1, text("", "(MV)~E")).when(k % 5 == 2, text("  DPL#(", "X(UP))")).when(k % 5 == 3, text("(", ")")).otherwise(F.col("p_name"))
+    return read(spark, sf_dir, "part").select(k.alias("k"), header.alias("header"))
+
+
+_OWN_ID = "nullif(regexp_extract(header, '^\\s*(?:DPL#\\()?([^(\\s]+)\\(', 1), '')"
+
+
+@query("src3_fix_ids", f"SELECT k, header, coalesce({_OWN_ID}, header) AS stock, CAST({_OWN_ID} IS NOT NULL AS INT) AS matched FROM ({_HEADERS})")
+def src3(spark, sf_dir):
+    return im.fix_ids(_headers(spark, sf_dir)).withColumn("matched", F.col("matched").cast("int"))
+
+
+@query("src8_series_id", f"SELECT k, {_OWN_ID} AS id FROM ({_HEADERS}) WHERE {_OWN_ID} IS NOT NULL")
+def src8(spark, sf_dir):
+    return _headers(spark, sf_dir).select("k", im.series_id(F.col("header")).alias("id")).where("id is not null")
+
+
 @query("src7_file_report", f"""{_WIDE}, dates AS (SELECT DISTINCT CASE WHEN d = DATE '1995-02-01' THEN NULL ELSE d END AS date, d FROM o), k AS (SELECT unnest(generate_series(0, 24)) AS k)
  SELECT 'orders' AS file, 25 AS series, 2 AS unparsed, (SELECT count(*) FROM l WHERE date IS NOT NULL AND value IS NOT NULL) AS obs, (SELECT count(*) FROM dates WHERE date IS NULL) AS bad_dates, (SELECT count(*) FROM (SELECT DISTINCT month(d) AS m, year(d) AS y FROM o WHERE month(d) = 7)) * 5 AS coerced, '$$ER: E100' AS examples, 0 AS duplicates, (SELECT count(DISTINCT stock) FROM l WHERE value IS NOT NULL AND date IS NOT NULL) AS firms, 'check' AS status""")
 def src7(spark, sf_dir):

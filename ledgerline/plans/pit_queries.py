@@ -101,6 +101,15 @@ def pit8(spark, sf_dir):
     return attached(spark, sf_dir).select("stock", "month", *ITEMS, "fye", "report_month", F.col("fund_age").cast("double").alias("fund_age"))
 
 
+@query("pit9_configured", f"""{WIDE_SQL}, j AS (SELECT * FROM (SELECT *, last_day(make_date(CAST(year(fye) + 1 AS INT), 6, 1)) AS available FROM fy) QUALIFY row_number() OVER (PARTITION BY stock, available ORDER BY report_month DESC) = 1),
+ x AS (SELECT m.stock, m.month, j.sales, j.fye, date_diff('month', j.fye, m.month) AS age FROM mon m ASOF LEFT JOIN j ON m.stock = j.stock AND m.month >= j.available)
+ SELECT stock, month, CASE WHEN age <= 24 THEN sales END AS sales, CASE WHEN age <= 24 THEN fye END AS fye FROM x""")
+def pit9(spark, sf_dir):
+    """The baseline in another configuration: first use in June, for 24 months."""
+    config = pit.BaselineConfig(june=True, max_age=24)
+    return pit.baseline(monthly(spark, sf_dir).select("stock", "month"), dated(spark, sf_dir), ITEMS, config).select("stock", "month", "sales", "fye")
+
+
 @query("pit10_baseline", f"{WIDE_SQL} SELECT a.stock, month, country, market_cap, sales, assets, equity, fund_age, round(CASE WHEN market_cap <> 0 THEN equity / market_cap END, 6) AS bm FROM att a LEFT JOIN statics USING (stock)")
 def pit10(spark, sf_dir):
     b = attached(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock", "left")
@@ -156,6 +165,11 @@ def em1(spark, sf_dir):
     return pit.lone_unit_errors(emission_snapshots(spark, sf_dir), "total").select("stock", "report_month", "total")
 
 
+@query("em3_sales_by_fiscal_year", f"{EM_SQL} SELECT stock, fye, fsales AS sales FROM sfy")
+def em3(spark, sf_dir):
+    return pit.sales_by_fiscal_year(dated(spark, sf_dir))
+
+
 @query("em4_emission_values", f"{EM_SQL} SELECT stock, report_month, emission, CAST(estimated AS DOUBLE) AS estimated, round(intensity, 7) AS intensity, round(growth, 7) AS growth FROM em4")
 def em4(spark, sf_dir):
     e = pit.emission_values(pit.lone_unit_errors(emission_snapshots(spark, sf_dir), "total"), dated(spark, sf_dir))

@@ -17,6 +17,22 @@ def series_id(header: Column) -> Column:
     return F.nullif(F.regexp_extract(header, HEADER, 1), F.lit(""))
 
 
+def fix_ids(headers: DataFrame) -> DataFrame:
+    """SRC3: adds to each header its id (`stock`; the header itself where it holds none) and whether it held one."""
+    own = series_id(F.col("header"))
+    return headers.withColumns({"stock": F.coalesce(own, "header"), "matched": own.isNotNull()})
+
+
+def to_numbers(wide: DataFrame, date: str = "Date") -> DataFrame:
+    """SRC2: all columns but the date as numbers; cells that are none become null."""
+    return wide.select(date, *[F.col(f"`{c}`").try_cast("double").alias(c) for c in wide.columns if c != date])
+
+
+def melt(wide: DataFrame, date: str = "Date", value: str = "value") -> DataFrame:
+    """SRC4: one row for each date and column, with the column's name as `header`; cells must be of one type."""
+    return wide.unpivot(date, [c for c in wide.columns if c != date], "header", value)
+
+
 def wide_to_long(wide: DataFrame, date: str = "Date") -> DataFrame:
     """SRC1, SRC2, SRC4: one row for each date and series with the raw cell and its number; error columns are left out."""
     columns = [c for c in wide.columns if c != date and not c.startswith("#ERROR")]
