@@ -143,6 +143,24 @@ def test_language_does_not_depend_on_neighbours(spark):
     assert alone == beside and "c" in alone[2]
 
 
+def test_language_proportions_equal_plain_em():
+    """Expectation-maximisation word by word, with languages shut out of some documents."""
+    r = np.random.default_rng(9)
+    sizes = [1, 4, 30, 7]
+    like = np.exp(r.normal(0, 2, (sum(sizes), 3)))
+    doc, first = np.repeat(np.arange(4), sizes), np.r_[0, np.cumsum(sizes)[:-1]]
+    allowed = np.array([[1, 1, 1], [1, 0, 1], [1, 1, 1], [0, 1, 0]], float)
+    mixed, loss = langid._em(like, doc, first, allowed, 12)
+    for d in range(4):
+        own = like[first[d] : first[d] + sizes[d]].tolist()
+        share = [a / sum(allowed[d]) for a in allowed[d]]
+        for _ in range(12):
+            parts = [[x * y for x, y in zip(w, share, strict=True)] for w in own]
+            share = [sum(p[k] / sum(p) for p in parts) / len(own) for k in range(3)]
+        assert mixed[d] == pytest.approx(share, abs=1e-9)
+        assert loss[d] == pytest.approx(sum(math.log(sum(x * y for x, y in zip(w, share, strict=True))) for w in own), rel=1e-9)
+
+
 def test_language_of_nothing(empty, docs):
     assert langid.predict_languages(empty).count() == 0
     assert langid.predict_languages(docs.withColumn("lang", F.lit(None).cast("string"))).where("lang_pred <> 'und'").count() == 0
@@ -365,6 +383,31 @@ def test_html_on_pages(spark, data):
     assert {r.page_id: r.text for r in htmltext.extract_text(p).collect()} == truth
 
 
+def test_columns_of_the_caller_do_not_matter(spark, docs):
+    """Extra columns, under names that the operators use themselves, with nulls, an empty, a long and a repeated text."""
+    d = docs.where("doc_id in (0, 1, 2, 3, 5, 12, 14, 15, 16)").select("doc_id", "text", "lang")
+    names = "_d _t _w _f _u _c _m size key slot shard at n sid t words target side piece length ids label links kept lang_pred score held_out item_id begin text_hash n_words html".split()
+    more = d.withColumns({c: F.lit("own") for c in names})
+    labels = spark.createDataFrame([(5, 1, 0), (12, 0, 0)], "doc_id long, quality int, toxic int")
+    bench = spark.createDataFrame([(1, " ".join(words(120, 1)[:20]))], "item_id long, text string")
+    rows = lambda x: sorted(map(repr, x.collect()))
+    for run in (
+        lambda x: sharding.shard_by_bytes(x, 3).select("doc_id", "size", "text_crc32"),
+        langid.predict_languages,
+        lambda x: lmscore.cross_entropy_difference(x, labels),
+        lambda x: decontam.contamination(x, bench),
+        quality.quality_rules,
+        lambda x: packing.pack_documents(x).groupBy("doc_id").agg(F.sum("length").alias("n")),
+        jaccard.near_duplicates,
+    ):
+        plain = rows(run(d))
+        assert plain and rows(run(more)) == plain
+    page = spark.createDataFrame([(1, "http://x.net/es/1", PAGE), (1, "http://x.net/es/1", PAGE), (2, None, None), (3, "http://h.org/", "<p>" + "long words " * 40_000)], "page_id long, url string, html string")
+    clash = page.withColumns({c: F.lit("own") for c in "_u _c _m _to host path rule said text article rest runs row component n_chars _n".split()})
+    for run in (htmltext.extract_text, urlfilter.judge_urls):
+        assert rows(run(clash)) == rows(run(page)) and len(rows(run(page))) == 4
+
+
 def test_banded_distance():
     def plain(a, t):
         row = [0] * (len(t) + 1)
@@ -466,6 +509,43 @@ def test_quality_base_counts(spark, docs, data):
         assert not (r.base_failed and r.kept)
 
 
+def brute_kept(rows, char_limit=0.14, word_limit=0.23, certain=0.3, least=20):
+    """The verdict of each row (text, lang): histograms, mean shares of each language, least distances."""
+    common = quality.COMMON_WORDS
+
+    def shares(t):
+        n, chars, symbols = len(WORD.findall(t)), sum(map(len, WORD.findall(t))), sum(c in "#*$%&|<>" for c in t)
+        bins = [sum(bool(re.fullmatch(c, x)) for x in t) for c in ("[a-z]", "[A-Z]", "[0-9]", "[.,;:'-]")] + [len(t) - chars, symbols]
+        bins.append(max(len(t) - sum(bins), 0))
+        held = collections.Counter(w for w in re.split(r"[\x20\x09-\x0D]+", t.lower()) if w in common)
+        words_ = [held[w] for w in common]
+        words_.append(max(n - sum(words_), 0))
+        return n, chars, [np.array(b) / max(sum(b), 1) for b in (bins, words_)]
+
+    def distance(p, q):
+        m = (p + q) / 2
+        kl = lambda x: float(np.sum(x[x > 0] * np.log2(x[x > 0] / m[x > 0])))
+        return math.sqrt(max((kl(p) + kl(q)) / 2, 0))
+
+    own = [shares(t or "") for t, _ in rows]
+    langs = sorted({lang for _, lang in rows if lang})
+    means = [[np.mean([s[k] for (n, _, s), (_, x) in zip(own, rows, strict=True) if x == lang and n >= least], 0) for k in (0, 1)] for lang in langs]
+    out = []
+    for (n, chars, s), (t, _) in zip(own, rows, strict=True):
+        c, w = (min(distance(s[k], m[k]) for m in means) for k in (0, 1))
+        far = n >= least and ((c > char_limit + 0.8 / math.sqrt(chars + 1) and w > word_limit) or c > certain)
+        out.append(not base(t)[-1] and not far)
+    return out
+
+
+def test_quality_kept_equals_brute_force(spark, data):
+    odd = ["#$% " * 30, "QWERTY ZXCV " + " ".join(f"{k}A{k}" for k in range(60)), None, "", "the of and " * 3, " ".join(f"x{k} the of" for k in range(40))]
+    d = spark.read.parquet(f"{data}/documents.parquet").select("doc_id", "text", "lang").union(spark.createDataFrame([(9000 + k, t, None) for k, t in enumerate(odd)], "doc_id long, text string, lang string"))
+    rows = d.collect()
+    want = dict(zip([r.doc_id for r in rows], brute_kept([(r.text, r.lang) for r in rows]), strict=True))
+    assert {r.doc_id: r.kept for r in quality.quality_rules(d).collect()} == want and 0 < sum(want.values()) < len(want)
+
+
 def test_quality_verdicts(spark, data, empty):
     d, labels = spark.read.parquet(f"{data}/documents.parquet"), spark.read.parquet(f"{data}/labels.parquet").toPandas()
     got = quality.quality_rules(d).toPandas().merge(labels, on="doc_id")
@@ -657,24 +737,45 @@ def test_line_chunks_resist_shifts(spark):
     assert got == {1: (rows[0][1], 0), 2: ("new first", 40), 3: ("new last", 20)}
 
 
+def brute_contaminated(rows, items, rate=0.08):
+    """Ids of rows (id, text) in which an item stands within its budget: edit distances to all places of all texts."""
+    norm = lambda t: " ".join(low(t).split(" ")).encode()
+    fold = lambda t: norm(re.sub(r"[\x20\x09-\x0D]+", " ", t or "").strip(" "))
+    items = {fold(t) for t in items} - {b""}
+    gap = b"\0" * (int(rate * max(map(len, items))) + 2)
+    texts = [fold(t) for _, t in rows]
+    owner = np.repeat(np.arange(len(rows)), [len(t) + len(gap) for t in texts])
+    t, bad = np.frombuffer(b"".join(x + gap for x in texts), np.uint8), set()
+    step = np.arange(len(t) + 1, dtype=np.int32)
+    for item in items:
+        row = np.zeros(len(t) + 1, np.int32)
+        for i, x in enumerate(item, 1):
+            now = np.r_[np.int32(i), np.minimum(row[:-1] + (t != x), row[1:] + 1)]
+            row = np.minimum.accumulate(now - step) + step
+        bad |= {rows[k][0] for k in owner[np.flatnonzero(row[1:] <= int(rate * len(item)))]}
+    return bad
+
+
 def test_pipeline_stages_against_brute_force(spark, data, docs):
     d = spark.read.parquet(f"{data}/documents.parquet").unionByName(docs.where("doc_id > 30").withColumn("doc_id", F.col("doc_id") + 10_000).drop("extra"))
     d = d.withColumn("source", F.coalesce("source", F.lit("s")))
     (_, q), (_, lines), (_, near), (_, clean), (_, pack) = corpus_pipeline.STAGES
     rows = lambda x: sorted(tuple(r) for r in x.collect())
     kept = common.materialize(q(spark, d, data))
-    verdict = {r.doc_id: r.kept for r in quality.quality_rules(d).collect()}
-    assert rows(kept) == rows(d.where(F.col("doc_id").isin([k for k, v in verdict.items() if v])))
+    whole = d.collect()
+    stay = [r.doc_id for r, keep in zip(whole, brute_kept([(r.text, r.lang) for r in whole]), strict=True) if keep]
+    assert rows(kept) == rows(d.where(F.col("doc_id").isin(stay)))
     cut = common.materialize(lines(spark, kept, data))
     assert cut.columns == kept.columns
-    want = {r.doc_id: r.text for r in linededup.dedup_lines(kept).where("removed_lines = 0 or trim(text) <> ''").collect()}
+    done = brute_dedup(spark, [(r.doc_id, r.h, r.text) for r in kept.withColumn("h", F.xxhash64("text")).collect()])
+    want = {k: t for k, t, n in done if not n or t.strip(" ")}
     assert {r.doc_id: r.text for r in cut.collect()} == want and cut.where("n_chars <> length(text)").count() == 0
     held = sorted((r.doc_id, r.text) for r in cut.collect())
     _, root = classes([t for _, t in held])
     one = common.materialize(near(spark, cut, data))
     assert [r[0] for r in rows(one)] == [k for i, (k, t) in enumerate(held) if root[i] == i]
     left = common.materialize(clean(spark, one, data))
-    bad = {r.doc_id for r in decontam.contamination(one, spark.read.parquet(f"{data}/benchmark.parquet")).collect()}
+    bad = brute_contaminated([(r.doc_id, r.text) for r in one.collect()], [r.text for r in spark.read.parquet(f"{data}/benchmark.parquet").collect()])
     assert bad and rows(left) == [r for r in rows(one) if r[0] not in bad]
     assert {r.doc_id for r in pack(spark, left, data).collect()} == {r.doc_id for r in left.collect()}
 
