@@ -143,6 +143,10 @@ def identify(docs: DataFrame, langs: list[str], table: np.ndarray, bits: int = 1
 
 
 def predict_languages(docs: DataFrame) -> DataFrame:
-    """Learn from the training fold of `docs` and identify all of them. Repeated rows are predicted alike; empty: no rows."""
+    """Learn from the training fold of `docs` and identify all of them.
+
+    Repeated rows are predicted alike; no rows give none; equal proportions go to the first language by name. Null texts
+    and those without a letter are `und`. Very long texts are scored whole, each in one piece; extra columns are not read.
+    """
     langs, logs = train(docs)
     return identify(docs, langs, logs)

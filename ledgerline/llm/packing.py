@@ -161,7 +161,12 @@ def pack(pieces_: DataFrame, capacity: int = 2048) -> DataFrame:
 
 
 def pack_documents(docs: DataFrame, length: int = 2048) -> DataFrame:
-    """Cut and pack documents with the public byte-level vocabulary."""
+    """Cut and pack documents with the public byte-level vocabulary.
+
+    Null and empty texts are one piece of one token, the closing id 0. Very long texts are cut whole, in pieces of
+    `length`, of which the first may be shorter. Repeated rows are packed each; pieces of one length may change places; no rows
+    give none; extra columns are not read.
+    """
     import public_tokenizers
 
     return pack(pieces(docs, public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken"), length), length)

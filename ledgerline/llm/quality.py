@@ -107,6 +107,7 @@ def quality_rules(docs: DataFrame, char_limit: float = 0.14, word_limit: float =
     references and the least distance counts, so a wrong or missing `lang` does no harm. A text goes if both histograms
     are far from every reference, or if its characters are beyond `certain`. Distances are only judged from `min_words` words on; shorter documents stand or fall by the base rules. Null text has no words and
     fails. Repeated rows are judged alike; an empty table, or one without any `lang`, sets no distance limit.
+    Very long texts are counted whole; extra columns are not read.
     """
     keep = [c for c in BASE_COLUMNS if c != "doc_id"]
     d = docs.select(F.struct("doc_id", "lang", F.xxhash64("text").alias("text_hash")).alias("doc_id"), "text")

@@ -124,7 +124,7 @@ def shard_by_bytes(docs: DataFrame, shards: int = 40, tolerance: float = 0.005)
     The key order is by text hash, then document, then row, so copies are neighbours; a group of copies is kept whole
     where a boundary of the group meets the tolerance and is split where it is too large for that. Size is the text's
     UTF-8 bytes plus 16 (null text: 16, crc of the empty text). Repeated rows are rows of their own. An empty table
-    gives no rows. grown_shard is null: the law is by bytes, not by key. Slots are gapless from 0 in each shard, in key order.
+    gives no rows. A very long text is one row, which no shard boundary cuts; extra columns are not read. grown_shard is null: the law is by bytes, not by key. Slots are gapless from 0 in each shard, in key order.
     """
     text = F.coalesce(F.col("text"), F.lit(""))
     index = docs.select(F.col("doc_id").cast("long").alias("doc_id"), (F.octet_length(text) + 16).cast("long").alias("_size"), F.crc32(text).alias("_crc"), F.xxhash64(text).alias("_h"))

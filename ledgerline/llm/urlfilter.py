@@ -88,6 +88,7 @@ def judge_urls(pages: DataFrame, rules=RULES) -> DataFrame:
     from each URL to its canonical form and to the targets that the page declares (all its canonical links and refreshes, against its `base`), and nodes are 64-bit hashes of these
     forms, so copies of a URL are one node. Declared targets count as members even if no page has their URL. Null URLs
     or those without `://` have no edges and are allowed. Repeated rows are judged alike; no rows give none.
+    Null html declares nothing; very long pages are searched whole; extra columns are not read.
     """
     p = pages.select("page_id", "url", "html").withColumn("host", host_of(F.col("url"))).withColumn("path", path_of(F.col("url")))
     # The part of a URL before its query, with its host, is a node of its own: rules see no more of it.
