@@ -301,6 +301,14 @@ def src14(spark, sf_dir):
     return im.latest_log(read(spark, sf_dir, "orders").select(F.col("o_orderpriority").alias("variable"), F.col("o_orderkey").alias("rows"), F.col("o_orderstatus").alias("status"), F.col("o_orderkey").alias("imported_at"))).drop("status")
 
 
+@query("src16_needs_import", "WITH r AS (SELECT o_custkey AS variable, max(CAST(o_orderdate AS DATE)) AS raw_at FROM orders GROUP BY 1), p AS (SELECT o_custkey AS variable, max(CAST(o_orderdate AS DATE)) AS panel_at FROM orders WHERE o_orderstatus = 'F' GROUP BY 1) SELECT variable, raw_at FROM r LEFT JOIN p USING (variable) WHERE panel_at IS NULL OR raw_at > panel_at")
+def src16(spark, sf_dir):
+    """Customers stand for variables, all their orders for the raw files, those filled for what the panel has."""
+    last = lambda o, name: o.groupBy(F.col("o_custkey").alias("variable")).agg(F.max(F.col("o_orderdate").cast("date")).alias(name))
+    o = read(spark, sf_dir, "orders")
+    return im.needs_import(last(o, "raw_at"), last(o.where("o_orderstatus = 'F'"), "panel_at"))
+
+
 @query("src15_inventory", """WITH r AS (SELECT n_name AS variable FROM nation), w AS (SELECT 'NATION_' || (c_nationkey + 2) AS variable, max(c_custkey) AS raw_at FROM customer WHERE c_nationkey % 4 > 0 GROUP BY 1), p AS (SELECT 'NATION_' || s_nationkey AS variable, max(s_suppkey) * 12 AS panel_at FROM supplier WHERE s_nationkey % 3 > 0 GROUP BY 1)
  SELECT variable, CASE WHEN raw_at IS NULL AND panel_at IS NULL THEN 'missing' WHEN panel_at IS NULL THEN 'blocked' WHEN raw_at > panel_at THEN 'stale' ELSE 'current' END AS state FROM r FULL JOIN w USING (variable) FULL JOIN p USING (variable)""")
 def src15(spark, sf_dir):

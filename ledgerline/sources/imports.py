@@ -87,8 +87,14 @@ def latest_log(log: DataFrame) -> DataFrame:
     return log.groupBy("variable").agg(F.max_by(F.struct("rows", "status"), "imported_at").alias("r"), F.max("imported_at").alias("imported_at")).select("variable", "r.rows", "r.status", "imported_at")
 
 
+def needs_import(raw: DataFrame, panel: DataFrame) -> DataFrame:
+    """SRC16: (variable, raw_at) of the variables whose raw files are newer than the panel, or that the panel lacks."""
+    both = raw.select("variable", "raw_at").join(panel.select("variable", "panel_at"), "variable", "left")
+    return both.where("panel_at is null or raw_at > panel_at").select("variable", "raw_at")
+
+
 def inventory(registry: DataFrame, raw: DataFrame, panel: DataFrame) -> DataFrame:
-    """SRC15, SRC16: every variable of registry, raw files or panel, with its state: missing, blocked, stale or current."""
+    """SRC15: every variable of registry, raw files or panel, with its state: missing, blocked, stale or current."""
     i = registry.join(raw, "variable", "full").join(panel, "variable", "full")
     state = F.when(F.col("raw_at").isNull() & F.col("panel_at").isNull(), "missing").when(F.col("panel_at").isNull(), "blocked").when(F.col("raw_at") > F.col("panel_at"), "stale").otherwise("current")
     return i.withColumn("state", state)
