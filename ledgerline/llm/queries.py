@@ -16,6 +16,7 @@ from ledgerline.llm.linededup import dedup_lines
 from ledgerline.llm.lmscore import cross_entropy_difference
 from ledgerline.llm.packing import pack_documents
 from ledgerline.llm.quality import quality_rules
+from ledgerline.llm.runs import run_digests
 from ledgerline.llm.sharding import shard_by_bytes
 from ledgerline.llm.urlfilter import VERDICTS_SQL, judge_urls
 
@@ -60,6 +61,10 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "removed_lines", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
 
 
+def op12_seed_extend_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return run_digests(table(spark, sf_dir, "documents"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
