@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.llm.balltree import RANKS_SQL, rank_documents
 from ledgerline.llm.common import table
 from ledgerline.llm.decontam import contamination
 from ledgerline.llm.htmltext import extract_text
@@ -65,9 +66,13 @@ def op12_seed_extend_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
 
+def op13_ball_tree_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return rank_documents(table(spark, sf_dir, "documents"), table(spark, sf_dir, "benchmark"))
+
+
 def llm_queries() -> dict[str, Callable[[SparkSession, str], DataFrame]]:
     return {k: f for k, f in globals().items() if k.startswith("op") and k[2].isdigit()}
 
 
 def llm_oracle_sql() -> dict[str, str]:
-    return {"op8_redirect_equivalence": VERDICTS_SQL}
+    return {"op8_redirect_equivalence": VERDICTS_SQL, "op13_ball_tree_search": RANKS_SQL}
