@@ -16,6 +16,7 @@ from ledgerline.llm.langid import predict_languages
 from ledgerline.llm.linededup import dedup_lines
 from ledgerline.llm.lmscore import cross_entropy_difference
 from ledgerline.llm.packing import pack_documents
+from ledgerline.llm.pairwise import classify_quality
 from ledgerline.llm.quality import quality_rules
 from ledgerline.llm.runs import run_digests
 from ledgerline.llm.sharding import shard_by_bytes
@@ -62,6 +63,10 @@ def op10_line_chunks(spark: SparkSession, sf_dir: str) -> DataFrame:
     return dedup_lines(table(spark, sf_dir, "documents").select("doc_id", "text")).select("doc_id", "text", "removed_lines", F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"))
 
 
+def op11_bradley_terry(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return classify_quality(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
 def op12_seed_extend_runs(spark: SparkSession, sf_dir: str) -> DataFrame:
     return run_digests(table(spark, sf_dir, "documents"))
 
