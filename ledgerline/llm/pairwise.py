@@ -119,14 +119,15 @@ def fit_bradley_terry(good: np.ndarray, bad: np.ndarray, rounds: int = 8, ridge:
     return w
 
 
-def quantile_cut(good: np.ndarray, bad: np.ndarray) -> float:
-    """The quantile of the scores that parts both labels best (mean of both shares that are right), in the middle of what is as good."""
+def quantile_cut(good: np.ndarray, bad: np.ndarray, tolerance: float = 0.02) -> float:
+    """The quantile of the scores that parts the labels: of all whose mean share of right ones is within the tolerance of the
+    best, the one in the widest gap, so that a lone odd document does not draw it to itself."""
     scores = np.sort(np.r_[good, bad])
-    level = (np.arange(len(scores) + 1)) / len(scores)
-    cuts = np.r_[scores[0] - 1, (scores[1:] + scores[:-1]) / 2, scores[-1] + 1]
+    gaps, cuts = np.diff(scores), (scores[1:] + scores[:-1]) / 2
     right = 1 - np.searchsorted(np.sort(good), cuts) / len(good) + np.searchsorted(np.sort(bad), cuts) / len(bad)
-    best = level[right >= right.max() - 1e-12]
-    return float(np.quantile(scores, (best[0] + best[-1]) / 2))
+    near = np.flatnonzero(right >= right.max() - 2 * tolerance)
+    level = (near[gaps[near].argmax()] + 0.5) / len(gaps)
+    return float(np.quantile(scores, level))
 
 
 def train(docs: DataFrame, labels: DataFrame, rows: int = 4000) -> tuple[np.ndarray, float] | None:
@@ -174,7 +175,7 @@ def classify_quality(docs: DataFrame, labels: DataFrame, rows: int = 4000) -> Da
     A document's strength is linear in its features (kinds of neighbouring characters, shapes of words and lines). Pairs of a
     document of quality 1 and one of quality 0 fit it by logistic loss on feature differences; the fit takes about `rows`
     documents of each label at most, chosen by a hash of doc_id, and 8 pairs for each of the more frequent label. The quantile of
-    the sample's strengths that parts the labels best has score 0.7; a document's score is the logistic function of its
+    the sample's strengths that parts the labels (`quantile_cut`) has score 0.7; a document's score is the logistic function of its
     distance from it, predicted is 1 from there on.
 
     Null and empty texts have features of their own (no words) and are scored like all others; repeated rows are scored alike; a label
