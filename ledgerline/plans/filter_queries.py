@@ -89,36 +89,3 @@ def f17(spark, sf_dir):
     s = statics(spark, sf_dir)
     starts = s.where("region <> 'ASIA'").select("country", F.make_date(1992 + F.col("company") % 5, F.lit(1), F.lit(1)).alias("start")).distinct()
     return f.survivorship(daily_panel(spark, sf_dir), s, starts).select(*KEYS)
-
-
-@query("fo9_filter_pipeline", f"""{PANEL_SQL}, s1 AS (SELECT * FROM panel WHERE NOT coalesce(unadj_close <= 0, false)),
- s2 AS (SELECT * FROM s1 WHERE stock NOT IN (SELECT stock FROM s1 GROUP BY stock HAVING avg(CAST(ret > 0 AS INT)) FILTER (ret <> 0) > 0.65)),
- s3 AS (SELECT p.* FROM s2 p JOIN delistings d USING (stock) WHERE d.delisting_date IS NULL OR p.date <= d.delisting_date),
- s4 AS (SELECT * FROM s3 WHERE stock NOT IN (SELECT stock FROM s3 GROUP BY stock HAVING stddev_samp(ret) > 0.0375)),
- a AS (SELECT *, coalesce((ret > {UP} AND lead(ret) OVER w < {DOWN}) OR (ret < {DOWN} AND lead(ret) OVER w > {UP}), false) AS pair FROM s4 WINDOW w AS (PARTITION BY stock ORDER BY date)),
- b AS (SELECT *, pair OR coalesce(lag(pair) OVER (PARTITION BY stock ORDER BY date), false) AS bad FROM a),
- s5 AS (SELECT * FROM b WHERE NOT bad)
- SELECT stock, date, ret FROM s5""")
-def fo9(spark, sf_dir):
-    """Screens one after the other in one plan; windows by stock share one partitioning."""
-    p = daily_panel(spark, sf_dir)
-    return (
-        p.transform(f.nonsense_prices)
-        .transform(f.implausible_returns, 0.65)
-        .transform(f.padded_tail, delistings(p), 10**6)
-        .transform(f.high_volatility, 0.0375)
-        .transform(f.outlier_pairs, UP, DOWN)
-        .select(*KEYS)
-    )
-
-
-@query("fx2_filter_report", f"""{PANEL_SQL}, v AS (SELECT p.stock, s.country, p.ret, p.unadj_close, CASE WHEN p.ret NOT BETWEEN -0.06 AND 0.08 THEN 1 WHEN p.unadj_close <= 1200 THEN 2 WHEN p.volume < 3 THEN 3 ELSE 9 END AS gone FROM panel p JOIN statics s USING (stock)),
- t AS (SELECT unnest([0, 1, 2, 3]) AS step)
- SELECT step, coalesce(country, 'TOTAL') AS country, count(DISTINCT stock) AS stocks, count(*) AS rows FROM v JOIN t ON gone > step GROUP BY GROUPING SETS ((step, country), (step))""")
-def fx2(spark, sf_dir):
-    """Stocks and rows left after each step by country and in total, from the first step that each row fails."""
-    p = daily_panel(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
-    gone = F.when(~F.col("ret").between(-0.06, 0.08), 1).when(F.col("unadj_close") <= 1200, 2).when(F.col("volume") < 3, 3).otherwise(9)
-    steps = p.select("stock", "country", F.explode(F.filter(F.array(*map(F.lit, range(4))), lambda s: s < gone)).alias("step"))
-    out = steps.rollup("step", "country").agg(F.count_distinct("stock").alias("stocks"), F.count("*").alias("rows"))
-    return out.where("step is not null").select("step", F.coalesce("country", F.lit("TOTAL")).alias("country"), "stocks", "rows")

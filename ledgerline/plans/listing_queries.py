@@ -99,13 +99,6 @@ def f6(spark, sf_dir):
     return li.large_countries(x, -(-x.count() // 5)).select("stock", "country")
 
 
-@query("fx1_static_cascade", f"{LINES_SQL}, {_CORE}, f5 AS (SELECT * FROM f3 WHERE (country, currency) IN (('C0', 'X0'), ('C0', 'X1'), ('C1', 'X2'), ('C3', 'X0'))) SELECT stock, country FROM f5")
-def fx1(spark, sf_dir):
-    """Screens 1, 2, 3 and 5 for all countries in one pass."""
-    x = li.without_duplicate_codes(_crossed(spark, li.common_stocks(lines(spark, sf_dir), patterns(spark))), "loc", "isin")
-    return li.domestic_currency(x, frame(spark, CURRENCIES, "country string, currency string")).select("stock", "country")
-
-
 @query("fx3_delisting_dates", f"{LINES_SQL} SELECT stock, CASE stock % 11 WHEN 0 THEN DATE '1996-04-17' WHEN 2 THEN DATE '2007-12-03' END AS delisted FROM lines WHERE stock % 11 IN (0, 2)")
 def fx3(spark, sf_dir):
     return lines(spark, sf_dir).select("stock", li.delisting_in_name(F.col("ename")).alias("delisted")).where("delisted is not null")
