@@ -40,8 +40,31 @@ def coverage(p: DataFrame, uni: DataFrame, *keys: str) -> DataFrame:
 
 
 def coverage_by_month(p: DataFrame, uni: DataFrame) -> DataFrame:
-    """QC5: for each variable and universe month: stocks, those with a value, and the equally- and cap-weighted shares."""
-    return coverage(p, uni).select("variable", "month", "n", "n_value", (F.col("n_value") / F.col("n")).alias("ew"), (F.coalesce("cap_value", F.lit(0.0)) / F.col("cap")).alias("vw"))
+    """QC5: for each variable and universe month: stocks and their caps, those with a value and theirs, both shares, and the month's
+    observations outside the universe. Uni is unique by (stock, month)."""
+    return monthly_coverage(with_universe(p, uni), uni)
+
+
+def with_universe(p: DataFrame, uni: DataFrame) -> DataFrame:
+    """The panel with what the universe says of each row: in_universe, market_cap, and the stock's first_price, last_price and (if
+    uni has it) delisting_date. Both sides are put together and meet in windows over one exchange by stock, which all later
+    tables by (variable, stock) use again."""
+    u = uni.select("stock", "month", "market_cap", *[c for c in ("delisting_date",) if c in uni.columns], F.lit(True).alias("_u"))
+    both = p.select("variable", "stock", "month", "value").unionByName(u, allowMissingColumns=True).repartition("stock")
+    here, own = by("stock", "month"), by("stock")
+    known = F.when(F.col("_u"), F.col("month"))
+    both = both.withColumns({"in_universe": F.coalesce(F.bool_or("_u").over(here), F.lit(False)), "market_cap": F.max("market_cap").over(here), "first_price": F.min(known).over(own), "last_price": F.max(known).over(own)})
+    if "delisting_date" in both.columns:
+        both = both.withColumn("delisting_date", F.max("delisting_date").over(own))
+    return both.where("variable is not null").drop("_u")
+
+
+def monthly_coverage(f: DataFrame, uni: DataFrame) -> DataFrame:
+    """QC5 of a panel `with_universe`."""
+    hits = f.groupBy("variable", "month").agg(F.count_if("in_universe").alias("n_value"), F.sum(F.when(F.col("in_universe"), F.col("market_cap"))).alias("cap_value"), F.count_if(~F.col("in_universe")).alias("n_outside"))
+    whole = uni.groupBy("month").agg(F.count("*").alias("n"), F.sum("market_cap").alias("cap"))
+    grid = whole.join(f.select("variable").distinct()).join(hits, ["variable", "month"], "left").fillna(0, ["n_value", "n_outside"]).fillna(0.0, ["cap_value"])
+    return grid.select("variable", "month", "n", "n_value", "cap", "cap_value", (F.col("n_value") / F.col("n")).alias("ew"), F.try_divide("cap_value", "cap").alias("vw"), "n_outside")
 
 
 def history(p: DataFrame) -> DataFrame:
@@ -67,13 +90,13 @@ def matching(p: DataFrame, uni: DataFrame) -> DataFrame:
 
 
 def update_frequency(p: DataFrame, least: int = 12) -> DataFrame:
-    """QC10: shares of firm-years with 0, 1, 2-3, 4 and more changes, among those with enough months."""
-    y = p.groupBy("variable", "stock", F.year("month").alias("year")).agg(F.count("*").alias("n")).where(F.col("n") >= least)
-    c = change_events(p).groupBy("variable", "stock", F.year("month").alias("year")).agg(F.count("*").alias("changes"))
-    j = y.join(c, ["variable", "stock", "year"], "left").withColumn("changes", F.coalesce("changes", F.lit(0)))
+    """QC10: by year, shares of firm-years with 0, 1, 2-3, 4 and 5 or more changes, among those with enough months, and the median."""
+    y = p.withColumn("_new", F.lag("value").over(_series())).groupBy("variable", "stock", F.year("month").alias("year"))
+    j = y.agg(F.count("*").alias("n"), F.count_if(F.col("_new") != F.col("value")).alias("changes")).where(F.col("n") >= least)
     share = lambda cond, name: F.avg(cond.cast("int")).alias(name)
     k = F.col("changes")
-    return j.groupBy("variable").agg(F.count("*").alias("firm_years"), share(k == 0, "none"), share(k == 1, "one"), share(k.between(2, 3), "two_three"), share(k >= 4, "more"), F.median("changes").alias("median"))
+    bins = [share(k == 0, "none"), share(k == 1, "one"), share(k.between(2, 3), "two_three"), share(k == 4, "four"), share(k >= 5, "more")]
+    return j.groupBy("variable", "year").agg(F.count("*").alias("firm_years"), *bins, F.median("changes").alias("median"))
 
 
 def reporting_lag(p: DataFrame, fye_month: DataFrame) -> DataFrame:
@@ -91,25 +114,29 @@ def stale_runs(p: DataFrame, run: int = 24) -> DataFrame:
 
 
 def padding_and_staleness(p: DataFrame, uni: DataFrame, life: DataFrame, run: int = 24, months: int = 12) -> DataFrame:
-    """QC12: values beside the life of a stock, and stale values, as shares for each variable.
+    """QC12: values beside the life of a stock, and stale values, as shares for each variable; `life` has (stock, first_price,
+    last_price, delisting_date) of each stock, `uni` its months."""
+    f = with_universe(p, uni.withColumn("market_cap", F.lit(None).cast("double"))).drop("market_cap", "first_price", "last_price", "delisting_date")
+    return staleness(f.join(life, "stock", "left"), uni, run, months)
 
-    `life` has (stock, first_price, last_price, delisting_date) of each stock, `uni` its months. Shares after the last and before
-    the first price and after delisting are of the rows of known stocks. A row is stale from the run + 1st equal value on, other
-    than zero; while-trading shares are of the rows in the universe. A dead firm (its last price is before the universe ends)
-    is padded if a value stands more than `months` months after it."""
+
+def staleness(f: DataFrame, uni: DataFrame, run: int = 24, months: int = 12) -> DataFrame:
+    """QC12 of a panel `with_universe`, with delisting dates.
+
+    Shares after the last and before the first price and after delisting are of the rows of known stocks. A row is stale from the
+    run + 1st equal value on, other than zero; while-trading shares are of the rows in the universe. A dead firm (its last
+    price is before the universe ends) is padded if a value stands more than `months` months after it."""
     share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("int"))
     w = _series()
-    r = p.withColumn("_r", island(F.lag("value").over(w).isNull() | (F.col("value") != F.lag("value").over(w)), w))
+    r = f.withColumn("_r", island(F.lag("value").over(w).isNull() | (F.col("value") != F.lag("value").over(w)), w))
     r = r.withColumn("_long", F.row_number().over(by("variable", "stock", "_r", order="month")) > run)
-    r = r.join(uni.select("stock", "month").distinct().withColumn("_alive", F.lit(True)), ["stock", "month"], "left").withColumn("_alive", F.coalesce("_alive", F.lit(False)))
-    end = uni.agg(F.max("month").alias("_end"))
-    r = r.join(life, "stock", "left").join(F.broadcast(end))
+    r = r.join(F.broadcast(uni.agg(F.max("month").alias("_end"))))  # one row
     after = F.when(F.col("last_price").isNotNull(), F.col("month") > F.col("last_price"))
-    zero = F.col("value") == 0
+    zero, alive = F.col("value") == 0, F.col("in_universe")
     firm = r.groupBy("variable", "stock").agg(
         F.count("*").alias("n"), F.count("last_price").alias("m"), F.count_if(after).alias("after"), F.count_if(F.col("month") < F.col("first_price")).alias("before"),
-        F.count_if(F.col("month") > F.last_day("delisting_date")).alias("delisted"), F.count_if(F.col("_long") & ~zero).alias("stale"), F.count_if("_alive").alias("alive"),
-        F.count_if(F.col("_long") & ~zero & F.col("_alive")).alias("stale_alive"), F.count_if(F.col("_long") & zero & F.col("_alive")).alias("zero_alive"),
+        F.count_if(F.col("month") > F.last_day("delisting_date")).alias("delisted"), F.count_if(F.col("_long") & ~zero).alias("stale"), F.count_if(alive).alias("alive"),
+        F.count_if(F.col("_long") & ~zero & alive).alias("stale_alive"), F.count_if(F.col("_long") & zero & alive).alias("zero_alive"),
         F.bool_or(F.when(F.col("last_price") < F.col("_end"), months_between(F.col("month"), F.col("last_price")) > months)).alias("padded"),
     )
     part = lambda a, b: F.try_divide(F.sum(a), F.sum(b))
@@ -138,18 +165,35 @@ def unit_error_candidates(jumps: DataFrame) -> DataFrame:
     return g.withColumn("error", (F.col("n") >= 3) & (F.col("spread") <= 0.15) & near)
 
 
-def yearly_quantiles(p: DataFrame, qs=(0.01, 0.25, 0.5, 0.75, 0.99)) -> DataFrame:
-    """QC16: quantiles of each year."""
-    return p.groupBy("variable", F.year("month").alias("year")).agg(F.count("*").alias("n"), *[F.percentile("value", F.lit(q)).alias(f"p{round(100 * q)}") for q in qs])
+def error_counts(candidates: DataFrame, p: DataFrame) -> DataFrame:
+    """QC15: for each variable its unit errors (the firm-months of `unit_error_candidates` that are errors and name it), and how many
+    that is for a thousand of its firms. `p` holds the firm-months in the universe."""
+    hits = candidates.where("error").select(F.explode(F.split("variables", ",")).alias("variable")).groupBy("variable").agg(F.count("*").alias("errors"))
+    firms = p.groupBy("variable").agg(F.count_distinct("stock").alias("firms"))
+    return firms.join(hits, "variable", "left").fillna(0, ["errors"]).withColumn("per_thousand", 1000 * F.col("errors") / F.greatest("firms", F.lit(1)))
+
 
+def yearly_quantiles(p: DataFrame, qs=(0.01, 0.05, 0.25, 0.5, 0.75, 0.95, 0.99)) -> DataFrame:
+    """QC16: quantiles of each year's firm-years, and their number."""
+    return firm_years(p).groupBy("variable", "year").agg(F.count("*").alias("n"), *[F.percentile("value", F.lit(q)).alias(f"p{round(100 * q)}") for q in qs])
 
-def trimmed_overview(p: DataFrame, trim: float = 0.01) -> DataFrame:
-    """QC7: firms, firm-months, mean, median and trimmed mean of each year."""
-    y = p.withColumn("year", F.year("month"))
-    cut = y.groupBy("variable", "year").agg(F.percentile("value", F.array(F.lit(trim), F.lit(1 - trim))).alias("_q"))
-    j = y.join(cut, ["variable", "year"])
+
+def yearly_overview(p: DataFrame, coverage: DataFrame | None = None, trim: float = 0.01) -> DataFrame:
+    """QC7: firms, firm-months, months a firm; mean, median and trimmed mean of the firm-years; with `coverage` (QC5) the year's
+    mean coverage by number and by cap."""
+    fy = firm_years(p)
+    cut = fy.groupBy("variable", "year").agg(F.percentile("value", F.array(F.lit(trim), F.lit(1 - trim))).alias("_q"))
     inside = F.when(F.col("value").between(F.col("_q")[0], F.col("_q")[1]), F.col("value"))
-    return j.groupBy("variable", "year").agg(F.count_distinct("stock").alias("firms"), F.count("*").alias("n"), F.avg("value").alias("mean"), F.median("value").alias("median"), F.avg(inside).alias("trimmed"))
+    level = fy.join(cut, ["variable", "year"]).groupBy("variable", "year").agg(F.avg("value").alias("mean"), F.median("value").alias("median"), F.avg(inside).alias("trimmed"))
+    rows = p.groupBy("variable", F.year("month").alias("year")).agg(F.count_distinct("stock").alias("firms"), F.count("*").alias("n"))
+    out = rows.withColumn("months_per_firm", F.col("n") / F.col("firms")).join(level, ["variable", "year"])
+    if coverage is None:
+        return out
+    return out.join(yearly_coverage(coverage), ["variable", "year"], "left")
+
+
+def yearly_coverage(coverage: DataFrame) -> DataFrame:
+    return coverage.groupBy("variable", F.year("month").alias("year")).agg(F.avg("ew").alias("ew"), F.avg("vw").alias("vw"))
 
 
 def robust_extremes(p: DataFrame, limit: float = 5.0) -> DataFrame:
@@ -175,7 +219,7 @@ def yearly_distances(p: DataFrame, nonneg: list[str]) -> DataFrame:
     return fy.join(mad, ["variable", "year"]).withColumn("z", z).select("variable", "stock", "year", "value", "z")
 
 
-def implausible_shares(distances: DataFrame, nonneg: list[str], limit: float = 5.0) -> DataFrame:
+def implausible_shares(distances: DataFrame, nonneg: list[str], limit: float = 8.0) -> DataFrame:
     """QC17: shares of firm-years that are zero, negative, against the variable's sign, or beyond the limit."""
     share = lambda c: F.avg(F.coalesce(c, F.lit(False)).cast("int"))
     below = F.col("value") < 0
@@ -230,17 +274,6 @@ def category_counts(months: DataFrame, statics: DataFrame, field: str) -> DataFr
     return s.groupBy("group", F.coalesce(field, F.lit("(missing)")).alias("category")).agg(F.count("*").alias("stocks"))
 
 
-def relations(df: DataFrame, rules: list[tuple[str, str, str, str, float]]) -> DataFrame:
-    """QC19: rules (name, kind, left, right, tolerance) over one row's columns, as SQL expressions. Kinds: identity, le,
-    compare. For each rule: rows that it covers, violations, median ratio, share within 5 %, rank correlation."""
-    cells = [F.struct(F.lit(n).alias("rule"), F.lit(k).alias("kind"), F.expr(a).cast("double").alias("l"), F.expr(b).cast("double").alias("r"), F.lit(t).alias("t")) for n, k, a, b, t in rules]
-    x = df.select(F.explode(F.array(*cells)).alias("c")).select("c.*").where("l is not null and r is not null")
-    off = F.when(F.col("kind") == "identity", F.abs(F.col("l") - F.col("r")) > F.col("t") * F.abs("r")).when(F.col("kind") == "le", F.col("l") > F.col("r") * (1 + F.col("t")))
-    x = x.withColumns({"off": off, "ratio": F.try_divide("l", "r")})
-    x = spread_rank(spread_rank(x, "l", "_a", "rule"), "r", "_b", "rule")
-    return x.groupBy("rule").agg(F.count("*").alias("n"), F.avg(F.col("off").cast("int")).alias("violations"), F.median("ratio").alias("median_ratio"), F.avg((F.abs(F.col("ratio") - 1) <= 0.05).cast("int")).alias("within"), F.corr("_a", "_b").alias("spearman"))
-
-
 def update_alignment(p: DataFrame, least: int = 50) -> DataFrame:
     """QC20: pairs of variables: share of firm-years, with one change each, in which both change in the same month."""
     c = change_events(p).groupBy("variable", "stock", F.year("month").alias("year")).agg(F.count("*").alias("k"), F.max("month").alias("month")).where("k = 1").drop("k")
@@ -259,9 +292,59 @@ def change_alignment(p: DataFrame, least: int = 50) -> DataFrame:
 
 
 def flags(summary: DataFrame, rules: dict[str, Column]) -> DataFrame:
-    """QC22: names of the rules that a summary row breaks."""
+    """QC22: names of the rules that a summary row breaks; unknown values break none."""
     hits = F.array_compact(F.array(*[F.when(cond, F.lit(name)) for name, cond in rules.items()]))
-    return summary.withColumn("flags", F.array_join(hits, ",")).withColumn("n_flags", F.size(hits))
+    return summary.withColumn("flags", F.array_join(hits, "; ")).withColumn("n_flags", F.size(hits))
+
+
+# The battery's limits, by field, whether the field must be at least (1) or at most (-1) so large, and the flag's name.
+LIMITS = (
+    ("vw_coverage_ref", 1, 0.80, "VW coverage (ref. year)"), ("share_after_last_price", -1, 0.02, "values after last price"), ("share_dead_firms_padded", -1, 0.10, "padding after delisting"), ("share_stale_while_trading", -1, 0.05, "stale while trading"),
+    ("share_sign_violations", -1, 0.001, "sign violations"), ("share_extreme", -1, 0.005, "extreme values"), ("unit_errors_per_1000_firms", -1, 1.0, "unit errors"), ("outside_universe_share", -1, 0.50, "outside universe"),
+)
+
+
+def battery_flags(summary: DataFrame) -> DataFrame:
+    """QC22 with the battery's own limits, as far as the summary has their fields."""
+    return flags(summary, {name: (F.col(c) < limit if side > 0 else F.col(c) > limit) for c, side, limit, name in LIMITS if c in summary.columns})
+
+
+def battery(p: DataFrame, uni: DataFrame, fye_month: DataFrame, nonneg: list[str], coverage_year: int | None = None, run: int = 24, limit: float = 8.0) -> DataFrame:
+    """QC21: one summary row for each variable, all variables in one job, with flags.
+
+    uni has (stock, month, market_cap, delisting_date), fye_month (stock, fye_month); variables in `nonneg` cannot be negative,
+    and only these are searched for jumps. Coverage, history, matching and padding use all rows; timing, levels and jumps the rows
+    in the universe. The panel is exchanged once, by stock: every table by (variable, stock) is made where its rows lie, and what
+    moves after that are sums by month, year or variable. Coverage is stated for `coverage_year` (the year before the
+    last full year unless given) and the last full year."""
+    f = with_universe(p, uni)
+    pu = f.where("in_universe")
+    spans = f.groupBy("variable").agg(F.min("month").alias("first_date"), F.max("month").alias("last_date"), F.count("*").alias("_rows"))
+    past = history_shares(f).select("variable", F.col("firms").alias("n_firms"), F.col("median_months").alias("median_history_months"), F.col("share_with_gaps").alias("share_firms_with_gaps"), "share_gap_months")
+    firms = pu.groupBy("variable").agg(F.count_distinct("stock").alias("n_firms_in_universe"))
+    match = matching(f, uni).select("variable", F.col("share_covered").alias("share_universe_firms_ever_covered"), F.col("share_in_universe").alias("share_variable_firms_in_universe"))
+    monthly = monthly_coverage(f, uni)
+    outside = monthly.groupBy("variable").agg(F.sum("n_outside").alias("_outside"))
+    end = uni.agg(F.max("month").alias("_end")).select(F.when(F.month("_end") == 12, F.year("_end")).otherwise(F.year("_end") - 1).alias("_last"))
+    end = end.withColumn("_ref", F.lit(coverage_year) if coverage_year is not None else F.col("_last") - 1)
+    at = lambda c, year: F.max(F.when(F.col("year") == F.col(year), F.col(c)))
+    covered = yearly_coverage(monthly).join(F.broadcast(end)).groupBy("variable").agg(  # one row is broadcast
+        F.min(F.when(F.col("vw") >= 0.5, F.col("year"))).alias("first_year_vw_cov_50"), F.first("_ref").alias("coverage_ref_year"), at("ew", "_ref").alias("ew_coverage_ref"), at("vw", "_ref").alias("vw_coverage_ref"),
+        at("ew", "_last").alias("ew_coverage_last_year"), at("vw", "_last").alias("vw_coverage_last_year"),
+    )
+    updates = update_frequency(pu).groupBy("variable").agg(F.median("median").alias("median_changes_per_year"), F.avg("none").alias("share_firm_years_no_change"))
+    lag = reporting_lag(pu, fye_month).groupBy("variable").agg(F.min(F.struct((-F.col("share")).alias("less"), "lag")).alias("_l"))
+    lag = lag.select("variable", F.col("_l.lag").alias("modal_lag_months"), (-F.col("_l.less")).alias("share_at_modal_lag"))
+    stale = staleness(f, uni, run).toDF("variable", "_matched", "share_dead_firms_padded", "share_after_last_price", "share_after_delisting", "share_before_first_price", "share_stale", "share_stale_while_trading", "share_zero_runs_while_trading", "share_firms_with_stale_run").drop("_matched")
+    odd = implausible_shares(yearly_distances(pu, nonneg), nonneg, limit).drop("firm_years").toDF("variable", "share_zero", "share_negative", "share_sign_violations", "share_extreme")
+    jumps = unit_jumps(pu.where(F.col("variable").isin(nonneg)))
+    large = jumps.groupBy("variable").agg(F.count("*").alias("n_large_jumps"))
+    errors = error_counts(unit_error_candidates(jumps), pu).select("variable", F.col("errors").alias("n_unit_errors"), F.col("per_thousand").alias("unit_errors_per_1000_firms"))
+    out = spans
+    for part in (past, firms, match, outside, covered, updates, lag, stale, odd, large, errors):
+        out = out.join(part, "variable", "left")
+    out = out.fillna(0, ["n_firms_in_universe", "n_large_jumps", "n_unit_errors"]).fillna(0.0, ["unit_errors_per_1000_firms"])
+    return battery_flags(out.withColumn("outside_universe_share", F.col("_outside") / F.col("_rows")).drop("_outside", "_rows"))
 
 
 def change_months(p: DataFrame) -> DataFrame:

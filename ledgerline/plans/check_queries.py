@@ -54,16 +54,31 @@ def qc4(spark, sf_dir):
     return panel(spark, sf_dir).join(universe(spark, sf_dir), ["stock", "month"], "left_semi").select("variable", "stock", "month", "value")
 
 
-@query("qc5_coverage_by_month", f"""{LONG_SQL} SELECT v.variable, u.month, count(*) AS n, count(p.stock) AS n_value, avg(CAST(p.stock IS NOT NULL AS INT)) AS ew, round(coalesce(sum(market_cap) FILTER (p.stock IS NOT NULL), 0) / sum(market_cap), 9) AS vw
- FROM uni u CROSS JOIN (SELECT DISTINCT variable FROM p) v LEFT JOIN p ON p.variable = v.variable AND p.stock = u.stock AND p.month = u.month GROUP BY 1, 2""")
+_CV = """cv AS (SELECT v.variable, u.month, count(*) AS n, count(p.stock) AS n_value, sum(market_cap) AS cap, coalesce(sum(market_cap) FILTER (p.stock IS NOT NULL), 0) AS cap_value, (SELECT count(*) FROM p o WHERE o.variable = v.variable AND o.month = u.month AND NOT EXISTS (SELECT 1 FROM un x WHERE x.stock = o.stock AND x.month = o.month)) AS n_outside
+ FROM un u CROSS JOIN (SELECT DISTINCT variable FROM p) v LEFT JOIN p ON p.variable = v.variable AND p.stock = u.stock AND p.month = u.month GROUP BY 1, 2)"""
+#: A universe in which a quarter of the stocks is missing for some years, so that values stand outside it.
+_UN = "un AS (SELECT * FROM uni WHERE stock % 4 > 0 OR year(month) BETWEEN 1994 AND 1996)"
+
+
+def part_universe(spark, sf_dir):
+    return universe(spark, sf_dir).where("stock % 4 > 0 or year(month) between 1994 and 1996")
+
+
+@query("qc5_coverage_by_month", f"{LONG_SQL}, {_UN}, {_CV} SELECT variable, month, n, n_value, round(cap, 2) AS cap, round(cap_value, 2) AS cap_value, n_value / n AS ew, round(cap_value / cap, 9) AS vw, n_outside FROM cv")
 def qc5(spark, sf_dir):
-    return _r(q.coverage_by_month(panel(spark, sf_dir), universe(spark, sf_dir)), 9, "vw")
+    return _r(_r(q.coverage_by_month(panel(spark, sf_dir), part_universe(spark, sf_dir)), 9, "vw"), 2, "cap", "cap_value")
 
 
-@query("qc7_overview", f"""{LONG_SQL}, y AS (SELECT *, year(month) AS year FROM p), c AS (SELECT variable, year, quantile_cont(value, 0.01) AS a, quantile_cont(value, 0.99) AS b FROM y GROUP BY 1, 2)
- SELECT variable, year, count(DISTINCT stock) AS firms, count(*) AS n, round(avg(value), 2) AS mean, round(median(value), 4) AS median, round(avg(value) FILTER (value BETWEEN a AND b), 2) AS trimmed FROM y JOIN c USING (variable, year) GROUP BY 1, 2""")
+_FY = "fyr AS (SELECT variable, stock, year(month) AS year, arg_max(value, month) AS value FROM p GROUP BY 1, 2, 3)"
+
+
+@query("qc7_overview", f"""{LONG_SQL}, {_UN}, {_CV}, {_FY}, c AS (SELECT variable, year, quantile_cont(value, 0.01) AS a, quantile_cont(value, 0.99) AS b FROM fyr GROUP BY 1, 2), lv AS (SELECT variable, year, avg(value) AS mean, median(value) AS median, avg(value) FILTER (value BETWEEN a AND b) AS trimmed FROM fyr JOIN c USING (variable, year) GROUP BY 1, 2),
+ rw AS (SELECT variable, year(month) AS year, count(DISTINCT stock) AS firms, count(*) AS n FROM p GROUP BY 1, 2), cy AS (SELECT variable, year(month) AS year, avg(n_value / n) AS ew, avg(cap_value / cap) AS vw FROM cv GROUP BY 1, 2)
+ SELECT variable, year, firms, n, n / firms AS months_per_firm, round(mean, 2) AS mean, round(median, 4) AS median, round(trimmed, 2) AS trimmed, round(ew, 9) AS ew, round(vw, 9) AS vw FROM rw JOIN lv USING (variable, year) LEFT JOIN cy USING (variable, year)""")
 def qc7(spark, sf_dir):
-    return _year(_r(_r(q.trimmed_overview(panel(spark, sf_dir)), 2, "mean", "trimmed"), 4, "median"))
+    """The year's firms and firm-months, levels of its firm-years, and its mean coverage."""
+    p = panel(spark, sf_dir)
+    return _year(_r(_r(_r(q.yearly_overview(p, q.coverage_by_month(p, part_universe(spark, sf_dir))), 2, "mean", "trimmed"), 4, "median"), 9, "ew", "vw"))
 
 
 @query("qc8_history", f"{LONG_SQL}, f AS (SELECT variable, stock, count(*) AS n, date_diff('month', min(month), max(month)) + 1 AS span FROM p GROUP BY 1, 2) SELECT variable, count(*) AS firms, CAST(sum(n) AS BIGINT) AS obs, CAST(sum(span) AS BIGINT) AS months, count(*) FILTER (span > n) AS firms_with_gaps FROM f GROUP BY 1")
@@ -79,9 +94,9 @@ def qc9(spark, sf_dir):
 
 
 @query("qc10_update_frequency", f"""{LONG_SQL}, y AS (SELECT variable, stock, year(month) AS year, count(*) AS n FROM p GROUP BY 1, 2, 3 HAVING count(*) >= 12), c AS (SELECT variable, stock, year(month) AS year, count(*) AS k FROM ch GROUP BY 1, 2, 3), j AS (SELECT y.*, coalesce(k, 0) AS k FROM y LEFT JOIN c USING (variable, stock, year))
- SELECT variable, count(*) AS firm_years, avg(CAST(k = 0 AS INT)) AS none, avg(CAST(k = 1 AS INT)) AS one, avg(CAST(k BETWEEN 2 AND 3 AS INT)) AS two_three, avg(CAST(k >= 4 AS INT)) AS more, median(k) AS median FROM j GROUP BY 1""")
+ SELECT variable, year, count(*) AS firm_years, avg(CAST(k = 0 AS INT)) AS none, avg(CAST(k = 1 AS INT)) AS one, avg(CAST(k BETWEEN 2 AND 3 AS INT)) AS two_three, avg(CAST(k = 4 AS INT)) AS four, avg(CAST(k >= 5 AS INT)) AS more, median(k) AS median FROM j GROUP BY 1, 2""")
 def qc10(spark, sf_dir):
-    return q.update_frequency(panel(spark, sf_dir))
+    return _year(q.update_frequency(panel(spark, sf_dir)))
 
 
 @query("qc11_reporting_lag", f"{LONG_SQL}, g AS (SELECT variable, CAST((month(month) - (stock % 12 + 1) + 12) % 12 AS INT) AS lag, count(*) AS n FROM ch GROUP BY 1, 2) SELECT *, n / sum(n) OVER (PARTITION BY variable) AS share FROM g")
@@ -115,9 +130,13 @@ def qc14(spark, sf_dir):
     return _r(q.unit_error_candidates(j.withColumn("variable", F.concat("variable", "k"))), 7, "size").drop("spread")
 
 
-@query("qc16_quantiles", f"{LONG_SQL} SELECT variable, year(month) AS year, count(*) AS n, " + ", ".join(f"round(quantile_cont(value, {x / 100}), 3) AS p{x}" for x in (1, 25, 50, 75, 99)) + " FROM p GROUP BY 1, 2")
+_SEVEN = (1, 5, 25, 50, 75, 95, 99)
+
+
+@query("qc16_quantiles", f"{LONG_SQL}, {_FY} SELECT variable, year, count(*) AS n, " + ", ".join(f"round(quantile_cont(value, {x / 100}) + 3e-7, 5) AS p{x}" for x in _SEVEN) + " FROM fyr GROUP BY 1, 2")
 def qc16(spark, sf_dir):
-    return _year(_r(q.yearly_quantiles(panel(spark, sf_dir)), 3, "p1", "p25", "p50", "p75", "p99"))
+    out = q.yearly_quantiles(panel(spark, sf_dir))
+    return _year(out.withColumns({f"p{x}": F.round(F.col(f"p{x}") + 3e-7, 5) for x in _SEVEN}))  # off rounding ties
 
 
 @query("qc17_implausible", f"""{LONG_SQL}, x AS (SELECT *, CASE WHEN value > 0 THEN log10(value) END AS x FROM p), m AS (SELECT variable, median(x) AS m FROM x GROUP BY 1), d AS (SELECT x.variable, median(abs(x - m)) AS s FROM x JOIN m USING (variable) GROUP BY 1)
@@ -132,29 +151,12 @@ def qc18(spark, sf_dir):
     return universe(spark, sf_dir).where(F.month("month") == 12).join(w, ["stock", "month"]).select("stock", "month", "market_cap", "sales", "assets")
 
 
-RULES = [("equity_share", "identity", "equity", "assets * 0.4", 0.001), ("sales_below_assets", "le", "sales", "assets", 0.0), ("sales_assets", "compare", "sales", "assets", 0.0)]
-
-
-@query("qc19_relations", f"""{WIDE_SQL}, x AS (SELECT 'equity_share' AS rule, equity AS l, assets * 0.4 AS r, abs(equity - assets * 0.4) > 0.001 * assets * 0.4 AS off FROM wide UNION ALL SELECT 'sales_below_assets', sales, assets, sales > assets FROM wide UNION ALL SELECT 'sales_assets', sales, assets, NULL FROM wide),
- y AS (SELECT * FROM x WHERE l IS NOT NULL AND r IS NOT NULL), k AS (SELECT *, rank() OVER (PARTITION BY rule ORDER BY l) + (count(*) OVER (PARTITION BY rule, l) - 1) / 2 AS a, rank() OVER (PARTITION BY rule ORDER BY r) + (count(*) OVER (PARTITION BY rule, r) - 1) / 2 AS b FROM y)
- SELECT rule, count(*) AS n, avg(CAST(off AS INT)) AS violations, round(median(l / nullif(r, 0)), 7) AS median_ratio, avg(CAST(abs(l / nullif(r, 0) - 1) <= 0.05 AS INT)) AS within, round(corr(a, b), 6) AS spearman FROM k GROUP BY 1""")
-def qc19(spark, sf_dir):
-    return _r(_r(q.relations(annual_wide(spark, sf_dir), RULES), 7, "median_ratio"), 6, "spearman")
-
-
 @query("qc20_update_alignment", f"""{LONG_SQL}, c AS (SELECT variable, stock, year(month) AS year, max(month) AS month FROM ch GROUP BY 1, 2, 3 HAVING count(*) = 1)
  SELECT a.variable, b.variable AS other, count(*) AS n, avg(CAST(a.month = b.month AS INT)) AS same FROM c a JOIN c b ON a.stock = b.stock AND a.year = b.year AND a.variable < b.variable GROUP BY 1, 2 HAVING count(*) >= 20""")
 def qc20(spark, sf_dir):
     return q.update_alignment(panel(spark, sf_dir), 20)
 
 
-@query("qc22_flags", f"""{LONG_SQL}, s AS (SELECT variable, count(*) AS n, avg(CAST(value < 0 AS INT)) AS negative, count(DISTINCT stock) AS firms FROM p GROUP BY 1)
- SELECT variable, concat_ws(',', CASE WHEN negative > 0 THEN 'negative' END, CASE WHEN n < 8000 THEN 'sparse' END, CASE WHEN firms < 50 THEN 'few firms' END) AS flags, CAST(negative > 0 AS INT) + CAST(n < 8000 AS INT) + CAST(firms < 50 AS INT) AS n_flags FROM s""")
-def qc22(spark, sf_dir):
-    s = panel(spark, sf_dir).groupBy("variable").agg(F.count("*").alias("n"), F.avg((F.col("value") < 0).cast("int")).alias("negative"), F.count_distinct("stock").alias("firms"))
-    return q.flags(s, {"negative": F.col("negative") > 0, "sparse": F.col("n") < 8000, "few firms": F.col("firms") < 50}).select("variable", "flags", "n_flags")
-
-
 @query("ec1_raw_overview", f"""{LONG_SQL}, f AS (SELECT variable, year(month) AS y, count(DISTINCT stock) AS k FROM p GROUP BY 1, 2), d AS (SELECT variable, stock, count(DISTINCT value) AS k FROM p GROUP BY 1, 2)
  SELECT variable, firms, first, last, first_year, distinct_values FROM (SELECT variable, count(DISTINCT stock) AS firms, min(month) AS first, max(month) AS last FROM p GROUP BY 1) JOIN (SELECT variable, CAST(min(y) AS INT) AS first_year FROM f WHERE k >= 5 GROUP BY 1) USING (variable) JOIN (SELECT variable, median(k) AS distinct_values FROM d GROUP BY 1) USING (variable)""")
 def ec1(spark, sf_dir):

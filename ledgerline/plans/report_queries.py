@@ -29,16 +29,6 @@ def qc6(spark, sf_dir):
     return _year(out.select("variable", "year", F.round("1", 9).alias("group_1"), F.round("2", 9).alias("group_2")))
 
 
-@query("qc15_error_counts", f"""{JUMP_SQL}, f AS (SELECT variable, count(DISTINCT stock) AS firms FROM p GROUP BY 1), k AS (SELECT variable, count(*) AS errors FROM j WHERE abs(abs(step) - 3) <= 0.2 GROUP BY 1)
- SELECT variable, coalesce(errors, 0) AS errors, round(1000.0 * coalesce(errors, 0) / firms, 7) AS per_thousand FROM f LEFT JOIN k USING (variable)""")
-def qc15(spark, sf_dir):
-    """Jumps by a factor of about a thousand, for each variable and a thousand firms."""
-    p = panel(spark, sf_dir)
-    k = q.unit_jumps(p).where("abs(abs(step) - 3) <= 0.2").groupBy("variable").agg(F.count("*").alias("errors"))
-    f = p.groupBy("variable").agg(F.count_distinct("stock").alias("firms")).join(k, "variable", "left")
-    return f.select("variable", F.coalesce("errors", F.lit(0)).alias("errors"), F.round(1000.0 * F.coalesce("errors", F.lit(0)) / F.col("firms"), 7).alias("per_thousand"))
-
-
 @query("ec3_group_coverage", f"""{EM_SQL}, x AS (SELECT em6.*, unnest(['any', 'reported', 'estimated']) AS grp, unnest([emission IS NOT NULL, coalesce(NOT estimated, false), coalesce(estimated, false)]) AS has FROM em6)
  SELECT grp AS "group", year(month) AS year, count(*) FILTER (has) AS n, round(avg(CAST(has AS INT)), 9) AS ew, round(coalesce(sum(market_cap) FILTER (has), 0) / sum(market_cap), 9) AS vw FROM x GROUP BY 1, 2""")
 def ec3(spark, sf_dir):
@@ -184,14 +174,3 @@ def ap6(spark, sf_dir):
     j = long(m, "v").join(long(m.where("stock % 2 = 0"), "b"), ["month", "factor"])
     out = j.groupBy("factor").agg(F.count("*").alias("n"), F.corr("v", "b").alias("corr"), F.avg("v").alias("mean"), F.avg("b").alias("mean_bench"), F.regr_slope("v", "b").alias("slope"), F.regr_r2("v", "b").alias("r2"), F.stddev_samp(F.col("v") - F.col("b")).alias("te"))
     return _r(_r(out.where("n >= 24"), 6, "corr", "slope", "r2"), 8, "mean", "mean_bench", "te")
-
-
-@query("qc21_battery", f"""{JUMP_SQL}, f AS (SELECT variable, stock, count(*) AS n, date_diff('month', min(month), max(month)) + 1 AS span FROM p GROUP BY 1, 2), h AS (SELECT variable, count(*) AS firms, CAST(sum(n) AS BIGINT) AS obs, count(*) FILTER (span > n) AS firms_with_gaps FROM f GROUP BY 1),
- k AS (SELECT variable, count(*) AS jumps FROM j GROUP BY 1), c AS (SELECT variable, count(*) AS changes FROM ch GROUP BY 1)
- SELECT variable, firms, obs, firms_with_gaps, coalesce(jumps, 0) AS jumps, coalesce(changes, 0) AS changes FROM h LEFT JOIN k USING (variable) LEFT JOIN c USING (variable)""")
-def qc21(spark, sf_dir):
-    """One summary row for each variable from the battery's tables, all variables in one job."""
-    p = panel(spark, sf_dir)
-    count = lambda d, name: d.groupBy("variable").agg(F.count("*").alias(name))
-    out = q.history(p).drop("months").join(count(q.unit_jumps(p), "jumps"), "variable", "left").join(count(q.change_events(p), "changes"), "variable", "left")
-    return out.na.fill(0, ["jumps", "changes"])

@@ -257,7 +257,7 @@ _DIST_SQL = f"""{LONG_SQL}, fy0 AS (SELECT variable, stock, year(month) AS year,
 
 @query("qc17_implausible_shares", f"{_DIST_SQL} SELECT variable, count(*) AS firm_years, avg(CAST(value = 0 AS INT)) AS zero, avg(CAST(value < 0 AS INT)) AS negative, avg(CAST(value < 0 AND variable = 'assets' AS INT)) AS sign_violations, avg(CAST(coalesce(abs(z) > 5, false) AS INT)) AS extreme FROM di GROUP BY 1")
 def qc17(spark, sf_dir):
-    return q.implausible_shares(q.yearly_distances(panel(spark, sf_dir), ["assets"]), ["assets"])
+    return q.implausible_shares(q.yearly_distances(panel(spark, sf_dir), ["assets"]), ["assets"], 5.0)
 
 
 @query("qc17_largest_distances", f"{_DIST_SQL}, rk AS (SELECT *, row_number() OVER (PARTITION BY variable ORDER BY round(abs(z), 6) DESC, stock, year) AS rank FROM di WHERE z IS NOT NULL) SELECT variable, stock, year, value, round(z, 5) AS z, rank FROM rk WHERE rank <= 25")
