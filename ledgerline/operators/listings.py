@@ -88,35 +88,70 @@ def domestic_listings(lines: DataFrame, venues: DataFrame) -> DataFrame:
     return first_country(ok.drop("pattern"))
 
 
-def exchange_report(lines: DataFrame, top: int = 3) -> DataFrame:
-    """LST2: for each country and exchange: lines, active ones, share of the country, and its most frequent currencies."""
-    g = lines.groupBy("country", "exchange", "currency").agg(F.count("*").alias("n"), F.count_if(F.col("active")).alias("a"))
-    g = g.withColumn("_r", F.row_number().over(by("country", "exchange", order=[F.desc("n"), "currency"])))
-    best = F.array_join(F.transform(F.array_sort(F.collect_list(F.when(F.col("_r") <= top, F.struct("_r", "currency")))), lambda x: x["currency"]), ",")
-    e = g.groupBy("country", "exchange").agg(F.sum("n").alias("n"), F.sum("a").alias("active"), best.alias("top_currencies"))
-    return e.withColumn("share", F.col("n") / F.sum("n").over(by("country")))
-
-
-def exchange_warnings(report: DataFrame, venues: DataFrame, unknown_share: float = 0.1) -> DataFrame:
-    """LST3: (country, rule, detail) rows: no domestic line, largest exchange abroad, large unknown exchange, country not there."""
-    r = report.join(F.broadcast(venues), "country", "left").withColumn("domestic", F.coalesce(F.expr("exchange rlike concat('(?i)', pattern)"), F.lit(False)))
-    largest = first_rows(r, ["country"], [F.desc("n"), "exchange"])
-    none = r.groupBy("country").agg(F.bool_or("domestic").alias("d")).where("not d").select("country", F.lit("no domestic line").alias("rule"), F.lit("").alias("detail"))
-    abroad = largest.where("not domestic").select("country", F.lit("largest exchange abroad").alias("rule"), F.col("exchange").alias("detail"))
-    large = r.where(~F.col("domestic") & (F.col("share") >= unknown_share)).select("country", F.lit("large unknown exchange").alias("rule"), F.col("exchange").alias("detail"))
-    missing = venues.join(report.select("country").distinct(), "country", "left_anti").select("country", F.lit("country missing").alias("rule"), F.lit("").alias("detail"))
-    return none.unionByName(abroad).unionByName(large).unionByName(missing)
-
-
-def batches(ids: DataFrame, size: int, prefix: str) -> DataFrame:
-    """LST5: distinct numeric ids in lists of `size`, in order of the id. The place of an id is its rank in its band (a function
-    of the id alone, so both branches agree) and the ids of the bands before; a band holds at most 100 lists."""
-    d = ids.select("stock").distinct().withColumn("_band", F.floor(F.col("stock") / (100 * size)))
+def _top(lines: DataFrame, keys: list[str], column: str, top: int) -> DataFrame:
+    """The most frequent known values of a column in each group, joined; equally frequent ones by value."""
+    g = lines.where(F.col(column).isNotNull()).groupBy(*keys, column).agg(F.count("*").alias("_n"))
+    g = g.withColumn("_r", F.row_number().over(by(*keys, order=[F.desc("_n"), column]))).where(F.col("_r") <= top)
+    return g.groupBy(*keys).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("_r", column))), lambda x: x[column]), "; ").alias(column))
+
+
+def marked_lines(lines: DataFrame, venues: DataFrame) -> DataFrame:
+    """Lines with `domestic`: their exchange fits the pattern of their country; the pattern ^$ fits none, a country without one is null."""
+    fits = F.when(F.col("pattern") == "^$", F.lit(False)).otherwise(F.coalesce(F.expr("exchange rlike concat('(?i)', pattern)"), F.lit(False)))
+    return lines.join(venues, "country", "left").withColumn("domestic", F.when(F.col("pattern").isNotNull(), fits)).drop("pattern")
+
+
+def exchange_report(lines: DataFrame, venues: DataFrame, top: int = 3) -> DataFrame:
+    """LST2: for each country and exchange (null is one of its own): lines, active ones, whether domestic, the most frequent suffixes of
+    the trading codes (`ric`, before a `^`) and currencies, and the share of the country's lines."""
+    x = marked_lines(lines, venues).withColumn("exchange", F.coalesce("exchange", F.lit("")))
+    x = x.withColumn("suffixes", F.nullif(F.regexp_extract(F.substring_index("ric", "^", 1), r"\.([A-Za-z]+)$", 1), F.lit("")))
+    keys = ["country", "exchange"]
+    e = x.groupBy(*keys).agg(F.count("*").alias("n"), F.count_if(F.col("active")).alias("active"), F.bool_and("domestic").alias("domestic"))
+    e = e.join(_top(x, keys, "suffixes", top), keys, "left").join(_top(x.withColumnRenamed("currency", "currencies"), keys, "currencies", top), keys, "left")
+    return e.withColumn("share", F.round(F.col("n") / F.sum("n").over(by("country")), 3))
+
+
+def exchange_warnings(lines: DataFrame, venues: DataFrame, countries: DataFrame, unknown_share: float = 0.1) -> DataFrame:
+    """LST3: (country, rule, detail) rows of export files. Lines have `file` and the country of each line; a file's country is its most
+    frequent one. Rules: a file of several countries; rows that are no equities; no pattern for the country (nothing else is
+    looked at then); no domestic line, or else the largest exchange abroad; a large exchange that is domestic nowhere; rows
+    without an exchange; ids repeated among the domestic lines; countries without a file."""
+    own = first_rows(lines.where("country is not null").groupBy("file", "country").agg(F.count("*").alias("_n")), ["file"], [F.desc("_n"), "country"]).select("file", "country")
+    row = lambda rule, detail: [F.lit(rule).alias("rule"), detail.cast("string").alias("detail")]
+    several = lines.groupBy("file").agg(F.array_sort(F.collect_set("country")).alias("c")).where("size(c) <> 1").join(own, "file", "left").select("country", *row("several countries", F.array_join("c", "; ")))
+    x = lines.drop("country").join(own, "file")
+    other = x.where("category <> 'Equities' or category is null").groupBy("country").agg(F.count("*").alias("n")).select("country", *row("no equities", F.col("n")))
+    x = x.where("category = 'Equities'")
+    without = own.join(venues, "country", "left_anti").select("country", *row("no pattern", F.lit("")))
+    x = marked_lines(x, venues).where("domestic is not null")
+    e = x.groupBy("country", F.coalesce("exchange", F.lit("")).alias("exchange")).agg(F.count("*").alias("n"), F.bool_and("domestic").alias("domestic"))
+    e = e.withColumn("share", F.round(F.col("n") / F.sum("n").over(by("country")), 3))
+    none = e.groupBy("country").agg(F.bool_or("domestic").alias("d")).where("not d").select("country", *row("no domestic line", F.lit("")))
+    abroad = first_rows(e, ["country"], [F.desc("n"), "exchange"]).where("not domestic").join(none, "country", "left_anti").select("country", *row("largest exchange abroad", F.col("exchange")))
+    large = e.where((F.col("share") >= unknown_share) & ~F.col("domestic"))
+    elsewhere = venues.where("pattern <> '^$'").select(F.col("country").alias("_c"), "pattern")
+    large = large.join(elsewhere, F.expr("_c <> country and exchange rlike concat('(?i)', pattern)"), "left_anti").select("country", *row("large unknown exchange", F.col("exchange")))
+    unnamed = x.where("coalesce(exchange, '-') in ('-', '')").groupBy("country").agg(F.count("*").alias("n")).select("country", *row("no exchange name", F.col("n")))
+    twice = x.where("domestic").groupBy("country").agg((F.count("*") - F.count_distinct("stock")).alias("n")).where("n > 0").select("country", *row("repeated ids", F.col("n")))
+    missing = countries.select("country").join(own, "country", "left_anti").select("country", *row("no file", F.lit("")))
+    out = several
+    for d in (other, without, none, abroad, large, unnamed, twice, missing):
+        out = out.unionByName(d)
+    return out
+
+
+def batches(ids: DataFrame, size: int, prefix: str, digits: int = 3) -> DataFrame:
+    """LST5: distinct ids (any text) in lists of `size`, in order of their first place `at` in the input. The rank of an id is its rank in
+    its band of places and the ids of the bands before, so no task orders them all."""
+    code = F.trim(F.col("stock").cast("string"))
+    d = ids.select(code.alias("stock"), "at").where("stock <> ''").groupBy("stock").agg(F.min("at").alias("at")).withColumn("_band", F.floor(F.col("at") / (100 * size)))
     sizes = d.groupBy("_band").agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
     begin = sizes.select("_band", (F.sum("_n").over(by("_one", order="_band")) - F.col("_n")).alias("_begin"))
-    out = d.withColumn("_at", F.row_number().over(by("_band", order="stock")) - 1).join(begin, "_band")
-    out = out.withColumn("_list", F.floor((F.col("_begin") + F.col("_at")) / size) + 1)
-    return out.select("stock", F.concat(F.lit(f"L#{prefix}"), F.lpad(F.col("_list").cast("string"), 3, "0")).alias("list"))
+    place = F.col("_begin") + F.row_number().over(by("_band", order="at")) - 1
+    out = d.join(begin, "_band").withColumn("_at", place)
+    number = (F.floor(F.col("_at") / size) + 1).cast("string")
+    return out.select("stock", F.concat(F.lit(f"L#{prefix}"), F.when(F.length(number) < digits, F.lpad(number, digits, "0")).otherwise(number)).alias("list"), (F.col("_at") % size + 1).alias("row"))
 
 
 def normal_id(c: Column) -> Column:
@@ -132,10 +167,21 @@ def unresolved(statics: DataFrame, fields: list[str]) -> DataFrame:
 
 
 def compare_sets(expected: DataFrame, found: DataFrame) -> DataFrame:
-    """STC3: counts of ids in both, missing, unexpected, and found more than once."""
+    """STC3: counts of ids in both, missing, unexpected, found more than once, in several lists; and of the expected ids that a
+    spreadsheet may read as numbers (`1234E5`), all and missing."""
     e = expected.groupBy("stock").agg(F.count("*").alias("e"))
     f = found.groupBy("stock").agg(F.count("*").alias("f"))
-    return e.join(f, "stock", "full").agg(F.count_if(F.expr("e is not null and f is not null")).alias("both"), F.count_if(F.col("f").isNull()).alias("missing"), F.count_if(F.col("e").isNull()).alias("unexpected"), F.count_if(F.col("f") > 1).alias("duplicated"), F.count_if(F.col("e") > 1).alias("in_several_lists"))
+    risky = F.col("e").isNotNull() & F.col("stock").cast("string").rlike(r"(?i)^\d+E\d+$")
+    return e.join(f, "stock", "full").agg(
+        F.count_if(F.expr("e is not null and f is not null")).alias("both"), F.count_if(F.col("f").isNull()).alias("missing"), F.count_if(F.col("e").isNull()).alias("unexpected"), F.count_if(F.col("f") > 1).alias("duplicated"),
+        F.count_if(F.col("e") > 1).alias("in_several_lists"), F.count_if(risky).alias("risky"), F.count_if(risky & F.col("f").isNull()).alias("risky_missing"),
+    )
+
+
+def missing_by_list(expected: DataFrame, found: DataFrame) -> DataFrame:
+    """STC3: for each list: its ids, and those not found."""
+    e = expected.join(found.select("stock").distinct().withColumn("_f", F.lit(True)), "stock", "left")
+    return e.groupBy("list").agg(F.count("*").alias("n"), F.count_if(F.col("_f").isNull()).alias("missing"))
 
 
 def best_list(lists: DataFrame, folders: DataFrame, least: float = 0.9) -> DataFrame:
@@ -153,6 +199,15 @@ def field_coverage(df: DataFrame, fields: list[str]) -> DataFrame:
     return df.agg(*[F.avg(known(F.col(c).cast("string")).isNotNull().cast("int")).alias(c) for c in fields]).unpivot([], fields, "field", "filled")
 
 
+def _same_country() -> Column:
+    return F.coalesce(F.upper(F.trim("domicile")) == F.upper(F.trim("country")), F.lit(False))
+
+
 def domicile_match(statics: DataFrame) -> DataFrame:
-    """STC6: share of lines whose domicile is their country."""
-    return statics.groupBy("country").agg(F.count("*").alias("n"), F.avg((F.col("domicile") == F.col("country")).cast("int")).alias("matching"))
+    """STC6: share of lines whose domicile is their country, but for case and blanks; a missing domicile is none."""
+    return statics.groupBy("country").agg(F.count("*").alias("n"), F.avg(_same_country().cast("int")).alias("matching"))
+
+
+def domicile_mismatches(statics: DataFrame) -> DataFrame:
+    """STC6: the lines whose domicile is not their country."""
+    return statics.where(~_same_country())

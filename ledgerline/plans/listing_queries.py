@@ -9,6 +9,7 @@ from ledgerline.operators import listings as li
 from ledgerline.plans.registry import query
 from ledgerline.plans.universe_queries import universe
 from ledgerline.sources import imports as im
+from ledgerline.sources import static_files as sf
 from ledgerline.sources.proxy import PANEL_SQL, read
 
 LINES_SQL = """WITH lines AS (SELECT p_partkey AS stock, p_name || CASE p_partkey % 11 WHEN 0 THEN ' DEAD - DELIST.17/04/96' WHEN 1 THEN ' DUPL SEE 12' WHEN 2 THEN ' DELIST.03/12/07' ELSE '' END AS ename,
@@ -118,24 +119,53 @@ def lst4(spark, sf_dir):
     return li.first_country(one.unionByName(two)).select("stock", "country", "exchange")
 
 
-_REPORT = """g AS (SELECT country, exchange, currency, count(*) AS n, count(*) FILTER (active) AS a FROM lines GROUP BY 1, 2, 3), r AS (SELECT *, row_number() OVER (PARTITION BY country, exchange ORDER BY n DESC, currency) AS r FROM g),
- rep AS (SELECT country, exchange, CAST(sum(n) AS BIGINT) AS n, CAST(sum(a) AS BIGINT) AS active, string_agg(currency, ',' ORDER BY r) FILTER (r <= 2) AS top_currencies, sum(n) / sum(sum(n)) OVER (PARTITION BY country) AS share FROM r GROUP BY 1, 2)"""
+# Lines of export files: some lines of another country, some without an exchange, codes with and without suffix, some lines twice.
+_EXPORT_SQL = f"""{LINES_SQL}, ven AS (SELECT * FROM {_values(VENUES, 'country', 'pattern')} WHERE country <> 'C3'), x0 AS (SELECT stock, 'F' || country AS file, CASE WHEN stock % 50 = 7 AND country = 'C1' THEN 'C9' ELSE country END AS country, category, CASE WHEN stock % 40 = 3 THEN '-' WHEN stock % 77 = 5 THEN NULL ELSE exchange END AS exchange, active, currency,
+  CASE stock % 4 WHEN 0 THEN 'R' || stock || '.VI' WHEN 1 THEN 'R.' || CASE WHEN stock % 3 = 0 THEN 'F' ELSE 'DE' END || '^B22' WHEN 2 THEN 'R' || stock END AS ric FROM lines), x AS (SELECT * FROM x0 UNION ALL SELECT * FROM x0 WHERE stock % 90 = 1)"""
 
 
-@query("lst2_exchange_report", f"{LINES_SQL}, {_REPORT} SELECT * FROM rep")
+def export(spark, sf_dir):
+    k = F.col("stock")
+    ric = F.when(k % 4 == 0, F.concat(F.lit("R"), k, F.lit(".VI"))).when(k % 4 == 1, F.concat(F.lit("R."), F.when(k % 3 == 0, "F").otherwise("DE"), F.lit("^B22"))).when(k % 4 == 2, F.concat(F.lit("R"), k))
+    x = lines(spark, sf_dir).withColumn("file", F.concat(F.lit("F"), "country")).withColumn("country", F.when((k % 50 == 7) & (F.col("country") == "C1"), "C9").otherwise(F.col("country")))
+    x = x.withColumn("exchange", F.when(k % 40 == 3, "-").when(k % 77 != 5, F.col("exchange"))).withColumn("ric", ric)
+    return x.unionByName(x.where("stock % 90 = 1"))
+
+
+def some_venues(spark):
+    return venues(spark).where("country <> 'C3'")
+
+
+_DOMESTIC = "CASE WHEN pattern = '^$' THEN false WHEN pattern IS NOT NULL THEN coalesce(regexp_matches(exchange, pattern, 'i'), false) END"
+
+
+@query("lst2_exchange_report", f"""{_EXPORT_SQL}, m AS (SELECT x.* EXCLUDE (exchange), coalesce(exchange, '') AS exchange, {_DOMESTIC} AS domestic, nullif(regexp_extract(split_part(ric, '^', 1), '\\.([A-Za-z]+)$', 1), '') AS suffix FROM x LEFT JOIN ven USING (country)),
+ tv AS (SELECT country, exchange, 's' AS k, suffix AS v, count(*) AS c FROM m WHERE suffix IS NOT NULL GROUP BY ALL UNION ALL SELECT country, exchange, 'c', currency, count(*) FROM m GROUP BY ALL), tr AS (SELECT *, row_number() OVER (PARTITION BY country, exchange, k ORDER BY c DESC, v) AS r FROM tv),
+ ta AS (SELECT country, exchange, string_agg(v, '; ' ORDER BY r) FILTER (k = 's') AS suffixes, string_agg(v, '; ' ORDER BY r) FILTER (k = 'c') AS currencies FROM tr WHERE r <= 2 GROUP BY 1, 2)
+ SELECT country, exchange, n, active, domestic, suffixes, currencies, round(n / sum(n) OVER (PARTITION BY country), 3) AS share FROM (SELECT country, exchange, count(*) AS n, count(*) FILTER (active) AS active, bool_and(domestic) AS domestic FROM m GROUP BY 1, 2) JOIN ta USING (country, exchange)""")
 def lst2(spark, sf_dir):
-    return li.exchange_report(lines(spark, sf_dir), 2)
+    return li.exchange_report(export(spark, sf_dir), some_venues(spark), 2)
 
 
-@query("lst3_exchange_warnings", f"""{LINES_SQL}, {_REPORT}, ven AS {_values(VENUES, 'country', 'pattern')}, d AS (SELECT rep.*, coalesce(regexp_matches(exchange, pattern, 'i'), false) AS domestic FROM rep LEFT JOIN ven USING (country)), l AS (SELECT * FROM d QUALIFY row_number() OVER (PARTITION BY country ORDER BY n DESC, exchange) = 1)
- SELECT country, 'no domestic line' AS rule, '' AS detail FROM d GROUP BY 1 HAVING NOT bool_or(domestic) UNION ALL SELECT country, 'largest exchange abroad', exchange FROM l WHERE NOT domestic UNION ALL SELECT country, 'large unknown exchange', exchange FROM d WHERE NOT domestic AND share >= 0.05 UNION ALL SELECT country, 'country missing', '' FROM ven WHERE country NOT IN (SELECT country FROM rep)""")
+@query("lst3_exchange_warnings", f"""{_EXPORT_SQL}, own AS (SELECT file, country FROM (SELECT file, country, count(*) AS c FROM x GROUP BY 1, 2) QUALIFY row_number() OVER (PARTITION BY file ORDER BY c DESC, country) = 1), o AS (SELECT x.* EXCLUDE (country), own.country FROM x JOIN own USING (file)),
+ q AS (SELECT o.*, {_DOMESTIC} AS domestic FROM o JOIN ven USING (country) WHERE category = 'Equities'), g AS (SELECT country, coalesce(exchange, '') AS exchange, count(*) AS n, bool_and(domestic) AS domestic FROM q GROUP BY 1, 2), e AS (SELECT *, round(n / sum(n) OVER (PARTITION BY country), 3) AS share, row_number() OVER (PARTITION BY country ORDER BY n DESC, exchange) AS r, bool_or(domestic) OVER (PARTITION BY country) AS has_one FROM g)
+ SELECT own.country, 'several countries' AS rule, string_agg(DISTINCT x.country, '; ' ORDER BY x.country) AS detail FROM x JOIN own USING (file) GROUP BY file, own.country HAVING count(DISTINCT x.country) <> 1
+ UNION ALL SELECT country, 'no equities', CAST(count(*) AS VARCHAR) FROM o WHERE category <> 'Equities' GROUP BY 1 UNION ALL SELECT country, 'no pattern', '' FROM own WHERE country NOT IN (SELECT country FROM ven) UNION ALL SELECT DISTINCT country, 'no domestic line', '' FROM e WHERE NOT has_one
+ UNION ALL SELECT country, 'largest exchange abroad', exchange FROM e WHERE r = 1 AND has_one AND NOT domestic
+ UNION ALL SELECT country, 'large unknown exchange', exchange FROM e WHERE NOT domestic AND share >= 0.05 AND NOT EXISTS (SELECT 1 FROM ven WHERE ven.country <> e.country AND pattern <> '^$' AND regexp_matches(exchange, pattern, 'i'))
+ UNION ALL SELECT country, 'no exchange name', CAST(count(*) AS VARCHAR) FROM q WHERE coalesce(exchange, '-') IN ('-', '') GROUP BY 1 UNION ALL SELECT country, 'repeated ids', CAST(count(*) - count(DISTINCT stock) AS VARCHAR) FROM q WHERE domestic GROUP BY 1 HAVING count(*) > count(DISTINCT stock)
+ UNION ALL SELECT country, 'no file', '' FROM (SELECT unnest(['C0', 'C1', 'C7', 'C8']) AS country) WHERE country NOT IN (SELECT country FROM own)""")
 def lst3(spark, sf_dir):
-    return li.exchange_warnings(li.exchange_report(lines(spark, sf_dir)), venues(spark), 0.05)
+    return li.exchange_warnings(export(spark, sf_dir), some_venues(spark), frame(spark, [("C0",), ("C1",), ("C7",), ("C8",)], "country string"), 0.05)
 
 
-@query("lst5_batches", "SELECT o_custkey AS stock, 'L#A' || lpad(CAST((row_number() OVER (ORDER BY o_custkey) - 1) // 100 + 1 AS VARCHAR), 3, '0') AS list FROM (SELECT DISTINCT o_custkey FROM orders)")
+@query("lst5_batches", """WITH i AS (SELECT o_orderkey AS place, CASE WHEN o_custkey % 5 = 0 THEN ' ' || o_custkey || 'X ' WHEN o_custkey % 5 = 1 THEN '0' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS stock FROM orders), d AS (SELECT trim(stock) AS stock, min(place) AS place FROM i GROUP BY 1), r AS (SELECT stock, row_number() OVER (ORDER BY place) - 1 AS k FROM d)
+ SELECT stock, 'L#A' || lpad(CAST(k // 100 + 1 AS VARCHAR), 3, '0') AS list, k % 100 + 1 AS row FROM r""")
 def lst5(spark, sf_dir):
-    return li.batches(read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("stock")), 100, "A")
+    """Ids in the order in which orders first name them, some with letters, blanks or leading zeros."""
+    k = F.col("o_custkey").cast("string")
+    code = F.when(F.col("o_custkey") % 5 == 0, F.concat(F.lit(" "), k, F.lit("X "))).when(F.col("o_custkey") % 5 == 1, F.concat(F.lit("0"), k)).otherwise(k)
+    return li.batches(read(spark, sf_dir, "orders").select(code.alias("stock"), F.col("o_orderkey").alias("at")), 100, "A")
 
 
 @query("stc1_normal_ids", "SELECT c_custkey AS stock, CASE WHEN c_custkey % 3 = 2 THEN 'A' || c_custkey ELSE CASE WHEN length(CAST(c_custkey AS VARCHAR)) < 6 THEN lpad(CAST(c_custkey AS VARCHAR), 6, '0') ELSE CAST(c_custkey AS VARCHAR) END END AS id FROM customer")
@@ -158,9 +188,26 @@ def stc2(spark, sf_dir):
     return li.unresolved(_cells(spark, sf_dir), ["a", "b"]).select("stock")
 
 
-@query("stc3_compare_sets", "WITH e AS (SELECT c_custkey AS stock, count(*) AS e FROM customer WHERE c_custkey % 5 <> 0 GROUP BY 1), f AS (SELECT o_custkey AS stock, count(*) AS f FROM orders WHERE o_custkey % 7 <> 0 GROUP BY 1) SELECT count(*) FILTER (e IS NOT NULL AND f IS NOT NULL) AS both, count(*) FILTER (f IS NULL) AS missing, count(*) FILTER (e IS NULL) AS unexpected, count(*) FILTER (f > 1) AS duplicated, count(*) FILTER (e > 1) AS in_several_lists FROM e FULL JOIN f USING (stock)")
+_EXPECTED = "e0 AS (SELECT CASE WHEN c_custkey % 10 = 3 THEN c_custkey || 'E' || (c_custkey % 7) ELSE CAST(c_custkey AS VARCHAR) END AS stock, 'L' || (c_nationkey % 4) AS list FROM customer WHERE c_custkey % 5 <> 0 UNION ALL SELECT CAST(c_custkey AS VARCHAR), 'L9' FROM customer WHERE c_custkey % 35 = 1), f0 AS (SELECT CASE WHEN o_custkey % 20 = 3 THEN o_custkey || 'E' || (o_custkey % 7) ELSE CAST(o_custkey AS VARCHAR) END AS stock FROM orders WHERE o_custkey % 7 <> 0)"
+
+
+def _compared(spark, sf_dir):
+    """Ids of lists, some in two of them and some that look like numbers, and ids found, some of these as the numbers they were read as."""
+    k, text = F.col("c_custkey"), lambda c: F.concat(c, F.lit("E"), c % 7)
+    c, o = read(spark, sf_dir, "customer"), F.col("o_custkey")
+    expected = c.where("c_custkey % 5 <> 0").select(F.when(k % 10 == 3, text(k)).otherwise(k.cast("string")).alias("stock"), F.concat(F.lit("L"), F.col("c_nationkey") % 4).alias("list"))
+    expected = expected.unionByName(c.where("c_custkey % 35 = 1").select(k.cast("string").alias("stock"), F.lit("L9").alias("list")))
+    return expected, read(spark, sf_dir, "orders").where("o_custkey % 7 <> 0").select(F.when(o % 20 == 3, text(o)).otherwise(o.cast("string")).alias("stock"))
+
+
+@query("stc3_compare_sets", f"WITH {_EXPECTED}, e AS (SELECT stock, count(*) AS e FROM e0 GROUP BY 1), f AS (SELECT stock, count(*) AS f FROM f0 GROUP BY 1) SELECT count(*) FILTER (e IS NOT NULL AND f IS NOT NULL) AS both, count(*) FILTER (f IS NULL) AS missing, count(*) FILTER (e IS NULL) AS unexpected, count(*) FILTER (f > 1) AS duplicated, count(*) FILTER (e > 1) AS in_several_lists, count(*) FILTER (e IS NOT NULL AND regexp_full_match(stock, '\\d+E\\d+')) AS risky, count(*) FILTER (f IS NULL AND regexp_full_match(stock, '\\d+E\\d+')) AS risky_missing FROM e FULL JOIN f USING (stock)")
 def stc3(spark, sf_dir):
-    return li.compare_sets(read(spark, sf_dir, "customer").select(F.col("c_custkey").alias("stock")).where("stock % 5 <> 0"), read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("stock")).where("stock % 7 <> 0"))
+    return li.compare_sets(*_compared(spark, sf_dir))
+
+
+@query("stc3_missing_by_list", f"WITH {_EXPECTED} SELECT list, count(*) AS n, count(*) FILTER (stock NOT IN (SELECT stock FROM f0)) AS missing FROM e0 GROUP BY 1")
+def stc3_missing(spark, sf_dir):
+    return li.missing_by_list(*_compared(spark, sf_dir))
 
 
 @query("stc4_best_list", """WITH l AS (SELECT c_custkey AS stock, 'L' || (c_nationkey % 4) AS list FROM customer), f AS (SELECT c_custkey AS stock, 'L' || ((c_nationkey + CASE WHEN c_nationkey % 4 = 1 AND c_custkey % 3 > 0 THEN 1 ELSE 0 END) % 4) AS folder FROM customer),
@@ -178,9 +225,22 @@ def stc5(spark, sf_dir):
     return li.field_coverage(_cells(spark, sf_dir), ["a", "b"])
 
 
-@query("stc6_domicile_match", f"{LINES_SQL} SELECT country, count(*) AS n, avg(CAST(domicile = country AS INT)) AS matching FROM lines GROUP BY 1")
+_PLACED = "SELECT stock, country, CASE WHEN stock % 8 = 1 THEN NULL WHEN stock % 8 = 2 THEN ' ' || lower(domicile) ELSE domicile END AS domicile FROM lines"
+
+
+def _placed(spark, sf_dir):
+    k = F.col("stock")
+    return lines(spark, sf_dir).withColumn("domicile", F.when(k % 8 == 2, F.concat(F.lit(" "), F.lower("domicile"))).when(k % 8 != 1, F.col("domicile")))
+
+
+@query("stc6_domicile_match", f"{LINES_SQL} SELECT country, count(*) AS n, avg(CAST(coalesce(upper(trim(domicile)) = country, false) AS INT)) AS matching FROM ({_PLACED}) GROUP BY 1")
 def stc6(spark, sf_dir):
-    return li.domicile_match(lines(spark, sf_dir))
+    return li.domicile_match(_placed(spark, sf_dir))
+
+
+@query("stc6_mismatches", f"{LINES_SQL} SELECT stock, country, domicile FROM ({_PLACED}) WHERE domicile IS NULL OR upper(trim(domicile)) <> country")
+def stc6_mismatches(spark, sf_dir):
+    return li.domicile_mismatches(_placed(spark, sf_dir)).select("stock", "country", "domicile")
 
 
 def wide_file(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -302,13 +362,56 @@ def src16(spark, sf_dir):
     return im.needs_import(last(o, "raw_at"), last(o.where("o_orderstatus = 'F'"), "panel_at"))
 
 
-@query("src15_inventory", """WITH r AS (SELECT n_name AS variable FROM nation), w AS (SELECT 'NATION_' || (c_nationkey + 2) AS variable, max(c_custkey) AS raw_at FROM customer WHERE c_nationkey % 4 > 0 GROUP BY 1), p AS (SELECT 'NATION_' || s_nationkey AS variable, max(s_suppkey) * 12 AS panel_at FROM supplier WHERE s_nationkey % 3 > 0 GROUP BY 1)
- SELECT variable, CASE WHEN raw_at IS NULL AND panel_at IS NULL THEN 'missing' WHEN panel_at IS NULL THEN 'blocked' WHEN raw_at > panel_at THEN 'stale' ELSE 'current' END AS state FROM r FULL JOIN w USING (variable) FULL JOIN p USING (variable)""")
+@query("src15_inventory", """WITH r AS (SELECT n_name AS variable, CASE WHEN n_nationkey % 6 = 5 THEN 'static' ELSE 'timeseries' END AS type FROM nation), w AS (SELECT 'NATION_' || (c_nationkey + 2) AS variable, count(*) AS n_files, max(c_custkey) AS raw_at FROM customer WHERE c_nationkey % 4 > 0 GROUP BY 1), p AS (SELECT 'NATION_' || s_nationkey AS variable, max(s_suppkey) * 12 AS panel_at FROM supplier WHERE s_nationkey % 3 > 0 GROUP BY 1),
+ l AS (SELECT 'NATION_' || (c_nationkey + 1) AS variable, CASE WHEN c_nationkey % 5 < 2 THEN 'incomplete' ELSE 'complete' END AS status, count(*) AS n_series, count(*) FILTER (c_custkey % 3 > 0) AS n_firms FROM customer WHERE c_nationkey % 7 > 0 GROUP BY 1, 2),
+ m AS (SELECT variable, string_agg(name, ', ' ORDER BY name) AS in_merged FROM (SELECT DISTINCT 'NATION_' || s_nationkey AS variable, 'set' || (s_suppkey % 3) AS name FROM supplier) GROUP BY 1)
+ SELECT variable, coalesce(type, 'timeseries') AS type, r.variable IS NOT NULL AS registered, coalesce(n_files, 0) AS n_files, CASE WHEN status = 'incomplete' THEN CASE WHEN panel_at IS NULL THEN 'blocked' ELSE 'incomplete' END WHEN panel_at IS NULL THEN 'missing' WHEN raw_at > panel_at THEN 'stale' ELSE 'current' END AS state, round(n_firms / n_series, 3) AS share_with_data, coalesce(in_merged, '') AS in_merged
+ FROM r FULL JOIN w USING (variable) FULL JOIN p USING (variable) FULL JOIN l USING (variable) LEFT JOIN m USING (variable)""")
 def src15(spark, sf_dir):
     name = lambda c: F.concat(F.lit("NATION_"), c.cast("string"))
-    w = read(spark, sf_dir, "customer").where("c_nationkey % 4 > 0").groupBy(name(F.col("c_nationkey") + 2).alias("variable")).agg(F.max("c_custkey").alias("raw_at"))
-    p = read(spark, sf_dir, "supplier").where("s_nationkey % 3 > 0").groupBy(name(F.col("s_nationkey")).alias("variable")).agg((F.max("s_suppkey") * 12).alias("panel_at"))
-    return im.inventory(read(spark, sf_dir, "nation").select(F.col("n_name").alias("variable")), w, p).select("variable", "state")
+    c, s, k = read(spark, sf_dir, "customer"), read(spark, sf_dir, "supplier"), F.col("c_nationkey")
+    w = c.where("c_nationkey % 4 > 0").groupBy(name(k + 2).alias("variable")).agg(F.count("*").alias("n_files"), F.max("c_custkey").alias("raw_at"))
+    p = s.where("s_nationkey % 3 > 0").groupBy(name(F.col("s_nationkey")).alias("variable")).agg((F.max("s_suppkey") * 12).alias("panel_at"))
+    log = c.where("c_nationkey % 7 > 0").groupBy(name(k + 1).alias("variable"), F.when(k % 5 < 2, "incomplete").otherwise("complete").alias("status")).agg(F.count("*").alias("n_series"), F.count_if(F.col("c_custkey") % 3 > 0).alias("n_firms"))
+    merged = s.select(name(F.col("s_nationkey")).alias("variable"), F.concat(F.lit("set"), F.col("s_suppkey") % 3).alias("name"))
+    registry = read(spark, sf_dir, "nation").select(F.col("n_name").alias("variable"), F.when(F.col("n_nationkey") % 6 == 5, "static").otherwise("timeseries").alias("type"))
+    return im.inventory(registry, w, p, log, merged).select("variable", "type", "registered", "n_files", "state", "share_with_data", "in_merged")
+
+
+# Cells of static files: two files for each of three snapshots; ids as numbers and as text, error cells, blanks, repeats.
+_STATIC_SQL = """WITH c AS (SELECT 'f' || (c_custkey % 2) || '.csv' AS file, make_date(CAST(2001 + t.k AS INT), 6, 30) AS as_of, c_custkey * 4 + t.k AS line, CASE WHEN c_custkey % 30 = 7 THEN '  ' WHEN c_custkey % 5 = 0 THEN (c_custkey // 2) || '.0' WHEN c_custkey % 5 = 1 THEN ' A' || (c_custkey // 3) || ' ' ELSE CAST(c_custkey AS VARCHAR) END AS id, c_custkey % 5 <> 1 AND c_custkey % 30 <> 7 AS num,
+  CASE WHEN c_custkey % 11 = t.k THEN '$$ER: E' || (c_nationkey % 7) WHEN c_custkey % 13 = 2 THEN ' #na' WHEN c_custkey % 17 = 3 THEN NULL WHEN c_custkey % 2 = 0 THEN CASE WHEN c_custkey % 19 = 4 THEN 'soon' ELSE CAST(make_date(2000, CAST(1 + (c_nationkey + t.k * (c_custkey % 3)) % 12 AS INT), 28) AS VARCHAR) END ELSE 'kind ' || ((c_nationkey + t.k * (c_custkey % 3)) % 4) END AS cell FROM customer, generate_series(0, 2) t(k) WHERE (c_custkey + t.k) % 9 > 0),
+ s AS (SELECT *, nullif(CASE WHEN num THEN CASE WHEN length(regexp_replace(trim(id), '\\.0$', '')) < 6 THEN lpad(regexp_replace(trim(id), '\\.0$', ''), 6, '0') ELSE regexp_replace(trim(id), '\\.0$', '') END ELSE trim(id) END, '') AS stock, cell IS NULL OR upper(trim(cell)) IN ('', 'NA', '#NA') AS mis, coalesce(starts_with(cell, '$$ER'), false) AS err FROM c),
+ y AS (SELECT file, as_of, CASE WHEN 2 * count(*) FILTER (NOT mis AND NOT err AND try_cast(cell AS DATE) IS NOT NULL) >= count(*) FILTER (NOT mis AND NOT err) THEN 'date' ELSE 'text' END AS type FROM s GROUP BY 1, 2),
+ z AS (SELECT s.*, type, NOT mis AND NOT err AND (type = 'text' OR try_cast(cell AS DATE) IS NOT NULL) AS ok FROM s JOIN y USING (file, as_of)), pn AS (SELECT stock, as_of, trim(cell) AS value, count(*) OVER (PARTITION BY stock, as_of) - 1 AS repeats FROM z WHERE ok AND stock IS NOT NULL QUALIFY row_number() OVER (PARTITION BY stock, as_of ORDER BY file, line) = 1)"""
+
+
+def static_cells(spark, sf_dir):
+    k, t, n = F.col("c_custkey"), F.col("t"), F.col("c_nationkey")
+    text = lambda *parts: F.concat(*[F.lit(x) if isinstance(x, str) else x.cast("string") for x in parts])
+    half, third, turn = F.floor(k / 2), F.floor(k / 3), n + t * (k % 3)
+    ident = F.when(k % 30 == 7, "  ").when(k % 5 == 0, text(half, ".0")).when(k % 5 == 1, text(" A", third, " ")).otherwise(k.cast("string"))
+    dated = F.when(k % 19 == 4, "soon").otherwise(F.make_date(F.lit(2000), (1 + turn % 12).cast("int"), F.lit(28)).cast("string"))
+    cell = F.when(k % 11 == t, text("$$ER: E", n % 7)).when(k % 13 == 2, " #na").when(k % 17 == 3, F.lit(None)).when(k % 2 == 0, dated).otherwise(text("kind ", turn % 4))
+    c = read(spark, sf_dir, "customer").withColumn("t", F.explode(F.sequence(F.lit(0), F.lit(2)))).where("(c_custkey + t) % 9 > 0")
+    return c.select(text("f", k % 2, ".csv").alias("file"), F.make_date(2001 + t, F.lit(6), F.lit(30)).alias("as_of"), (k * 4 + t).alias("line"), ident.alias("id"), ((k % 5 != 1) & (k % 30 != 7)).alias("numeric"), cell.alias("cell"))
+
+
+@query("src17_static_files", f"""{_STATIC_SQL} SELECT file, as_of, count(stock) AS series, count(DISTINCT CASE WHEN ok THEN stock END) AS firms, count(*) FILTER (mis) AS missing, count(*) FILTER (err) AS errors, array_to_string(list_sort(list(DISTINCT cell) FILTER (err))[1:5], ' | ') AS examples, count(*) FILTER (NOT mis AND NOT err AND NOT ok) AS coerced,
+  count(*) FILTER (num AND length(regexp_replace(trim(id), '\\.0$', '')) < 6) AS padded, count(*) FILTER (stock IS NULL) AS blank, any_value(type) AS type, count(*) FILTER (ok AND stock IS NOT NULL) - count(DISTINCT CASE WHEN ok THEN stock END) AS duplicates, 'ok' AS status FROM z GROUP BY 1, 2""")
+def src17_files(spark, sf_dir):
+    return sf.file_reports(sf.typed_cells(static_cells(spark, sf_dir)))
+
+
+@query("src18_snapshot_report", f"""{_STATIC_SQL}, ds AS (SELECT as_of, lag(as_of) OVER (ORDER BY as_of) AS before FROM (SELECT DISTINCT as_of FROM pn)) SELECT pn.as_of, count(*) AS firms, count(DISTINCT pn.value) AS kinds, CAST(sum(pn.repeats) AS BIGINT) AS repeats, count(b.value) AS compared, count(*) FILTER (b.value <> pn.value) AS changed
+ FROM pn JOIN ds USING (as_of) LEFT JOIN pn b ON b.stock = pn.stock AND b.as_of = ds.before GROUP BY 1""")
+def src18_report(spark, sf_dir):
+    return sf.snapshot_report(sf.snapshots(sf.typed_cells(static_cells(spark, sf_dir))))
+
+
+@query("src18_value_distribution", f"{_STATIC_SQL} SELECT as_of, value, count(*) AS firms FROM pn GROUP BY 1, 2")
+def src18_values(spark, sf_dir):
+    return sf.value_distribution(sf.snapshots(sf.typed_cells(static_cells(spark, sf_dir))))
 
 
 @query("src17_value_types", """WITH c AS (SELECT unnest(['brand', 'price', 'size']) AS variable, unnest([CAST(p_brand AS VARCHAR), CAST(p_retailprice AS VARCHAR), CASE WHEN p_size % 5 = 0 THEN '#NA' ELSE CAST(p_size AS VARCHAR) END]) AS cell FROM part

@@ -93,11 +93,18 @@ def needs_import(raw: DataFrame, panel: DataFrame) -> DataFrame:
     return both.where("panel_at is null or raw_at > panel_at").select("variable", "raw_at")
 
 
-def inventory(registry: DataFrame, raw: DataFrame, panel: DataFrame) -> DataFrame:
-    """SRC15: every variable of registry, raw files or panel, with its state: missing, blocked, stale or current."""
-    i = registry.join(raw, "variable", "full").join(panel, "variable", "full")
-    state = F.when(F.col("raw_at").isNull() & F.col("panel_at").isNull(), "missing").when(F.col("panel_at").isNull(), "blocked").when(F.col("raw_at") > F.col("panel_at"), "stale").otherwise("current")
-    return i.withColumn("state", state)
+def inventory(registry: DataFrame, raw: DataFrame, panel: DataFrame, log: DataFrame, merged: DataFrame) -> DataFrame:
+    """SRC15: every variable of registry, raw files, panel or log, with its state: missing (no panel), stale (raw files are newer) or
+    current; after an incomplete import incomplete if there is a panel, blocked if there is none. registry: (variable, type), raw:
+    (variable, n_files, raw_at), panel: (variable, panel_at), log: (variable, status, n_series, n_firms), its latest row each;
+    merged: (name, variable) of the merged datasets. With the share of series that had data, and the datasets it is in."""
+    within = merged.groupBy("variable").agg(F.array_join(F.array_sort(F.collect_set("name")), ", ").alias("in_merged"))
+    i = registry.withColumn("registered", F.lit(True)).join(raw, "variable", "full").join(panel, "variable", "full").join(log, "variable", "full").join(within, "variable", "left")
+    state = F.when(F.col("panel_at").isNull(), "missing").when(F.col("raw_at") > F.col("panel_at"), "stale").otherwise("current")
+    failed = F.coalesce(F.col("status") == "incomplete", F.lit(False))
+    i = i.withColumn("state", F.when(failed & F.col("panel_at").isNull(), "blocked").when(failed, "incomplete").otherwise(state))
+    i = i.withColumn("share_with_data", F.round(F.try_divide("n_firms", "n_series"), 3))
+    return i.fillna(False, ["registered"]).fillna(0, ["n_files"]).fillna("", ["in_merged"]).fillna("timeseries", ["type"])
 
 
 def value_types(cells: DataFrame) -> DataFrame:
