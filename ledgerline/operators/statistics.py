@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from ledgerline.functions.dates import months_between
 from ledgerline.functions.frames import by, full_frame, quantile_bin
 
 
@@ -184,16 +185,69 @@ def factors(monthly: DataFrame, groups: DataFrame, signs: dict[str, tuple[str, i
     return f.withColumn("smb", sum((F.col(f"smb_{c}") for c in list(signs)[1:]), F.col(f"smb_{next(iter(signs))}")) / len(signs))
 
 
-def event_study(events: DataFrame, monthly: DataFrame, k_min: int, k_max: int, groups: int) -> DataFrame:
-    """AP8: mean market-adjusted return of each signal group in the months around an event, and its running sum."""
+def earnings_events(snaps: DataFrame, value: str, base: str, event: str = "fye", gap: tuple[int, int] = (9, 15)) -> DataFrame:
+    """AP8: (stock, event_month, year, signal) of annual reports: change of a value over the previous report's base, where all three are known,
+    the base is positive and the previous report so many months before."""
+    months = months_between(F.col("report_month"), F.col("prev_report_month"))
+    s = snaps.where(F.col(value).isNotNull() & F.col(f"{value}_prev").isNotNull() & (F.col(f"{base}_prev") > 0) & months.between(*gap))
+    signal = (F.col(value) - F.col(f"{value}_prev")) / F.col(f"{base}_prev")
+    return s.select("stock", F.col(event).alias("event_month"), F.year(event).alias("year"), signal.alias("signal"))
+
+
+def event_returns(events: DataFrame, monthly: DataFrame, k_min: int, k_max: int, groups: int) -> DataFrame:
+    """AP8: (stock, event_month, group, k, ret_adj): market-adjusted returns in the months around events, whose signal falls in groups by
+    year (years of under 5 events a group have none)."""
     e = events.where("signal is not null").withColumn("_n", F.count("*").over(by("year"))).where(F.col("_n") >= 5 * groups)
     e = e.withColumn("group", quantile_bin(["signal", "stock"], groups, "year")).withColumn("k", F.explode(F.sequence(F.lit(k_min), F.lit(k_max))))
     e = e.withColumn("month", F.last_day(F.add_months("event_month", F.col("k"))))
-    g = e.join(monthly.where("ret is not null").select("stock", "month", (F.col("ret") - F.avg("ret").over(by("month"))).alias("ret_adj")), ["stock", "month"])
-    g = g.groupBy("group", "k").agg(F.count("*").alias("n"), F.avg("ret_adj").alias("mean"))
+    return e.join(monthly.where("ret is not null").select("stock", "month", (F.col("ret") - F.avg("ret").over(by("month"))).alias("ret_adj")), ["stock", "month"])
+
+
+def event_study(events: DataFrame, monthly: DataFrame, k_min: int, k_max: int, groups: int) -> DataFrame:
+    """AP8: mean market-adjusted return of each signal group in the months around an event, and its running sum."""
+    g = event_returns(events, monthly, k_min, k_max, groups).groupBy("group", "k").agg(F.count("*").alias("n"), F.avg("ret_adj").alias("mean"))
     return g.withColumn("cumulative", F.sum("mean").over(by("group", order="k")))
 
 
+def cohort_spread(events: DataFrame, monthly: DataFrame, k_min: int, k_max: int, groups: int) -> DataFrame:
+    """AP8: for each month around the event the mean over cohorts (events of one month) of the highest group's mean less the lowest's,
+    its t over cohorts, and the cohorts that have both."""
+    end = lambda k: F.avg(F.when(F.col("group") == k, F.col("ret_adj")))
+    c = event_returns(events, monthly, k_min, k_max, groups).groupBy("k", "event_month").agg((end(groups) - end(1)).alias("s")).where("s is not null")
+    out = c.groupBy("k").agg(F.avg("s").alias("spread"), (F.avg("s") / F.nullif(F.stddev_samp("s") / F.sqrt(F.count("*")), F.lit(0.0))).alias("t"), F.count("*").alias("cohorts"))
+    return out
+
+
+def compare_to_market(df: DataFrame, key: str, order: str, per_year: int, lags: int) -> DataFrame:
+    """PF7, PF10: each key's portfolio (port) beside the market (mkt_rf over the riskless rf): correlation, alpha and beta of the excess
+    return with Newey-West t, fit, means, volatilities and tracking error a year. Rows with a missing value do not count."""
+    d = df.where("port is not null and mkt_rf is not null and rf is not null").select(key, order, "port", "mkt_rf", "rf")
+    d = d.withColumns({"_x": F.col("port") - F.col("rf"), "_m": F.col("mkt_rf") + F.col("rf")}).withColumn("_d", F.col("port") - F.col("_m"))
+    fit = hac_ols(d, "_x", ["mkt_rf"], key, order, lags).groupBy(key).pivot("variable", ["const", "mkt_rf"]).agg(F.first("coef").alias("coef"), F.first("t").alias("t"))
+    year, root = F.lit(per_year), F.sqrt(F.lit(per_year))
+    s = d.groupBy(key).agg(
+        F.count("*").alias("n"), F.min(order).alias("start"), F.max(order).alias("end"), F.corr("port", "_m").alias("corr"), F.regr_r2("_x", "mkt_rf").alias("r2"), (F.avg("port") * year).alias("mean_port"), (F.avg("_m") * year).alias("mean_mkt"),
+        (F.avg("_d") * year).alias("mean_diff"), (F.stddev_samp("_d") * root).alias("tracking_error"), (F.stddev_samp("port") * root).alias("vol_port"), (F.stddev_samp("_m") * root).alias("vol_mkt"),
+    )
+    out = s.join(fit, key)
+    return out.select(*s.columns, F.col("const_coef").alias("alpha"), (F.col("const_coef") * year).alias("alpha_annual"), F.col("const_t").alias("alpha_t"), F.col("mkt_rf_coef").alias("beta"), F.col("mkt_rf_t").alias("beta_t"))
+
+
+def compare_factors(df: DataFrame, lags: int = 6, least: int = 24) -> DataFrame:
+    """AP6: each factor (factor, month, mine, bench) beside the published one: correlation, means and volatilities a year with Newey-West
+    t of the means, slope and fit of the published on the own factor, tracking error a year. Factors of under `least` common
+    months go."""
+    d = df.where("mine is not null and bench is not null").withColumn("_d", F.col("mine") - F.col("bench"))
+    root = F.sqrt(F.lit(12))
+    s = d.groupBy("factor").agg(
+        F.count("*").alias("n"), F.min("month").alias("start"), F.max("month").alias("end"), F.corr("mine", "bench").alias("corr"), (12 * F.avg("mine")).alias("mean_mine"), (12 * F.avg("bench")).alias("mean_bench"), (root * F.stddev_samp("mine")).alias("vol_mine"),
+        (root * F.stddev_samp("bench")).alias("vol_bench"), F.regr_slope("bench", "mine").alias("slope"), F.regr_r2("bench", "mine").alias("r2"), (root * F.stddev_samp("_d")).alias("tracking_error"),
+    ).where(F.col("n") >= least)
+    for c in ("mine", "bench"):
+        s = s.join(hac_mean(d, "factor", "month", c, lags).select("factor", F.col("t").alias(f"t_{c}")), "factor")
+    return s
+
+
 def characteristics(d: DataFrame) -> DataFrame:
     """DER5: next return, lagged and log cap, momentum of months 2 to 12, last return and book-to-market; where the columns are
     there, also profitability (operating income less interest, a missing one as 0, on positive equity), asset growth on the

@@ -157,15 +157,6 @@ def qc20(spark, sf_dir):
     return q.update_alignment(panel(spark, sf_dir), 20)
 
 
-@query("ec1_raw_overview", f"""{LONG_SQL}, f AS (SELECT variable, year(month) AS y, count(DISTINCT stock) AS k FROM p GROUP BY 1, 2), d AS (SELECT variable, stock, count(DISTINCT value) AS k FROM p GROUP BY 1, 2)
- SELECT variable, firms, first, last, first_year, distinct_values FROM (SELECT variable, count(DISTINCT stock) AS firms, min(month) AS first, max(month) AS last FROM p GROUP BY 1) JOIN (SELECT variable, CAST(min(y) AS INT) AS first_year FROM f WHERE k >= 5 GROUP BY 1) USING (variable) JOIN (SELECT variable, median(k) AS distinct_values FROM d GROUP BY 1) USING (variable)""")
-def ec1(spark, sf_dir):
-    p = panel(spark, sf_dir)
-    years = p.groupBy("variable", F.year("month").alias("y")).agg(F.count_distinct("stock").alias("k")).where("k >= 5").groupBy("variable").agg(F.min("y").alias("first_year"))
-    each = p.groupBy("variable", "stock").agg(F.count_distinct("value").alias("k")).groupBy("variable").agg(F.median("k").alias("distinct_values"))
-    return p.groupBy("variable").agg(F.count_distinct("stock").alias("firms"), F.min("month").alias("first"), F.max("month").alias("last")).join(years, "variable").join(each, "variable")
-
-
 @query("ec5_report_months", f"{LONG_SQL} SELECT DISTINCT stock, month FROM ch")
 def ec5(spark, sf_dir):
     return q.change_events(panel(spark, sf_dir)).select("stock", "month").distinct()
@@ -304,18 +295,12 @@ def ap8(spark, sf_dir):
     return _r(st.event_study(e, monthly(spark, sf_dir), -3, 12, 5), 7, "mean", "cumulative")
 
 
-@query("pf7_compare_to_market", f"{PANEL_SQL}, s AS (SELECT month, avg(ret) AS ew, sum(ret * cap_lag) / sum(cap_lag) AS vw FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1) SELECT count(*) AS n, round(corr(vw, ew), 6) AS corr, round(regr_intercept(vw, ew), 8) AS alpha, round(regr_slope(vw, ew), 6) AS beta, round(regr_r2(vw, ew), 6) AS r2, round(stddev_samp(vw - ew) * sqrt(12), 7) AS te, round(stddev_samp(vw) * sqrt(12), 7) AS vol FROM s")
-def pf7(spark, sf_dir):
-    s = u.portfolios(monthly(spark, sf_dir))
-    return s.agg(F.count("*").alias("n"), F.round(F.corr("vw", "ew"), 6).alias("corr"), F.round(F.regr_intercept("vw", "ew"), 8).alias("alpha"), F.round(F.regr_slope("vw", "ew"), 6).alias("beta"), F.round(F.regr_r2("vw", "ew"), 6).alias("r2"), F.round(F.stddev_samp(F.col("vw") - F.col("ew")) * F.sqrt(F.lit(12)), 7).alias("te"), F.round(F.stddev_samp("vw") * F.sqrt(F.lit(12)), 7).alias("vol"))
-
-
 @query("adj4_edge_spread", f"""{PANEL_SQL}, n0 AS (SELECT stock, date, row_number() OVER w AS k, CASE WHEN open > 0 THEN ln(open) END AS o, CASE WHEN high > 0 THEN ln(high) END AS h, CASE WHEN low > 0 THEN ln(low) END AS l, CASE WHEN close > 0 THEN ln(close) END AS c FROM panel WINDOW w AS (PARTITION BY stock ORDER BY date)),
  n1 AS (SELECT *, (h + l) / 2 AS m, lag(h) OVER w AS h1, lag(l) OVER w AS l1, lag(c) OVER w AS c1, (lag(h) OVER w + lag(l) OVER w) / 2 AS m1 FROM n0 WINDOW w AS (PARTITION BY stock ORDER BY date)),
  n2 AS (SELECT *, m - o AS r1, o - m1 AS r2, m - c1 AS r3, c1 - m1 AS r4, o - c1 AS r5, CAST(h <> l OR l <> c1 AS DOUBLE) AS t FROM n1),
  n3 AS (SELECT *, t * CAST(o <> h AS DOUBLE) AS p1, t * CAST(o <> l AS DOUBLE) AS p2, t * CAST(c1 <> h1 AS DOUBLE) AS p3, t * CAST(c1 <> l1 AS DOUBLE) AS p4 FROM n2),
  n4 AS (SELECT stock, date, k, sum(t) OVER q AS nt, count(r4) OVER q AS known, avg(p1) OVER q + avg(p2) OVER q AS po, avg(p3) OVER q + avg(p4) OVER q AS pc, avg(r1) OVER q / nullif(avg(t) OVER q, 0) AS g1, avg(r3) OVER q / nullif(avg(t) OVER q, 0) AS g3, avg(r5) OVER q / nullif(avg(t) OVER q, 0) AS g5 FROM n3 WINDOW q AS (PARTITION BY stock ORDER BY date ROWS 19 PRECEDING)),
- n5 AS (SELECT a.stock, a.date, -4 / po * (y.r1 - y.t * g1) * y.r2 - 4 / pc * (y.r3 - y.t * g3) * y.r4 AS x1, -4 / po * (y.r1 - y.t * g1) * y.r5 - 4 / pc * (y.r5 - y.t * g5) * y.r4 AS x2 FROM n4 a JOIN n3 y ON y.stock = a.stock AND y.k BETWEEN a.k - 19 AND a.k WHERE nt >= 2 AND po <> 0 AND pc <> 0 AND known = 20),
+ n5 AS (SELECT a.stock, a.date, -4 / po * (y.r1 - y.t * g1) * y.r2 - 4 / pc * (y.r3 - y.t * g3) * y.r4 AS x1, -4 / po * (y.r1 - y.t * g1) * y.r5 - 4 / pc * (y.r5 - y.t * g5) * y.r4 AS x2 FROM (SELECT *, unnest(generate_series(0, 19)) AS back FROM n4 WHERE nt >= 2 AND po <> 0 AND pc <> 0 AND known = 20) a JOIN n3 y ON y.stock = a.stock AND y.k = a.k - a.back),
  n6 AS (SELECT stock, date, avg(x1) AS e1, avg(x2) AS e2, avg(x1 * x1) - avg(x1) * avg(x1) AS v1, avg(x2 * x2) - avg(x2) * avg(x2) AS v2 FROM n5 GROUP BY 1, 2),
  n7 AS (SELECT stock, date, CASE WHEN v1 + v2 > 0 THEN (v2 * e1 + v1 * e2) / (v1 + v2) ELSE (e1 + e2) / 2 END AS s FROM n6)
  SELECT n0.stock, n0.date, CASE WHEN s IS NOT NULL THEN round(least(greatest(sign(s) * sqrt(abs(s)), 0), 0.25), 6) END AS spread FROM n0 LEFT JOIN n7 ON n7.stock = n0.stock AND n7.date = n0.date""")

@@ -477,15 +477,3 @@ def snk1(spark, sf_dir):
 @query("snk2_readable_names", f"{PANEL_SQL} SELECT stock, month, close AS price, market_cap AS cap FROM uni")
 def snk2(spark, sf_dir):
     return im.readable_names(universe(spark, sf_dir).select("stock", "month", "close", "market_cap"), {"close": "price", "market_cap": "cap"})
-
-
-@query("dg1_value_consistency", f"""{PANEL_SQL}, x AS (SELECT uni.stock, market_cap / lag(market_cap) OVER (PARTITION BY uni.stock ORDER BY month) AS r FROM uni), l AS (SELECT stock, median(r) AS m, quantile_cont(r, 0.1) AS q10, quantile_cont(r, 0.9) AS q90 FROM x WHERE r IS NOT NULL GROUP BY 1)
- SELECT stock, round(m, 7) AS median, round(q10, 7) AS q10, round(q90, 7) AS q90, CASE WHEN m BETWEEN 0.9 AND 1.1 THEN 'ok' WHEN abs(m / (1 / 1.25) - 1) <= 0.1 THEN 'legacy_currency' ELSE 'other' END AS category FROM l""")
-def dg1(spark, sf_dir):
-    """Ratio of two values on each line: median and quantiles, and the category that the median falls in."""
-    from ledgerline.functions.frames import by
-
-    x = universe(spark, sf_dir).withColumn("r", F.try_divide("market_cap", F.lag("market_cap").over(by("stock", order="month")))).where("r is not null")
-    s = x.groupBy("stock").agg(F.median("r").alias("m"), F.percentile("r", F.array(F.lit(0.1), F.lit(0.9))).alias("q"))
-    category = F.when(F.col("m").between(0.9, 1.1), "ok").when(F.abs(F.col("m") / (1 / 1.25) - 1) <= 0.1, "legacy_currency").otherwise("other")
-    return s.select("stock", F.round("m", 7).alias("median"), F.round(F.col("q")[0], 7).alias("q10"), F.round(F.col("q")[1], 7).alias("q90"), category.alias("category"))

@@ -29,17 +29,6 @@ def qc6(spark, sf_dir):
     return _year(out.select("variable", "year", F.round("1", 9).alias("group_1"), F.round("2", 9).alias("group_2")))
 
 
-@query("ec3_group_coverage", f"""{EM_SQL}, x AS (SELECT em6.*, unnest(['any', 'reported', 'estimated']) AS grp, unnest([emission IS NOT NULL, coalesce(NOT estimated, false), coalesce(estimated, false)]) AS has FROM em6)
- SELECT grp AS "group", year(month) AS year, count(*) FILTER (has) AS n, round(avg(CAST(has AS INT)), 9) AS ew, round(coalesce(sum(market_cap) FILTER (has), 0) / sum(market_cap), 9) AS vw FROM x GROUP BY 1, 2""")
-def ec3(spark, sf_dir):
-    """Coverage of each availability group by year, equally and by cap."""
-    no = F.lit(False)
-    groups = [("any", F.col("emission").isNotNull()), ("reported", F.coalesce(~F.col("estimated"), no)), ("estimated", F.coalesce("estimated", no))]
-    x = emission_panel(spark, sf_dir).withColumn("g", F.explode(F.array(*[F.struct(F.lit(k).alias("group"), c.alias("has")) for k, c in groups]))).select("month", "market_cap", "g.*")
-    out = x.groupBy("group", F.year("month").alias("year")).agg(F.count_if("has").alias("n"), F.round(F.avg(F.col("has").cast("int")), 9).alias("ew"), F.round(F.sum(F.when(F.col("has"), F.col("market_cap")).otherwise(0.0)) / F.sum("market_cap"), 9).alias("vw"))
-    return _year(out)
-
-
 @query("ec7_lag_to_reports", f"""{LONG_SQL}, r AS (SELECT DISTINCT stock, month FROM ch WHERE variable = 'assets'), e AS (SELECT stock, month FROM ch WHERE variable = 'sales'), a AS (SELECT e.*, date_diff('month', r.month, e.month) AS lag FROM e ASOF LEFT JOIN r ON r.stock = e.stock AND e.month >= r.month)
  SELECT CAST(least(lag, 6) AS DOUBLE) AS lag, count(*) AS n, count(*) / sum(count(*)) OVER () AS share FROM a GROUP BY 1""")
 def ec7(spark, sf_dir):
@@ -50,28 +39,6 @@ def ec7(spark, sf_dir):
     return g.withColumn("share", F.col("n") / F.sum("n").over(by("_one"))).drop("_one")
 
 
-@query("ec11_reported_vs_estimated", f"""{EM_SQL}, x AS (SELECT year(report_month) AS year, coalesce(total, scope1 + scope2) AS r, estimate AS e FROM em1)
- SELECT year, count(*) FILTER (r IS NOT NULL AND e IS NULL) AS only_reported, count(*) FILTER (r IS NULL AND e IS NOT NULL) AS only_estimated, count(*) FILTER (r IS NOT NULL AND e IS NOT NULL) AS both, round(median(r / e), 7) AS median, round(quantile_cont(r / e, 0.1), 7) AS p10, round(quantile_cont(r / e, 0.9), 7) AS p90 FROM x GROUP BY 1""")
-def ec11(spark, sf_dir):
-    """Reported values beside estimates by year: how many have one or both, and the spread of their ratio."""
-    from ledgerline.operators.pit import lone_unit_errors
-
-    x = lone_unit_errors(emission_snapshots(spark, sf_dir), "total").select(F.year("report_month").alias("year"), F.coalesce("total", F.col("scope1") + F.col("scope2")).alias("r"), F.col("estimate").alias("e"))
-    has = lambda r, e: F.count_if(F.expr(f"r is {r} and e is {e}"))
-    out = x.withColumn("k", F.try_divide("r", "e")).groupBy("year").agg(has("not null", "null").alias("only_reported"), has("null", "not null").alias("only_estimated"), has("not null", "not null").alias("both"), F.round(F.median("k"), 7).alias("median"), F.round(F.percentile("k", F.lit(0.1)), 7).alias("p10"), F.round(F.percentile("k", F.lit(0.9)), 7).alias("p90"))
-    return _year(out)
-
-
-@query("ec14_example_firms", f"""{PANEL_SQL}, l AS (SELECT stock, arg_max(market_cap, month) AS cap FROM uni GROUP BY 1), n AS (SELECT unnest(['1', '2', '7']) AS pattern)
- SELECT pattern, stock, ename, cap FROM l JOIN statics USING (stock) JOIN n ON contains(ename, pattern) QUALIFY row_number() OVER (PARTITION BY pattern ORDER BY cap DESC, stock) = 1""")
-def ec14(spark, sf_dir):
-    """For each pattern the firm with the largest last cap whose name contains it."""
-    last = universe(spark, sf_dir).groupBy("stock").agg(F.max_by("market_cap", "month").alias("cap"))
-    n = spark.createDataFrame([("1",), ("2",), ("7",)], "pattern string")
-    x = last.join(statics(spark, sf_dir).select("stock", "ename"), "stock").join(F.broadcast(n), F.expr("contains(ename, pattern)"))
-    return first_rows(x, ["pattern"], [F.desc("cap"), "stock"]).select("pattern", "stock", "ename", "cap")
-
-
 @query("pf8_factor_regression", f"""{PANEL_SQL}, g AS (SELECT month, region, sum(ret * cap_lag) / sum(cap_lag) AS v FROM mon JOIN statics USING (stock) WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1, 2), f AS (SELECT month, avg(ret) AS x1, sum(ret * cap_lag) / sum(cap_lag) AS x2 FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1),
  k AS (SELECT region, count(*) AS n, covar_samp(x1, x1) AS aa, covar_samp(x2, x2) AS bb, covar_samp(x1, x2) AS ab, covar_samp(x1, v) AS ay, covar_samp(x2, v) AS yb FROM g JOIN f USING (month) GROUP BY 1)
  SELECT region, n, round((ay * bb - yb * ab) / (aa * bb - ab * ab), 6) AS b1, round((yb * aa - ay * ab) / (aa * bb - ab * ab), 6) AS b2 FROM k""")
@@ -123,17 +90,6 @@ def dg3(spark, sf_dir):
     return _year(e.groupBy("variable", F.year("month").alias("year")).agg(F.count("*").alias("n"), F.round(F.median(growth), 7).alias("median_growth")))
 
 
-@query("dg4_shares_basis", f"""{PANEL_SQL}, x AS (SELECT country, unnest(['close', 'unadjusted', 'double']) AS basis, unnest([volume * close, volume * unadj_close, 2 * volume * close]) / market_cap AS r FROM panel JOIN statics USING (stock)),
- m AS (SELECT country, basis, pow(10, round(log10(median(r)))) AS scale FROM x GROUP BY 1, 2) SELECT basis, count(*) AS n, round(avg(CAST(r / scale BETWEEN 0.95 AND 1.05 AS INT)), 9) AS within FROM x JOIN m USING (country, basis) GROUP BY 1""")
-def dg4(spark, sf_dir):
-    """Three bases of shares against the cap, each scaled by its country's power of ten."""
-    cells = [("close", F.col("volume") * F.col("close")), ("unadjusted", F.col("volume") * F.col("unadj_close")), ("double", 2 * F.col("volume") * F.col("close"))]
-    p = daily_panel(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
-    x = p.withColumn("c", F.explode(F.array(*[F.struct(F.lit(k).alias("basis"), F.try_divide(v, F.col("market_cap")).alias("r")) for k, v in cells]))).select("country", "c.*")
-    m = x.groupBy("country", "basis").agg(F.pow(F.lit(10.0), F.round(F.log10(F.median("r")))).alias("scale"))
-    return x.join(F.broadcast(m), ["country", "basis"]).groupBy("basis").agg(F.count("*").alias("n"), F.round(F.avg((F.col("r") / F.col("scale")).between(0.95, 1.05).cast("int")), 9).alias("within"))
-
-
 @query("dg5_dropped_variables", "WITH d AS (SELECT o_custkey AS dataset, list_sort(list_distinct(list(o_orderpriority))) AS v FROM orders GROUP BY 1) SELECT dataset, len(list_filter(v, lambda x: x IN ('1-URGENT', '5-LOW'))) AS dropped FROM d WHERE list_has_any(v, ['1-URGENT', '5-LOW'])")
 def dg5(spark, sf_dir):
     """Datasets whose list of variables holds one that is to be dropped, and how many."""
@@ -149,28 +105,8 @@ def pf1(spark, sf_dir):
     return u.on_month_grid(universe(spark, sf_dir), "stock", "month", ["close", "market_cap"])
 
 
-@query("ec4_firm_counts", f"{EM_SQL} SELECT count(DISTINCT stock) FILTER (emission IS NOT NULL) AS any, count(DISTINCT stock) FILTER (NOT estimated) AS reported, count(DISTINCT stock) FILTER (estimated) AS estimated FROM em6")
-def ec4(spark, sf_dir):
-    """Firms with a value in each availability group."""
-    e = F.col("estimated")
-    firms = lambda c, name: F.count_distinct(F.when(c, F.col("stock"))).alias(name)
-    return emission_panel(spark, sf_dir).agg(firms(F.col("emission").isNotNull(), "any"), firms(~e, "reported"), firms(e, "estimated"))
-
-
 @query("ec8_lag_to_fiscal_year", f"{LONG_SQL}, g AS (SELECT variable, CAST((month(month) - (stock % 4 * 3 + 3) + 12) % 12 AS INT) AS lag, count(*) AS n FROM ch WHERE variable <> 'equity' GROUP BY 1, 2) SELECT *, n / sum(n) OVER (PARTITION BY variable) AS share FROM g")
 def ec8(spark, sf_dir):
     """Months from the fiscal year end to the changes of each item."""
     fye = statics(spark, sf_dir).select("stock", (F.col("stock") % 4 * 3 + 3).alias("fye_month"))
     return q.reporting_lag(panel(spark, sf_dir).where("variable <> 'equity'"), fye)
-
-
-@query("ap6_compare_factors", f"""{PANEL_SQL}, s AS (SELECT month, 'ew' AS factor, avg(ret) AS v FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1 UNION ALL SELECT month, 'vw', sum(ret * cap_lag) / sum(cap_lag) FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1),
- b AS (SELECT month, factor, v AS b FROM (SELECT month, 'ew' AS factor, avg(ret) AS v FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 AND stock % 2 = 0 GROUP BY 1 UNION ALL SELECT month, 'vw', sum(ret * cap_lag) / sum(cap_lag) FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 AND stock % 2 = 0 GROUP BY 1))
- SELECT factor, count(*) AS n, round(corr(v, b), 6) AS corr, round(avg(v), 8) AS mean, round(avg(b), 8) AS mean_bench, round(regr_slope(v, b), 6) AS slope, round(regr_r2(v, b), 6) AS r2, round(stddev_samp(v - b), 8) AS te FROM s JOIN b USING (month, factor) GROUP BY 1 HAVING count(*) >= 24""")
-def ap6(spark, sf_dir):
-    """Factors beside their benchmarks, here the same means over every other stock."""
-    m = monthly(spark, sf_dir)
-    long = lambda d, name: u.portfolios(d).unpivot("month", ["ew", "vw"], "factor", name)
-    j = long(m, "v").join(long(m.where("stock % 2 = 0"), "b"), ["month", "factor"])
-    out = j.groupBy("factor").agg(F.count("*").alias("n"), F.corr("v", "b").alias("corr"), F.avg("v").alias("mean"), F.avg("b").alias("mean_bench"), F.regr_slope("v", "b").alias("slope"), F.regr_r2("v", "b").alias("r2"), F.stddev_samp(F.col("v") - F.col("b")).alias("te"))
-    return _r(_r(out.where("n >= 24"), 6, "corr", "slope", "r2"), 8, "mean", "mean_bench", "te")

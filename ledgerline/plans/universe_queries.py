@@ -120,13 +120,6 @@ def pf9(spark, sf_dir):
     return _rounded(u.rolling_fit(s, "vw", "ew", 12), 6, "corr", "beta").select("month", "corr", "beta")
 
 
-@query("pf10_subperiods", f"{PANEL_SQL}{_SERIES}, p AS (SELECT * FROM (VALUES ('early', DATE '1990-01-01', DATE '1996-12-31'), ('late', DATE '1997-01-01', DATE '2030-01-01'), ('all', DATE '1990-01-01', DATE '2030-01-01')) t(period, a, b)) SELECT period, count(*) AS n, round(avg(vw), 8) AS mean, round(stddev_samp(vw), 8) AS sd, round(corr(vw, ew), 6) AS corr FROM s JOIN p ON month BETWEEN a AND b GROUP BY 1")
-def pf10(spark, sf_dir):
-    periods = spark.createDataFrame([("early", "1990-01-01", "1996-12-31"), ("late", "1997-01-01", "2030-01-01"), ("all", "1990-01-01", "2030-01-01")], "period string, a string, b string")
-    s = u.portfolios(monthly(spark, sf_dir)).join(F.broadcast(periods), F.expr("month between cast(a as date) and cast(b as date)"))
-    return s.groupBy("period").agg(F.count("*").alias("n"), F.round(F.avg("vw"), 8).alias("mean"), F.round(F.stddev_samp("vw"), 8).alias("sd"), F.round(F.corr("vw", "ew"), 6).alias("corr"))
-
-
 @query("pf11_largest_deviations", f"{PANEL_SQL}{_SERIES} SELECT month, round(vw - ew, 8) AS deviation FROM s ORDER BY abs(vw - ew) DESC LIMIT 10")
 def pf11(spark, sf_dir):
     s = u.portfolios(monthly(spark, sf_dir)).withColumn("deviation", F.col("vw") - F.col("ew"))
