@@ -59,3 +59,8 @@ def quantile_bin(order: list, bins: int, *keys: str) -> Column:
     """Bin 1 to `bins` of a row by its place in the group, cut where a quantile cut of the ranks cuts."""
     r, n = F.row_number().over(by(*keys, order=order)), F.count(F.lit(1)).over(by(*keys))
     return F.greatest(F.lit(1), F.floor(((r - 1) * bins + (n - 2)) / F.greatest(n - 1, F.lit(1)))).cast("int")
+
+
+def correlation(a: str, b: str) -> Column:
+    """Correlation of two columns as an aggregate; null where one does not vary (the built-in one stops there)."""
+    return F.try_divide(F.covar_samp(a, b), F.nullif(F.stddev_samp(F.when(F.col(b).isNotNull(), F.col(a))) * F.stddev_samp(F.when(F.col(a).isNotNull(), F.col(b))), F.lit(0.0)))

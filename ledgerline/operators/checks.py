@@ -5,8 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import months_between
-from ledgerline.functions.frames import as_of, by, first_rows, island, spread_rank
+from ledgerline.functions.dates import log_of, months_between
+from ledgerline.functions.frames import as_of, by, correlation, first_rows, island, spread_rank
 
 def _series():
     return by("variable", "stock", order="month")
@@ -39,6 +39,36 @@ def coverage(p: DataFrame, uni: DataFrame, *keys: str) -> DataFrame:
     return whole.join(p.select("variable").distinct()).join(hits, ["variable", *at], "left").fillna(0, ["n_value"])
 
 
+def in_universe(p: DataFrame, uni: DataFrame) -> DataFrame:
+    """QC4: the observations whose stock is in the universe in that month."""
+    return p.join(uni.select("stock", "month"), ["stock", "month"], "left_semi")
+
+
+def coverage_by_size(p: DataFrame, sized: DataFrame, groups: int) -> DataFrame:
+    """QC6: mean of monthly coverage by year, a column for each size group; rows without a group do not count."""
+    m = coverage(p, sized.where("size_group is not null"), "size_group").withColumn("_s", F.col("n_value") / F.col("n"))
+    out = m.groupBy("variable", F.year("month").alias("year")).pivot("size_group", list(range(1, groups + 1))).agg(F.avg("_s"))
+    return out.select("variable", "year", *[F.col(f"`{k}`").alias(f"group_{k}") for k in range(1, groups + 1)])
+
+
+def december_panel(wide: DataFrame, uni: DataFrame, month: int = 12) -> DataFrame:
+    """QC18: the universe's rows of one month of each year with the variables."""
+    return uni.where(F.month("month") == month).join(wide.where(F.month("month") == month), ["stock", "month"])
+
+
+def january_growth(p: DataFrame, month: int = 1) -> DataFrame:
+    """DG3: number and median log growth of the updates in one month of each year, of positive values."""
+    e = change_events(p).where(F.month("month") == month)
+    growth = F.when((F.col("value") > 0) & (F.col("prev") > 0), log_of(F.try_divide("value", "prev")))
+    return e.groupBy("variable", F.year("month").alias("year")).agg(F.count("*").alias("n"), F.median(growth).alias("median_growth"))
+
+
+def values_at(p: DataFrame, stocks: list, months: list[str]) -> DataFrame:
+    """DG3: the values of a few firms in a few months, as a column for each month."""
+    rows = p.where(F.col("stock").isin(stocks)).withColumn("_m", F.date_format("month", "yyyy-MM"))
+    return rows.where(F.col("_m").isin(months)).groupBy("variable", "stock").pivot("_m", months).agg(F.first("value"))
+
+
 def coverage_by_month(p: DataFrame, uni: DataFrame) -> DataFrame:
     """QC5: for each variable and universe month: stocks and their caps, those with a value and theirs, both shares, and the month's
     observations outside the universe. Uni is unique by (stock, month)."""
@@ -252,7 +282,7 @@ def fiscal_alignment(e: DataFrame, s: DataFrame, years: list[int], offsets: tupl
     d = j.join(y.select("stock", "k", "ds"), ["stock", "k"]).where("abs(de) < 3 and abs(ds) < 3")
     d = d.withColumn("year", F.explode(F.array(F.lit(0), F.year("month")))).where(F.col("year").isin(0, *years))
     d = spread_rank(spread_rank(d, "de", "_a", "offset", "year"), "ds", "_b", "offset", "year")
-    out = d.groupBy("offset", "year").agg(F.count("*").alias("n"), F.corr("_a", "_b").alias("_r"), F.median("de").alias("median"))
+    out = d.groupBy("offset", "year").agg(F.count("*").alias("n"), correlation("_a", "_b").alias("_r"), F.median("de").alias("median"))
     return out.select("offset", "year", "n", F.when((F.col("year") == 0) | (F.col("n") >= least), F.col("_r")).alias("spearman"), "median")
 
 

@@ -5,12 +5,13 @@ A wide table has (stock, month) and a column for each item; the universe (stock,
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.frames import by
+from ledgerline.functions.dates import months_between
+from ledgerline.functions.frames import as_of, by
 from ledgerline.operators.checks import firm_years
-from ledgerline.operators.pit import availability_groups
+from ledgerline.operators.pit import availability_groups, lone_unit_errors
 
 GROUPS = ("any_reported", "scope12_reported", "estimated", "reported_or_estimated", "estimated_only")
 
@@ -99,3 +100,66 @@ def example_events(wide: DataFrame, reports: DataFrame, examples: DataFrame, fye
     r = reports.select("stock", "month").distinct().join(wide.select("stock").distinct(), "stock", "left_semi").withColumn("accounts", F.lit(True))
     out = d.join(r.join(few.select("stock"), "stock", "left_semi"), ["stock", "month"], "full").where(F.year("month") >= from_year)
     return out.join(few, "stock").join(fye_month.select("stock", "fye_month"), "stock", "left").fillna({"changed": "", "accounts": False})
+
+
+def report_months(changes: DataFrame) -> DataFrame:
+    """EC5: months in which some item of a firm's accounts changes, from change events (QC2)."""
+    return changes.select("stock", "month").distinct()
+
+
+def lag_to_reports(events: DataFrame, reports: DataFrame, most: int = 6) -> DataFrame:
+    """EC7: months from the latest report to each event, lags of `most` or more in one bin: counts and shares; null without a report."""
+    a = as_of(events.select("stock", "month"), reports.select("stock", F.col("month").alias("report")), "stock", "month", "report", [])
+    lag = F.least(months_between(F.col("month"), F.col("matched")["report"]), F.lit(most)).cast("double")
+    g = a.groupBy(lag.alias("lag")).agg(F.count("*").alias("n")).withColumn("_one", F.lit(1))
+    return g.withColumn("share", F.col("n") / F.sum("n").over(by("_one"))).drop("_one")
+
+
+def identity_by_year(wide: DataFrame, total: str, parts: Column, tolerance: float) -> DataFrame:
+    """EC10: rows with a positive total and all parts by year: median of total / parts, and the share within the tolerance of 1."""
+    w = wide.where(F.col(total) > 0).withColumn("_r", F.try_divide(F.col(total), parts)).where("_r is not null")
+    return w.groupBy(F.year("month").alias("year")).agg(F.count("*").alias("n"), F.median("_r").alias("median_ratio"), F.avg((F.abs(F.col("_r") - 1) <= tolerance).cast("int")).alias("within"))
+
+
+def share_classes(wide: DataFrame, companies: DataFrame, value: str) -> DataFrame:
+    """EC13: company-months with several lines: how many, the share in which all lines have one same value, and in which only some have one."""
+    x = wide.join(companies.select("stock", "company"), "stock").groupBy("company", "month").agg(F.count("*").alias("lines"), F.count(value).alias("known"), F.count_distinct(value).alias("kinds")).where("lines > 1")
+    return x.agg(F.count("*").alias("groups"), F.avg(F.expr("kinds = 1 and known = lines").cast("int")).alias("identical"), F.avg(F.expr("known between 1 and lines - 1").cast("int")).alias("partly"))
+
+
+def clean_snapshots(snaps: DataFrame, total: str, items: list[str]) -> DataFrame:
+    """EM2: snapshots with lone unit errors of the total cleared; those without any item go."""
+    return lone_unit_errors(snaps, total).where(F.coalesce(*items).isNotNull())
+
+
+def sustainability_dataset(emissions: DataFrame, fundamentals: DataFrame, statics: DataFrame, financial: Column) -> DataFrame:
+    """SD3: emission rows with their log, the fundamentals of the month, country and whether the firm is financial."""
+    d = emissions.where("emission is not null").join(fundamentals, ["stock", "month"], "left").join(statics.select("stock", "country", financial.alias("is_financial")), "stock", "left")
+    return d.withColumn("log_emission", F.when(F.col("emission") > 0, F.log("emission")))
+
+
+def summary_by_year(emissions: DataFrame, statics: DataFrame, financial: Column, month: int = 12) -> DataFrame:
+    """SD4: each year's cross-section: rows, reported ones, financial firms, and the median intensity of the others."""
+    d = emissions.where(F.col("emission").isNotNull() & (F.month("month") == month)).join(statics.select("stock", financial.alias("_f")), "stock")
+    return d.groupBy(F.year("month").alias("year")).agg(F.count("*").alias("n"), F.count_if(~F.col("estimated")).alias("reported"), F.count_if("_f").alias("financial"), F.median(F.when(~F.col("_f"), F.col("intensity"))).alias("median_intensity"))
+
+
+def report_tables(wide: DataFrame, uni: DataFrame, sized: DataFrame, reports: DataFrame, statics: DataFrame, patterns: DataFrame, fye_month: DataFrame, items: dict[str, str | list[str]], first_year: int = 2002) -> dict[str, DataFrame]:
+    """EC16: all tables of the emission report, by name; nothing runs before they are read or written."""
+    long = wide.unpivot(["stock", "month"], [c for c in wide.columns if c not in ("stock", "month")], "variable", "value").where("value is not null")
+    registered = long.select("variable").distinct()
+    examples = example_firms(statics, uni, patterns)
+    return {
+        "raw_overview": raw_overview(long, registered), "coverage_by_year": coverage_by_year(wide, uni, items), "coverage_by_size": coverage_by_size(wide, sized, items, first_year=first_year), "firm_counts": firm_counts(wide, uni, items, first_year),
+        "reported_vs_estimated": reported_vs_estimated(wide, items["reported"][0], items["estimate"]), "share_classes": share_classes(wide, statics, items["reported"][0]), "example_firms": examples,
+        "example_events": example_events(wide, reports, examples, fye_month, first_year),
+    }
+
+
+def table_sizes(tables: dict[str, DataFrame]) -> DataFrame:
+    """EC16: (table, rows) of a report's tables, as one frame."""
+    out = None
+    for name, d in tables.items():
+        one = d.agg(F.count("*").alias("rows")).select(F.lit(name).alias("table"), "rows")
+        out = one if out is None else out.unionByName(one)
+    return out

@@ -27,6 +27,11 @@ def name_core(name: Column) -> Column:
     return F.concat(F.lit(" "), F.trim(F.regexp_replace(name, STATUS, "")), F.lit(" "))
 
 
+def first_known(*codes: str) -> Column:
+    """DER4: the first of several codes that is not missing, as the company's id."""
+    return F.coalesce(*[known(F.col(c)) for c in codes])
+
+
 def common_stocks(statics: DataFrame, patterns: DataFrame, strip_status: bool = True, override: bool = True) -> DataFrame:
     """keep common stocks: code of common stock or none, and no pattern (literal text) of its country in the name.
     Code ORD overrides patterns that may be overridden; a duplicate's status drops the line."""

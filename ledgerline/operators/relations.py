@@ -8,7 +8,7 @@ from typing import NamedTuple
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.functions.frames import by, spread_rank
+from ledgerline.functions.frames import by, correlation, spread_rank
 
 
 class Rule(NamedTuple):
@@ -84,7 +84,7 @@ def summary(df: DataFrame, cells: DataFrame, rules: tuple[Rule, ...]) -> DataFra
     given = [(r.name, r.kind, r.lhs, r.rhs, r.condition, ", ".join(missing(df, r))) for r in rules]
     table = spark.createDataFrame(given, "relation string, kind string, lhs string, rhs string, condition string, missing string")
     two = cells.where("rhs is not null")
-    ranks = spread_rank(spread_rank(two, "lhs", "_a", "relation"), "rhs", "_b", "relation").groupBy("relation").agg(F.corr("_a", "_b").alias("_r"), F.count("*").alias("_n"))
+    ranks = spread_rank(spread_rank(two, "lhs", "_a", "relation"), "rhs", "_b", "relation").groupBy("relation").agg(correlation("_a", "_b").alias("_r"), F.count("*").alias("_n"))
     ratio = F.try_divide("lhs", "rhs")
     figures = cells.groupBy("relation").agg(
         F.count("*").alias("n"), F.avg(F.col("off").cast("int")).alias("violations"), F.median(ratio).alias("median_ratio"), F.avg((F.abs(ratio - 1) <= 0.05).cast("int")).alias("_within"),

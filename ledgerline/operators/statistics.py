@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import months_between
-from ledgerline.functions.frames import by, full_frame, quantile_bin
+from ledgerline.functions.frames import by, correlation, full_frame, quantile_bin
 
 
 def winsorize(df: DataFrame, columns: list[str], q: float, key: str = "month") -> DataFrame:
@@ -226,7 +226,7 @@ def compare_to_market(df: DataFrame, key: str, order: str, per_year: int, lags:
     fit = hac_ols(d, "_x", ["mkt_rf"], key, order, lags).groupBy(key).pivot("variable", ["const", "mkt_rf"]).agg(F.first("coef").alias("coef"), F.first("t").alias("t"))
     year, root = F.lit(per_year), F.sqrt(F.lit(per_year))
     s = d.groupBy(key).agg(
-        F.count("*").alias("n"), F.min(order).alias("start"), F.max(order).alias("end"), F.corr("port", "_m").alias("corr"), F.regr_r2("_x", "mkt_rf").alias("r2"), (F.avg("port") * year).alias("mean_port"), (F.avg("_m") * year).alias("mean_mkt"),
+        F.count("*").alias("n"), F.min(order).alias("start"), F.max(order).alias("end"), correlation("port", "_m").alias("corr"), F.regr_r2("_x", "mkt_rf").alias("r2"), (F.avg("port") * year).alias("mean_port"), (F.avg("_m") * year).alias("mean_mkt"),
         (F.avg("_d") * year).alias("mean_diff"), (F.stddev_samp("_d") * root).alias("tracking_error"), (F.stddev_samp("port") * root).alias("vol_port"), (F.stddev_samp("_m") * root).alias("vol_mkt"),
     )
     out = s.join(fit, key)
@@ -240,7 +240,7 @@ def compare_factors(df: DataFrame, lags: int = 6, least: int = 24) -> DataFrame:
     d = df.where("mine is not null and bench is not null").withColumn("_d", F.col("mine") - F.col("bench"))
     root = F.sqrt(F.lit(12))
     s = d.groupBy("factor").agg(
-        F.count("*").alias("n"), F.min("month").alias("start"), F.max("month").alias("end"), F.corr("mine", "bench").alias("corr"), (12 * F.avg("mine")).alias("mean_mine"), (12 * F.avg("bench")).alias("mean_bench"), (root * F.stddev_samp("mine")).alias("vol_mine"),
+        F.count("*").alias("n"), F.min("month").alias("start"), F.max("month").alias("end"), correlation("mine", "bench").alias("corr"), (12 * F.avg("mine")).alias("mean_mine"), (12 * F.avg("bench")).alias("mean_bench"), (root * F.stddev_samp("mine")).alias("vol_mine"),
         (root * F.stddev_samp("bench")).alias("vol_bench"), F.regr_slope("bench", "mine").alias("slope"), F.regr_r2("bench", "mine").alias("r2"), (root * F.stddev_samp("_d")).alias("tracking_error"),
     ).where(F.col("n") >= least)
     for c in ("mine", "bench"):

@@ -68,7 +68,7 @@ def rolling_fit(series: DataFrame, a: str, b: str, rows: int) -> DataFrame:
     """PF9: correlation and slope of two series over the last rows, once so many are there."""
     w = by("series", order="month").rowsBetween(-(rows - 1), 0)
     full = F.count(F.when(F.col(a).isNotNull() & F.col(b).isNotNull(), 1)).over(w) == rows
-    return series.withColumns({"corr": F.when(full, F.corr(a, b).over(w)), "beta": F.when(full, F.covar_samp(a, b).over(w) / F.var_samp(b).over(w))})
+    return series.withColumns({"corr": F.when(full, F.try_divide(F.covar_samp(a, b).over(w), F.nullif(F.stddev_samp(a).over(w) * F.stddev_samp(b).over(w), F.lit(0.0)))), "beta": F.when(full, F.try_divide(F.covar_samp(a, b).over(w), F.var_samp(b).over(w)))})
 
 
 def universe_over_time(monthly: DataFrame) -> DataFrame:

@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import functions as F
 
 from ledgerline.operators import checks as q
+from ledgerline.operators import emissions as em
 from ledgerline.operators import pit
 from ledgerline.operators import statistics as st
 from ledgerline.operators import universe as u
@@ -51,7 +52,7 @@ def qc3(spark, sf_dir):
 
 @query("qc4_in_universe", f"{LONG_SQL} SELECT variable, stock, month, value FROM p WHERE EXISTS (SELECT 1 FROM uni WHERE uni.stock = p.stock AND uni.month = p.month)")
 def qc4(spark, sf_dir):
-    return panel(spark, sf_dir).join(universe(spark, sf_dir), ["stock", "month"], "left_semi").select("variable", "stock", "month", "value")
+    return q.in_universe(panel(spark, sf_dir), universe(spark, sf_dir)).select("variable", "stock", "month", "value")
 
 
 _CV = """cv AS (SELECT v.variable, u.month, count(*) AS n, count(p.stock) AS n_value, sum(market_cap) AS cap, coalesce(sum(market_cap) FILTER (p.stock IS NOT NULL), 0) AS cap_value, (SELECT count(*) FROM p o WHERE o.variable = v.variable AND o.month = u.month AND NOT EXISTS (SELECT 1 FROM un x WHERE x.stock = o.stock AND x.month = o.month)) AS n_outside
@@ -147,8 +148,7 @@ def qc17(spark, sf_dir):
 
 @query("qc18_december_panel", f"{WIDE_SQL} SELECT u.stock, u.month, market_cap, sales, assets FROM uni u JOIN wide w ON w.stock = u.stock AND w.month = u.month WHERE month(u.month) = 12")
 def qc18(spark, sf_dir):
-    w = annual_wide(spark, sf_dir).where(F.month("month") == 12)
-    return universe(spark, sf_dir).where(F.month("month") == 12).join(w, ["stock", "month"]).select("stock", "month", "market_cap", "sales", "assets")
+    return q.december_panel(annual_wide(spark, sf_dir), universe(spark, sf_dir)).select("stock", "month", "market_cap", "sales", "assets")
 
 
 @query("qc20_update_alignment", f"""{LONG_SQL}, c AS (SELECT variable, stock, year(month) AS year, max(month) AS month FROM ch GROUP BY 1, 2, 3 HAVING count(*) = 1)
@@ -159,7 +159,7 @@ def qc20(spark, sf_dir):
 
 @query("ec5_report_months", f"{LONG_SQL} SELECT DISTINCT stock, month FROM ch")
 def ec5(spark, sf_dir):
-    return q.change_events(panel(spark, sf_dir)).select("stock", "month").distinct()
+    return em.report_months(q.change_events(panel(spark, sf_dir)))
 
 
 @query("ec6_change_months", f"{LONG_SQL} SELECT variable, " + ", ".join(f"count(*) FILTER (month(month) = {k}) / count(*) AS m{k}" for k in range(1, 13)) + " FROM ch GROUP BY 1")
@@ -174,8 +174,7 @@ def ec9(spark, sf_dir):
 
 @query("ec10_scope_identity", f"{WIDE_SQL} SELECT year(month) AS year, count(*) AS n, round(median(sales / (equity + assets * 0.55)), 7) AS median_ratio, avg(CAST(abs(sales / (equity + assets * 0.55) - 1) <= 0.02 AS INT)) AS within FROM wide WHERE sales > 0 AND equity IS NOT NULL GROUP BY 1")
 def ec10(spark, sf_dir):
-    w = annual_wide(spark, sf_dir).where("sales > 0 and equity is not null").withColumn("r", F.try_divide(F.col("sales"), F.col("equity") + F.col("assets") * 0.55))
-    return w.groupBy(F.year("month").cast("long").alias("year")).agg(F.count("*").alias("n"), F.round(F.median("r"), 7).alias("median_ratio"), F.avg((F.abs(F.col("r") - 1) <= 0.02).cast("int")).alias("within"))
+    return _year(_r(em.identity_by_year(annual_wide(spark, sf_dir), "sales", F.col("equity") + F.col("assets") * 0.55, 0.02), 7, "median_ratio"))
 
 
 @query("ec12_change_alignment", f"""{LONG_SQL} SELECT c.variable, p.variable AS other, count(*) AS n, avg(CAST(h.stock IS NOT NULL AS INT)) AS share FROM ch c JOIN p ON p.stock = c.stock AND p.month = c.month AND p.variable <> c.variable LEFT JOIN ch h ON h.variable = p.variable AND h.stock = c.stock AND h.month = c.month GROUP BY 1, 2 HAVING count(*) >= 50""")
@@ -186,8 +185,7 @@ def ec12(spark, sf_dir):
 @query("ec13_share_classes", f"""{WIDE_SQL}, x AS (SELECT company, month, count(*) AS lines, count(sales) AS known, count(DISTINCT sales) AS kinds FROM wide JOIN statics USING (stock) GROUP BY 1, 2 HAVING count(*) > 1)
  SELECT count(*) AS groups, avg(CAST(kinds = 1 AND known = lines AS INT)) AS identical, avg(CAST(known BETWEEN 1 AND lines - 1 AS INT)) AS partly FROM x""")
 def ec13(spark, sf_dir):
-    x = annual_wide(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "company"), "stock").groupBy("company", "month").agg(F.count("*").alias("lines"), F.count("sales").alias("known"), F.count_distinct("sales").alias("kinds")).where("lines > 1")
-    return x.agg(F.count("*").alias("groups"), F.avg(F.expr("kinds = 1 and known = lines").cast("int")).alias("identical"), F.avg(F.expr("known between 1 and lines - 1").cast("int")).alias("partly"))
+    return em.share_classes(annual_wide(spark, sf_dir), statics(spark, sf_dir), "sales")
 
 
 @query("der5_characteristics", f"""{WIDE_SQL}, x AS (SELECT a.*, CASE WHEN date_diff('month', month, lead(month) OVER w) = 1 THEN lead(ret) OVER w END AS ret_next, CASE WHEN date_diff('month', lag(month) OVER w, month) = 1 THEN lag(market_cap) OVER w END AS me_lag,

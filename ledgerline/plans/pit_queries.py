@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from ledgerline.operators import emissions as em
+from ledgerline.operators.listings import first_known, known
 from ledgerline.operators import pit
 from ledgerline.plans.registry import query
 from ledgerline.plans.universe_queries import monthly, universe
@@ -125,7 +127,7 @@ def pit10c(spark, sf_dir):
 def der4(spark, sf_dir):
     s = statics(spark, sf_dir)
     a, b = F.when(F.col("company") % 3 != 0, F.concat(F.lit("A"), "company")), F.when(F.col("company") % 2 == 0, " ").otherwise(F.concat(F.lit("B"), "company"))
-    return s.select("stock", F.coalesce(a, F.nullif(F.trim(b), F.lit(""))).alias("firm_id"))
+    return s.withColumns({"_a": a, "_b": b}).select("stock", first_known("_a", "_b").alias("firm_id"))
 
 
 @query("der6_controls", f"""{WIDE_SQL}, p AS (SELECT a.*, lag(sales, 12) OVER (PARTITION BY stock ORDER BY month) AS sales_prev FROM att a)
@@ -196,7 +198,7 @@ def em8(spark, sf_dir):
 def sd1(spark, sf_dir):
     k = F.col("stock") % 5
     v = F.when(k == 0, " na ").when(k == 1, "#N/A").when(k == 2, "").otherwise(F.col("ename"))
-    return statics(spark, sf_dir).withColumn("v", v).select("stock", F.when(~F.upper(F.trim("v")).isin("", "NA", "#NA", "#N/A", "N/A", "NONE", "NAN"), F.col("v")).alias("value"))
+    return statics(spark, sf_dir).withColumn("v", v).select("stock", known(F.col("v")).alias("value"))
 
 
 @query("sd2_industry_adjusted", f"""{WIDE_SQL}, x AS (SELECT a.stock, month, region, CASE WHEN sales > 0 THEN ln(sales) END AS x FROM att a JOIN statics USING (stock)), m AS (SELECT month, region, median(x) AS m, count(x) AS n FROM x WHERE x IS NOT NULL GROUP BY 1, 2)
@@ -209,12 +211,11 @@ def sd2(spark, sf_dir):
 @query("sd3_sustainability_dataset", f"""{EM_SQL} SELECT e.stock, e.month, country, region = 'ASIA' AS is_financial, emission, estimated, round(CASE WHEN e.emission > 0 THEN ln(e.emission) END, 7) AS log_emission, assets, sales FROM em6 e LEFT JOIN att a ON a.stock = e.stock AND a.month = e.month LEFT JOIN statics s ON s.stock = e.stock WHERE emission IS NOT NULL""")
 def sd3(spark, sf_dir):
     a = attached(spark, sf_dir).select("stock", "month", "assets", "sales")
-    d = emission_panel(spark, sf_dir).where("emission is not null").join(a, ["stock", "month"], "left").join(statics(spark, sf_dir), "stock", "left")
-    return d.select("stock", "month", "country", (F.col("region") == "ASIA").alias("is_financial"), "emission", "estimated", F.round(F.when(F.col("emission") > 0, F.log("emission")), 7).alias("log_emission"), "assets", "sales")
+    d = em.sustainability_dataset(emission_panel(spark, sf_dir), a, statics(spark, sf_dir), F.col("region") == "ASIA")
+    return d.select("stock", "month", "country", "is_financial", "emission", "estimated", F.round("log_emission", 7).alias("log_emission"), "assets", "sales")
 
 
 @query("sd4_summary_by_year", f"""{EM_SQL} SELECT year(month) AS year, count(*) AS n, count(*) FILTER (NOT estimated) AS reported, count(*) FILTER (region = 'ASIA') AS financial, round(median(intensity) FILTER (region <> 'ASIA'), 7) AS median_intensity FROM em6 JOIN statics USING (stock) WHERE emission IS NOT NULL AND month(month) = 12 GROUP BY 1""")
 def sd4(spark, sf_dir):
-    d = emission_panel(spark, sf_dir).where("emission is not null and month(month) = 12").join(statics(spark, sf_dir).select("stock", "region"), "stock")
-    asia = F.col("region") == "ASIA"
-    return d.groupBy(F.year("month").cast("long").alias("year")).agg(F.count("*").alias("n"), F.count_if(~F.col("estimated")).alias("reported"), F.count_if(asia).alias("financial"), F.round(F.median(F.when(~asia, F.col("intensity"))), 7).alias("median_intensity"))
+    d = em.summary_by_year(emission_panel(spark, sf_dir), statics(spark, sf_dir), F.col("region") == "ASIA")
+    return d.withColumns({"year": F.col("year").cast("long"), "median_intensity": F.round("median_intensity", 7)})

@@ -4,13 +4,13 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from ledgerline.functions.dates import log_of, months_between
-from ledgerline.functions.frames import as_of, by, first_rows
+from ledgerline.operators import emissions as em
+from ledgerline.operators import series as sr
+from ledgerline.sources import imports as im
 from ledgerline.operators import checks as q
 from ledgerline.operators import statistics as st
 from ledgerline.operators import universe as u
-from ledgerline.plans.check_queries import JUMP_SQL, LONG_SQL, _r, _year, panel
-from ledgerline.plans.pit_queries import EM_SQL, emission_panel, emission_snapshots
+from ledgerline.plans.check_queries import LONG_SQL, _r, _year, panel
 from ledgerline.plans.registry import query
 from ledgerline.plans.universe_queries import monthly, universe
 from ledgerline.sources.proxy import PANEL_SQL, daily_panel, read, statics
@@ -22,11 +22,7 @@ _SIZE = "c AS (SELECT month, quantile_cont(market_cap, 0.5) AS c1 FROM uni GROUP
  SELECT variable, year(month) AS year, round(avg(s) FILTER (g = 1), 9) AS group_1, round(avg(s) FILTER (g = 2), 9) AS group_2 FROM m GROUP BY 1, 2""")
 def qc6(spark, sf_dir):
     """Mean of monthly coverage by year and size group."""
-    p = panel(spark, sf_dir)
-    g = u.size_groups(universe(spark, sf_dir), F.lit(True), 2).select("stock", "month", "size_group", "market_cap")
-    m = q.coverage(p, g, "size_group").withColumn("s", F.col("n_value") / F.col("n"))
-    out = m.groupBy("variable", F.year("month").alias("year")).pivot("size_group", [1, 2]).agg(F.avg("s"))
-    return _year(out.select("variable", "year", F.round("1", 9).alias("group_1"), F.round("2", 9).alias("group_2")))
+    return _year(_r(q.coverage_by_size(panel(spark, sf_dir), u.size_groups(universe(spark, sf_dir), F.lit(True), 2), 2), 9, "group_1", "group_2"))
 
 
 @query("ec7_lag_to_reports", f"""{LONG_SQL}, r AS (SELECT DISTINCT stock, month FROM ch WHERE variable = 'assets'), e AS (SELECT stock, month FROM ch WHERE variable = 'sales'), a AS (SELECT e.*, date_diff('month', r.month, e.month) AS lag FROM e ASOF LEFT JOIN r ON r.stock = e.stock AND e.month >= r.month)
@@ -34,9 +30,7 @@ def qc6(spark, sf_dir):
 def ec7(spark, sf_dir):
     """Months from the latest change of one item to a change of another, long lags in one bin."""
     e = q.change_events(panel(spark, sf_dir)).select("variable", "stock", "month")
-    a = as_of(e.where("variable = 'sales'").drop("variable"), e.where("variable = 'assets'").select("stock", F.col("month").alias("report")), "stock", "month", "report", [])
-    g = a.groupBy(F.least(months_between(F.col("month"), F.col("matched")["report"]), F.lit(6)).cast("double").alias("lag")).agg(F.count("*").alias("n")).withColumn("_one", F.lit(1))
-    return g.withColumn("share", F.col("n") / F.sum("n").over(by("_one"))).drop("_one")
+    return em.lag_to_reports(e.where("variable = 'sales'"), em.report_months(e.where("variable = 'assets'")))
 
 
 @query("pf8_factor_regression", f"""{PANEL_SQL}, g AS (SELECT month, region, sum(ret * cap_lag) / sum(cap_lag) AS v FROM mon JOIN statics USING (stock) WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1, 2), f AS (SELECT month, avg(ret) AS x1, sum(ret * cap_lag) / sum(cap_lag) AS x2 FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1),
@@ -53,9 +47,8 @@ def pf8(spark, sf_dir):
 @query("ap9_window_sums", f"{PANEL_SQL}, s AS (SELECT month, sum(ret * cap_lag) / sum(cap_lag) AS v FROM mon WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1), k AS (SELECT row_number() OVER (ORDER BY month) AS k, v FROM s), w AS (SELECT * FROM (VALUES ('1-3', 1, 3), ('4-6', 4, 6), ('7-12', 7, 12)) t(\"window\", a, b)) SELECT \"window\", round(sum(v), 7) AS total FROM k JOIN w ON k.k BETWEEN a AND b GROUP BY 1")
 def ap9(spark, sf_dir):
     """Sums of a series over windows of its steps."""
-    k = u.portfolios(monthly(spark, sf_dir)).withColumn("_one", F.lit(1)).withColumn("k", F.row_number().over(by("_one", order="month")))
-    w = spark.createDataFrame([("1-3", 1, 3), ("4-6", 4, 6), ("7-12", 7, 12)], "window string, a int, b int")
-    return k.join(F.broadcast(w), F.expr("k between a and b")).groupBy("window").agg(F.round(F.sum("vw"), 7).alias("total"))
+    k = sr.numbered(u.portfolios(monthly(spark, sf_dir)))
+    return _r(sr.window_sums(k, "vw", {"1-3": (1, 3), "4-6": (4, 6), "7-12": (7, 12)}), 7, "total")
 
 
 @query("src5_merge_items", f"{PANEL_SQL} SELECT stock, date, CASE WHEN day(date) % 2 = 0 THEN close END AS close, CASE WHEN day(date) % 3 = 0 THEN volume END AS volume FROM panel WHERE day(date) % 2 = 0 OR day(date) % 3 = 0")
@@ -63,14 +56,13 @@ def src5(spark, sf_dir):
     """Items stacked as long rows meet on (stock, date) in one shuffle; rows without any item are not made."""
     p, day = daily_panel(spark, sf_dir), F.dayofmonth("date")
     long = p.where(day % 2 == 0).select("stock", "date", F.lit("close").alias("item"), F.col("close").alias("value")).union(p.where(day % 3 == 0).select("stock", "date", F.lit("volume"), F.col("volume")))
-    return long.groupBy("stock", "date").pivot("item", ["close", "volume"]).agg(F.max("value"))
+    return im.merge_items(long, ["close", "volume"])
 
 
 @query("src20_country_subset", f"{PANEL_SQL} SELECT stock, date, close, country FROM panel JOIN statics USING (stock) WHERE country IN ('NATION_1', 'NATION_5', 'NATION_9')")
 def src20(spark, sf_dir):
     """Some countries and columns of the panel."""
-    keep = statics(spark, sf_dir).where(F.col("country").isin("NATION_1", "NATION_5", "NATION_9")).select("stock", "country")
-    return daily_panel(spark, sf_dir).select("stock", "date", "close").join(F.broadcast(keep), "stock")
+    return im.of_countries(daily_panel(spark, sf_dir).select("stock", "date", "close"), statics(spark, sf_dir), ["NATION_1", "NATION_5", "NATION_9"])
 
 
 @query("src26_market_country", "WITH i AS (SELECT c_custkey AS id, 'INDEX OF ' || n_name AS market, n_name AS word FROM customer JOIN nation ON c_nationkey = n_nationkey), a AS (SELECT n_name AS word, CASE WHEN n_nationkey % 6 = 0 THEN 'ALIAS_' || n_nationkey WHEN n_nationkey % 6 <> 5 THEN n_name END AS country FROM nation WHERE n_nationkey % 6 <> 5) SELECT id, market, country FROM i JOIN a USING (word)")
@@ -79,23 +71,26 @@ def src26(spark, sf_dir):
     n, k = read(spark, sf_dir, "nation"), F.col("n_nationkey")
     lines = read(spark, sf_dir, "customer").join(n, F.col("c_nationkey") == k).select(F.col("c_custkey").alias("id"), F.concat(F.lit("INDEX OF "), "n_name").alias("market"))
     aliases = n.where(k % 6 != 5).select(F.col("n_name").alias("word"), F.when(k % 6 == 0, F.concat(F.lit("ALIAS_"), k.cast("string"))).otherwise(F.col("n_name")).alias("country"))
-    return lines.withColumn("word", F.element_at(F.split("market", " "), -1)).join(aliases, "word").select("id", "market", "country")
+    return im.market_country(lines, aliases).select("id", "market", "country")
 
 
 @query("dg3_january_growth", f"{LONG_SQL} SELECT variable, year(month) AS year, count(*) AS n, round(median(CASE WHEN value > 0 AND prev > 0 THEN ln(value / prev) END), 7) AS median_growth FROM ch WHERE month(month) = 1 GROUP BY 1, 2")
 def dg3(spark, sf_dir):
     """Median log growth of the items at their January updates."""
-    e = q.change_events(panel(spark, sf_dir)).where(F.month("month") == 1)
-    growth = F.when((F.col("value") > 0) & (F.col("prev") > 0), log_of(F.try_divide("value", "prev")))
-    return _year(e.groupBy("variable", F.year("month").alias("year")).agg(F.count("*").alias("n"), F.round(F.median(growth), 7).alias("median_growth")))
+    return _year(_r(q.january_growth(panel(spark, sf_dir)), 7, "median_growth"))
+
+
+@query("dg3_values_at_examples", f"{LONG_SQL} SELECT variable, stock, max(value) FILTER (month = DATE '1995-12-31') AS \"1995-12\", max(value) FILTER (month = DATE '1996-01-31') AS \"1996-01\" FROM p WHERE stock IN (2, 5, 7) AND month IN (DATE '1995-12-31', DATE '1996-01-31') GROUP BY 1, 2")
+def dg3_values(spark, sf_dir):
+    """Values of three firms before and at a January update."""
+    return q.values_at(panel(spark, sf_dir), [2, 5, 7], ["1995-12", "1996-01"])
 
 
 @query("dg5_dropped_variables", "WITH d AS (SELECT o_custkey AS dataset, list_sort(list_distinct(list(o_orderpriority))) AS v FROM orders GROUP BY 1) SELECT dataset, len(list_filter(v, lambda x: x IN ('1-URGENT', '5-LOW'))) AS dropped FROM d WHERE list_has_any(v, ['1-URGENT', '5-LOW'])")
 def dg5(spark, sf_dir):
     """Datasets whose list of variables holds one that is to be dropped, and how many."""
-    gone = F.array(F.lit("1-URGENT"), F.lit("5-LOW"))
-    d = read(spark, sf_dir, "orders").groupBy(F.col("o_custkey").alias("dataset")).agg(F.collect_set("o_orderpriority").alias("v"))
-    return d.where(F.arrays_overlap("v", gone)).select("dataset", F.size(F.array_intersect("v", gone)).cast("long").alias("dropped"))
+    held = read(spark, sf_dir, "orders").select(F.col("o_custkey").alias("dataset"), F.col("o_orderpriority").alias("variable"))
+    return im.holding_variables(held, ["1-URGENT", "5-LOW"])
 
 
 @query("pf1_month_grid", f"""{PANEL_SQL}, g AS (SELECT stock, last_day(CAST(unnest(generate_series(date_trunc('month', min(month)), date_trunc('month', max(month)), INTERVAL 1 MONTH)) AS DATE)) AS month FROM uni GROUP BY 1)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import add_months, months_between
 from ledgerline.functions.frames import by
+from ledgerline.operators import emissions as em
 from ledgerline.operators import checks as q
 from ledgerline.operators import filters as fl
 from ledgerline.operators import pit
@@ -333,7 +334,7 @@ def dg2_categories(spark, sf_dir):
 @query("em2_emission_snapshots", f"{EM_SQL} SELECT stock, report_month, fye, total, scope1, scope2, estimate FROM em1 WHERE total IS NOT NULL OR scope1 IS NOT NULL OR scope2 IS NOT NULL OR estimate IS NOT NULL")
 def em2(spark, sf_dir):
     """Snapshots of the emission items with lone unit errors cleared; those without any item go."""
-    return pit.lone_unit_errors(emission_snapshots(spark, sf_dir), "total").where("coalesce(total, scope1, scope2, estimate) is not null").select("stock", "report_month", "fye", "total", "scope1", "scope2", "estimate")
+    return em.clean_snapshots(emission_snapshots(spark, sf_dir), "total", ["total", "scope1", "scope2", "estimate"]).select("stock", "report_month", "fye", "total", "scope1", "scope2", "estimate")
 
 
 @query("em5_emission_availability", f"{EM_SQL} SELECT stock, report_month, fye, available, emission FROM em5")

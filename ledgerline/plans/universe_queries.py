@@ -5,6 +5,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
+from ledgerline.operators import series as sr
 from ledgerline.operators import universe as u
 from ledgerline.plans.registry import query
 from ledgerline.sources.proxy import PANEL_SQL, daily_panel, statics
@@ -122,8 +123,7 @@ def pf9(spark, sf_dir):
 
 @query("pf11_largest_deviations", f"{PANEL_SQL}{_SERIES} SELECT month, round(vw - ew, 8) AS deviation FROM s ORDER BY abs(vw - ew) DESC LIMIT 10")
 def pf11(spark, sf_dir):
-    s = u.portfolios(monthly(spark, sf_dir)).withColumn("deviation", F.col("vw") - F.col("ew"))
-    return _rounded(s.orderBy(F.desc(F.abs("deviation"))).limit(10), 8, "deviation").select("month", "deviation")
+    return _rounded(sr.largest_deviations(u.portfolios(monthly(spark, sf_dir)), "vw", "ew"), 8, "deviation").select("month", "deviation")
 
 
 @query("pf12_universe_over_time", f"""{PANEL_SQL}, w AS (SELECT *, cap_lag / sum(cap_lag) OVER (PARTITION BY month) AS weight {_OK}), r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY weight DESC, stock) AS r FROM w)
@@ -134,14 +134,12 @@ def pf12(spark, sf_dir):
 
 @query("pf13_daily_profile", f"{PANEL_SQL} SELECT year(date) AS year, count(*) AS n, count(*) FILTER (ret = 0) AS zero, count(*) FILTER (abs(ret) > 0.05) AS large, count(*) FILTER (ret IS NULL) AS missing FROM panel GROUP BY 1")
 def pf13(spark, sf_dir):
-    r = F.col("ret")
-    return daily_panel(spark, sf_dir).groupBy(F.year("date").cast("long").alias("year")).agg(F.count("*").alias("n"), F.count_if(r == 0).alias("zero"), F.count_if(F.abs(r) > 0.05).alias("large"), F.count_if(r.isNull()).alias("missing"))
+    return sr.daily_profile(daily_panel(spark, sf_dir), 0.05).withColumn("year", F.col("year").cast("long"))
 
 
 @query("pf14_volatility_profile", f"{PANEL_SQL}, v AS (SELECT stock, round(stddev_samp(ret), 8) AS s FROM panel GROUP BY 1) SELECT count(*) AS n, quantile_cont(s, 0.1) AS p10, quantile_cont(s, 0.5) AS p50, quantile_cont(s, 0.9) AS p90, max(s) AS max FROM v")
 def pf14(spark, sf_dir):
-    v = daily_panel(spark, sf_dir).groupBy("stock").agg(F.round(F.stddev_samp("ret"), 8).alias("s"))
-    return v.agg(F.count("*").alias("n"), *[F.percentile("s", F.lit(q)).alias(f"p{round(100 * q)}") for q in (0.1, 0.5, 0.9)], F.max("s").alias("max"))
+    return sr.volatility_profile(daily_panel(spark, sf_dir))
 
 
 @query("pf15_cap_jumps", f"{PANEL_SQL}, c AS (SELECT stock, month, round(market_cap / close, 6) AS s FROM uni), d AS (SELECT *, s / lag(s) OVER (PARTITION BY stock ORDER BY month) AS change FROM c) SELECT stock, month, round(change, 6) AS change FROM d WHERE change > 3.01 OR change < 1 / 3.01")
@@ -159,10 +157,7 @@ def pf16(spark, sf_dir):
 
 @query("pf17_cumulative", f"{PANEL_SQL}{_SERIES} SELECT month, round(exp(CAST(sum(CAST(round(ln(1 + round(vw, 8)), 9) AS DECIMAL(18,9))) OVER (ORDER BY month ROWS UNBOUNDED PRECEDING) AS DOUBLE)) - 1, 7) AS cumulative FROM s")
 def pf17(spark, sf_dir):
-    s = u.portfolios(monthly(spark, sf_dir)).withColumn("_one", F.lit(1))
-    step = F.round(F.log(1 + F.round("vw", 8)), 9).cast("decimal(18,9)")
-    total = F.sum(step).over(u.by("_one", order="month").rowsBetween(Window.unboundedPreceding, 0)).cast("double")
-    return s.select("month", F.round(F.exp(total) - 1, 7).alias("cumulative"))
+    return sr.cumulative(u.portfolios(monthly(spark, sf_dir)), "vw").select("month", F.round("cumulative", 7).alias("cumulative"))
 
 
 @query("eu2_country_portfolios", f"{PANEL_SQL} SELECT month, country, round(sum(ret * cap_lag) / sum(cap_lag), 8) AS vw, count(*) AS n FROM mon JOIN statics USING (stock) WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1, 2")
@@ -174,7 +169,7 @@ def eu2(spark, sf_dir):
 @query("eu3_universe_by_country", f"{PANEL_SQL} SELECT month, country, count(DISTINCT stock) AS stocks, round(sum(market_cap), 2) AS cap FROM uni JOIN statics USING (stock) GROUP BY 1, 2")
 def eu3(spark, sf_dir):
     m = universe(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
-    return m.groupBy("month", "country").agg(F.count_distinct("stock").alias("stocks"), F.round(F.sum("market_cap"), 2).alias("cap"))
+    return _rounded(sr.members_over_time(m, "country"), 2, "cap")
 
 
 @query("eu4_local_vs_euro", f"""{PANEL_SQL}, x AS (SELECT mon.*, region, CASE region WHEN 'EUROPE' THEN DATE '1996-01-31' WHEN 'AMERICA' THEN DATE '1998-01-31' END AS adopted FROM mon JOIN statics USING (stock)),
@@ -185,8 +180,7 @@ def eu4(spark, sf_dir):
     adopted = F.when(F.col("region") == "EUROPE", F.lit("1996-01-31").cast("date")).when(F.col("region") == "AMERICA", F.lit("1998-01-31").cast("date"))
     m = monthly(spark, sf_dir).where("ret is not null").join(statics(spark, sf_dir).select("stock", "region"), "stock")
     m = m.withColumn("ret_eur", F.col("ret") + F.when(F.month("month") % 4 == 0, 0.01).otherwise(0.0))
-    phase = F.when(adopted.isNull(), "no euro").when(F.col("month") < adopted, "before").otherwise("after")
-    return m.groupBy(phase.alias("phase")).agg(F.count("*").alias("n"), F.avg((F.abs(F.col("ret_eur") - F.col("ret")) > 1e-6).cast("int")).alias("share_different"))
+    return sr.local_against_euro(m, adopted)
 
 
 @query("eu5_currency_conversion", f"""{PANEL_SQL}, o AS (SELECT last_day(CAST(o_orderdate AS DATE)) AS month, round(sum(o_totalprice) / count(*), 2) AS rate FROM orders GROUP BY 1),
@@ -194,10 +188,10 @@ def eu4(spark, sf_dir):
  SELECT month, round((1 + vw) * rate / rate0 - 1, 7) AS usd, round((1 + ((1 + vw) * rate / rate0 - 1)) / (rate / rate0) - 1, 7) AS eur FROM s JOIN l USING (month) WHERE rate0 IS NOT NULL""")
 def eu5(spark, sf_dir):
     """A return series in another currency by month-end rates, and back."""
-    o = spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(F.last_day("o_orderdate").alias("month")).agg(F.round(F.sum("o_totalprice") / F.count("*"), 2).alias("rate")).withColumn("_one", F.lit(1))
-    fx = o.withColumn("change", F.col("rate") / F.lag("rate").over(u.by("_one", order="month"))).where("change is not null").select("month", "change")
-    s = u.portfolios(monthly(spark, sf_dir)).join(fx, "month").withColumn("usd", (1 + F.col("vw")) * F.col("change") - 1)
-    return s.select("month", F.round("usd", 7).alias("usd"), F.round((1 + F.col("usd")) / F.col("change") - 1, 7).alias("eur"))
+    o = spark.read.parquet(f"{sf_dir}/orders.parquet").groupBy(F.last_day("o_orderdate").alias("month")).agg(F.round(F.sum("o_totalprice") / F.count("*"), 2).alias("rate"))
+    changes = sr.rate_changes(o)
+    s = sr.to_currency(u.portfolios(monthly(spark, sf_dir)).select("month", "vw"), changes, "vw", "usd")
+    return _rounded(sr.to_currency(s, changes, "usd", "eur", back=True), 7, "usd", "eur").select("month", "usd", "eur")
 
 
 _BY_REGION = ", g AS (SELECT month, region, sum(ret * cap_lag) / sum(cap_lag) AS vw FROM mon JOIN statics USING (stock) WHERE ret IS NOT NULL AND cap_lag > 0 GROUP BY 1, 2)"
@@ -211,17 +205,14 @@ def _regions(spark, sf_dir):
 @query("eu6_compare_series", f"{PANEL_SQL}{_SERIES}{_BY_REGION} SELECT region, count(*) AS n, round(corr(g.vw, s.vw), 6) AS corr, round(regr_slope(g.vw, s.vw), 6) AS beta, round(stddev_samp(g.vw - s.vw), 8) AS te, round(avg(g.vw - s.vw), 8) AS mean_diff FROM g JOIN s USING (month) GROUP BY 1 HAVING count(*) >= 24")
 def eu6(spark, sf_dir):
     s = u.portfolios(monthly(spark, sf_dir)).select("month", F.col("vw").alias("bench"))
-    j = _regions(spark, sf_dir).join(s, "month").withColumn("d", F.col("vw") - F.col("bench"))
-    return j.groupBy("region").agg(F.count("*").alias("n"), F.round(F.corr("vw", "bench"), 6).alias("corr"), F.round(F.regr_slope("vw", "bench"), 6).alias("beta"), F.round(F.stddev_samp("d"), 8).alias("te"), F.round(F.avg("d"), 8).alias("mean_diff")).where("n >= 24")
+    return _rounded(_rounded(sr.compare_with(_regions(spark, sf_dir), s, "region", "vw"), 6, "corr", "beta"), 8, "te", "mean_diff")
 
 
 @query("eu7_lead_lag", f"""{PANEL_SQL}{_SERIES}{_BY_REGION}, k AS (SELECT unnest([-2, -1, 0, 1, 2]) AS shift), c AS (SELECT region, shift, round(corr(g.vw, s.vw), 7) AS corr FROM g JOIN k ON true JOIN s ON s.month = last_day(g.month + to_months(CAST(shift AS INT))) GROUP BY 1, 2)
  SELECT region, shift, corr, shift = arg_max(shift, abs(corr)) OVER (PARTITION BY region) AS best FROM c""")
 def eu7(spark, sf_dir):
     s = u.portfolios(monthly(spark, sf_dir)).select("month", F.col("vw").alias("bench"))
-    g = _regions(spark, sf_dir).withColumn("shift", F.explode(F.array(*map(F.lit, range(-2, 3))))).withColumn("month", F.last_day(F.add_months("month", F.col("shift"))))
-    c = g.join(s, "month").groupBy("region", "shift").agg(F.round(F.corr("vw", "bench"), 7).alias("corr"))
-    return c.withColumn("best", F.col("shift") == F.max_by("shift", F.abs("corr")).over(u.by("region")))
+    return sr.lead_lag(_regions(spark, sf_dir), s, "region", "vw")
 
 
 @query("eu8_top_n", f"{PANEL_SQL}, r AS (SELECT *, row_number() OVER (PARTITION BY month ORDER BY cap_lag DESC, stock) AS r {_OK}) SELECT month, round(sum(ret * cap_lag) / sum(cap_lag), 8) AS vw, count(*) AS n FROM r WHERE r <= 20 GROUP BY 1")

@@ -246,3 +246,17 @@ def dg2_granularity(spark, sf_dir):
 def dg2_unclassified(spark, sf_dir):
     """The largest stocks with emissions but without an industry."""
     return dg.largest_unclassified(_group_months(spark, sf_dir), _fields(spark, sf_dir), "industry", "any", 5).withColumn("rank", F.col("rank").cast("long"))
+
+
+# The December rows by year and the changes of the items decide how many rows each table of the report has.
+@query("ec16_report_tables", f"""{_ITEM_SQL}, {_EXAMPLES}, fw AS (SELECT DISTINCT stock FROM ex), lw AS (SELECT ew.*, {', '.join(f'lag({c}) OVER w AS {c}0' for c in (*ITEMS['reported'], 'estimate'))} FROM ew WHERE stock IN (FROM fw) WINDOW w AS (PARTITION BY stock ORDER BY month)),
+ ch AS (SELECT stock, month FROM lw WHERE year(month) >= 1994 AND ({' OR '.join(f'{c} IS DISTINCT FROM {c}0' for c in (*ITEMS['reported'], 'estimate'))}) UNION SELECT stock, report_month FROM snaps WHERE stock IN (FROM fw) AND year(report_month) >= 1994)
+ SELECT 'raw_overview' AS "table", (SELECT count(DISTINCT v) FROM (SELECT unnest([CASE WHEN total IS NOT NULL THEN 'total' END, CASE WHEN scope1 IS NOT NULL THEN 'scope1' END, CASE WHEN scope2 IS NOT NULL THEN 'scope2' END, CASE WHEN estimate IS NOT NULL THEN 'estimate' END]) AS v FROM ew)) AS rows
+ UNION ALL SELECT 'coverage_by_year', (SELECT 9 * count(DISTINCT year) FROM cs) UNION ALL SELECT 'coverage_by_size', (SELECT count(*) FROM (SELECT DISTINCT year, size_group FROM cs WHERE year >= 1994)) UNION ALL SELECT 'firm_counts', 6
+ UNION ALL SELECT 'reported_vs_estimated', (SELECT count(DISTINCT year(month)) FROM ew WHERE month(month) = 12 AND (total IS NOT NULL OR estimate IS NOT NULL)) UNION ALL SELECT 'share_classes', 1 UNION ALL SELECT 'example_firms', (SELECT count(*) FROM ex) UNION ALL SELECT 'example_events', (SELECT count(*) FROM ch)""")
+def ec16_tables(spark, sf_dir):
+    """How many rows each table of the emission report has."""
+    fye = statics(spark, sf_dir).select("stock", (F.col("stock") % 12 + 1).cast("int").alias("fye_month"))
+    reports = snapshots(spark, sf_dir).select("stock", F.col("report_month").alias("month"))
+    patterns = frame(spark, [("1",), ("4",), ("7",)], "pattern string")
+    return em.table_sizes(em.report_tables(wide(spark, sf_dir), universe(spark, sf_dir), sized(spark, sf_dir), reports, statics(spark, sf_dir), patterns, fye, ITEMS, 1994))

@@ -51,6 +51,27 @@ def file_report(long: DataFrame) -> DataFrame:
     return r.withColumn("status", F.when(F.col("obs") == 0, "empty").when(F.col("bad_dates") > 0, "check").otherwise("ok"))
 
 
+def merge_items(long: DataFrame, items: list[str]) -> DataFrame:
+    """SRC5: one row for each firm and date with a column for each item, from long rows (stock, date, item, value) stacked of all items: one
+    shuffle, and no row without any item."""
+    return long.groupBy("stock", "date").pivot("item", items).agg(F.max("value"))
+
+
+def of_countries(panel: DataFrame, statics: DataFrame, countries: list[str]) -> DataFrame:
+    """SRC20: the panel's rows of some countries, with their country."""
+    return panel.join(statics.where(F.col("country").isin(countries)).select("stock", "country"), "stock")
+
+
+def market_country(lines: DataFrame, aliases: DataFrame) -> DataFrame:
+    """SRC26: country of each index line by the last word of its market's name (aliases: word, country); names of no country go."""
+    return lines.withColumn("word", F.element_at(F.split("market", " "), -1)).join(aliases, "word").drop("word")
+
+
+def holding_variables(datasets: DataFrame, gone: list[str]) -> DataFrame:
+    """DG5: datasets (dataset, variable) that hold variables which are to be dropped, and how many."""
+    return datasets.where(F.col("variable").isin(gone)).groupBy("dataset").agg(F.count_distinct("variable").alias("dropped"))
+
+
 def merge_files(long: DataFrame) -> DataFrame:
     """SRC10: known values of all files; of one firm and date the first file wins."""
     return first_rows(long.where("date is not null and value is not null"), ["stock", "date"], ["file", "value"]).select("stock", "date", "value", "file")
