@@ -22,6 +22,7 @@ LEADERS = 16  # sets of one bucket that the others first meet
 HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
 BATCH_BYTES = 8 << 20  # bytes of one Arrow batch: texts, buckets or packed sets
+SAMPLED = 64  # one set in so many is counted over all partitions
 MEMBERS, SHINGLES = 1024, 1 << 18  # sets, and shingles in all, that one block of a class holds
 
 
@@ -62,11 +63,12 @@ def _fold(m: np.ndarray, words: int) -> np.ndarray:
 
 
 def shingle_index(docs: DataFrame) -> DataFrame:
-    """(doc_id, n, sid, bits, t): size, digest and bitmap of each row's shingle set; and rows (null, -count, shingle, null, null)
-    for shingles that stand in the prefixes of many documents of one partition."""
+    """(doc_id, n, sid, bits, t): size, digest and bitmap of each row's shingle set; and rows (null, -count, shingle, null, t)
+    for shingles that stand in the prefixes of many documents of one partition (t null), or of the sets whose digest falls in
+    a sample of one in SAMPLED (t 1). The sample finds shingles that are frequent over all partitions but in none of them."""
 
     def index(batches):
-        many, seen = [], 0
+        many, seen, sampled = [], 0, []
         for batch in batches:
             rows = ([], [], [])
             for s in _sets(batch.column(1)):
@@ -75,14 +77,23 @@ def shingle_index(docs: DataFrame) -> DataFrame:
                 rows[2].append(_bitmap(s) if len(s) else b"")
                 many.append(s[: len(s) // 4 + 2])
                 seen += len(many[-1])
+                if rows[1][-1] % SAMPLED == 0:
+                    sampled.append(many[-1])
+            if sum(map(len, sampled)) > 500_000:
+                yield _rows(*np.unique(np.concatenate(sampled), return_counts=True), 1)
+                sampled = []
             if seen > 500_000:
                 many, seen = _counted(many), 0
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(rows[0], pa.int32()), pa.array(rows[1], pa.int64()), pa.array(rows[2], pa.binary()), batch.column(2)], ["doc_id", "n", "sid", "bits", "t"])
         found = _counted(many)
         if found:
             keys, counts = np.unique(np.concatenate(found), return_counts=True)
-            keys, counts = keys[counts > 2], counts[counts > 2]
-            yield pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), pa.array(-counts.astype(np.int32)), pa.array(keys.view(np.int64)), pa.nulls(len(keys), pa.binary()), pa.nulls(len(keys), pa.int64())], ["doc_id", "n", "sid", "bits", "t"])
+            yield _rows(keys[counts > 2], counts[counts > 2], None)
+        if sampled:
+            yield _rows(*np.unique(np.concatenate(sampled), return_counts=True), 1)
+
+    def _rows(keys, counts, t):
+        return pa.RecordBatch.from_arrays([pa.nulls(len(keys), pa.int64()), pa.array(-counts.astype(np.int32)), pa.array(keys.view(np.int64)), pa.nulls(len(keys), pa.binary()), pa.array([t] * len(keys), pa.int64())], ["doc_id", "n", "sid", "bits", "t"])
 
     def _counted(many):
         if not many:
@@ -442,8 +453,8 @@ def near_duplicates(docs: DataFrame) -> DataFrame:
 
     component_id is the smallest doc_id reachable by links, the row's own included. Null texts, texts without words: no
     shingles, linked with nothing. Equal shingle sets are linked. Rows with equal doc_id are rows of their own. No rows
-    give none; very long texts are whole sets like others; extra columns are not read. Frequent shingles (counted in the
-    partitions over all documents) come last in the prefix order; that order changes the work, never the links.
+    give none; very long texts are whole sets like others; extra columns are not read. Frequent shingles (counted in each
+    partition, and in a sample of sets over all of them) come last in the prefix order; that order changes the work, never the links.
     """
     with arrow_batch_bytes(docs.sparkSession, BATCH_BYTES):
         return _near_duplicates(docs)
@@ -453,7 +464,9 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     index = materialize(shingle_index(docs))
     rows = index.where("n >= 0").select("doc_id", "n", "sid", "t")
     sets = materialize(index.where("n > 0").groupBy("sid").agg(F.min("doc_id").alias("doc_id"), F.first("n").alias("n"), F.first("bits").alias("bits")))
-    often = index.where("n < 0").groupBy("sid").agg(F.sum(-F.col("n")).alias("c")).where("c >= 24").orderBy(F.desc("c")).limit(1 << 20).toArrow()
+    # Few sampled ones say nothing; eight of them stand for some five hundred sets.
+    told = index.where("n < 0").groupBy("sid").agg(F.sum(F.when(F.col("t").isNull(), -F.col("n")).otherwise(0)).alias("c"), F.sum(F.when(F.col("t") == 1, -F.col("n")).otherwise(0)).alias("k"))
+    often = told.select("sid", F.greatest("c", F.when(F.col("k") >= 8, SAMPLED * F.col("k")).otherwise(0)).alias("c")).where("c >= 24").orderBy(F.desc("c")).limit(1 << 20).toArrow()
     common, counts = np.asarray(often["sid"].combine_chunks()).view(np.uint64) if often.num_rows else np.zeros(0, np.uint64), np.asarray(often["c"].combine_chunks()) if often.num_rows else np.zeros(0, np.int64)
     order = np.argsort(common)
 
