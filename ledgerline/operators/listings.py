@@ -37,7 +37,7 @@ def common_stocks(statics: DataFrame, patterns: DataFrame, strip_status: bool =
     Code ORD overrides patterns that may be overridden; a duplicate's status drops the line."""
     code = F.upper(known(F.col("code")))
     s = statics.withColumn("_core", name_core(F.col("ename")) if strip_status else F.concat(F.lit(" "), "ename", F.lit(" ")))
-    hits = s.join(F.broadcast(patterns), "country").where(F.contains("_core", "pattern"))
+    hits = s.join(patterns, "country").where(F.contains("_core", "pattern"))
     hits = hits.groupBy("stock").agg(F.bool_or(~F.col("overridable")).alias("_strict"), F.lit(True).alias("_hit"))
     s = s.join(hits, "stock", "left")
     pattern_ok = F.col("_hit").isNull() | ((F.lit(override) & (code == "ORD")) & ~F.col("_strict"))
@@ -47,7 +47,7 @@ def common_stocks(statics: DataFrame, patterns: DataFrame, strip_status: bool =
 
 def without_cross_listings(statics: DataFrame, venues: DataFrame) -> DataFrame:
     """drop names that match the pattern (regular expression) of their country's venues; an empty one drops none."""
-    bad = statics.join(F.broadcast(venues.where("pattern <> ''")), "country").where(F.expr("ename rlike pattern")).select("stock").distinct()
+    bad = statics.join(venues.where("pattern <> ''"), "country").where(F.expr("ename rlike pattern")).select("stock").distinct()
     return statics.join(bad, "stock", "left_anti")
 
 
@@ -63,18 +63,18 @@ def without_duplicate_codes(statics: DataFrame, *keys: str) -> DataFrame:
 
 def domestic(statics: DataFrame, aliases: DataFrame) -> DataFrame:
     """keep lines whose domicile is a name of their country (aliases: country, domicile)."""
-    return statics.join(F.broadcast(aliases), ["country", "domicile"], "left_semi")
+    return statics.join(aliases, ["country", "domicile"], "left_semi")
 
 
 def domestic_currency(statics: DataFrame, currencies: DataFrame) -> DataFrame:
     """keep lines quoted in a currency of their country (currencies: country, currency)."""
-    return statics.join(F.broadcast(currencies), ["country", "currency"], "left_semi")
+    return statics.join(currencies, ["country", "currency"], "left_semi")
 
 
 def large_countries(statics: DataFrame, least: int = 20) -> DataFrame:
     """keep countries with so many distinct stocks."""
     big = statics.groupBy("country").agg(F.count_distinct("stock").alias("n")).where(F.col("n") >= least)
-    return statics.join(F.broadcast(big.select("country")), "country", "left_semi")
+    return statics.join(big.select("country"), "country", "left_semi")
 
 
 def delisting_in_name(name: Column) -> Column:
@@ -89,7 +89,7 @@ def first_country(lines: DataFrame) -> DataFrame:
 
 def domestic_listings(lines: DataFrame, venues: DataFrame) -> DataFrame:
     """LST1: equities on their country's exchanges, each id once."""
-    ok = lines.where("category = 'Equities'").join(F.broadcast(venues), "country").where(F.expr("exchange rlike concat('(?i)', pattern)"))
+    ok = lines.where("category = 'Equities'").join(venues, "country").where(F.expr("exchange rlike concat('(?i)', pattern)"))
     return first_country(ok.drop("pattern"))
 
 

@@ -167,7 +167,7 @@ def month_end_rates(rates: DataFrame) -> DataFrame:
 def index_returns(levels: DataFrame) -> DataFrame:
     """SRC24: returns over consecutive months of index levels; dates that nearly all stand on the first count for the month before."""
     first = levels.groupBy("series").agg((F.avg((F.dayofmonth("date") == 1).cast("int")) > 0.9).alias("_first"))
-    m = levels.join(F.broadcast(first), "series").withColumn("month", F.last_day(F.when(F.col("_first"), F.date_sub("date", 1)).otherwise(F.col("date"))))
+    m = levels.join(first, "series").withColumn("month", F.last_day(F.when(F.col("_first"), F.date_sub("date", 1)).otherwise(F.col("date"))))
     m = m.groupBy("series", "month").agg(F.max_by("level", "date").alias("level"))
     w = by("series", order="month")
     return m.withColumn("ret", F.when(months_between(F.col("month"), F.lag("month").over(w)) == 1, F.try_divide("level", F.lag("level").over(w)) - 1))
