@@ -93,3 +93,17 @@ def test_bounds_hold_and_prune():
     alone = Best(1, 10, np.zeros(1))
     one = Queries(items[:1], weight)
     assert search_tree(BallTree(doc, term, value.astype(float), size, one), one, alone, np.arange(size), np.zeros(size, bool), at, term, value) < 3 * size / 4
+
+
+def test_query_equals_sql(spark):
+    import duckdb
+
+    from ledgerline.llm.balltree import RANKS_SQL
+    from ledgerline.llm.queries import op13_ball_tree_search
+
+    sf = "/root/testdata/sf0.001"
+    c = duckdb.connect()
+    for t in ("documents", "benchmark"):
+        c.execute(f"CREATE VIEW {t} AS SELECT * FROM '{sf}/{t}.parquet'")
+    got = op13_ball_tree_search(spark, sf).select("item_id", "rank", "doc_id", "score").collect()
+    assert sorted(map(tuple, got)) == sorted(c.execute(RANKS_SQL).fetchall())
