@@ -22,6 +22,7 @@ LEADERS = 16  # sets of one bucket that the others first meet
 HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
 BATCH_BYTES = 8 << 20  # bytes of one Arrow batch: texts, buckets or packed sets
+SALTS = 16  # parts of a class whose members meet its count
 SAMPLED = 64  # one set in so many is counted over all partitions
 MEMBERS, SHINGLES = 1024, 1 << 18  # sets, and shingles in all, that one block of a class holds
 
@@ -510,9 +511,11 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     inside = _candidates(mixed.where(f"c <= {BUCKET}").join(bits, "sid").groupBy("key").agg(members), "x")
     # A large bucket falls in blocks by size band and class; a class of more members than a block holds is salted.
     large = mixed.where(f"c > {BUCKET}")
-    of_class = large.groupBy("key", "label").agg(F.count("*").alias("lc"))
+    # The counts meet their members in SALTS parts of each class, so that one class is not one task.
+    of_class = large.groupBy("key", "label").agg(F.count("*").alias("lc")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
     salted = F.when(F.col("lc") > BUCKET, F.xxhash64("label", F.pmod(F.xxhash64("sid"), F.ceil(F.col("lc") / BUCKET)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("c") / BUCKET)))
-    large = large.join(of_class, ["key", "label"]).join(bits, "sid").groupBy("key", size_band("n").cast("int").alias("band"), salted.alias("part"))
+    salted_rows = large.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int"))
+    large = salted_rows.join(of_class, ["key", "label", "salt"]).drop("salt").join(bits, "sid").groupBy("key", size_band("n").cast("int").alias("band"), salted.alias("part"))
     big = materialize(large.agg(members, F.min("label").alias("l0"), F.max("label").alias("l1")))
     inside = inside.union(_candidates(big.where("l0 < l1"), "x"))
     # Blocks of one large bucket: each pair of blocks once, if their bands are near and they are not one class.
