@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import log_of, months_between
 from ledgerline.functions.frames import as_of, by, correlation, first_rows, island, spread_rank
+from ledgerline.functions.tables import bucketed
 
 def _series():
     return by("variable", "stock", order="month")
@@ -77,8 +78,7 @@ def coverage_by_month(p: DataFrame, uni: DataFrame) -> DataFrame:
 
 def with_universe(p: DataFrame, uni: DataFrame) -> DataFrame:
     """The panel with what the universe says of each row: in_universe, market_cap, and the stock's first_price, last_price and (if
-    uni has it) delisting_date. Both sides are put together and meet in windows over one exchange by stock, which all later
-    tables by (variable, stock) use again."""
+    uni has it) delisting_date. Both sides are put together and meet in windows over one exchange by stock."""
     u = uni.select("stock", "month", "market_cap", *[c for c in ("delisting_date",) if c in uni.columns], F.lit(True).alias("_u"))
     both = p.select("variable", "stock", "month", "value").unionByName(u, allowMissingColumns=True).repartition("stock")
     here, own = by("stock", "month"), by("stock")
@@ -344,10 +344,10 @@ def battery(p: DataFrame, uni: DataFrame, fye_month: DataFrame, nonneg: list[str
 
     uni has (stock, month, market_cap, delisting_date), fye_month (stock, fye_month); variables in `nonneg` cannot be negative,
     and only these are searched for jumps. Coverage, history, matching and padding use all rows; timing, levels and jumps the rows
-    in the universe. The panel is exchanged once, by stock: every table by (variable, stock) is made where its rows lie, and what
-    moves after that are sums by month, year or variable. Coverage is stated for `coverage_year` (the year before the
-    last full year unless given) and the last full year."""
-    f = with_universe(p, uni)
+    in the universe. The panel meets the universe once and is written in buckets of (variable, stock): every table by these is
+    made where its rows lie, and what moves after that are sums by month, year or variable. Coverage is stated for
+    `coverage_year` (the year before the last full year unless given) and the last full year."""
+    f = bucketed(with_universe(p, uni), ["variable", "stock"], ["month"])
     pu = f.where("in_universe")
     spans = f.groupBy("variable").agg(F.min("month").alias("first_date"), F.max("month").alias("last_date"), F.count("*").alias("_rows"))
     past = history_shares(f).select("variable", F.col("firms").alias("n_firms"), F.col("median_months").alias("median_history_months"), F.col("share_with_gaps").alias("share_firms_with_gaps"), "share_gap_months")
