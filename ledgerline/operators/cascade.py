@@ -11,6 +11,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.frames import by
+from ledgerline.functions.tables import bucketed
 from ledgerline.operators import listings as li
 
 STATIC_STEPS = ("(1) non-common", "(2) cross-listings", "(3) duplicate codes", "(4) foreign firms", "(5) foreign currency")
@@ -95,7 +96,8 @@ def us_order(
 
     statics: (stock, delisting_date) of the country's lines; verdicts: `first_static_failure` of them. Stocks without
     statics fail the first static screen. Columns `ret`, `filled` and `delisted` are added; where a row stays, gaps of `fill` are filled
-    from the stock's rows before, and its last row takes the delisting return."""
+    from the stock's rows before, and its last row takes the delisting return. The first half of the order is run and written to
+    the shared folder when this is called."""
     rows = panel.join(statics.select("stock", "delisting_date", F.lit(True).alias("_known")).join(verdicts, "stock"), "stock", "left")
     c = Cascade(rows, US_STEPS)
     c.fail(F.row_number().over(by("stock", "date", order=["return_index"])) > 1)
@@ -130,6 +132,9 @@ def us_order(
     c.let(_next=F.last(among(F.col("_undone")), ignorenulls=True).over(following))
     c.fail(F.col("_undone") | F.col("_next"))
 
+    # Written once, in buckets by stock: what follows reads it twice, and its windows need no further exchange.
+    c.rows = bucketed(c.rows.drop("static", "_known", "_known_index", "_rising", "_moved", "_tail", "_padded", "_end", "_n", "_begin", "_idle", "_same", "_number", "_start", "_spread", "_was", "_undone", "_next"), ["stock"], ["date"])
+
     # Days of the calendar: bounded, whatever the number of stocks. Each stock counts on its first day, so the sum is their number.
     days = c.rows.withColumn("_first", F.min(among(F.col("date"))).over(_own()) == F.col("date")).where(alive())
     days = days.groupBy("date").agg(F.count_if(F.col("ret") != 0).alias("_n"), F.count_if("_first").alias("_new"))
@@ -161,7 +166,7 @@ def us_order(
     c.rows = c.rows.join(F.broadcast(cut), "_month", "left")  # months of the calendar
     c.fail(F.col("_price") < F.col("_cut"))
     c.fail((F.col("date") <= F.lit(after).cast("date")) | (F.col("date") > F.lit(until).cast("date")))
-    return c.rows.drop("static", *[x for x in c.rows.columns if x.startswith("_")])
+    return c.rows.drop(*[x for x in c.rows.columns if x.startswith("_")])
 
 
 def survivors(marked: DataFrame) -> DataFrame:
