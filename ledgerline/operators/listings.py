@@ -147,13 +147,13 @@ def exchange_warnings(lines: DataFrame, venues: DataFrame, countries: DataFrame,
 
 
 def batches(ids: DataFrame, size: int, prefix: str, digits: int = 3) -> DataFrame:
-    """LST5: distinct ids (any text) in lists of `size`, in order of their first place `at` in the input. The rank of an id is its rank in
-    its band of places and the ids of the bands before, so no task orders them all."""
+    """LST5: distinct ids (any text) in lists of `size`, in order of their first place `at` in the input (ids with
+    one place: by text). The rank of an id is its rank in its band of places and the ids of the bands before, so no task orders them all."""
     code = F.trim(F.col("stock").cast("string"))
     d = ids.select(code.alias("stock"), "at").where("stock <> ''").groupBy("stock").agg(F.min("at").alias("at")).withColumn("_band", F.floor(F.col("at") / (100 * size)))
     sizes = d.groupBy("_band").agg(F.count("*").alias("_n")).withColumn("_one", F.lit(1))
     begin = sizes.select("_band", (F.sum("_n").over(by("_one", order="_band")) - F.col("_n")).alias("_begin"))
-    place = F.col("_begin") + F.row_number().over(by("_band", order="at")) - 1
+    place = F.col("_begin") + F.row_number().over(by("_band", order=["at", "stock"])) - 1
     out = d.join(begin, "_band").withColumn("_at", place)
     number = (F.floor(F.col("_at") / size) + 1).cast("string")
     return out.select("stock", F.concat(F.lit(f"L#{prefix}"), F.when(F.length(number) < digits, F.lpad(number, digits, "0")).otherwise(number)).alias("list"), (F.col("_at") % size + 1).alias("row"))

@@ -159,8 +159,8 @@ def lst3(spark, sf_dir):
     return li.exchange_warnings(export(spark, sf_dir), some_venues(spark), frame(spark, [("C0",), ("C1",), ("C7",), ("C8",)], "country string"), 0.05)
 
 
-@query("lst5_batches", """WITH i AS (SELECT o_orderkey AS place, CASE WHEN o_custkey % 5 = 0 THEN ' ' || o_custkey || 'X ' WHEN o_custkey % 5 = 1 THEN '0' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS stock FROM orders), d AS (SELECT trim(stock) AS stock, min(place) AS place FROM i GROUP BY 1), r AS (SELECT stock, row_number() OVER (ORDER BY place) - 1 AS k FROM d)
- SELECT stock, 'L#A' || lpad(CAST(k // 100 + 1 AS VARCHAR), 3, '0') AS list, k % 100 + 1 AS row FROM r""")
+@query("lst5_batches", """WITH i AS (SELECT o_orderkey AS place, CASE WHEN o_custkey % 5 = 0 THEN ' ' || o_custkey || 'X ' WHEN o_custkey % 5 = 1 THEN '0' || o_custkey ELSE CAST(o_custkey AS VARCHAR) END AS stock FROM orders), d AS (SELECT trim(stock) AS stock, min(place) AS place FROM i GROUP BY 1), r AS (SELECT stock, row_number() OVER (ORDER BY place, stock) - 1 AS k FROM d), n AS (SELECT stock, k, CAST(k // 100 + 1 AS VARCHAR) AS number FROM r)
+ SELECT stock, 'L#A' || CASE WHEN length(number) < 3 THEN lpad(number, 3, '0') ELSE number END AS list, k % 100 + 1 AS row FROM n""")
 def lst5(spark, sf_dir):
     """Ids in the order in which orders first name them, some with letters, blanks or leading zeros."""
     k = F.col("o_custkey").cast("string")

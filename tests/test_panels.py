@@ -304,3 +304,16 @@ def test_files_and_registry(spark, tmp_path):
     assert [tuple(r) for r in imports.registry(lines, "code string, label string, scale int").collect()] == [("A", "b", 3), ("C", "d", None)]
     imports.write_by_country(spark.createDataFrame([(1, "X"), (2, "Y")], "stock long, country string"), f"{tmp_path}/out")
     assert {r.stock for r in spark.read.parquet(f"{tmp_path}/out").where("country = 'Y'").collect()} == {2}
+
+
+def test_batches_beyond_a_thousand_lists(spark, tmp_path):
+    """List numbers of four digits stay whole in the query and in its SQL; ids with one place are in order of their text."""
+    n = 100_250
+    orders = pd.DataFrame({"o_orderkey": np.arange(n) // 2 * 2, "o_custkey": np.arange(n)})
+    orders.to_parquet(tmp_path / "orders.parquet")
+    got = QUERIES["lst5_batches"](spark, str(tmp_path)).toPandas()
+    with duckdb.connect() as db:
+        db.register("orders", orders)
+        want = db.sql(SQL["lst5_batches"]).df()
+    assert set(got.itertuples(index=False, name=None)) == set(want.itertuples(index=False, name=None))
+    assert (got.list == "L#A1002").sum() == 100 and (got.list == "L#A100").sum() == 100
