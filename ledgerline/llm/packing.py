@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import base64
 import zlib
+from functools import lru_cache
 
 import numpy as np
 import pyarrow as pa
@@ -13,8 +14,9 @@ from pyspark.sql import functions as F
 from ledgerline.llm.common import materialize
 
 
+@lru_cache(maxsize=1)
 def _encoder(vocabulary: str, ranks: str | None):
-    """A function text -> ids like tokenizers' encode(add_special_tokens=False) of the vocabulary file.
+    """A function text -> ids like tokenizers' encode(add_special_tokens=False) of the vocabulary file, loaded once in each worker process.
 
     With the same vocabulary as ranks, the texts go through tiktoken, which gives the same ids several times faster; texts with
     the string of a special token always go through tokenizers.

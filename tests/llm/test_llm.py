@@ -666,6 +666,12 @@ def test_connected_components(spark):
     assert got == {k: find(k) for a, b in edges if a != b for k in (a, b)}
 
 
+def test_encoder_is_loaded_once_in_a_process():
+    public_tokenizers = pytest.importorskip("public_tokenizers")
+    files = public_tokenizers.path("byte_bpe_50k.json"), public_tokenizers.path("byte_bpe_50k.tiktoken")
+    assert packing._encoder(*files) is packing._encoder(*files)
+
+
 def test_packing_round_trip(spark, docs, empty):
     import public_tokenizers
     from tokenizers import Tokenizer
