@@ -19,6 +19,7 @@ from ledgerline.llm.common import arrow_batch_bytes, connected_components, mater
 
 BUCKET = 256  # members of a bucket that one block holds
 LEADERS = 16  # sets of one bucket that the others first meet
+MEETS = 8  # leaders that one set first meets, over all its buckets
 HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
 BATCH_BYTES = 8 << 20  # bytes of one Arrow batch: texts, buckets or packed sets
@@ -492,7 +493,7 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     heads = leads.where("part > 0").select("key", F.col("l")[0].alias("l"))
     heads = heads.join(heads.groupBy("key").agg(F.max("l").alias("head")), "key").select(F.col("l.sid").alias("sid"), F.col("head.sid").alias("lead"), F.lit(0).alias("n"))
     near = large.join(leads, ["key", "part"]).select("sid", F.explode("l.sid").alias("lead"), "n").union(heads).where("sid <> lead").groupBy("sid", "lead").agg(F.count("*").alias("c"), F.max("n").alias("n"))
-    best = near.where("50 * c >= n").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), "lead"))).where(f"r <= {LEADERS}")
+    best = near.where("50 * c >= n").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), "lead"))).where(f"r <= {MEETS}")
     best = best.select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
     best = materialize(best)
     release(large, leads)
@@ -526,11 +527,15 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     second = materialize(verify(docs, sets, inside.union(_candidates(across, "x", "y")).distinct()).distinct())
     release(mixed, big)
 
-    found = connected_components(first.union(second).distinct())
+    # `second` joins whole classes of `first`: its links between them, each pair of classes once.
+    label = [labels.select(F.col("node").alias(c), F.col("component").alias(f"l{c}")) for c in ("a", "b")]
+    joined = second.join(label[0], "a", "left").join(label[1], "b", "left").select(F.coalesce("la", "a").alias("a"), F.coalesce("lb", "b").alias("b"))
+    found = connected_components(joined)
     # `second` holds the links between classes of leaders, each once; those inside are counted by class.
     between = second.select(F.explode(F.array("a", "b")).alias("sid"), F.lit(1).cast("long").alias("links"))
     degree = between.union(links_in_classes(docs, sets, labels)).groupBy("sid").agg(F.sum("links").alias("links"))
-    ids = sets.select("sid", F.col("doc_id").alias("own")).join(found.withColumnRenamed("node", "sid"), "sid", "left").withColumn("component", F.coalesce("component", "sid"))
+    ids = sets.select("sid", F.col("doc_id").alias("own")).join(labels.select(F.col("node").alias("sid"), F.col("component").alias("label")), "sid", "left").withColumn("label", F.coalesce("label", "sid"))
+    ids = ids.join(found.withColumnRenamed("node", "label"), "label", "left").withColumn("component", F.coalesce("component", "label"))
     least = ids.groupBy("component").agg(F.min("own").alias("component_id"))
     classes = materialize(ids.join(least, "component").join(degree, "sid", "left").select("sid", "component_id", F.coalesce("links", F.lit(0)).alias("links")))
     release(sets, first, second, labels)

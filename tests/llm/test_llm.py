@@ -833,3 +833,20 @@ def test_pipeline_of_nothing(spark, empty, data):
     for _, stage in corpus_pipeline.STAGES:
         d = common.materialize(stage(spark, d, data))
     assert d.count() == 0
+
+
+def test_links_inside_classes_do_not_reach_the_last_components(spark, monkeypatch):
+    """A class of near copies goes on as one node: the last components see pairs of classes, not the links inside them."""
+    rng = random.Random(5)
+    base = [f"w{k}" for k in range(300)]
+    rows = []
+    for k in range(120):
+        words = base.copy()
+        words[rng.randrange(300)] = f"x{k}"
+        rows.append((k, " ".join(words)))
+    seen = []
+    plain = common.connected_components
+    monkeypatch.setattr(jaccard, "connected_components", lambda edges: seen.append(edges.where("a <> b").distinct().count()) or plain(edges))
+    got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
+    assert {(r.component_id, r.links) for r in got} == {(0, 119)}
+    assert seen[0] >= 119 and seen[1] < 119
