@@ -317,3 +317,27 @@ def test_batches_beyond_a_thousand_lists(spark, tmp_path):
         want = db.sql(SQL["lst5_batches"]).df()
     assert set(got.itertuples(index=False, name=None)) == set(want.itertuples(index=False, name=None))
     assert (got.list == "L#A1002").sum() == 100 and (got.list == "L#A100").sum() == 100
+
+
+def test_edge_spread_over_batches(spark):
+    """Frames run on through batches of any size, no stock sees another's rows, and no frame of the engine sums its rows anew."""
+    rng = np.random.default_rng(3)
+    rows = []
+    for stock in range(4):
+        price = 100 * np.exp(np.cumsum(rng.normal(0, 0.02, 60)))
+        for k in range(60):
+            o, h, low, c = (float(v) for v in (price[k] * (1 + rng.normal(0, 0.004)), price[k] * 1.03, price[k] * 0.98, price[k] * (1 + rng.normal(0, 0.004))))
+            rows.append((stock, k, None if stock == 2 and k == 30 else o, h, low, None if stock == 3 and k == 25 else c))
+    panel = spark.createDataFrame(rows, "stock long, date int, open double, high double, low double, close double")
+    name = "spark.sql.execution.arrow.maxRecordsPerBatch"
+    before, got = spark.conf.get(name), []
+    for size in ("7", "10000"):
+        spark.conf.set(name, size)
+        got.append({(r.stock, r.date): r.spread for r in statistics.edge_spread(panel).collect()})
+    for stock in range(4):  # each stock alone
+        got.append({(r.stock, r.date): r.spread for r in statistics.edge_spread(panel.where(F.col("stock") == stock)).collect()})
+    spark.conf.set(name, before)
+    assert got[0] == got[1] == {k: v for g in got[2:] for k, v in g.items()}
+    assert {k for (s, k), v in got[0].items() if s == 0 and v is None} == set(range(20))
+    assert {k for (s, k), v in got[0].items() if s == 3 and v is None} == {*range(20), *range(26, 46)}
+    assert "RowFrame, -19" not in statistics.edge_spread(panel)._jdf.queryExecution().toString()
