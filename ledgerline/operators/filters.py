@@ -10,6 +10,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from ledgerline.functions.frames import by, first_rows, island
+from ledgerline.functions.tables import bucketed
 
 def _stock():
     return by("stock", order="date")
@@ -152,12 +153,14 @@ def european_order(
     up: float = 1.0, down: float = -0.5, active: float = 0.005, gap: float = 0.05, delisting: float | None = -0.35, penny: float = 0.05,
 ) -> DataFrame:
     """FO10: all screens of a panel of many countries in their order, in one plan. `country` is a key wherever a screen looks
-    beyond one stock (number of stocks, last date, holidays, penny quantile), so no country is a loop. Screens read the local
-    return; the euro index runs beside it, takes the same delisting return, and euro prices decide the penny screen."""
+    beyond one stock (number of stocks, last date, holidays, penny quantile), so no country is a loop. The panel and the first half of the
+    order are written to the shared folder when this is called. Screens read the local return; the euro index runs beside it, takes the same delisting return, and euro prices decide the penny screen."""
     w = _stock()
     local, euro = (F.when(F.col(c) >= 1e-6, F.col(c)) for c in ("return_index", "return_index_eur"))
     p = panel.withColumns({"return_index": local, "return_index_eur": euro})
     p = p.withColumns({"ret": F.try_divide("return_index", F.lag("return_index").over(w)) - 1, "ret_eur": F.try_divide("return_index_eur", F.lag("return_index_eur").over(w)) - 1})
+    # Written here and before the holidays, in buckets by stock: each screen that looks beyond one stock reads the plan so far twice.
+    p = bucketed(p, ["stock"], ["date"])
     # Verdicts on stocks are windows here: a join for each would read the plan so far twice, and again at every further step.
     own = by("stock")
     rule = lambda d, bad: d.withColumn("_bad", _false(bad)).where("not _bad").drop("_bad")
@@ -165,6 +168,7 @@ def european_order(
     p = p.transform(rule, F.count("return_index").over(own) == 0).transform(country_minimum, least).transform(rule, (rising > one_sign) | (1 - rising > one_sign))
     p = p.transform(padded_tail, delistings, keep).drop("delisting_date").transform(short_history, history, "country").transform(rule, F.avg(_false(F.col("ret") == 0).cast("double")).over(own) > zero)
     p = p.transform(stale_prices, "return_index", run).transform(rule, F.stddev_samp("ret").over(own) > high).transform(rule, F.stddev_samp("ret").over(own) < low).transform(outlier_pairs, up, down)
+    p = bucketed(p, ["stock"], ["date"])
     p = p.transform(holidays, active, "country").transform(adjustment_gaps, gap).transform(nonsense_prices).transform(implausible_prices).transform(no_trading)
     fill = ["open", "high", "low", "close", "return_index", "return_index_eur", "adj_factor", "unadj_close", "unadj_close_eur"]
     p = p.transform(handle_missing, fill, ["return_index", "return_index_eur", "unadj_close"]).transform(delisting_return, delistings, delisting)
