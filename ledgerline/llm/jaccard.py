@@ -19,7 +19,8 @@ from ledgerline.llm.common import arrow_batch_bytes, connected_components, mater
 
 BUCKET = 256  # members of a bucket that one block holds
 LEADERS = 16  # sets of one bucket that the others first meet
-MEETS = 8  # leaders that one set first meets, over all its buckets
+MEETS = 8  # leaders that one set may meet, over all its buckets: the best first, others only if they are of another class
+BETWEEN = 2  # meetings of two classes
 HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
 BATCH_BYTES = 8 << 20  # bytes of one Arrow batch: texts, buckets or packed sets
@@ -450,6 +451,15 @@ def links_in_classes(docs: DataFrame, sets: DataFrame, labels: DataFrame) -> Dat
     return two.union(block.select("x").mapInArrow(count, schema)).union(pairs.select("x", "y").mapInArrow(count, schema))
 
 
+def class_meetings(meets: DataFrame, labels: DataFrame) -> DataFrame:
+    """Pairs (a, b) of the meetings (sid, lead, c) of sets in different classes: of each two classes the BETWEEN with the most keys
+    in common. A set without a label is a class of its own."""
+    side = [labels.select(F.col("node").alias(k), F.col("component").alias(f"l{k}")) for k in ("sid", "lead")]
+    named = meets.join(side[0], "sid", "left").join(side[1], "lead", "left").select("sid", "lead", "c", F.coalesce("lsid", "sid").alias("x"), F.coalesce("llead", "lead").alias("y")).where("x <> y")
+    pairs = named.groupBy(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y"), F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).agg(F.max("c").alias("c"))
+    return pairs.withColumn("r", F.row_number().over(Window.partitionBy("x", "y").orderBy(F.desc("c"), "a", "b"))).where(f"r <= {BETWEEN}").select("a", "b")
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, links, text_hash) of each row: links are the number of different texts it links with.
 
@@ -494,11 +504,18 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     heads = heads.join(heads.groupBy("key").agg(F.max("l").alias("head")), "key").select(F.col("l.sid").alias("sid"), F.col("head.sid").alias("lead"), F.lit(0).alias("n"))
     near = large.join(leads, ["key", "part"]).select("sid", F.explode("l.sid").alias("lead"), "n").union(heads).where("sid <> lead").groupBy("sid", "lead").agg(F.count("*").alias("c"), F.max("n").alias("n"))
     best = near.where("50 * c >= n").withColumn("r", F.row_number().over(Window.partitionBy("sid").orderBy(F.desc("c"), "lead"))).where(f"r <= {MEETS}")
-    best = best.select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct()
-    best = materialize(best)
+    best = materialize(best.select("sid", "lead", "c", "r"))
     release(large, leads)
-    first = materialize(verify(docs, sets, _bound(best, sets)))
+    first = materialize(verify(docs, sets, _bound(best.where("r = 1").select(F.least("sid", "lead").alias("a"), F.greatest("sid", "lead").alias("b")).distinct(), sets)))
     labels = materialize(connected_components(first))
+    # The other leaders count only between classes, and two meetings of each two classes do: a group of copies meets its leader once.
+    rest = materialize(class_meetings(best.where("r > 1"), labels))
+    if not rest.isEmpty():
+        more = materialize(verify(docs, sets, _bound(rest, sets)))
+        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
+        old, labels = labels, materialize(connected_components(stars.union(more)))
+        release(old, more)
+    release(best, rest)
 
     # Buckets that hold several classes; of buckets with equal members, one stays.
     named = materialize(shared.drop("part", "c").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("label")))

@@ -850,3 +850,11 @@ def test_links_inside_classes_do_not_reach_the_last_components(spark, monkeypatc
     got = jaccard.near_duplicates(spark.createDataFrame(rows, "doc_id long, text string")).collect()
     assert {(r.component_id, r.links) for r in got} == {(0, 119)}
     assert seen[0] >= 119 and seen[1] < 119
+
+
+def test_leaders_of_one_class_are_met_once(spark):
+    """Eight leaders of a set's own class are met no more, those of another class twice for each two classes."""
+    meets = spark.createDataFrame([(s, lead, 10 + lead) for s in range(100, 140) for lead in (*range(1, 9), 50, 51, 52)], "sid long, lead long, c long")
+    labels = spark.createDataFrame([(s, 1) for s in (*range(1, 9), *range(100, 139))] + [(s, 50) for s in (50, 51, 52)], "node long, component long")
+    got = sorted(map(tuple, jaccard.class_meetings(meets, labels).collect()))
+    assert got == [(7, 139), (8, 139), (51, 139), (52, 100), (52, 101), (52, 139)]
