@@ -4,13 +4,17 @@ from __future__ import annotations
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark import TaskContext
+from pyspark.sql import DataFrame, Observation, Window
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import broadcast_if_small, is_small, materialize, mix, slices, text_buffers, word_hashes
 
 WEIGHT = 4.0  # of the word's estimate in the pair's
-SHARE = 2.0**-21  # of all words: what is rarer is left out of the models, so each has 2**21 entries at most
+SHARE = 2.0**-21  # of all words: what is rarer is left out of bounded models, so each has 2**21 entries at most
+BLOCK = 1 << 23  # most bytes of the texts that are scored together (one text at least)
+LOSSES = ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"]
+LOSS_SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
 _SALT = np.uint64(0x9E3779B97F4A7C15)
 
 
@@ -126,6 +130,20 @@ def _own(row: np.ndarray, key: np.ndarray) -> np.ndarray:
     return n[back]
 
 
+def _losses(ids, n: np.ndarray, row: np.ndarray, first: np.ndarray, flags: np.ndarray, counts: tuple, own: tuple, total: np.ndarray, size: int) -> pa.RecordBatch:
+    """The losses of some rows, from the counts (words, pairs; background and target) and own counts of each of their tokens."""
+    (words, pairs), (own_word, own_pair), sums = counts, own, []
+    for m in (0, 1):
+        less = flags[row] == m
+        word = np.maximum(words[m] - less * own_word, 0)
+        both = np.maximum(pairs[m] - less * own_pair, 0)
+        one = (word + 1.0) / (total[m] - less * n[row] + size)
+        two = (both + WEIGHT * one) / (np.maximum(np.r_[0, word[:-1]][: len(word)], both) + WEIGHT)
+        sums.append(np.bincount(row, -np.log(np.where(first, one, two)), len(n)))
+    mean = [pa.array(s / np.maximum(n, 1), mask=n == 0) for s in (sums[1], sums[0], sums[1] - sums[0])]
+    return pa.RecordBatch.from_arrays([ids, pa.array(n.astype(np.int64)), *mean], LOSSES)
+
+
 def score(docs: DataFrame, models: tuple) -> DataFrame:
     """(doc_id, n_tokens, target_loss, background_loss, difference): mean loss of a token in nats; lower difference is nearer
     the target. Both models are interpolated alike: a pair's estimate falls back on the word's, that one on the uniform.
@@ -142,40 +160,124 @@ def score(docs: DataFrame, models: tuple) -> DataFrame:
                 row = np.repeat(np.arange(hi - lo), n)
                 number, pair, first = _id_pairs(words, at, vocabulary)
                 own_word = _own(row, number)
-                own_before = np.r_[0, own_word[:-1]][: len(number)]
                 own_pair = np.zeros(len(number), np.int64)
                 own_pair[~first] = _own(row[~first], pair[~first])
                 distinct, back = np.unique(pair, return_inverse=True)
                 place = np.minimum(np.searchsorted(pairs, distinct), max(len(pairs) - 1, 0))
                 known = pairs[place] == distinct if len(pairs) else np.zeros(len(distinct), bool)
                 found = np.where(known, pair_counts[:, place], 0)[:, back] if len(pairs) else np.zeros((2, len(number)), np.int64)
-                before = pair >> 32
-                sums = []
-                for m in (0, 1):
-                    less = flags[lo:hi][row] == m
-                    word = np.maximum(counts[m][number] - less * own_word, 0)
-                    both = np.maximum(found[m] - less * own_pair, 0)
-                    one = (word + 1.0) / (total[m] - less * n[row] + size)
-                    two = (both + WEIGHT * one) / (np.maximum(counts[m][before] - less * own_before, both) + WEIGHT)
-                    sums.append(np.bincount(row, -np.log(np.where(first, one, two)), hi - lo))
-                mean = [pa.array(s / np.maximum(n, 1), mask=n == 0) for s in (sums[1], sums[0], sums[1] - sums[0])]
-                yield pa.RecordBatch.from_arrays([batch.column(0)[lo:hi], pa.array(n.astype(np.int64)), *mean], ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"])
-
-    return docs.select("doc_id", "text", "target").mapInArrow(losses, "doc_id long, n_tokens long, target_loss double, background_loss double, difference double")
-
-
-def cross_entropy_difference(docs: DataFrame, labels: DataFrame, share: float = SHARE) -> DataFrame:
+                yield _losses(batch.column(0)[lo:hi], n, row, first, flags[lo:hi], (counts[:, number], found), (own_word, own_pair), total, size)
+
+    return docs.select("doc_id", "text", "target").mapInArrow(losses, LOSS_SCHEMA)
+
+
+def _in_blocks(docs: DataFrame) -> DataFrame:
+    """(block, rows): neighbouring rows (doc_id, text, target) of BLOCK bytes at most in one compressed value. Written, so that it stays."""
+
+    def pack(batches):
+        block = TaskContext.get().partitionId() << 32
+        for batch in batches:
+            for lo, hi in slices(text_buffers(batch.column(1))[1], BLOCK):
+                sink = pa.BufferOutputStream()
+                with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
+                    out.write_batch(batch.slice(lo, hi - lo))
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()])], ["block", "rows"])
+                block += 1
+
+    return materialize(docs.select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target")).mapInArrow(pack, "block long, rows binary"))
+
+
+def _unpacked(rows: pa.BinaryScalar) -> pa.Table:
+    return pa.ipc.open_stream(rows.as_buffer()).read_all()
+
+
+def _keys(words: np.ndarray, at: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Keys of the words (even) and of the pairs with the word before (odd), and which words begin a text and so have no pair."""
+    first = np.zeros(len(words), bool)
+    first[at[:-1][at[:-1] < at[1:]]] = True
+    pairs = mix(np.r_[np.uint64(0), words[:-1]][: len(words)] * _SALT + words)
+    return words & ~np.uint64(1), pairs | np.uint64(1), first
+
+
+def _add(total: _Counts, text, flag: np.ndarray, keep: list | None = None) -> None:
+    for lo, hi, words, at in _words(text):
+        word, pair, first = _keys(words, at)
+        own = np.repeat(flag[lo:hi], np.diff(at))
+        total.add(np.r_[word, pair[~first]], np.r_[own, own[~first]])
+        if keep is not None:
+            keep.append((lo, hi, np.diff(at), word, pair, first))
+
+
+def shared_counts(blocks: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
+    """(block, key, t0, t1): how often each word and pair of a block stands in the background and the target of the whole corpus,
+    for those that stand in several blocks; and the corpus' words on both sides, and its distinct words.
+
+    One exchange by key. What stands in one block only is counted there, so nothing is left out; a key has a row for each
+    block at most."""
+
+    def count(batches):
+        for batch in batches:
+            for block, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
+                docs, total = _unpacked(rows), _Counts()
+                _add(total, docs["text"], np.asarray(docs["target"]).astype(np.int64))
+                for b in total.batches():
+                    yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, block)), *b.columns], ["block", "key", "c0", "c1"])
+
+    by_key = Window.partitionBy("key").orderBy("block")
+    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
+    posts = blocks.mapInArrow(count, "block long, key long, c0 long, c1 long")
+    posts = posts.withColumns({"t0": F.sum("c0").over(whole), "t1": F.sum("c1").over(whole), "_last": F.max("block").over(whole), "_first": F.min("block").over(whole), "_at": F.row_number().over(by_key)})
+    told, is_word = Observation(), F.col("key").bitwiseAND(F.lit(1)) == 0
+    posts = posts.observe(told, *[F.coalesce(F.sum(F.when(is_word, F.col(c))), F.lit(0)).alias(c) for c in ("c0", "c1")], F.count_if(is_word & (F.col("_at") == 1)).alias("size"))
+    shared = materialize(posts.where("_first < _last").select("block", "key", "t0", "t1"))
+    return shared, np.array([told.get["c0"], told.get["c1"]], np.int64), told.get["size"]
+
+
+def score_in_blocks(blocks: DataFrame, shared: DataFrame, total: np.ndarray, size: int) -> DataFrame:
+    """As `score`, by models of all words and pairs: each block meets the counts of what it holds."""
+
+    def losses(packed: pa.Table, counts: pa.Table) -> pa.Table:
+        docs = _unpacked(packed["rows"][0])
+        flags, parts, own, out = np.asarray(docs["target"]).astype(np.int64), [], _Counts(), []
+        _add(own, docs["text"], flags, parts)
+        own.merge()
+        keys, *found = own.held[0] if own.held else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
+        if counts.num_rows:
+            place = np.searchsorted(keys, np.asarray(counts["key"].combine_chunks()).view(np.uint64))
+            for c, name in zip(found, ("t0", "t1"), strict=True):
+                c[place] = np.asarray(counts[name].combine_chunks())
+        found = np.stack(found)
+        ids = docs["doc_id"].combine_chunks()
+        for lo, hi, n, word, pair, first in parts:
+            row, own_pair = np.repeat(np.arange(hi - lo), n), np.zeros(len(word), np.int64)
+            own_pair[~first] = _own(row[~first], pair[~first])
+            held = []
+            for key in (word, pair):
+                distinct, back = np.unique(key, return_inverse=True)
+                at = np.minimum(np.searchsorted(keys, distinct), max(len(keys) - 1, 0))
+                held.append(found[:, at][:, back] if len(keys) else np.zeros((2, len(key)), np.int64))
+            held[1][:, first] = 0
+            out.append(_losses(ids[lo:hi], n, row, first, flags[lo:hi], tuple(held), (_own(row, word), own_pair), total, size + 1))
+        return pa.Table.from_batches(out)
+
+    return blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(losses, LOSS_SCHEMA)
+
+
+def cross_entropy_difference(docs: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
     """Scores of every whole text: the target model is learned from documents labelled quality 1 and not toxic, the
     background model from all others. Both have the same vocabulary, order and smoothing, and leave out the document scored.
 
-    See `train` for what the models keep. Null texts and texts without words have no loss (null). A document with several
-    labels is in the target if one of them fits; repeated rows are counted and scored each. Without target labels the
-    target model is uniform. No rows give none; very long texts are counted like others, in slices of rows; extra columns
-    are not read.
+    The models hold all words and pairs of the corpus; with a `share` they are bounded (see `train`). Null texts and texts
+    without words have no loss (null). A document with several labels is in the target if one of them fits; repeated rows are
+    counted and scored each. Without target labels the target model is uniform. No rows give none; very long texts are
+    counted like others, in slices of rows; extra columns are not read.
     """
     good = labels.where("quality = 1 and toxic = 0").select(F.col("doc_id").cast("long").alias("doc_id")).distinct().withColumn("target", F.lit(1))
     good = materialize(good)
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(broadcast_if_small(good), "doc_id", "left")
+    if share is None:
+        blocks = _in_blocks(d)
+        return score_in_blocks(blocks, *shared_counts(blocks))
     if not is_small(good):
         d = materialize(d)  # the texts move once, not for each of the three passes
     return score(d, train(d, share))

@@ -858,3 +858,16 @@ def test_leaders_of_one_class_are_met_once(spark):
     labels = spark.createDataFrame([(s, 1) for s in (*range(1, 9), *range(100, 139))] + [(s, 50) for s in (50, 51, 52)], "node long, component long")
     got = sorted(map(tuple, jaccard.class_meetings(meets, labels).collect()))
     assert got == [(7, 139), (8, 139), (51, 139), (52, 100), (52, 101), (52, 139)]
+
+
+def test_lm_counts_rare_words_whatever_the_blocks(spark, monkeypatch):
+    """Two texts share pairs that are far under 2**-21 of all words; small blocks and one block tell the same."""
+    filler = " ".join(["often", "met"] * 75_000)
+    texts = {k: filler for k in range(40)} | {200: "rare words meet here", 201: "rare words meet here", 202: "other seldom things stand", 203: "one two three four"}
+    d = spark.createDataFrame(list(texts.items()), "doc_id long, text string").repartition(3)
+    labels = spark.createDataFrame([(200, 1, 0), (202, 1, 0)], "doc_id long, quality int, toxic int")
+    whole = {r.doc_id: r for r in lmscore.cross_entropy_difference(d, labels).collect()}
+    assert whole[201].difference < whole[203].difference - 1 and len(whole) == 44
+    monkeypatch.setattr(lmscore, "BLOCK", 1 << 20)
+    small = {r.doc_id: r for r in lmscore.cross_entropy_difference(d, labels).collect()}
+    assert all(small[k].difference == pytest.approx(whole[k].difference, rel=1e-9) for k in texts)
