@@ -5,7 +5,7 @@ from __future__ import annotations
 import numpy as np
 import pyarrow as pa
 from pyspark import TaskContext
-from pyspark.sql import DataFrame, Observation, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from ledgerline.llm.common import broadcast_if_small, is_small, materialize, mix, slices, text_buffers, word_hashes
@@ -13,6 +13,7 @@ from ledgerline.llm.common import broadcast_if_small, is_small, materialize, mix
 WEIGHT = 4.0  # of the word's estimate in the pair's
 SHARE = 2.0**-21  # of all words: what is rarer is left out of bounded models, so each has 2**21 entries at most
 BLOCK = 1 << 23  # most bytes of the texts that are scored together (one text at least)
+SPAN = 1 << 21  # bytes of text for which there is one range of keys
 LOSSES = ["doc_id", "n_tokens", "target_loss", "background_loss", "difference"]
 LOSS_SCHEMA = "doc_id long, n_tokens long, target_loss double, background_loss double, difference double"
 _SALT = np.uint64(0x9E3779B97F4A7C15)
@@ -172,19 +173,21 @@ def score(docs: DataFrame, models: tuple) -> DataFrame:
 
 
 def _in_blocks(docs: DataFrame) -> DataFrame:
-    """(block, rows): neighbouring rows (doc_id, text, target) of BLOCK bytes at most in one compressed value. Written, so that it stays."""
+    """(block, rows, size): neighbouring rows (doc_id, text, target) of BLOCK bytes at most in one compressed value, and their
+    bytes of text. Written, so that it stays."""
 
     def pack(batches):
         block = TaskContext.get().partitionId() << 32
         for batch in batches:
-            for lo, hi in slices(text_buffers(batch.column(1))[1], BLOCK):
+            offsets = text_buffers(batch.column(1))[1]
+            for lo, hi in slices(offsets, BLOCK):
                 sink = pa.BufferOutputStream()
                 with pa.ipc.new_stream(sink, batch.schema, options=pa.ipc.IpcWriteOptions(compression="zstd")) as out:
                     out.write_batch(batch.slice(lo, hi - lo))
-                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()])], ["block", "rows"])
+                yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([sink.getvalue().to_pybytes()]), pa.array([offsets[hi] - offsets[lo]])], ["block", "rows", "size"])
                 block += 1
 
-    return materialize(docs.select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target")).mapInArrow(pack, "block long, rows binary"))
+    return materialize(docs.select("doc_id", "text", F.coalesce("target", F.lit(0)).alias("target")).mapInArrow(pack, "block long, rows binary, size long"))
 
 
 def _unpacked(rows: pa.BinaryScalar) -> pa.Table:
@@ -208,45 +211,69 @@ def _add(total: _Counts, text, flag: np.ndarray, keep: list | None = None) -> No
             keep.append((lo, hi, np.diff(at), word, pair, first))
 
 
-def shared_counts(blocks: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
-    """(block, key, t0, t1): how often each word and pair of a block stands in the background and the target of the whole corpus,
-    for those that stand in several blocks; and the corpus' words on both sides, and its distinct words.
+def _planes(*columns: np.ndarray) -> bytes:
+    """Columns of whole numbers as one compressed value, by byte planes: what most of them do not need takes no room."""
+    return pa.compress(b"".join(np.ascontiguousarray(c.astype(np.uint64).view(np.uint8).reshape(-1, 8).T).tobytes() for c in columns), "zstd", asbytes=True)
 
-    One exchange by key. What stands in one block only is counted there, so nothing is left out; a key has a row for each
-    block at most."""
+
+def _columns(packed: bytes, n: int, columns: int) -> list[np.ndarray]:
+    raw = np.frombuffer(pa.decompress(packed, 8 * n * columns, "zstd"), np.uint8).reshape(columns, 8, n)
+    return [np.ascontiguousarray(c.T).view(np.int64).ravel() for c in raw]
+
+
+def block_totals(blocks: DataFrame) -> tuple[DataFrame, np.ndarray, int]:
+    """(block, range, n, totals): how often each word and pair of a block stands in the background and the target of the whole
+    corpus; and the corpus' words on both sides, and its distinct words.
+
+    The keys fall in ranges, one for each SPAN bytes of text. A block sends a range its own sorted keys, as steps, with their
+    counts; the range adds up all blocks and answers each with the totals in the same order, so no key goes back. Nothing is
+    left out, and a range holds at most as many keys as it has bytes, whatever the corpus."""
+    ranges = max(1, -(-(blocks.agg(F.sum("size")).first()[0] or 0) // SPAN))
 
     def count(batches):
         for batch in batches:
             for block, rows in zip(batch.column(0).to_pylist(), batch.column(1), strict=True):
                 docs, total = _unpacked(rows), _Counts()
                 _add(total, docs["text"], np.asarray(docs["target"]).astype(np.int64))
-                for b in total.batches():
-                    yield pa.RecordBatch.from_arrays([pa.array(np.full(b.num_rows, block)), *b.columns], ["block", "key", "c0", "c1"])
-
-    by_key = Window.partitionBy("key").orderBy("block")
-    whole = by_key.rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
-    posts = blocks.mapInArrow(count, "block long, key long, c0 long, c1 long")
-    posts = posts.withColumns({"t0": F.sum("c0").over(whole), "t1": F.sum("c1").over(whole), "_last": F.max("block").over(whole), "_first": F.min("block").over(whole), "_at": F.row_number().over(by_key)})
-    told, is_word = Observation(), F.col("key").bitwiseAND(F.lit(1)) == 0
-    posts = posts.observe(told, *[F.coalesce(F.sum(F.when(is_word, F.col(c))), F.lit(0)).alias(c) for c in ("c0", "c1")], F.count_if(is_word & (F.col("_at") == 1)).alias("size"))
-    shared = materialize(posts.where("_first < _last").select("block", "key", "t0", "t1"))
-    return shared, np.array([told.get["c0"], told.get["c1"]], np.int64), told.get["size"]
-
-
-def score_in_blocks(blocks: DataFrame, shared: DataFrame, total: np.ndarray, size: int) -> DataFrame:
-    """As `score`, by models of all words and pairs: each block meets the counts of what it holds."""
+                total.merge()
+                if not total.size:
+                    continue
+                keys, *counts = total.held[0]
+                edges = np.searchsorted((keys >> np.uint64(32)) * np.uint64(ranges) >> np.uint64(32), np.arange(ranges + 1, dtype=np.uint64))
+                held = [(k, int(e - b), _planes(np.diff(keys[b:e], prepend=np.uint64(0)), *[c[b:e] for c in counts])) for k, (b, e) in enumerate(zip(edges[:-1], edges[1:], strict=True)) if b < e]
+                number, n, packed = zip(*held, strict=True)
+                yield pa.RecordBatch.from_arrays([pa.array([block] * len(n), pa.int64()), pa.array(number, pa.int64()), pa.array(n, pa.int64()), pa.array(packed, pa.binary())], ["block", "range", "n", "counts"])
+
+    def add(posts: pa.Table) -> pa.Table:
+        n = posts["n"].to_pylist()
+        steps, *counts = (np.concatenate(c) for c in zip(*[_columns(v, m, 3) for v, m in zip(posts["counts"].to_pylist(), n, strict=True)], strict=True))
+        edges = np.r_[0, np.cumsum(n)]
+        keys = np.concatenate([np.cumsum(steps[b:e].view(np.uint64), dtype=np.uint64) for b, e in zip(edges[:-1], edges[1:], strict=True)])
+        distinct, back = np.unique(keys, return_inverse=True)
+        sums = [np.bincount(back, c, len(distinct)).astype(np.int64) for c in counts]
+        word = distinct & np.uint64(1) == 0
+        totals = [_planes(*[t[back[b:e]] for t in sums]) for b, e in zip(edges[:-1], edges[1:], strict=True)]
+        told = [np.r_[v, np.zeros(len(n) - 1, np.int64)] for v in (sums[0][word].sum(), sums[1][word].sum(), word.sum())]
+        return pa.table([posts["block"], posts["range"], posts["n"], pa.array(totals, pa.binary()), *map(pa.array, told)], ["block", "range", "n", "totals", "c0", "c1", "size"])
+
+    posts = blocks.select("block", "rows").mapInArrow(count, "block long, range long, n long, counts binary")
+    answers = materialize(posts.groupBy("range").applyInArrow(add, "block long, range long, n long, totals binary, c0 long, c1 long, size long"))
+    c0, c1, size = (v or 0 for v in answers.agg(F.sum("c0"), F.sum("c1"), F.sum("size")).first())
+    return answers.select("block", "range", "n", "totals"), np.array([c0, c1], np.int64), size
+
+
+def score_in_blocks(blocks: DataFrame, totals: DataFrame, total: np.ndarray, size: int) -> DataFrame:
+    """As `score`, by models of all words and pairs: each block meets the totals of what it holds."""
 
     def losses(packed: pa.Table, counts: pa.Table) -> pa.Table:
         docs = _unpacked(packed["rows"][0])
         flags, parts, own, out = np.asarray(docs["target"]).astype(np.int64), [], _Counts(), []
         _add(own, docs["text"], flags, parts)
         own.merge()
-        keys, *found = own.held[0] if own.held else (np.zeros(0, np.uint64), np.zeros(0, np.int64), np.zeros(0, np.int64))
-        if counts.num_rows:
-            place = np.searchsorted(keys, np.asarray(counts["key"].combine_chunks()).view(np.uint64))
-            for c, name in zip(found, ("t0", "t1"), strict=True):
-                c[place] = np.asarray(counts[name].combine_chunks())
-        found = np.stack(found)
+        keys = own.held[0][0] if own.held else np.zeros(0, np.uint64)
+        told = counts.sort_by("range")
+        told = [_columns(v, n, 2) for v, n in zip(told["totals"].to_pylist(), told["n"].to_pylist(), strict=True)]
+        found = np.stack([np.concatenate([np.zeros(0, np.int64), *c]) for c in (zip(*told, strict=True) if told else ((), ()))])
         ids = docs["doc_id"].combine_chunks()
         for lo, hi, n, word, pair, first in parts:
             row, own_pair = np.repeat(np.arange(hi - lo), n), np.zeros(len(word), np.int64)
@@ -260,7 +287,7 @@ def score_in_blocks(blocks: DataFrame, shared: DataFrame, total: np.ndarray, siz
             out.append(_losses(ids[lo:hi], n, row, first, flags[lo:hi], tuple(held), (_own(row, word), own_pair), total, size + 1))
         return pa.Table.from_batches(out)
 
-    return blocks.groupBy("block").cogroup(shared.groupBy("block")).applyInArrow(losses, LOSS_SCHEMA)
+    return blocks.select("block", "rows").groupBy("block").cogroup(totals.groupBy("block")).applyInArrow(losses, LOSS_SCHEMA)
 
 
 def cross_entropy_difference(docs: DataFrame, labels: DataFrame, share: float | None = None) -> DataFrame:
@@ -277,7 +304,7 @@ def cross_entropy_difference(docs: DataFrame, labels: DataFrame, share: float |
     d = docs.select(F.col("doc_id").cast("long").alias("doc_id"), "text").join(broadcast_if_small(good), "doc_id", "left")
     if share is None:
         blocks = _in_blocks(d)
-        return score_in_blocks(blocks, *shared_counts(blocks))
+        return score_in_blocks(blocks, *block_totals(blocks))
     if not is_small(good):
         d = materialize(d)  # the texts move once, not for each of the three passes
     return score(d, train(d, share))

@@ -871,3 +871,22 @@ def test_lm_counts_rare_words_whatever_the_blocks(spark, monkeypatch):
     monkeypatch.setattr(lmscore, "BLOCK", 1 << 20)
     small = {r.doc_id: r for r in lmscore.cross_entropy_difference(d, labels).collect()}
     assert all(small[k].difference == pytest.approx(whole[k].difference, rel=1e-9) for k in texts)
+
+
+def test_lm_counts_travel_as_blocks(spark, monkeypatch):
+    """Between blocks and ranges there are values of many keys, not rows of one: few bytes a key; small ranges tell the same."""
+    r = random.Random(8)
+    texts = {k: " ".join(f"w{int(r.paretovariate(0.4)) % 10**6}" for _ in range(4_000)) for k in range(60)}
+    d = spark.createDataFrame([(k, t, k % 2) for k, t in texts.items()], "doc_id long, text string, target int").repartition(3)
+    labels = spark.createDataFrame([(k, 1, 0) for k in range(1, 60, 2)], "doc_id long, quality int, toxic int")
+    whole = {x.doc_id: x for x in lmscore.cross_entropy_difference(d, labels).collect()}
+    monkeypatch.setattr(lmscore, "SPAN", 1 << 17)
+    monkeypatch.setattr(lmscore, "BLOCK", 1 << 18)
+    small = {x.doc_id: x for x in lmscore.cross_entropy_difference(d, labels).collect()}
+    assert all(small[k] == whole[k] for k in texts)
+    blocks = lmscore._in_blocks(d)
+    totals, words, size = lmscore.block_totals(blocks)
+    got = totals.toPandas()
+    assert got["range"].nunique() > 5 and len(got) <= blocks.count() * got["range"].nunique()
+    assert got.totals.map(len).sum() < 4 * got.n.sum() and got.n.sum() > 50_000
+    assert words.tolist() == [120_000, 120_000] and size == len({w for t in texts.values() for w in t.split()})
