@@ -21,6 +21,8 @@ BUCKET = 256  # members of a bucket that one block holds
 LEADERS = 16  # sets of one bucket that the others first meet
 MEETS = 8  # leaders that one set may meet, over all its buckets: the best first, others only if they are of another class
 BETWEEN = 2  # meetings of two classes
+CLOSEST = 2  # meetings of a class in one block of a bucket, before all that are left meet
+ROUNDS = 4  # of these; more rounds change the work, never the links
 HOT = 4096  # sets of a bucket that meet one leader and one sort
 BANDS = 1.119  # size bands: linked sets have sizes within 1.25, two bands apart at most, as 1.119 ** 2 > 1.25
 BATCH_BYTES = 8 << 20  # bytes of one Arrow batch: texts, buckets or packed sets
@@ -189,8 +191,9 @@ def _may_meet(x: _Node, y: _Node) -> bool:
     return 180 * (most + spare) >= 80 * (x.low + y.low)
 
 
-def dual_traverse(x: _Node, y: _Node, same: bool, n: tuple, label: tuple) -> list[tuple[int, int]]:
-    """Pairs (row of x, row of y) of different labels that sizes and bitmaps let link; x with itself if `same`."""
+def dual_traverse(x: _Node, y: _Node, same: bool, n: tuple, label: tuple, bounds: list | None = None) -> list[tuple[int, int]]:
+    """Pairs (row of x, row of y) of different labels that sizes and bitmaps let link; x with itself if `same`. `bounds` gets the
+    largest share of common shingles that each pair may have."""
     found, stack = [], [(x, y)]
     while stack:
         a, b = stack.pop()
@@ -203,11 +206,14 @@ def dual_traverse(x: _Node, y: _Node, same: bool, n: tuple, label: tuple) -> lis
             # Each bit that only one side has stands for a shingle that the other lacks.
             lack_a = np.bitwise_count(p[:, None] & ~q[None]).sum(2, dtype=np.int64)
             lack_b = np.bitwise_count(q[None] & ~p[:, None]).sum(2, dtype=np.int64)
-            ok = (180 * np.minimum(na - lack_a, nb - lack_b) >= 80 * (na + nb)) & (label[0][a.rows][:, None] != label[1][b.rows][None])
+            most = np.minimum(na - lack_a, nb - lack_b)
+            ok = (180 * most >= 80 * (na + nb)) & (label[0][a.rows][:, None] != label[1][b.rows][None])
             for i, j in np.argwhere(ok):
                 r, s = int(a.rows[i]), int(b.rows[j])
                 if not same or r < s:
                     found.append((r, s))
+                    if bounds is not None:
+                        bounds.append(most[i, j] / (na[i, 0] + nb[0, j]))
         elif same and a is b:
             kids = a.kids
             stack += [(kids[i], kids[j]) for i in range(len(kids)) for j in range(i, len(kids))]
@@ -226,8 +232,19 @@ def _members(scalar) -> tuple[np.ndarray, np.ndarray, np.ndarray, list[np.ndarra
     return sid[order], n[order], label[order], [np.frombuffer(raw[i], np.uint64) for i in order]
 
 
-def _candidates(df: DataFrame, *sides: str) -> DataFrame:
-    """Walk the trees of each row's blocks (one block against itself, or two): distinct pairs (a, b)."""
+def _closest(label: tuple, sid: tuple, bounds: np.ndarray, most: int) -> np.ndarray:
+    """Which pairs are among the `most` best of one of their two labels; equal ones by the other set, so that they agree."""
+    place = np.tile(np.arange(len(bounds)), 2)
+    both, other = np.r_[label[0], label[1]], np.r_[sid[1], sid[0]]
+    order = np.lexsort((other, -np.tile(bounds, 2), both))
+    start = np.r_[True, both[order][1:] != both[order][:-1]]
+    rank = np.arange(len(order)) - np.maximum.accumulate(np.where(start, np.arange(len(order)), 0))
+    return np.unique(place[order[rank < most]])
+
+
+def _candidates(df: DataFrame, *sides: str, most: int | None = None) -> DataFrame:
+    """Walk the trees of each row's blocks (one block against itself, or two): distinct pairs (a, b); of each label only the
+    `most` best of a block, if given."""
 
     def walk(batches):
         for batch in batches:
@@ -237,7 +254,12 @@ def _candidates(df: DataFrame, *sides: str) -> DataFrame:
                 got = [_members(c[r]) for c in cols]
                 trees = [_tree(g[1], g[2], g[3]) for g in got]
                 x, y = got[0], got[-1]
-                for i, j in dual_traverse(trees[0], trees[-1], len(sides) == 1, (x[1], y[1]), (x[2], y[2])):
+                bounds: list | None = None if most is None else []
+                met = dual_traverse(trees[0], trees[-1], len(sides) == 1, (x[1], y[1]), (x[2], y[2]), bounds)
+                if met and most is not None:
+                    i, j = np.array(met).T
+                    met = [met[k] for k in _closest((x[2][i], y[2][j]), (x[0][i], y[0][j]), np.array(bounds), most)]
+                for i, j in met:
                     p, q = int(x[0][i]), int(y[0][j])
                     found.add((min(p, q), max(p, q)))
             pairs = np.array(sorted(found), np.int64).reshape(-1, 2)
@@ -460,6 +482,44 @@ def class_meetings(meets: DataFrame, labels: DataFrame) -> DataFrame:
     return pairs.withColumn("r", F.row_number().over(Window.partitionBy("x", "y").orderBy(F.desc("c"), "a", "b"))).where(f"r <= {BETWEEN}").select("a", "b")
 
 
+def _joined(labels: DataFrame, links: DataFrame) -> DataFrame:
+    """The classes (node, component) with those that links (a, b) join."""
+    return materialize(connected_components(labels.select(F.col("node").alias("a"), F.col("component").alias("b")).union(links)))
+
+
+def _buckets(shared: DataFrame, labels: DataFrame, sets: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
+    """Members of the buckets that hold several classes (of buckets with equal members, one stays); small buckets whole, as
+    blocks x; and the blocks x of large ones (key, band, part, l0, l1), which are written."""
+    named = materialize(shared.drop("part", "c").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("label")))
+    keys = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.bit_xor(F.xxhash64("sid")).alias("s0"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("s1"), F.count("*").alias("c")).where("l0 < l1")
+    keys = keys.groupBy("s0", "s1", "c").agg(F.min("key").alias("key")).select("key", "c")
+    mixed = materialize(named.join(keys, "key"))
+    release(named)
+    members = F.collect_list(F.struct("sid", "n", "label", "bits")).alias("x")
+    bits = sets.select("sid", "bits")
+    small = mixed.where(f"c <= {BUCKET}").join(bits, "sid").groupBy("key").agg(members)
+    # A large bucket falls in blocks by size band and class; a class of more members than a block holds is salted.
+    large = mixed.where(f"c > {BUCKET}")
+    # The counts meet their members in SALTS parts of each class, so that one class is not one task.
+    of_class = large.groupBy("key", "label").agg(F.count("*").alias("lc")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
+    salted = F.when(F.col("lc") > BUCKET, F.xxhash64("label", F.pmod(F.xxhash64("sid"), F.ceil(F.col("lc") / BUCKET)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("c") / BUCKET)))
+    salted_rows = large.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int"))
+    large = salted_rows.join(of_class, ["key", "label", "salt"]).drop("salt").join(bits, "sid").groupBy("key", size_band("n").cast("int").alias("band"), salted.alias("part"))
+    return mixed, small, materialize(large.agg(members, F.min("label").alias("l0"), F.max("label").alias("l1")))
+
+
+def _meetings(small: DataFrame, big: DataFrame, most: int | None = None) -> DataFrame:
+    """Distinct pairs (a, b) of different classes that the trees of all blocks let link; of each class only the `most` best of
+    each block or pair of blocks, if given."""
+    inside = _candidates(small, "x", most=most).union(_candidates(big.where("l0 < l1"), "x", most=most))
+    # Blocks of one large bucket: each pair of blocks once, if their bands are near and they are not one class.
+    one, two = (big.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("band", "part", "l0", "l1")]) for i in (1, 2))
+    across = one.join(two, "key").where("(band1, part1) < (band2, part2) and abs(band2 - band1) <= 2 and not (l01 = l11 and l02 = l12 and l01 = l02)")
+    for i, name in ((1, "x"), (2, "y")):
+        across = across.join(big.select("key", F.col("band").alias(f"band{i}"), F.col("part").alias(f"part{i}"), F.col("x").alias(name)), ["key", f"band{i}", f"part{i}"])
+    return inside.union(_candidates(across, "x", "y", most=most)).distinct()
+
+
 def near_duplicates(docs: DataFrame) -> DataFrame:
     """(doc_id, n_shingles, component_id, links, text_hash) of each row: links are the number of different texts it links with.
 
@@ -512,36 +572,24 @@ def _near_duplicates(docs: DataFrame) -> DataFrame:
     rest = materialize(class_meetings(best.where("r > 1"), labels))
     if not rest.isEmpty():
         more = materialize(verify(docs, sets, _bound(rest, sets)))
-        stars = labels.select(F.col("node").alias("a"), F.col("component").alias("b"))
-        old, labels = labels, materialize(connected_components(stars.union(more)))
+        old, labels = labels, _joined(labels, more)
         release(old, more)
     release(best, rest)
 
-    # Buckets that hold several classes; of buckets with equal members, one stays.
-    named = materialize(shared.drop("part", "c").join(labels.withColumnRenamed("node", "sid"), "sid", "left").select("key", "sid", "n", F.coalesce("component", "sid").alias("label")))
+    # Classes that no leader joined first meet their closest ones in each block, as long as that joins some (ROUNDS at most); then
+    # all that are still of different classes meet. So sets that link with each other but not with a leader are joined in linear
+    # work, and their links counted by class below.
+    mixed, small, big = _buckets(shared, labels, sets)
+    for _ in range(ROUNDS):
+        closer = materialize(verify(docs, sets, _meetings(small, big, CLOSEST)))
+        if closer.isEmpty():
+            release(closer)
+            break
+        old, labels = labels, _joined(labels, closer)
+        release(mixed, big, old, closer)
+        mixed, small, big = _buckets(shared, labels, sets)
     release(shared)
-    keys = named.groupBy("key").agg(F.min("label").alias("l0"), F.max("label").alias("l1"), F.bit_xor(F.xxhash64("sid")).alias("s0"), F.bit_xor(F.xxhash64("sid", F.lit(1))).alias("s1"), F.count("*").alias("c")).where("l0 < l1")
-    keys = keys.groupBy("s0", "s1", "c").agg(F.min("key").alias("key")).select("key", "c")
-    mixed = materialize(named.join(keys, "key"))
-    release(named)
-    members = F.collect_list(F.struct("sid", "n", "label", "bits")).alias("x")
-    bits = sets.select("sid", "bits")
-    inside = _candidates(mixed.where(f"c <= {BUCKET}").join(bits, "sid").groupBy("key").agg(members), "x")
-    # A large bucket falls in blocks by size band and class; a class of more members than a block holds is salted.
-    large = mixed.where(f"c > {BUCKET}")
-    # The counts meet their members in SALTS parts of each class, so that one class is not one task.
-    of_class = large.groupBy("key", "label").agg(F.count("*").alias("lc")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.lit(SALTS - 1))))
-    salted = F.when(F.col("lc") > BUCKET, F.xxhash64("label", F.pmod(F.xxhash64("sid"), F.ceil(F.col("lc") / BUCKET)))).otherwise(F.pmod(F.xxhash64("label"), F.ceil(F.col("c") / BUCKET)))
-    salted_rows = large.withColumn("salt", F.pmod(F.xxhash64("sid"), F.lit(SALTS)).cast("int"))
-    large = salted_rows.join(of_class, ["key", "label", "salt"]).drop("salt").join(bits, "sid").groupBy("key", size_band("n").cast("int").alias("band"), salted.alias("part"))
-    big = materialize(large.agg(members, F.min("label").alias("l0"), F.max("label").alias("l1")))
-    inside = inside.union(_candidates(big.where("l0 < l1"), "x"))
-    # Blocks of one large bucket: each pair of blocks once, if their bands are near and they are not one class.
-    one, two = (big.select("key", *[F.col(c).alias(f"{c}{i}") for c in ("band", "part", "l0", "l1")]) for i in (1, 2))
-    across = one.join(two, "key").where("(band1, part1) < (band2, part2) and abs(band2 - band1) <= 2 and not (l01 = l11 and l02 = l12 and l01 = l02)")
-    for i, name in ((1, "x"), (2, "y")):
-        across = across.join(big.select("key", F.col("band").alias(f"band{i}"), F.col("part").alias(f"part{i}"), F.col("x").alias(name)), ["key", f"band{i}", f"part{i}"])
-    second = materialize(verify(docs, sets, inside.union(_candidates(across, "x", "y")).distinct()).distinct())
+    second = materialize(verify(docs, sets, _meetings(small, big)).distinct())
     release(mixed, big)
 
     # `second` joins whole classes of `first`: its links between them, each pair of classes once.

@@ -890,3 +890,27 @@ def test_lm_counts_travel_as_blocks(spark, monkeypatch):
     assert got["range"].nunique() > 5 and len(got) <= blocks.count() * got["range"].nunique()
     assert got.totals.map(len).sum() < 4 * got.n.sum() and got.n.sum() > 50_000
     assert words.tolist() == [120_000, 120_000] and size == len({w for t in texts.values() for w in t.split()})
+
+
+def test_sets_that_no_leader_joins_meet_their_closest(spark, monkeypatch):
+    """Near copies whose buckets are led by texts too long to link with them: their links make no row for each pair, and all count."""
+    r = random.Random(9)
+    base, more = [f"b{k}" for k in range(300)], [f"m{k}" for k in range(500)]
+
+    def copy(words, k):
+        at = r.randrange(len(words))
+        return " ".join([*words[:at], f"x{k}", *words[at + 1 :]])
+
+    texts = [copy(base, k) for k in range(60)] + [copy(base + more, k) for k in range(100, 112)]
+    met, verify = [], jaccard.verify
+
+    def counted(docs, sets, pairs):
+        met.append(pairs.count())
+        return verify(docs, sets, pairs)
+
+    monkeypatch.setattr(jaccard, "verify", counted)
+    d = spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string").repartition(3)
+    got = {x.doc_id: x for x in jaccard.near_duplicates(d).collect()}
+    assert [got[k].links for k in range(72)] == [59] * 60 + [11] * 12
+    assert {got[k].component_id for k in range(60)} == {0} and {got[k].component_id for k in range(60, 72)} == {60}
+    assert sum(met) < 6 * 72, met
