@@ -28,3 +28,10 @@ def bucketed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     out = df.repartition(count, *keys).write.format("parquet").option("path", f"{shared_folder(spark)}/{name}")
     out.bucketBy(count, *keys).sortBy(*keys, *order).saveAsTable(name)
     return spark.table(name)
+
+
+def written(df: DataFrame) -> DataFrame:
+    """The rows written as they stand and read back."""
+    path = f"{shared_folder(df.sparkSession)}/ledgerline_{uuid.uuid4().hex}"
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -2,7 +2,8 @@
 
 Nothing is dropped on the way: a row that fails gets the number of the step in `gone`, and every later statistic is taken over the
 rows still without one. So the panel and its report come from one pass. All verdicts within a stock are windows over one
-partitioning and one order (stock, date); what looks beyond a stock is a table of one row, or one for each day or month.
+partitioning and one order (stock, date); what looks beyond a stock is a table of one row, or one for each day or month. Before each
+of these the rows are written, so that no part of the order is run a second time for it, and those that have failed are set aside.
 """
 
 from __future__ import annotations
@@ -10,8 +11,9 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from ledgerline.functions.dates import month_number
 from ledgerline.functions.frames import by
-from ledgerline.functions.tables import bucketed
+from ledgerline.functions.tables import bucketed, written
 from ledgerline.operators import listings as li
 
 STATIC_STEPS = ("(1) non-common", "(2) cross-listings", "(3) duplicate codes", "(4) foreign firms", "(5) foreign currency")
@@ -22,12 +24,17 @@ US_STEPS = (
 )
 
 
+def _stock():
+    """One order for all windows, so that rows are sorted once for each part of the order and frames share their pass: months follow dates."""
+    return by("stock", order=["_month", "date"])
+
+
 def _own():
-    return by("stock")
+    return _stock().rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
 
 
 def _past(to: int = -1):
-    return by("stock", order="date").rowsBetween(Window.unboundedPreceding, to)
+    return _stock().rowsBetween(Window.unboundedPreceding, to)
 
 
 def alive() -> Column:
@@ -49,6 +56,7 @@ class Cascade:
 
     def __init__(self, rows: DataFrame, names: tuple[str, ...]):
         self.rows, self.names, self.at = rows.withColumn("gone", F.lit(None).cast("int")), names, 0
+        self.aside: list[DataFrame] = []
 
     def let(self, **columns: Column) -> Cascade:
         self.rows = self.rows.withColumns(columns)
@@ -61,6 +69,12 @@ class Cascade:
         self.rows = self.rows.withColumn("gone", F.coalesce("gone", first))
         return self
 
+    def go_on(self, table: DataFrame) -> Cascade:
+        """The order goes on with the rows of a written table that are still there; no later step looks at the others."""
+        self.aside.append(table.where(~alive()))
+        self.rows = table.where(alive())
+        return self
+
 
 def first_static_failure(statics: DataFrame, patterns: DataFrame, venues: DataFrame, currencies: DataFrame, codes: tuple[str, ...] = ("loc", "isin")) -> DataFrame:
     """(stock, static): the first of STATIC_STEPS that each line fails, each screen on all lines of the table; null if none."""
@@ -96,11 +110,11 @@ def us_order(
 
     statics: (stock, delisting_date) of the country's lines; verdicts: `first_static_failure` of them. Stocks without
     statics fail the first static screen. Columns `ret`, `filled` and `delisted` are added; where a row stays, gaps of `fill` are filled
-    from the stock's rows before, and its last row takes the delisting return. The first half of the order is run and written to
-    the shared folder when this is called."""
+    from the stock's rows before, and its last row takes the delisting return. The order up to the penny screen is run in three parts when
+    this is called, each on what the one before left, and written to the shared folder."""
     rows = panel.join(statics.select("stock", "delisting_date", F.lit(True).alias("_known")).join(verdicts, "stock"), "stock", "left")
-    c = Cascade(rows, US_STEPS)
-    c.fail(F.row_number().over(by("stock", "date", order=["return_index"])) > 1)
+    c = Cascade(rows.withColumn("_month", month_number(F.col("date"))), US_STEPS)
+    c.fail(F.col("date").eqNullSafe(F.lag(F.col("date")).over(by("stock", order=["_month", "date", "return_index"]))) & (F.row_number().over(by("stock", order=["_month", "date", "return_index"])) > 1))
     index = F.when(F.col("return_index") >= 1e-6, F.col("return_index"))
     c.let(return_index=index).let(ret=F.try_divide("return_index", before(F.col("return_index"))) - 1)
     late = F.coalesce(F.col("date") > F.col("delisting_date"), F.lit(False))
@@ -115,6 +129,8 @@ def us_order(
     c.let(_padded=F.count(among(F.when(F.col("_tail"), 1))).over(_past(0)))
     c.fail(F.col("delisting_date").isNotNull() & (late | (F.col("_tail") & (F.col("_padded") > keep))))
 
+    # Each part is written in buckets by stock: what follows reads it twice, and its windows need no further exchange.
+    c.go_on(bucketed(c.rows.drop("static", "_known", "_known_index", "_rising", "_moved", "_tail", "_padded"), ["stock"], ["date"]))
     end = c.rows.agg(F.max(among(F.col("date"))).alias("_end"))  # one row
     c.rows = c.rows.join(F.broadcast(end))
     c.let(_n=F.count(among(F.lit(1))).over(_own()), _begin=F.min(among(F.col("date"))).over(_own()), _idle=F.avg(among(F.coalesce(F.col("ret") == 0, F.lit(False)).cast("double"))).over(_own()))
@@ -128,16 +144,14 @@ def us_order(
     c.fail(F.col("_spread") > high, F.col("_spread") < low)
 
     c.let(_undone=F.coalesce(((F.col("_was") > up) & (F.col("ret") < down)) | ((F.col("_was") < down) & (F.col("ret") > up)), F.lit(False)))
-    following = by("stock", order=F.desc("date")).rowsBetween(Window.unboundedPreceding, -1)
-    c.let(_next=F.last(among(F.col("_undone")), ignorenulls=True).over(following))
+    c.let(_alive=among(F.col("_undone"))).let(_next=F.expr("lead(_alive) ignore nulls over (partition by stock order by _month, date)"))
     c.fail(F.col("_undone") | F.col("_next"))
+    c.let(_first=F.coalesce(alive() & (F.min(among(F.col("date"))).over(_own()) == F.col("date")), F.lit(False)))
 
-    # Written once, in buckets by stock: what follows reads it twice, and its windows need no further exchange.
-    c.rows = bucketed(c.rows.drop("static", "_known", "_known_index", "_rising", "_moved", "_tail", "_padded", "_end", "_n", "_begin", "_idle", "_same", "_number", "_start", "_spread", "_was", "_undone", "_next"), ["stock"], ["date"])
+    c.go_on(bucketed(c.rows.drop("_end", "_n", "_begin", "_idle", "_same", "_number", "_start", "_spread", "_was", "_undone", "_alive", "_next"), ["stock"], ["date"]))
 
     # Days of the calendar: bounded, whatever the number of stocks. Each stock counts on its first day, so the sum is their number.
-    days = c.rows.withColumn("_first", F.min(among(F.col("date"))).over(_own()) == F.col("date")).where(alive())
-    days = days.groupBy("date").agg(F.count_if(F.col("ret") != 0).alias("_n"), F.count_if("_first").alias("_new"))
+    days = c.rows.groupBy("date").agg(F.count_if(F.col("ret") != 0).alias("_n"), F.count_if("_first").alias("_new"))
     days = days.withColumn("_all", F.sum("_new").over(Window.partitionBy(F.lit(1)))).where(F.col("_n") >= active * F.col("_all"))
     c.rows = c.rows.join(F.broadcast(days.select("date", F.lit(True).alias("_open"))), "date", "left")
     want = F.col("unadj_close") * F.col("adj_factor")
@@ -150,23 +164,30 @@ def us_order(
     finite = {x: F.when(~F.abs(x).isin(float("inf")), F.col(x)) for x in dict.fromkeys([*fill, *require, "ret"])}
     ready = F.min(among(F.when(F.expr(" and ".join(f"{x} is not null" for x in require)), F.col("date")))).over(_own())
     c.let(**finite).let(_ready=ready).fail(F.col("_ready").isNull() | (F.col("date") < F.col("_ready")))
-    c.let(filled=F.expr(" or ".join(f"{x} is null" for x in fill)))
-    c.let(**{x: among(F.last(among(F.col(x)), ignorenulls=True).over(_past(0))) for x in fill})
+    lacks = F.expr(" or ".join(f"{x} is null" for x in fill))
+    c.let(filled=lacks)
+    gone = late if delisting is not None else F.lit(False)
+    c.let(_last=F.max(among(F.when(~gone, F.col("date")))).over(_own()), **{x: among(F.last(among(F.col(x)), ignorenulls=True).over(_past(0))) for x in fill})
 
-    c.fail(late if delisting is not None else F.lit(False))
-    c.let(delisted=F.lit(delisting is not None) & alive() & F.col("delisting_date").isNotNull() & (F.col("date") == F.max(among(F.col("date"))).over(_own())))
+    c.fail(gone)
+    c.let(delisted=F.lit(delisting is not None) & alive() & F.col("delisting_date").isNotNull() & (F.col("date") == F.col("_last")))
     if delisting is not None:
         c.let(ret=F.when(F.col("delisted"), (1 + F.coalesce("ret", F.lit(0.0))) * (1 + delisting) - 1).otherwise(F.col("ret")), return_index=F.when(F.col("delisted"), F.col("return_index") * (1 + delisting)).otherwise(F.col("return_index")))
 
     # The last known price of the stock's previous month with a row, null if it has none; its quantile over the month's rows.
     months = by("stock", order="_month").rangeBetween(Window.unboundedPreceding, -1)
     priced = F.struct("_month", F.col("unadj_close").isNotNull().alias("known"), "date", F.col("unadj_close").alias("v"))
-    c.let(_month=F.year("date") * 12 + F.month("date")).let(_price=F.max(among(priced)).over(months)["v"])
+    c.let(_price=F.max(among(priced)).over(months)["v"])
+    c.rows = written(c.rows.drop("_first", "_open", "_traded", "_ready", "_last"))
     cut = c.rows.where(alive()).groupBy("_month").agg(F.percentile("_price", F.lit(penny)).alias("_cut"))
     c.rows = c.rows.join(F.broadcast(cut), "_month", "left")  # months of the calendar
     c.fail(F.col("_price") < F.col("_cut"))
     c.fail((F.col("date") <= F.lit(after).cast("date")) | (F.col("date") > F.lit(until).cast("date")))
-    return c.rows.drop(*[x for x in c.rows.columns if x.startswith("_")])
+    out = c.rows
+    for d in c.aside:
+        d = d.withColumns(finite).withColumn("filled", lacks).withColumns({x: among(F.col(x)) for x in fill})
+        out = out.unionByName(d.withColumn("delisted", F.lit(False)), allowMissingColumns=True)
+    return out.drop(*[x for x in out.columns if x.startswith("_")])
 
 
 def survivors(marked: DataFrame) -> DataFrame:

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 from ledgerline.operators import cascade
 from ledgerline.plans.listing_queries import _CORE, CURRENCIES, LINES_SQL, frame, lines, patterns
 from ledgerline.plans.registry import query
-from ledgerline.sources.proxy import PANEL_SQL, daily_panel, delistings, read, statics
+from ledgerline.sources.proxy import PANEL_SQL, daily_panel, delistings, last_days, read, statics
 
 US = "UNITED STATES"
 US_PATTERNS = [(US, " TRUST ", True), (US, " UNITS ", False), (US, "WARRANT", False)]
@@ -30,7 +30,7 @@ def us_lines(spark, sf_dir):
 def us_panel(spark, sf_dir):
     """The proxy panel with what the screens look for: an index of zero, missing prices, flat days and idle days."""
     flat, k = F.col("stock") % 6 == 2, F.col("stock")
-    p = daily_panel(spark, sf_dir)
+    p = daily_panel(spark, sf_dir).drop("market_cap")
     return p.withColumns({
         "return_index": F.when(k % 41 == 12, F.lit(None)).when(F.dayofyear("date") == 77, 0.0).otherwise(F.col("return_index")), "unadj_close": F.when(F.dayofmonth("date") % 13 > 0, F.col("unadj_close") - F.when(k % 7 == 3, 1200).otherwise(0)),
         "high": F.when(flat, 70000.0).otherwise(F.col("high") * F.when(F.dayofyear("date") % 50 == 3, 0.99).otherwise(1.0)), "low": F.when(flat, 1.0).otherwise(F.col("low")), "volume": F.when(flat, F.floor(F.col("volume") / 60) * 1.0).otherwise(F.col("volume")),
@@ -40,7 +40,7 @@ def us_panel(spark, sf_dir):
 def marked(spark, sf_dir):
     s = us_lines(spark, sf_dir)
     verdicts = cascade.first_static_failure(s, frame(spark, US_PATTERNS, "country string, pattern string, overridable boolean"), frame(spark, US_VENUES, "country string, pattern string"), frame(spark, US_CURRENCIES, "country string, currency string"))
-    return cascade.us_order(us_panel(spark, sf_dir), s.join(delistings(daily_panel(spark, sf_dir)), "stock"), verdicts, **LIMITS)
+    return cascade.us_order(us_panel(spark, sf_dir), s.join(delistings(last_days(spark, sf_dir)), "stock"), verdicts, **LIMITS)
 
 
 def _stocks(name, source, condition):

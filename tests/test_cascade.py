@@ -89,3 +89,9 @@ def test_duplicate_days_and_penny_months(spark):
     assert {g for s, m, g in fields if s == "b" and m == 1} == {None} and {g for s, m, g in fields if s == "b" and m > 1} == {STEP["(21) penny stocks"]}
     assert {g for s, _, g in fields if s == "a"} <= {None, 1}
     assert marked(spark, rows)[0].where(F.col("gone") == STEP["(0) duplicate days"]).count() == 2
+
+
+def test_no_part_runs_twice(spark):
+    """What is returned is read from the written parts: no window of the order is left in its plan, for the months' cut or for the rows."""
+    out = marked(spark, series("a", 40) + series("b", 40))[0]
+    assert "Window" not in out._jdf.queryExecution().optimizedPlan().toString()
