@@ -6,14 +6,16 @@ that far are neighbours, and grouping by (host, first RUN tokens) brings them to
 one task. A token is covered if a repeated run of RUN tokens covers it. That covers what the whole order would: a substring of
 RUN tokens or more that stands on two pages is made of runs that do, and each such run is itself such a substring.
 
-Articles themselves repeat (copies, quoted lines), and a repeated substring of an article is no boilerplate. So text in
-an `article` or `main` element is kept whole, and on pages with one, it is all of the main text. On other pages, blocks outside
-of menus, adverts and the like are the main text, less the covered runs. A page of which runs cover more than half is a near copy
+Articles themselves repeat (copies, quoted lines), and a repeated substring of an article is boilerplate only if it stands on most
+of the host. So on pages with an `article` or `main` element, of its blocks those go that are notices of the host: suffixes that
+begin a block and repeat to its end, RUN tokens or more, on MANY unlike pages or more that are half of the host's. On other pages,
+blocks outside of menus, adverts and the like are the main text, less the covered runs. A page of which runs cover more than half is a near copy
 of others, not boilerplate, and keeps all of it: no page loses its text to its own copies.
 """
 
 from __future__ import annotations
 
+import hashlib
 import html
 import re
 
@@ -22,10 +24,11 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from ledgerline.llm.common import materialize, mix, powers, shingle_hashes
+from ledgerline.llm.common import broadcast_if_small, materialize, mix, powers, shingle_hashes
 from ledgerline.llm.urlfilter import host_of
 
 RUN = 8
+MANY = 4
 # Elements whose text is never shown or never main text, elements that part blocks, and words in class,
 # id or role of menus, adverts and the like.
 RAW = frozenset("script style noscript template iframe object svg textarea select".split())
@@ -135,24 +138,43 @@ def _tokens(text: str) -> np.ndarray:
     return mix((total[end] - total[begin]) * powers(pow(0x100000001B3, -1, 1 << 64), len(data))[begin])
 
 
+def _whole(text: str) -> int | None:
+    """The suffix from a block's begin to its end, as a hash; null under RUN tokens."""
+    return int.from_bytes(hashlib.blake2b(text.encode(), digest_size=8).digest(), "little", signed=True) if text.count(" ") >= RUN - 1 else None
+
+
 def parse_pages(pages: DataFrame) -> DataFrame:
-    """(page_id, url, host, article, rest, runs): the article's text or null; else the other blocks as an array; and the
-    hashes of all runs of RUN tokens outside the article (fewer tokens: the whole stream), block by block in page order."""
+    """(page_id, url, host, article, wholes, sizes, rest, runs): the article's blocks or null, with their whole suffixes and numbers of
+    tokens; else the other blocks; and the hashes of all runs of RUN tokens outside the article (fewer tokens: the whole stream),
+    block by block in page order."""
 
     def parse(batches):
         for batch in batches:
-            cols: list[list] = [[], [], []]
+            cols: list[list] = [[], [], [], [], []]
             for page in batch.column(3).to_pylist():
                 has, found = blocks(page or "")
                 outside = [(k, t) for k, t in found if k != "article"]
                 stream = [_tokens(t) for _, t in outside]
-                cols[0].append("\n\n".join(t for k, t in found if k == "article") if has else None)
-                cols[1].append([] if has else [t for k, t in outside if k == "other"])
-                cols[2].append(np.concatenate([shingle_hashes(s, RUN) for s in stream]).view(np.int64).tolist() if stream else [])
-            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), pa.array(cols[0], pa.string()), pa.array(cols[1], pa.list_(pa.string())), pa.array(cols[2], pa.list_(pa.int64()))], ["page_id", "url", "host", "article", "rest", "runs"])
+                article = [t for k, t in found if k == "article"]
+                cols[0].append(article if has else None)
+                cols[1].append([_whole(t) for t in article])
+                cols[2].append([t.count(" ") + 1 for t in article])
+                cols[3].append([] if has else [t for k, t in outside if k == "other"])
+                cols[4].append(np.concatenate([shingle_hashes(s, RUN) for s in stream]).view(np.int64).tolist() if stream else [])
+            arrays = [pa.array(c, pa.list_(t)) for c, t in zip(cols, (pa.string(), pa.int64(), pa.int64(), pa.string(), pa.int64()), strict=True)]
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), batch.column(2), *arrays], ["page_id", "url", "host", "article", "wholes", "sizes", "rest", "runs"])
 
     source = pages.select(F.col("page_id").cast("long"), "url", host_of(F.col("url")).alias("host"), "html")
-    return source.mapInArrow(parse, "page_id long, url string, host string, article string, rest array<string>, runs array<long>")
+    return source.mapInArrow(parse, "page_id long, url string, host string, article array<string>, wholes array<long>, sizes array<long>, rest array<string>, runs array<long>")
+
+
+def host_notices(parsed: DataFrame) -> DataFrame:
+    """(host, notices): the whole suffixes of article blocks that stand on MANY unlike pages or more, half of the host's unlike pages at
+    least. Their number for each host is at most twice the blocks of a page."""
+    seen = parsed.where("article is not null").select("host", F.xxhash64("article", "runs").alias("content"), F.array_distinct(F.array_compact("wholes")).alias("wholes"))
+    unlike = seen.select("host", "content").distinct().groupBy("host").agg(F.count("*").alias("pages"))
+    held = seen.select("host", "content", F.explode("wholes").alias("whole")).distinct().groupBy("host", "whole").agg(F.count("*").alias("n")).where(F.col("n") >= MANY)
+    return held.join(unlike, "host").where(2 * F.col("n") >= F.col("pages")).groupBy("host").agg(F.collect_set("whole").alias("notices"))
 
 
 def extract_text(pages: DataFrame) -> DataFrame:
@@ -163,7 +185,14 @@ def extract_text(pages: DataFrame) -> DataFrame:
     columns are not read.
     """
     parsed = materialize(parse_pages(pages))
-    done = parsed.where("article is not null").select("page_id", "url", F.col("article").alias("text"))
+    # Article pages: their blocks, less the host's notices; a page of which these are more than half keeps all.
+    notices = broadcast_if_small(materialize(host_notices(parsed)))
+    bad = lambda b: F.coalesce(F.array_contains("notices", b["wholes"]), F.lit(False))
+    tokens = lambda of: F.aggregate(of, F.lit(0).cast("long"), lambda n, b: n + b["sizes"])
+    each = F.arrays_zip("article", "wholes", "sizes")
+    whole = F.col("notices").isNull() | (2 * tokens(F.filter(each, bad)) > tokens(each))
+    left = F.when(whole, F.col("article")).otherwise(F.transform(F.filter(each, lambda b: ~bad(b)), lambda b: b["article"]))
+    done = parsed.where("article is not null").join(notices, "host", "left").select("page_id", "url", F.array_join(left, "\n\n").alias("text"))
     runs = parsed.select("host", F.xxhash64("article", "runs").alias("content"), F.explode(F.array_distinct("runs")).alias("run"))
     repeated = runs.groupBy("host", "run").agg(F.min("content").alias("a"), F.max("content").alias("b")).where("a < b").select("host", "run")
     # Other pages: their blocks, with the runs that repeat on the host.

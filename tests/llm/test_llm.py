@@ -393,6 +393,19 @@ def test_html_runs_repeat_on_a_host(spark):
     assert htmltext.extract_text(d.limit(0)).count() == 0
 
 
+def test_html_notices_in_articles(spark):
+    """A block of an article that repeats on half of the host's unlike pages is a notice; quoted lines, short lines and near copies stay."""
+    notice, quoted, long = (" ".join(f"{w}{k}" for k in range(n)) for w, n in (("notice", 10), ("quote", 10), ("long", 60)))
+    own = [" ".join(words(20, 170 + k, 10**6)) for k in range(6)]
+    body = [[own[k], *([quoted] if k < 2 else []), "read on"] for k in range(6)]
+    page = lambda *p: "<article>" + "".join(f"<p>{x}</p>" for x in p) + "</article>"
+    rows = [(k, f"http://h.org/{k}", page(*b, *([notice] if k < 5 else []))) for k, b in enumerate(body)]
+    rows += [(10, "http://else.org/", page(own[0], notice))] + [(20 + k, f"http://near.org/{k}", page(long, f"copy {k}")) for k in range(5)] + [(30, "http://h.org/copy", rows[0][2])]
+    got = {r.page_id: r.text for r in htmltext.extract_text(spark.createDataFrame(rows, "page_id long, url string, html string")).collect()}
+    want = {k: "\n\n".join(b) for k, b in enumerate(body)} | {10: f"{own[0]}\n\n{notice}", 30: "\n\n".join(body[0])} | {20 + k: f"{long}\n\ncopy {k}" for k in range(5)}
+    assert got == want
+
+
 def test_html_on_pages(spark, data):
     p = spark.read.parquet(f"{data}/pages.parquet")
     truth = {}
