@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import tempfile
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -19,6 +21,18 @@ def shared_folder(spark: SparkSession) -> str:
     return found
 
 
+@contextmanager
+def exchanges_removed(spark: SparkSession) -> Iterator[None]:
+    """Spark removes the shuffle files of a job that starts inside as soon as it has ended, not when the driver next collects its garbage."""
+    name = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+    before = spark.conf.get(name)
+    spark.conf.set(name, "true")
+    try:
+        yield
+    finally:
+        spark.conf.set(name, before)
+
+
 def bucketed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
     """The rows written in one exchange, a file for each bucket of the keys, and read back: groups and windows by the keys need no further
     exchange, and each reader takes its own columns. It also cuts the lineage, so lost executors cost no more than their tasks."""
@@ -33,5 +47,6 @@ def bucketed(df: DataFrame, keys: list[str], order: list[str]) -> DataFrame:
 def written(df: DataFrame) -> DataFrame:
     """The rows written as they stand and read back."""
     path = f"{shared_folder(df.sparkSession)}/ledgerline_{uuid.uuid4().hex}"
-    df.write.parquet(path)
+    with exchanges_removed(df.sparkSession):
+        df.write.parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)

@@ -6,6 +6,7 @@ from pyspark.sql import functions as F
 
 from ledgerline.functions.dates import add_months, months_between
 from ledgerline.functions.frames import by
+from ledgerline.functions.tables import written
 from ledgerline.operators import emissions as em
 from ledgerline.operators import checks as q
 from ledgerline.operators import filters as fl
@@ -17,7 +18,7 @@ from ledgerline.plans.pit_queries import EM_SQL, ITEMS, WIDE_SQL, annual_wide, c
 from ledgerline.plans.registry import query
 from ledgerline.plans.universe_queries import monthly, universe
 from ledgerline.sources import imports as im
-from ledgerline.sources.proxy import PANEL_SQL, daily_panel, delistings, read, statics
+from ledgerline.sources.proxy import PANEL_SQL, daily_panel, daily_sums, delistings, last_days, read, statics
 
 
 def _r(df, digits, *columns):
@@ -412,9 +413,12 @@ _RUN = "return_index IS NULL OR NOT coalesce(return_index = lag(return_index) OV
  SELECT stock, date, country, gone AS delisted, round(ret, 8) AS ret, round(return_index_eur + 1e-9, 6) AS return_index_eur, round(unadj_close + 1e-9, 6) AS unadj_close FROM x16 WHERE NOT EXISTS (SELECT 1 FROM pb WHERE pb.stock = x16.stock AND pb.month = last_day(x16.date)) AND date > DATE '1992-06-30' AND date <= DATE '1998-06-30'""")
 def fo10(spark, sf_dir):
     """All screens of the panel of many countries, local and euro series side by side."""
-    p = daily_panel(spark, sf_dir).join(statics(spark, sf_dir).select("stock", "country"), "stock")
-    p = p.withColumns({"return_index_eur": F.round(F.col("return_index") * (1 + F.month("date") / 100), 6), "unadj_close_eur": F.col("unadj_close") * 0.9, "unadj_close": F.when(F.dayofmonth("date") % 13 > 0, F.col("unadj_close"))})
-    out = fl.european_order(p, delistings(daily_panel(spark, sf_dir)), after="1992-06-30", until="1998-06-30", least=3, one_sign=0.7, history=200, zero=0.3, run=3, high=0.0375, up=0.06, down=-0.04, active=0.3, gap=0.06, penny=0.1)
+    p, prices = daily_sums(spark, sf_dir)
+    p = p.join(statics(spark, sf_dir).select("stock", "country"), "stock").withColumn("return_index_eur", F.round(F.col("return_index") * (1 + F.month("date") / 100), 6))
+    price = prices["unadj_close"]
+    later = {c: prices[c] for c in ("open", "high", "low", "close", "adj_factor")} | {"unadj_close": F.when(F.dayofmonth("date") % 13 > 0, price), "unadj_close_eur": price * 0.9}
+    gone = written(delistings(last_days(spark, sf_dir)))  # a small table that is read twice
+    out = fl.european_order(p, gone, after="1992-06-30", until="1998-06-30", least=3, one_sign=0.7, history=200, zero=0.3, run=3, high=0.0375, up=0.06, down=-0.04, active=0.3, gap=0.06, penny=0.1, later=later)
     # Both columns are moved off rounding ties.
     out = out.withColumns({c: F.col(c) + 1e-9 for c in ("return_index_eur", "unadj_close")})
     return _r(_r(out, 8, "ret"), 6, "return_index_eur", "unadj_close").select("stock", "date", "country", "delisted", "ret", "return_index_eur", "unadj_close")
